@@ -112,3 +112,7 @@ def q_quarantine_rows(spark, sf_dir):
     d = D.decode(msgs, K.default_catalog())
     return d.select(F.col("seq").alias("event_id"), "reason",
                     F.when(F.col("reason").isNull(), F.col("row_key")).alias("row_key"))
+
+
+# The other query families register themselves on import.
+from celltide.plans import q_ingest, q_logs, q_reports, q_windows  # noqa: E402,F401

@@ -150,13 +150,13 @@ def duplicated_messages(events: DataFrame) -> DataFrame:
             .select(*_message_columns(F.encode(payload_text(), "UTF-8")), "copy"))
 
 
-def arrival_order() -> Column:
+def arrival_order(id_col: str = "event_id") -> Column:
     """Arrival position: ``event_id`` order, but ``event_id % 50 = 0`` 20 places later.
 
     ``2*event_id`` leaves odd slots free; a delayed row takes the slot right
     after the row ``event_id + 20``.
     """
-    eid = F.col("event_id")
+    eid = F.col(id_col)
     return F.when(eid % 50 == 0, eid * 2 + 41).otherwise(eid * 2)
 
 
