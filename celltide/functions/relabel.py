@@ -7,7 +7,7 @@ references and a ``target_label``.  Actions: ``replace``, ``keep``, ``drop``,
 the empty string; a replacement that yields the empty string removes the
 target label; a ``replace`` whose regex does not match leaves the target as
 it was.  Every rule compiles to built-in expressions (``rlike``,
-``regexp_replace``, ``map_filter``, ``transform_keys``).
+``regexp_replace``, ``map_filter``, ``transform``).
 """
 
 from __future__ import annotations
@@ -45,32 +45,41 @@ def joined(labels: Column, names: tuple[str, ...], sep: str) -> Column:
     return F.concat_ws(sep, *[F.coalesce(labels.getItem(n), F.lit("")) for n in names])
 
 
-def _without(labels: Column, key: str) -> Column:
-    return F.map_filter(labels, lambda k, v: k != F.lit(key))
+def _assemble(labels: Column, changed: dict[str, Column]) -> Column:
+    """``labels`` with the ``changed`` labels replaced; empty or NULL values removed."""
+    if not changed:
+        return labels
+    names = list(changed)
+    base = F.map_filter(labels, lambda k, v: ~k.isin(*names))
+    overlay = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*changed.values()))
+    return F.map_filter(F.map_concat(base, overlay), lambda k, v: v.isNotNull() & (v != ""))
 
 
-def _set(labels: Column, key: str, value: Column) -> Column:
-    """Set ``key`` to ``value``; an empty value removes the label."""
-    rest = _without(labels, key)
-    return F.when(value == "", rest).otherwise(F.map_concat(rest, F.create_map(F.lit(key), value)))
+def _labelmap(labels: Column, rx: str, rep: str) -> Column:
+    """Matching keys get a renamed copy that wins over an existing label of that name."""
+    entries = F.map_entries(labels)
+    renamed = F.transform(F.filter(entries, lambda e: e["key"].rlike(rx)),
+                          lambda e: F.struct(F.regexp_replace(e["key"], rx, rep).alias("key"),
+                                             e["value"].alias("value")))
+    rev = F.reverse(F.concat(entries, renamed))
+    keys = F.transform(rev, lambda e: e["key"])
+    # first occurrence in the reversed list = last writer wins
+    last = F.filter(rev, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
+    return F.map_from_entries(last)
 
 
 def apply_rule(labels: Column, rule: Rule) -> tuple[Column, Column | None]:
-    """Returns (new labels, keep-row predicate or None)."""
+    """Map-level form of one rule: (new labels, keep-row predicate or None)."""
     rx = anchored(rule.regex)
     if rule.action == "replace":
         src = joined(labels, rule.source_labels, rule.separator)
         new = F.regexp_replace(src, rx, java_replacement(rule.replacement))
-        return F.when(src.rlike(rx), _set(labels, rule.target_label, new)).otherwise(labels), None
+        return F.when(src.rlike(rx), _assemble(labels, {rule.target_label: new})).otherwise(labels), None
     if rule.action in ("keep", "drop"):
         m = joined(labels, rule.source_labels, rule.separator).rlike(rx)
         return labels, (m if rule.action == "keep" else ~m)
     if rule.action == "labelmap":
-        rep = java_replacement(rule.replacement)
-        mapped = F.transform_keys(F.map_filter(labels, lambda k, v: k.rlike(rx)),
-                                  lambda k, v: F.regexp_replace(k, rx, rep))
-        kept = F.map_filter(labels, lambda k, v: ~F.array_contains(F.map_keys(mapped), k))
-        return F.map_concat(kept, mapped), None
+        return _labelmap(labels, rx, java_replacement(rule.replacement)), None
     if rule.action == "labeldrop":
         return F.map_filter(labels, lambda k, v: ~k.rlike(rx)), None
     if rule.action == "labelkeep":
@@ -82,14 +91,41 @@ def relabel(df: DataFrame, rules: list[Rule], col: str = "labels",
             drop_internal: bool = False) -> DataFrame:
     """Apply ``rules`` in order; ``keep``/``drop`` rules filter rows.
 
-    With ``drop_internal`` the labels starting with ``__`` are removed at the
-    end, as done after target relabelling.
+    Each ``replace`` rule writes one plain string column (the new value of its
+    target label) instead of rebuilding the map, and later rules read that
+    column; the map is assembled once at the end, or before a rule that looks
+    at every label (``labelmap``, ``labeldrop``, ``labelkeep``).  With
+    ``drop_internal`` labels starting with ``__`` are removed at the end, as
+    after target relabelling.
     """
-    # One projection per rule: the map is referenced several times by a rule,
-    # so inlining rules into each other would grow the expression exponentially.
+    changed: dict[str, Column] = {}
+    tmp: list[str] = []
+
+    def value(name: str) -> Column:
+        return changed.get(name, F.col(col).getItem(name))
+
+    def src(rule: Rule) -> Column:
+        if not rule.source_labels:
+            return F.lit("")
+        return F.concat_ws(rule.separator, *[F.coalesce(value(n), F.lit("")) for n in rule.source_labels])
+
     for rule in rules:
-        labels, pred = apply_rule(F.col(col), rule)
-        df = df.withColumn(col, labels) if pred is None else df.where(pred)
+        rx = anchored(rule.regex)
+        if rule.action == "replace":
+            s = src(rule)
+            new = F.when(s.rlike(rx), F.regexp_replace(s, rx, java_replacement(rule.replacement))) \
+                .otherwise(value(rule.target_label))
+            tmp.append(f"_rl{len(tmp)}")
+            df = df.withColumn(tmp[-1], new)
+            changed[rule.target_label] = F.col(tmp[-1])
+        elif rule.action in ("keep", "drop"):
+            m = src(rule).rlike(rx)
+            df = df.where(m if rule.action == "keep" else ~m)
+        else:
+            df = df.withColumn(col, _assemble(F.col(col), changed))
+            changed = {}
+            df = df.withColumn(col, apply_rule(F.col(col), rule)[0])
+    df = df.withColumn(col, _assemble(F.col(col), changed))
     if drop_internal:
         df = df.withColumn(col, F.map_filter(F.col(col), lambda k, v: ~k.startswith("__")))
-    return df
+    return df.drop(*tmp)

@@ -61,11 +61,13 @@ def latest_cells(cells: DataFrame) -> DataFrame:
 
 def cell_versions(cells: DataFrame, n: int = 3) -> DataFrame:
     """A6 + W1: newest ``n`` versions per cell, with the cell's version count."""
-    w = Window.partitionBy("row_key", "family", "qualifier")
-    ordered = w.orderBy(F.col("cell_ts").desc(), F.col("seq").desc())
+    ordered = (Window.partitionBy("row_key", "family", "qualifier")
+               .orderBy(F.col("cell_ts").desc(), F.col("seq").desc()))
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # both functions share one partitioning and order: one shuffle, one sort
     return (cells
             .withColumn("version", F.row_number().over(ordered))
-            .withColumn("n_versions", F.count(F.lit(1)).over(w))
+            .withColumn("n_versions", F.count(F.lit(1)).over(whole))
             .where(F.col("version") <= n)
             .select("row_key", "family", "qualifier", "version", "value", "n_versions"))
 

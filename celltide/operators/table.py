@@ -20,17 +20,16 @@ CELLS_DDL = ("row_key STRING, family STRING, qualifier STRING, value STRING, cel
              "seq BIGINT, relation STRING, ingest_date DATE")
 
 
-def write_cells(cells: DataFrame, path: str, files_per_partition: int = 8,
-                mode: str = "append") -> None:
+def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
     """One write routed by relation (``partitionBy``), never a loop per relation.
 
-    Rows are hashed on (relation, date, bucket of row_key) so a partition
-    folder gets at most ``files_per_partition`` files, and a hot relation is
-    still spread over that many tasks.
+    The ``rebalance`` hint clusters rows by (relation, date) and lets adaptive
+    execution size the tasks: small partitions are coalesced (few files per
+    folder) and a hot relation or day is split over several tasks, so file
+    size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
     """
-    bucket = F.pmod(F.xxhash64("row_key"), F.lit(files_per_partition))
     (cells.select(*CELL_COLUMNS)
-     .repartition("relation", "ingest_date", bucket)
+     .hint("rebalance", *PARTITION_COLS)
      .sortWithinPartitions("relation", "ingest_date", "row_key")
      .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path))
 
@@ -79,13 +78,14 @@ def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str =
     hit = table.join(keys, "row_key", "left_semi").select(*PARTITION_COLS).distinct()
     kept = table.join(hit, PARTITION_COLS, "left_semi").join(keys, "row_key", "left_anti")
     stage = new_location(spark, "stage")
-    kept.select(*CELL_COLUMNS).write.partitionBy(*PARTITION_COLS).parquet(stage)
+    write_cells(kept, stage)
     # partition values only: bounded by the number of touched partitions
     touched = [(r["relation"], r["ingest_date"]) for r in hit.collect()]
     staged = read_cells(spark, stage)
     remaining = {(r["relation"], r["ingest_date"]) for r in staged.select(*PARTITION_COLS).distinct().collect()}
     (staged.select(*CELL_COLUMNS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path))
+    # (the staged copy is already clustered by partition: no re-shuffle needed)
     for rel, day in touched:
         if (rel, day) not in remaining:
             delete_path(spark, f"{path.rstrip('/')}/relation={rel}/ingest_date={day}")

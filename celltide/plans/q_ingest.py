@@ -147,7 +147,7 @@ def q_clear_relation(spark, sf_dir):
     key of users with ``user_id % 10 = 0`` deleted; remaining rows per relation."""
     src = TB.read_cells(spark, cells_table(spark, sf_dir))
     path = new_location(spark, "cells-copy")
-    src.write.partitionBy(*TB.PARTITION_COLS).parquet(path)
+    TB.write_cells(src, path)
     TB.clear_relation(spark, path, "error")
     ev = X.load_events(spark, sf_dir)
     keys = ev.where(F.col("user_id") % 10 == 0).select(X.device_id().alias("row_key"))

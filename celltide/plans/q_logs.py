@@ -165,4 +165,7 @@ def q_labelmap(spark, sf_dir):
     """Pod labels renamed by pattern; internal ``__`` labels dropped afterwards."""
     md = X.pod_metadata(X.load_events(spark, sf_dir))
     out = relabel(md, [LB.POD_LABELMAP], drop_internal=True)
-    return out.select(F.col("seq").alias("event_id"), F.explode("labels").alias("label", "value"))
+    # explode_outer: a plain explode makes the optimizer infer a size(labels) > 0
+    # filter and push it below the projections, evaluating the rules twice
+    return (out.select(F.col("seq").alias("event_id"), F.explode_outer("labels").alias("label", "value"))
+            .where(F.col("label").isNotNull()))

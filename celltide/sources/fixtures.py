@@ -23,10 +23,21 @@ NONCONFORM_MODULUS = 89
 POD_PHASES = ["Running", "Running", "Pending", "Succeeded", "Failed"]
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    task slots (one small file with one row group is read by one task).
+
+    A large input already has many splits and is returned unchanged, so the
+    extra shuffle is only paid where it buys parallelism.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with ``ts`` as a UTC ``timestamp`` (watermarks need it)."""
-    return (spark.read.parquet(f"{sf_dir}/events.parquet")
-            .withColumn("ts", F.col("ts").cast("timestamp")))
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet")
+                  .withColumn("ts", F.col("ts").cast("timestamp")))
 
 
 def _q(text: Column) -> Column:
