@@ -1,0 +1,85 @@
+"""Scalar helpers, logfmt parsing and relabel rules (P17-P23, section 2.8)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from celltide.functions import logfmt
+from celltide.functions.relabel import Rule, relabel
+from celltide.functions.text import mqtt_filter_regex, path_base, trim_space, topic_matches
+from celltide.operators import labels as LB
+
+
+def _one(spark, col, value):
+    return spark.createDataFrame([(value,)], "x string").select(col(F.col("x")).alias("y")).first()["y"]
+
+
+@pytest.mark.parametrize("inp,out", [("a/b/c.go", "c.go"), ("c.go", "c.go"), ("a/b/", "a/b/"), ("/x", "x")])
+def test_path_base(spark, inp, out):
+    assert _one(spark, path_base, inp) == out
+
+
+def test_trim_space(spark):
+    assert _one(spark, trim_space, " \n\tab c\r\n ") == "ab c"
+
+
+@pytest.mark.parametrize("flt,topic,ok", [
+    ("a/+/c", "a/b/c", True), ("a/+/c", "a/b/d", False), ("a/#", "a", True), ("a/#", "a/b/c", True),
+    ("#", "x/y", True), ("#", "$SYS/x", False), ("+/b", "$SYS/b", False), ("a/b", "a/b", True),
+    ("a/b", "a/bc", False), ("a/+", "a/", True)])
+def test_mqtt_filters(spark, flt, topic, ok):
+    df = spark.createDataFrame([(topic,)], "t string")
+    assert df.where(topic_matches(F.col("t"), [flt])).count() == (1 if ok else 0)
+
+
+def test_bad_filter():
+    with pytest.raises(ValueError):
+        mqtt_filter_regex("a/#/b")
+
+
+def test_logfmt_parse(spark):
+    line = 'level=info ts=2024-01-01T00:00:07.179575123Z caller=main.go:154 msg="user 5 said \\"hi\\" \\\\ ok"'
+    r = spark.createDataFrame([(line,)], "line string").select(logfmt.parse(F.col("line")).alias("p")).first()["p"]
+    assert r["level"] == "info" and r["caller"] == "main.go:154"
+    assert r["msg"] == 'user 5 said "hi" \\ ok'
+    assert r["ts"].microsecond == 179575
+
+
+def _labels(spark, rows):
+    return spark.createDataFrame([(i, m) for i, m in enumerate(rows)], "seq long, labels map<string,string>")
+
+
+def test_pod_log_rules(spark):
+    meta = {"__meta_kubernetes_namespace": "verne", "__meta_kubernetes_pod_name": "p1",
+            "__meta_kubernetes_pod_container_name": "listener", "__meta_kubernetes_pod_uid": "u1",
+            "__meta_kubernetes_pod_container_id": "containerd://abc",
+            "__meta_kubernetes_pod_label_app_kubernetes_io_name": "bridge"}
+    plain = dict(meta, __meta_kubernetes_pod_container_id="abc")
+    out = relabel(_labels(spark, [meta, plain]), LB.POD_LOG_RULES, drop_internal=False).orderBy("seq").collect()
+    a, b = out[0]["labels"], out[1]["labels"]
+    assert a["namespace"] == "verne" and a["pod"] == "p1" and a["container"] == "listener" and a["app"] == "bridge"
+    assert a["job"] == "verne/listener"
+    assert a["__path__"] == "/var/log/pods/*u1/listener/*.log"
+    assert a["container_runtime"] == "containerd"
+    assert "container_runtime" not in b  # no match leaves the target unset
+
+
+def test_replace_no_match_keeps_target_and_empty_removes(spark):
+    rules = [Rule(source_labels=("src",), regex="x(.*)", target_label="t"),
+             Rule(source_labels=("missing",), target_label="gone")]
+    out = relabel(_labels(spark, [{"src": "nomatch", "t": "old", "gone": "v"}, {"src": "xyz"}]), rules)
+    got = [r["labels"] for r in out.orderBy("seq").collect()]
+    assert got[0]["t"] == "old" and "gone" not in got[0]
+    assert got[1]["t"] == "yz"
+
+
+def test_keep_drop_labelmap_address(spark):
+    rows = [{"__meta_kubernetes_pod_phase": "Running", "__meta_kubernetes_pod_label_tier": "a", "tier": "old"},
+            {"__meta_kubernetes_pod_phase": "Succeeded"}]
+    out = relabel(_labels(spark, rows), [LB.DROP_FINISHED_PODS, LB.POD_LABELMAP]).collect()
+    assert len(out) == 1 and out[0]["labels"]["tier"] == "a"
+    addr = relabel(_labels(spark, [{"__address__": "10.0.0.1:80",
+                                    "__meta_kubernetes_service_annotation_prometheus_io_port": "9100"}]),
+                   [LB.ADDRESS_PORT_RULE]).first()["labels"]
+    assert addr["__address__"] == "10.0.0.1:9100"
+    const = relabel(_labels(spark, [{}]), [LB.CONSTANT_ADDRESS_RULE]).first()["labels"]
+    assert const["__address__"] == "kubernetes.default.svc:443"
