@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from celltide.operators.quantiles import exact_percentiles
+
 PERCENTILES = [0.5, 0.9, 0.95, 0.99]
 
 # Load-test thresholds on the publish duration (ms).
@@ -62,23 +64,33 @@ def samples(measures: DataFrame) -> DataFrame:
     return per_message.unionByName(iterations)
 
 
-def trend(measures: DataFrame, approx: bool = False, accuracy: int = 10_000) -> DataFrame:
+def trend(measures: DataFrame, method: str = "exact", accuracy: int = 10_000) -> DataFrame:
     """Avg, min, med, max, p90, p95, p99 per metric.
 
-    Exact percentiles (interpolated) keep one counter per distinct value and
-    are merged map-side, so memory follows the number of distinct values; set
-    ``approx`` for high-cardinality measures at scale.
+    ``method``: ``exact`` (default) interpolated percentiles computed by
+    ``quantiles.exact_percentiles`` without gathering a metric in one task;
+    ``builtin`` Spark's ``percentile`` (one buffer of distinct values per
+    metric); ``approx`` ``percentile_approx`` with ``accuracy``.
     """
     x = F.col("x")
-    q = (F.percentile_approx(x, PERCENTILES, accuracy) if approx else F.percentile(x, PERCENTILES))
-    g = samples(measures).groupBy("metric").agg(
-        F.count(x).alias("n"), F.avg(x).alias("avg"), F.min(x).alias("min"), F.max(x).alias("max"),
-        q.alias("q"))
+    s = samples(measures)
     r = lambda c: F.round(c.cast("double"), 6)
+    stats = s.groupBy("metric").agg(F.count(x).alias("n"), F.avg(x).alias("avg"), F.min(x).alias("min"),
+                                    F.max(x).alias("max"))
+    if method == "exact":
+        q = exact_percentiles(s, "metric", "x", PERCENTILES)
+        qs = q.groupBy("metric").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"_q{i}")
+                                       for i, p in enumerate(PERCENTILES)])
+        g = stats.join(qs, "metric", "left")
+        qcol = [F.col(f"_q{i}") for i in range(len(PERCENTILES))]
+    else:
+        agg = F.percentile_approx(x, PERCENTILES, accuracy) if method == "approx" else F.percentile(x, PERCENTILES)
+        g = s.groupBy("metric").agg(F.count(x).alias("n"), F.avg(x).alias("avg"), F.min(x).alias("min"),
+                                    F.max(x).alias("max"), agg.alias("q"))
+        qcol = [F.col("q")[i] for i in range(len(PERCENTILES))]
     return g.select("metric", "n", r(F.col("avg")).alias("avg"), r(F.col("min")).alias("min"),
-                    r(F.col("q")[0]).alias("med"), r(F.col("max")).alias("max"),
-                    r(F.col("q")[1]).alias("p90"), r(F.col("q")[2]).alias("p95"),
-                    r(F.col("q")[3]).alias("p99"))
+                    r(qcol[0]).alias("med"), r(F.col("max")).alias("max"),
+                    r(qcol[1]).alias("p90"), r(qcol[2]).alias("p95"), r(qcol[3]).alias("p99"))
 
 
 def verdict(trend_df: DataFrame, thresholds=THRESHOLDS) -> DataFrame:

@@ -48,11 +48,19 @@ def q_cells_no_key(spark, sf_dir):
     return cells.select("row_key", "family", "qualifier", "value", F.col("seq").alias("event_id"))
 
 
+def stored_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells table as written by the ingest path (read side of the store)."""
+    from celltide.operators import table as TB
+    from celltide.plans.q_ingest import cells_table
+    return TB.read_cells(spark, cells_table(spark, sf_dir))
+
+
 @query("latest_cell", O.with_(O.EV, O.SPARSE_CELLS, O.LATEST) +
        "SELECT row_key, family, qualifier, value FROM latest")
 def q_latest_cell(spark, sf_dir):
-    """A5: newest value per (row, family, qualifier); present-null wins when newest."""
-    return C.latest_cells(sparse_cells(spark, sf_dir)).select("row_key", "family", "qualifier", "value")
+    """A5: newest value per (row, family, qualifier) read from the cells table;
+    present-null wins when newest."""
+    return C.latest_cells(stored_cells(spark, sf_dir)).select("row_key", "family", "qualifier", "value")
 
 
 @query("row_map", O.with_(O.EV, O.SPARSE_CELLS, O.LATEST) + """
@@ -66,7 +74,7 @@ SELECT row_key,
 FROM latest GROUP BY row_key""")
 def q_row_map(spark, sf_dir):
     """Nested map {family: {qualifier: newest value}} per row, read back as columns."""
-    m = C.row_maps(C.latest_cells(sparse_cells(spark, sf_dir)))
+    m = C.row_maps(C.latest_cells(stored_cells(spark, sf_dir)))
     cf1 = F.col("cells").getItem("cf1")
     return m.select(
         "row_key",
@@ -81,8 +89,8 @@ SELECT row_key, family, qualifier, version, value, n_versions FROM (
          count(*) OVER (PARTITION BY row_key, family, qualifier) AS n_versions
   FROM cells) WHERE version <= 3""")
 def q_cell_versions(spark, sf_dir):
-    """A6 + W1: newest 3 versions of each cell and the version count."""
-    return C.cell_versions(sparse_cells(spark, sf_dir), n=3)
+    """A6 + W1: newest 3 versions of each cell and the version count (cells table)."""
+    return C.cell_versions(stored_cells(spark, sf_dir), n=3)
 
 
 # -------------------------------------------------------- quarantine

@@ -52,3 +52,21 @@ def test_tumbling_epoch_aligned(spark):
 def test_dedup(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "message_id string, seq long")
     assert W.dedup(df).count() == 2
+
+
+def test_exact_percentiles_match_numpy(spark):
+    import numpy as np
+
+    from celltide.operators.quantiles import exact_percentiles
+    rng = random.Random(3)
+    data = [("a", float(rng.randint(0, 50))) for _ in range(1000)] + \
+           [("b", rng.random() * 100) for _ in range(777)] + [("c", 5.0)] + [("d", None)]
+    df = spark.createDataFrame(data, "k string, x double")
+    ps = [0.0, 0.5, 0.9, 0.95, 0.99, 1.0]
+    for blocks in (1, 4, 64):
+        got = {(r["k"], r["p"]): r["value"] for r in exact_percentiles(df, "k", "x", ps, blocks=blocks).collect()}
+        for k in ("a", "b", "c"):
+            xs = np.array([v for kk, v in data if kk == k and v is not None])
+            for p in ps:
+                assert abs(got[(k, p)] - float(np.quantile(xs, p))) < 1e-9, (k, p, blocks)
+        assert not any(k == "d" for k, _ in got)
