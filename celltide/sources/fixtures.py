@@ -30,8 +30,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     A large input already has many splits and is returned unchanged, so the
     extra shuffle is only paid where it buys parallelism.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  (no classic SparkContext, e.g. a Connect session)
+        return df
+    return df.repartition(target) if n < target else df
 
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:

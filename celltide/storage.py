@@ -15,14 +15,18 @@ from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
+    """The cluster's shared folder (``spark.checkpoint.dir``); set only when missing."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = jdir.get() if jdir.isDefined() else None
+    try:
+        sc = spark.sparkContext._jsc.sc()
+        if not root and sc.getCheckpointDir().isDefined():
+            root = sc.getCheckpointDir().get()
+    except Exception:  # noqa: BLE001  (no classic SparkContext)
+        sc = None
     if not root:
         root = tempfile.mkdtemp(prefix="celltide-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+    if sc is not None and sc.getCheckpointDir().isEmpty():
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
 

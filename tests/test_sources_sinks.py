@@ -87,3 +87,20 @@ def test_watermark_drops_late_rows_in_stream(spark, tmp_dir):
     got = sorted(r["window_start"].timestamp() for r in spark.table("late_t").collect())
     # the window of t=200 is held back (watermark still at 200); t=10 is behind the watermark: dropped
     assert 9.0 not in got and 99.0 in got
+
+
+def test_cli_ingest_list_query_clear(spark, tmp_dir, capsys):
+    from celltide import cli
+    ev = X.load_events(spark, SF_SMALL)
+    SS.land_messages(X.sparse_messages(ev), f"{tmp_dir}/landing", files=2)
+    base = ["--table", f"{tmp_dir}/t"]
+    cli.main(["ingest", "--landing", f"{tmp_dir}/landing", "--quarantine", f"{tmp_dir}/q",
+              "--checkpoint", f"{tmp_dir}/ck"] + base)
+    cli.main(["list"] + base)
+    assert capsys.readouterr().out.split() == ["click", "error", "purchase", "signup", "view"]
+    cli.main(["query", "--relation", "view", "--limit", "3"] + base)
+    lines = capsys.readouterr().out.strip().split("\n")
+    assert len(lines) == 3 and all('"cf2": {"relation": "view"}' in line for line in lines)
+    cli.main(["clear", "--relation", "view"] + base)
+    cli.main(["list"] + base)
+    assert "view" not in capsys.readouterr().out.split()
