@@ -54,7 +54,11 @@ def panel(logs: DataFrame, selector: dict[str, str], contains: str | None = None
     if contains is not None:
         cond = cond & F.col("line").contains(contains)
     t_now = now if now is not None else now_of(logs, time_col)
-    cond = cond & (F.col(time_col) >= t_now - F.expr(f"INTERVAL {since}")) & (F.col(time_col) <= t_now)
+    # 0 <= now - ts <= span, written with a single reference to ``now``
+    # (``between`` would plan the scalar subquery twice): |2(now - ts) - span| <= span
+    age = F.unix_micros(t_now) - F.unix_micros(time_col)
+    span = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"INTERVAL {since}"))
+    cond = cond & (F.abs(age * 2 - span) <= span)
     return logs.where(cond).orderBy(F.col(time_col).desc(), F.col("seq").asc()).limit(limit)
 
 

@@ -23,10 +23,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def exact_percentiles(df: DataFrame, key: str, x: str, ps: list[float], blocks: int = 64,
-                      accuracy: int = 10_000) -> DataFrame:
-    """``key, p, value`` for each key and each fraction in ``ps`` (NULL ``x`` ignored)."""
+def frequencies(df: DataFrame, key: str, x: str, materialize: bool = True) -> DataFrame:
+    """``key, x, _c``: how often each value occurs per key (map-side combined).
+
+    The result is referenced several times by the percentile plan, so it is
+    checkpointed to the shared folder (``spark.checkpoint.dir``): the input is
+    scanned and aggregated once, and a lost executor does not force a
+    recomputation from the source.
+    """
     freq = df.where(F.col(x).isNotNull()).groupBy(key, x).agg(F.count(F.lit(1)).alias("_c"))
+    if materialize:
+        from celltide.storage import shared_root
+        shared_root(df.sparkSession)
+        freq = freq.checkpoint(eager=True)
+    return freq
+
+
+def exact_percentiles(df: DataFrame, key: str, x: str, ps: list[float], blocks: int = 64,
+                      accuracy: int = 10_000, freq: DataFrame | None = None) -> DataFrame:
+    """``key, p, value`` for each key and each fraction in ``ps`` (NULL ``x`` ignored).
+
+    Pass ``freq`` (from ``frequencies``) to reuse one aggregation for several
+    statistics.
+    """
+    if freq is None:
+        freq = frequencies(df, key, x)
     cuts = [i / blocks for i in range(1, blocks)]
     if cuts:
         per_key = freq.groupBy(key).agg(F.sum("_c").alias("_n"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from celltide.sources.catalog import DECLARED_TYPES, Catalog
@@ -38,13 +38,18 @@ def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
     missing, a key is not in the catalog (extra), or a value does not convert
     to its declared type (badly_typed).  JSON ``null`` is present, not bad.
 
-    Plan: explode keys, broadcast-join the (size-checked) catalog, one partial
-    aggregate per (relation, key); the per-relation message counts and the
-    catalog are small sides joined after aggregation.
+    Plan: one pass.  Every message explodes into its keys plus one marker
+    entry, so a single partially aggregated ``groupBy(relation, field)`` gives
+    both the per-key counts and the message count per relation; the
+    (size-checked) catalog is broadcast, and the final join is between small
+    aggregated sides.
     """
     spark = decoded_good.sparkSession
+    marker = "\u0000messages"
     cat = catalog.to_df(spark).select("relation", F.col("name").alias("field"), "type")
-    keys = decoded_good.select("relation", F.explode(F.map_entries("obj")).alias("e")) \
+    entries = F.concat(F.map_entries("obj"),
+                       F.array(F.struct(F.lit(marker).alias("key"), F.lit(None).cast("variant").alias("value"))))
+    keys = decoded_good.select("relation", F.explode(entries).alias("e")) \
         .select("relation", F.col("e.key").alias("field"), F.col("e.value").alias("v"))
     keys = keys.join(F.broadcast(cat), ["relation", "field"], "left")
     bad = F.lit(False)
@@ -54,16 +59,17 @@ def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
                      ).otherwise(bad)
     seen = keys.groupBy("relation", "field").agg(
         F.count(F.lit(1)).alias("present"),
-        F.count_if(bad).alias("bad"),
-        F.max(F.col("type").isNotNull()).alias("declared"))
-    n_msgs = decoded_good.groupBy("relation").agg(F.count(F.lit(1)).alias("n_msgs"))
-    declared_fields = cat.join(n_msgs, "relation")  # catalog fields of relations that occur
-    report = declared_fields.join(seen, ["relation", "field"], "full_outer")
-    n = F.coalesce(F.col("n_msgs"), F.lit(0))
+        F.count_if(bad).alias("bad"))
+    # ``seen`` is referenced once: the message count comes from the marker row
+    # through a window over the (small) aggregated table
+    report = cat.join(seen, ["relation", "field"], "full_outer")
+    per_rel = Window.partitionBy("relation")
+    report = (report.withColumn("n_msgs", F.max(F.when(F.col("field") == marker, F.col("present"))).over(per_rel))
+              .where((F.col("field") != marker) & F.col("n_msgs").isNotNull()))
     present = F.coalesce(F.col("present"), F.lit(0))
     is_declared = F.col("type").isNotNull()
     return report.select(
         "relation", "field",
-        F.when(is_declared, n - present).otherwise(0).cast("long").alias("missing"),
+        F.when(is_declared, F.col("n_msgs") - present).otherwise(0).cast("long").alias("missing"),
         F.when(is_declared, 0).otherwise(present).cast("long").alias("extra"),
         F.coalesce(F.col("bad"), F.lit(0)).cast("long").alias("badly_typed"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from celltide.operators.quantiles import exact_percentiles
+from celltide.operators.quantiles import exact_percentiles, frequencies
 
 PERCENTILES = [0.5, 0.9, 0.95, 0.99]
 
@@ -75,10 +75,13 @@ def trend(measures: DataFrame, method: str = "exact", accuracy: int = 10_000) ->
     x = F.col("x")
     s = samples(measures)
     r = lambda c: F.round(c.cast("double"), 6)
-    stats = s.groupBy("metric").agg(F.count(x).alias("n"), F.avg(x).alias("avg"), F.min(x).alias("min"),
-                                    F.max(x).alias("max"))
     if method == "exact":
-        q = exact_percentiles(s, "metric", "x", PERCENTILES)
+        # one pass over the samples: every statistic comes from the value counts
+        freq = frequencies(s, "metric", "x")
+        stats = freq.groupBy("metric").agg(
+            F.sum("_c").alias("n"), (F.sum(x * F.col("_c")) / F.sum("_c")).alias("avg"),
+            F.min(x).alias("min"), F.max(x).alias("max"))
+        q = exact_percentiles(s, "metric", "x", PERCENTILES, freq=freq)
         qs = q.groupBy("metric").agg(*[F.max(F.when(F.col("p") == p, F.col("value"))).alias(f"_q{i}")
                                        for i, p in enumerate(PERCENTILES)])
         g = stats.join(qs, "metric", "left")

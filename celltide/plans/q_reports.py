@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from celltide.operators import audit as A
 from celltide.operators import decode as D
+from celltide.operators import logs as LG
 from celltide.operators import shadow as SH
 from celltide.operators import slo as SL
 from celltide.plans import oracles as O
@@ -94,7 +95,9 @@ def q_device_shadow(spark, sf_dir):
 SELECT id, last_seen, last_seen >= (SELECT max(last_seen) FROM sh) - INTERVAL 6 HOUR AS active FROM sh""")
 def q_active_devices(spark, sf_dir):
     """A10: devices seen within 6 hours of the newest sighting."""
-    a = SH.active_devices(_shadow(spark, sf_dir), "6 hours")
+    # "now" = newest message time, from a one-column scan (not a second shadow aggregation)
+    now = LG.now_of(X.load_events(spark, sf_dir), "ts")
+    a = SH.active_devices(_shadow(spark, sf_dir), "6 hours", now)
     return a.select("id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "active")
 
 
