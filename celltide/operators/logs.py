@@ -34,6 +34,22 @@ def read_log_files(spark, path: str, label_pattern: str | None = None) -> DataFr
     )
 
 
+def stream_log_files(spark, path: str, label_pattern: str | None = None,
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """S13 as a stream: new log files are picked up per micro-batch, labels
+    from ``_metadata.file_path`` as in ``read_log_files``."""
+    pat = label_pattern or r"/pods/([^_/]+)_([^_/]+)_([^/]+)/([^/]+)/[^/]*$"
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    df = r.load(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"),
+                             F.current_timestamp().alias("arrival_ts"))
+    return df.select("line", "file", "arrival_ts",
+                     F.regexp_extract("file", pat, 1).alias("namespace"),
+                     F.regexp_extract("file", pat, 2).alias("pod"),
+                     F.regexp_extract("file", pat, 4).alias("container"))
+
+
 def now_of(df: DataFrame, time_col: str) -> Column:
     """Latest time in ``df`` as a scalar subquery (no join, no collect)."""
     return df.select(F.max(time_col)).scalar()

@@ -72,21 +72,28 @@ def test_relation_json_and_text_helpers(spark):
 
 
 def test_watermark_drops_late_rows_in_stream(spark, tmp_dir):
-    # file 1 moves the watermark to t=100 s; file 2 holds a row at t=10 s (late) and one at t=200 s
+    # run 1 moves the watermark to t=100 s; run 2 (same checkpoint) brings a row
+    # at t=10 s (behind the watermark: dropped) and one at t=200 s
     landing = f"{tmp_dir}/landing"
     base = spark.createDataFrame([(1, 100, "r"), (2, 10, "r"), (3, 200, "r")], "seq long, t long, relation string") \
         .withColumn("publish_time", F.timestamp_seconds("t"))
-    base.where("seq = 1").write.parquet(landing + "/a")
-    stream = spark.readStream.schema("seq long, t long, relation string, publish_time timestamp") \
-        .option("maxFilesPerTrigger", 1).parquet(landing + "/*")
-    base.where("seq > 1").coalesce(1).write.parquet(landing + "/b")
-    agg = ST.tumbling_stream(stream, size="3 seconds", delay="0 seconds")
-    q = (agg.writeStream.outputMode("append").format("memory").queryName("late_t")
-         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    got = sorted(r["window_start"].timestamp() for r in spark.table("late_t").collect())
-    # the window of t=200 is held back (watermark still at 200); t=10 is behind the watermark: dropped
-    assert 9.0 not in got and 99.0 in got
+    schema = "seq long, t long, relation string, publish_time timestamp"
+
+    def run(sub, rows):
+        base.where(rows).coalesce(1).write.parquet(f"{landing}/{sub}")
+        stream = spark.readStream.schema(schema).parquet(f"{landing}/*")
+        agg = ST.tumbling_stream(stream, size="3 seconds", delay="0 seconds")
+        q = (agg.writeStream.outputMode("append").format("parquet").option("path", f"{tmp_dir}/out")
+             .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        assert q.exception() is None
+
+    run("a", "seq = 1")
+    run("b", "seq > 1")
+    got = sorted(r["window_start"].timestamp() for r in spark.read.parquet(f"{tmp_dir}/out").collect())
+    # the window of t=100 closes when t=200 moves the watermark; t=10 is dropped;
+    # the window of t=200 is still open
+    assert got == [99.0]
 
 
 def test_cli_ingest_list_query_clear(spark, tmp_dir, capsys):
@@ -104,3 +111,18 @@ def test_cli_ingest_list_query_clear(spark, tmp_dir, capsys):
     cli.main(["clear", "--relation", "view"] + base)
     cli.main(["list"] + base)
     assert "view" not in capsys.readouterr().out.split()
+
+
+def test_stream_log_files_and_age_filter(spark, tmp_dir):
+    d = f"{tmp_dir}/pods/observe_vernemq-2_uid9/vernemq"
+    os.makedirs(d)
+    with open(f"{d}/0.log", "w") as f:
+        f.write('level=info ts=2024-01-01T00:00:00Z caller=main.go:1 msg="old"\n')
+        f.write('level=info ts=2999-01-01T00:00:00Z caller=main.go:2 msg="new"\n')
+    logs = LG.parse_logs(LG.stream_log_files(spark, f"{tmp_dir}/pods/*/*/*.log"))
+    flagged = LG.reject_old(logs, "ts", F.current_timestamp(), "168 hours")
+    q = (flagged.select("namespace", "container", "msg", "rejected").writeStream.format("memory")
+         .queryName("logs_t").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = sorted((r["namespace"], r["container"], r["msg"], r["rejected"]) for r in spark.table("logs_t").collect())
+    assert got == [("observe", "vernemq", "new", False), ("observe", "vernemq", "old", True)]
