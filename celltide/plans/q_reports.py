@@ -60,9 +60,9 @@ def q_slo_trend(spark, sf_dir):
 
 @query("slo_verdict", "WITH " + TREND_SQL + """
 SELECT metric, rule, observed, threshold, observed < threshold AS passed FROM (
-  SELECT metric, 'p(50)<200' AS rule, med AS observed, 200.0 AS threshold FROM t
-  UNION ALL SELECT metric, 'p(95)<500', p95, 500.0 FROM t
-  UNION ALL SELECT metric, 'p(99)<1000', p99, 1000.0 FROM t)
+  SELECT metric, 'p(50)<200' AS rule, med AS observed, CAST(200 AS DOUBLE) AS threshold FROM t
+  UNION ALL SELECT metric, 'p(95)<500', p95, CAST(500 AS DOUBLE) FROM t
+  UNION ALL SELECT metric, 'p(99)<1000', p99, CAST(1000 AS DOUBLE) FROM t)
 WHERE metric = 'mqtt_message_duration'""")
 def q_slo_verdict(spark, sf_dir):
     """A4: thresholds p50<200, p95<500, p99<1000 on the publish duration."""

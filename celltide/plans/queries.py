@@ -85,7 +85,8 @@ def q_row_map(spark, sf_dir):
 @query("cell_versions", O.with_(O.EV, O.SPARSE_CELLS) + """
 SELECT row_key, family, qualifier, version, value, n_versions FROM (
   SELECT row_key, family, qualifier, value,
-         row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, event_id DESC) AS version,
+         CAST(row_number() OVER (PARTITION BY row_key, family, qualifier ORDER BY ts DESC, event_id DESC) AS INTEGER)
+           AS version,
          count(*) OVER (PARTITION BY row_key, family, qualifier) AS n_versions
   FROM cells) WHERE version <= 3""")
 def q_cell_versions(spark, sf_dir):

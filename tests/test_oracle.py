@@ -37,3 +37,15 @@ def test_entry(spark):
     assert df.columns == ["row_key", "family", "qualifier", "value"]
     assert df.count() > 0
     assert os.path.isdir(SF_SMALL)
+
+
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE", "binary": "BLOB"}
+
+
+@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+def test_column_types_match_oracle(spark, con, name):
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in E.queries()[name](spark, SF_SMALL).schema.fields}
+    rel = con.sql(E.oracle_sql()[name])
+    assert s == dict(zip(rel.columns, [str(t) for t in rel.types]))
