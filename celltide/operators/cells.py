@@ -17,15 +17,19 @@ CF_META = "cf2"
 
 
 def to_cells(decoded_good: DataFrame, cell_ts: Column | str = "publish_time",
-             include_key: bool = True, meta_family: bool = True) -> DataFrame:
+             include_key: bool = True, meta_family: bool = True,
+             event_time_field: str = "timestamp") -> DataFrame:
     """P4-P7 (P8 with ``include_key=False, meta_family=False``).
 
     One ``explode`` over an array built per message: every key of the object
     in ``cf1`` and, if ``meta_family``, the relation once more in ``cf2``.
     ``cell_ts`` is the version time: ``current_timestamp()`` for ingest time,
-    or a source column (publish time) for a repeatable replay.
+    or a source column (publish time) for a repeatable replay.  ``event_ts``
+    is the payload's own time field, parsed (NULL when absent or unparsable);
+    the payload text of that field is kept as a cell as well.
     """
     ts = F.col(cell_ts) if isinstance(cell_ts, str) else cell_ts
+    event_ts = F.try_variant_get(F.try_element_at(F.col("obj"), F.lit(event_time_field)), "$", "timestamp")
     entries = F.transform(
         F.map_entries("obj"),
         lambda e: F.struct(F.lit(CF_PAYLOAD).alias("family"), e["key"].alias("qualifier"),
@@ -37,9 +41,10 @@ def to_cells(decoded_good: DataFrame, cell_ts: Column | str = "publish_time",
             F.lit(CF_META).alias("family"), F.lit("relation").alias("qualifier"),
             F.col("relation").alias("value"))))
     return (decoded_good
-            .select("row_key", "relation", "seq", ts.alias("cell_ts"), F.explode(entries).alias("c"))
+            .select("row_key", "relation", "seq", ts.alias("cell_ts"), event_ts.alias("event_ts"),
+                    F.explode(entries).alias("c"))
             .select("row_key", F.col("c.family").alias("family"), F.col("c.qualifier").alias("qualifier"),
-                    F.col("c.value").alias("value"), "cell_ts", "seq", "relation",
+                    F.col("c.value").alias("value"), "cell_ts", "event_ts", "seq", "relation",
                     F.to_date("cell_ts").alias("ingest_date")))
 
 

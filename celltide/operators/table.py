@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from celltide.storage import delete_path, new_location
 
 PARTITION_COLS = ["relation", "ingest_date"]
-CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "cell_ts", "seq", "relation", "ingest_date"]
+CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "cell_ts", "event_ts", "seq", "relation",
+                "ingest_date"]
 
 CELLS_DDL = ("row_key STRING, family STRING, qualifier STRING, value STRING, cell_ts TIMESTAMP, "
-             "seq BIGINT, relation STRING, ingest_date DATE")
+             "event_ts TIMESTAMP, seq BIGINT, relation STRING, ingest_date DATE")
 
 
 def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:

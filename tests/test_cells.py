@@ -74,3 +74,10 @@ def test_table_write_scan_clear_delete(spark, tmp_dir):
     left = TB.read_cells(spark, path)
     assert left.where("row_key = 'd1'").count() == 0
     assert left.count() == cells.where("relation = 'dev' AND row_key <> 'd1'").count()
+
+
+def test_event_time_parsed_next_to_ingest_time(spark):
+    cells = _cells(spark, ['{"id":"k","relation":"dev","timestamp":"2024-01-01T00:00:07.179575Z"}',
+                           '{"id":"k","relation":"dev","timestamp":"bad"}', '{"id":"k","relation":"dev"}'])
+    ev = {r["seq"]: r["event_ts"] for r in cells.select("seq", "event_ts").distinct().collect()}
+    assert ev[0].microsecond == 179575 and ev[1] is None and ev[2] is None
