@@ -10,7 +10,7 @@ bad message keeps its payload and a reason.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltide.sources.catalog import Catalog
@@ -20,10 +20,6 @@ REASONS = ["BAD_UTF8", "BAD_JSON", "NOT_OBJECT", "NO_ID", "ID_NOT_STRING",
            "NO_RELATION", "UNKNOWN_RELATION"]
 
 
-def _obj() -> Column:
-    return F.col("obj")
-
-
 def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
     """Add ``row_key, relation, obj (MAP<STRING,VARIANT>), reason`` to messages.
 
@@ -37,13 +33,13 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
           .withColumn("_utf8", F.expr("is_valid_utf8(payload)"))
           .withColumn("_v", F.expr("try_parse_json(CASE WHEN _utf8 THEN cast(payload AS STRING) END)"))
           .withColumn("obj", F.expr("try_cast(_v AS MAP<STRING, VARIANT>)")))
-    has_id = F.map_contains_key(_obj(), "id")
-    id_v = F.try_element_at(_obj(), F.lit("id"))
+    has_id = F.map_contains_key(F.col("obj"), "id")
+    id_v = F.try_element_at(F.col("obj"), F.lit("id"))
     id_is_text = F.coalesce(F.schema_of_variant(id_v) == "STRING", F.lit(False))
-    has_rel = F.map_contains_key(_obj(), "relation")
+    has_rel = F.map_contains_key(F.col("obj"), "relation")
     df = (df
           .withColumn("row_key", F.when(id_is_text, id_v.cast("string")))
-          .withColumn("relation", F.try_element_at(_obj(), F.lit("relation")).cast("string")))
+          .withColumn("relation", F.try_element_at(F.col("obj"), F.lit("relation")).cast("string")))
     known = F.lit(True)
     if catalog is not None:
         spark = messages.sparkSession
@@ -52,7 +48,7 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
         known = F.coalesce(F.col("_known"), F.lit(False))
     reason = (F.when(~valid, "BAD_UTF8")
               .when(parsed.isNull(), "BAD_JSON")
-              .when(_obj().isNull(), "NOT_OBJECT")
+              .when(F.col("obj").isNull(), "NOT_OBJECT")
               .when(~has_id, "NO_ID")
               .when(~id_is_text, "ID_NOT_STRING")
               .when(~has_rel, "NO_RELATION")

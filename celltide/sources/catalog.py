@@ -12,7 +12,6 @@ import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Declared type names and their Spark types (anything else -> NULL).

@@ -58,7 +58,8 @@ def _obj(*fields: Column) -> Column:
     return F.concat(F.lit("{"), F.concat_ws(",", *fields), F.lit("}"))
 
 
-def device_id(ev: DataFrame | None = None) -> Column:
+def device_id() -> Column:
+    """Row key of an event's device: ``event_type-user_id``."""
     return F.concat_ws("-", F.col("event_type"), F.col("user_id").cast("string"))
 
 

@@ -7,7 +7,6 @@ must be a ``timestamp`` column (not ``timestamp_ntz``) in a UTC session.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from celltide.operators import shadow as SH
 from celltide.operators import windows as W
