@@ -33,6 +33,24 @@ def typed_relation(decoded_good: DataFrame, catalog: Catalog, relation: str,
     return typed_view(decoded_good.where(F.col("relation") == relation), catalog.fields(relation), keep)
 
 
+def _typed_text(c: Column, declared: str) -> Column:
+    """Typed read of a stored cell text; NULL when it does not convert."""
+    spark_type = DECLARED_TYPES.get(declared.upper())
+    if spark_type is None:
+        return F.lit(None)
+    return c if spark_type == "string" else c.try_cast(spark_type)
+
+
+def typed_latest(latest: DataFrame, fields: list[tuple[str, str]], family: str = "cf1") -> DataFrame:
+    """P11 on the store: newest cell values pivoted to one column per catalog
+    field (the pivot values come from the catalog, so no extra pass finds
+    them), then cast by declared type."""
+    from celltide.operators.cells import pivot_latest
+    names = [n for n, _ in fields]
+    wide = pivot_latest(latest, names, family)
+    return wide.select("row_key", *[_typed_text(F.col(n), t).alias(n) for n, t in fields])
+
+
 def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
     """Per (relation, field) counts of messages where a catalog field is
     missing, a key is not in the catalog (extra), or a value does not convert

@@ -82,6 +82,22 @@ def q_row_map(spark, sf_dir):
         F.col("cells").getItem("cf2").getItem("relation").alias("cf2_relation"))
 
 
+@query("typed_latest", O.with_(O.EV, O.SPARSE_CELLS, O.LATEST) + """
+SELECT row_key,
+  max(value) FILTER (WHERE family = 'cf1' AND qualifier = 'id') AS id,
+  strptime(max(value) FILTER (WHERE family = 'cf1' AND qualifier = 'timestamp'), '%Y-%m-%dT%H:%M:%S.%fZ')
+    AS "timestamp",
+  TRY_CAST(max(value) FILTER (WHERE family = 'cf1' AND qualifier = 'value') AS DOUBLE) AS value,
+  TRY_CAST(max(value) FILTER (WHERE family = 'cf1' AND qualifier = 'k') AS INTEGER) AS k,
+  max(value) FILTER (WHERE family = 'cf1' AND qualifier = 'relation') AS relation
+FROM latest GROUP BY row_key""")
+def q_typed_latest(spark, sf_dir):
+    """P11 on the cells table: newest values per row, pivoted by the catalog and typed."""
+    from celltide.operators import schema as S
+    t = S.typed_latest(C.latest_cells(stored_cells(spark, sf_dir)), K.EVENT_FIELDS)
+    return t.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+
+
 @query("cell_versions", O.with_(O.EV, O.SPARSE_CELLS) + """
 SELECT row_key, family, qualifier, version, value, n_versions FROM (
   SELECT row_key, family, qualifier, value,
