@@ -38,10 +38,21 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target) if n < target else df
 
 
-def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` with ``ts`` as a UTC ``timestamp`` (watermarks need it)."""
-    return spread(spark.read.parquet(f"{sf_dir}/events.parquet")
-                  .withColumn("ts", F.col("ts").cast("timestamp")))
+_EVENTS: dict[tuple[str, str], DataFrame] = {}
+
+
+def load_events(spark: SparkSession, sf_dir: str, refresh: bool = False) -> DataFrame:
+    """``events`` with ``ts`` as a UTC ``timestamp`` (watermarks need it).
+
+    The DataFrame definition (file listing, footer schema, split count) is
+    kept per session and path and reused by every query; no rows are cached.
+    ``refresh`` lists the files again.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if refresh or key not in _EVENTS:
+        _EVENTS[key] = spread(spark.read.parquet(f"{sf_dir}/events.parquet")
+                              .withColumn("ts", F.col("ts").cast("timestamp")))
+    return _EVENTS[key]
 
 
 def _q(text: Column) -> Column:
