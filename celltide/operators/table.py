@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.storage import delete_path, new_location
+from celltide.storage import delete_path, list_subdirs, new_location
 
 PARTITION_COLS = ["relation", "ingest_date"]
 CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "cell_ts", "event_ts", "seq", "relation",
@@ -56,10 +56,26 @@ def scan(spark: SparkSession, path: str, relation: str | None = None,
 
 
 def list_relations(spark: SparkSession, path: str) -> DataFrame:
-    """Relations present in the table (reads the partition column only)."""
+    """Relations present in the table, from one listing of its top-level
+    ``relation=`` folders (metadata only, one entry per relation: no file of
+    the table is opened).  Partitions are never left empty here: clearing
+    removes the folder, keyed deletes remove partitions they empty."""
+    names = [d.split("=", 1)[1] for d in list_subdirs(spark, path) if d.startswith("relation=")]
+    return spark.createDataFrame([(unescape_path_name(n),) for n in names], "relation string")
+
+
+def relations_in_data(spark: SparkSession, path: str) -> DataFrame:
+    """Relations that have at least one row (a distributed scan of the
+    partition column; use when folders may hold only empty files)."""
     return read_cells(spark, path).select("relation").distinct()
 
 
+def unescape_path_name(name: str) -> str:
+    """Undo the ``%XX`` escaping Spark applies to partition values in folder names."""
+    import urllib.parse
+    return urllib.parse.unquote(name)
+
+
 def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
     """Drop every row of a relation by removing its partition folder."""
     return delete_path(spark, f"{path.rstrip('/')}/relation={relation}")
