@@ -46,12 +46,32 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CELLS_DDL).parquet(path)
 
 
+# Characters Spark escapes as %XX in partition folder names
+# (besides control characters below 0x20).
+PATH_ESCAPED_CHARS = '"#%\'*/:=?\\\x7f{[]^'
+
+
+def escape_path_name(value: str) -> str:
+    return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED_CHARS or ord(c) < 0x20 else c for c in value)
+
+
 def scan(spark: SparkSession, path: str, relation: str | None = None,
          ordered: bool = False) -> DataFrame:
-    """Rows of one relation (partition-pruned), in row-key order on request."""
-    df = read_cells(spark, path)
-    if relation is not None:
-        df = df.where(F.col("relation") == relation)
+    """Rows of one relation, in row-key order on request.
+
+    Only the relation's folder is listed and read (``basePath`` keeps the
+    partition columns), so a scan of one relation does not list the files of
+    all the others; the partition filter stays in the plan as well.
+    """
+    if relation is None:
+        df = read_cells(spark, path)
+    else:
+        folder = f"{path.rstrip('/')}/relation={escape_path_name(relation)}"
+        if escape_path_name(relation) not in [d.split("=", 1)[1] for d in list_subdirs(spark, path)
+                                              if d.startswith("relation=")]:
+            return spark.createDataFrame([], CELLS_DDL)
+        df = (spark.read.schema(CELLS_DDL).option("basePath", path).parquet(folder)
+              .where(F.col("relation") == relation))
     return df.orderBy("row_key", "family", "qualifier", "seq") if ordered else df
 
 
