@@ -98,7 +98,7 @@ def unescape_path_name(name: str) -> str:
 
 def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
     """Drop every row of a relation by removing its partition folder."""
-    return delete_path(spark, f"{path.rstrip('/')}/relation={relation}")
+    return delete_path(spark, f"{path.rstrip('/')}/relation={escape_path_name(relation)}")
 
 
 def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "row_key") -> None:
@@ -125,5 +125,5 @@ def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str =
     # (the staged copy is already clustered by partition: no re-shuffle needed)
     for rel, day in touched:
         if (rel, day) not in remaining:
-            delete_path(spark, f"{path.rstrip('/')}/relation={rel}/ingest_date={day}")
+            delete_path(spark, f"{path.rstrip('/')}/relation={escape_path_name(rel)}/ingest_date={day}")
     delete_path(spark, stage)

@@ -98,3 +98,17 @@ def test_scan_reads_only_the_relation_folder(spark, tmp_dir):
     assert sorted(TB.scan(spark, path, "plain").select("relation").distinct().collect()) == [("plain",)]
     assert TB.scan(spark, path, "missing").count() == 0
     assert sorted(r[0] for r in TB.list_relations(spark, path).collect()) == ["a/b", "plain"]
+
+
+def test_clear_and_delete_with_escaped_relation(spark, tmp_dir):
+    cat = Catalog({"a/b": [("id", "STRING")], "plain": [("id", "STRING")]})
+    df = (spark.createDataFrame([(0, "0", b'{"id":"k","relation":"a/b"}'), (1, "1", b'{"id":"j","relation":"plain"}'),
+                                 (2, "2", b'{"id":"i","relation":"a/b"}')],
+                                "seq long, message_id string, payload binary")
+          .withColumn("publish_time", F.timestamp_seconds(F.lit(0))))
+    path = f"{tmp_dir}/cells"
+    TB.write_cells(C.to_cells(D.good(D.decode(df, cat))), path)
+    TB.delete_keys(spark, path, spark.createDataFrame([("k",), ("i",)], "row_key string"))
+    assert sorted(r[0] for r in TB.list_relations(spark, path).collect()) == ["plain"]
+    TB.clear_relation(spark, path, "plain")
+    assert TB.list_relations(spark, path).count() == 0
