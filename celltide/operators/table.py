@@ -123,7 +123,12 @@ def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str =
     (staged.select(*CELL_COLUMNS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path))
     # (the staged copy is already clustered by partition: no re-shuffle needed)
+    root = path.rstrip("/")
     for rel, day in touched:
         if (rel, day) not in remaining:
-            delete_path(spark, f"{path.rstrip('/')}/relation={escape_path_name(rel)}/ingest_date={day}")
+            delete_path(spark, f"{root}/relation={escape_path_name(rel)}/ingest_date={day}")
+    for rel in {r for r, _ in touched}:
+        folder = f"{root}/relation={escape_path_name(rel)}"
+        if not list_subdirs(spark, folder):
+            delete_path(spark, folder)
     delete_path(spark, stage)
