@@ -45,9 +45,14 @@ def ingest_batch(batch: DataFrame, batch_id: int, catalog: Catalog, cells_path:
 
 def start_ingest(messages: DataFrame, catalog: Catalog, cells_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None, query_name: str | None = None,
-                 **cell_opts) -> StreamingQuery:
+                 dedup_delay: str | None = None, **cell_opts) -> StreamingQuery:
     """Start the ingest query; ``trigger`` e.g. ``{"availableNow": True}`` or
-    ``{"processingTime": "10 seconds"}``."""
+    ``{"processingTime": "10 seconds"}``.  With ``dedup_delay`` a message id
+    redelivered within that event-time delay is dropped before decoding (T8);
+    by default every delivery is kept, as a new cell version."""
+    if dedup_delay:
+        messages = messages.withWatermark("publish_time", dedup_delay) \
+            .dropDuplicatesWithinWatermark(["message_id"])
     w = (messages.writeStream.option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, bid: ingest_batch(df, bid, catalog, cells_path, quarantine_path, **cell_opts)))
     if query_name:

@@ -107,3 +107,40 @@ def test_shadow_stream_matches_batch(spark, tmp_dir):
     cols = ["id", "n_messages", "f_value", "f_k"]
     assert sorted(map(tuple, spark.table("shadow_t").select(cols).collect())) == \
         sorted(map(tuple, batch.select(cols).collect()))
+
+
+def test_window_rows_stream_matches_batch(spark, tmp_dir):
+    from celltide.operators import windows as W
+    ev = X.load_events(spark, SF_SMALL)
+    landing = f"{tmp_dir}/landing"
+    SS.land_messages(X.messages(ev), landing, files=2)
+    stream = D.good(D.decode(SS.landed_messages(spark, landing, 1), K.default_catalog()))
+    q = (ST.window_rows_stream(stream).writeStream.outputMode("complete").format("memory")
+         .queryName("wrows_t").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.table("wrows_t").select("relation", "chunk", "n", "ids").collect())
+    batch = W.window_rows(D.good(D.decode(X.messages(ev), K.default_catalog())))
+    assert got == sorted(tuple(r) for r in batch.select("relation", "chunk", "n", "ids").collect())
+
+
+def test_ingest_with_dedup(spark, tmp_dir):
+    ev = X.load_events(spark, SF_SMALL)
+    landing = f"{tmp_dir}/landing"
+    SS.land_messages(X.duplicated_messages(ev).drop("copy"), landing, files=2)
+    q = IG.start_ingest(SS.landed_messages(spark, landing), K.default_catalog(), f"{tmp_dir}/c", f"{tmp_dir}/q",
+                        f"{tmp_dir}/ck", dedup_delay="1 hour")
+    q.awaitTermination(300)
+    out = IG.read_stream_cells(spark, f"{tmp_dir}/c")
+    once = C.to_cells(D.good(D.decode(X.messages(ev), K.default_catalog())))
+    assert out.count() == once.count()
+
+
+def test_catalog_from_schema_file(spark, tmp_dir):
+    p = f"{tmp_dir}/schemas.json"
+    with open(p, "w") as f:
+        f.write(K.REFERENCE_SCHEMAS_JSON)
+    cat = K.Catalog.from_file(spark, p)
+    assert cat.relations == K.reference_catalog().relations
+    assert cat.fields("machine_metrics")[3] == ("motor_rpm", "INTEGER")
+    assert [f.dataType.simpleString() for f in cat.struct_type("weather_sensor").fields] == \
+        ["string", "timestamp", "double", "double", "double", "double", "double"]
