@@ -158,6 +158,22 @@ def q_relabel_filter(spark, sf_dir):
                       F.col("labels")["__meta_kubernetes_pod_phase"].alias("phase"))
 
 
+@query("relabel_address", """
+SELECT event_id,
+       '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || CASE WHEN user_id % 4 = 0 THEN ':9100' ELSE ':8080' END
+         AS address,
+       '10.0.0.' || CAST(user_id % 250 AS VARCHAR) || ':8080' AS discovered
+FROM events""")
+def q_relabel_address(spark, sf_dir):
+    """P20: address rewrite from a port annotation; without one the regex does not match
+    and the address stays as discovered."""
+    md = X.pod_metadata(X.load_events(spark, sf_dir))
+    keep = Rule(source_labels=("__address__",), target_label="discovered")
+    out = relabel(md, [keep, LB.ADDRESS_PORT_RULE])
+    return out.select(F.col("seq").alias("event_id"), F.col("labels")["__address__"].alias("address"),
+                      F.col("labels")["discovered"].alias("discovered"))
+
+
 @query("labelmap", "WITH " + LABEL_CTE + """
 SELECT event_id, 'app_kubernetes_io_name' AS label, ctr AS value FROM p
 UNION ALL SELECT event_id, 'tier', tier FROM p WHERE tier IS NOT NULL""")

@@ -250,7 +250,11 @@ def pod_metadata(events: DataFrame) -> DataFrame:
     container_id = F.when(F.col("user_id") % 11 == 0, uid).otherwise(F.concat(F.lit("containerd://"), uid))
     phase = F.element_at(F.array(*[F.lit(p) for p in POD_PHASES]), (F.col("user_id") % 5 + 1).cast("int"))
     tier = F.when(F.col("user_id") % 4 == 0, "backend").when(F.col("user_id") % 4 == 1, "edge")
+    address = F.concat(F.lit("10.0.0."), (F.col("user_id") % 250).cast("string"), F.lit(":8080"))
+    port = F.when(F.col("user_id") % 4 == 0, F.lit("9100"))
     labels = F.map_filter(F.create_map(
+        F.lit("__address__"), address,
+        F.lit("__meta_kubernetes_service_annotation_prometheus_io_port"), port,
         F.lit("__meta_kubernetes_namespace"), F.when(F.col("user_id") % 3 < 2, "verne").otherwise("observe"),
         F.lit("__meta_kubernetes_pod_name"), F.concat_ws("-", container, uid),
         F.lit("__meta_kubernetes_pod_container_name"), container,
