@@ -30,10 +30,12 @@ def per_vu(measures: DataFrame) -> DataFrame:
         .withColumn("iteration_s", (F.unix_micros("last_ts") - F.unix_micros("first_ts")) / 1e6))
 
 
-def counters(measures: DataFrame) -> DataFrame:
+def counters(measures: DataFrame, elapsed_seconds: float | None = None) -> DataFrame:
     """A2: ``metric, total, rate`` with rate = total / elapsed seconds of the run.
 
-    ``mqtt_calls`` counts publish attempts plus one connect per user.
+    The run lasts from the first to the last sample unless ``elapsed_seconds``
+    is given (e.g. the configured test duration).  ``mqtt_calls`` counts
+    publish attempts plus one connect per user.
     """
     t = per_vu(measures).agg(
         F.sum("sent").alias("mqtt_messages_sent"), F.sum("failed").alias("mqtt_messages_failed"),
@@ -43,7 +45,8 @@ def counters(measures: DataFrame) -> DataFrame:
     t = (t.withColumn("iterations", F.col("mqtt_concurrent_connections"))
          .withColumn("mqtt_calls", F.col("mqtt_messages_sent") + F.col("mqtt_messages_failed")
                      + F.col("mqtt_concurrent_connections"))
-         .withColumn("elapsed", (F.unix_micros("t1") - F.unix_micros("t0")) / 1e6))
+         .withColumn("elapsed", F.lit(float(elapsed_seconds)) if elapsed_seconds is not None
+                     else (F.unix_micros("t1") - F.unix_micros("t0")) / 1e6))
     names = ["mqtt_calls", "mqtt_concurrent_connections", "mqtt_messages_sent", "mqtt_messages_failed",
              "iterations", "data_sent"]
     entries = F.array(*[F.struct(F.lit(n).alias("metric"), F.col(n).cast("long").alias("total")) for n in names])

@@ -36,3 +36,12 @@ def test_contains_filter_differs_from_parsed_level(spark):
     parsed = logs.where(F.col("level") == "error")
     extra = raw.where(F.col("level") != "error").count()
     assert extra > 0 and raw.count() == parsed.count() + extra
+
+
+def test_counters_with_given_duration(spark):
+    from celltide.operators import slo as SL
+    m = X.delivery_measures(X.load_events(spark, SF_ORACLE))
+    got = {r["metric"]: (r["total"], r["rate"]) for r in SL.counters(m, elapsed_seconds=60.0).collect()}
+    sent = m.where("sent = 1").count()
+    assert got["mqtt_messages_sent"] == (sent, round(sent / 60.0, 6))
+    assert got["mqtt_concurrent_connections"][0] == 150
