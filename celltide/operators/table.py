@@ -101,6 +101,26 @@ def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
     return delete_path(spark, f"{path.rstrip('/')}/relation={escape_path_name(relation)}")
 
 
+def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: str) -> list[str]:
+    """P25 on the store: remove ``ingest_date`` folders older than
+    ``today - keep_days`` (ISO dates), for every relation.  Only folder names
+    are listed (one entry per partition); returns the removed folders."""
+    import datetime as dt
+    cutoff = dt.date.fromisoformat(today) - dt.timedelta(days=keep_days)
+    root = path.rstrip("/")
+    removed = []
+    for rel_dir in list_subdirs(spark, root):
+        if not rel_dir.startswith("relation="):
+            continue
+        for day_dir in list_subdirs(spark, f"{root}/{rel_dir}"):
+            if day_dir.startswith("ingest_date=") and dt.date.fromisoformat(day_dir.split("=", 1)[1]) < cutoff:
+                delete_path(spark, f"{root}/{rel_dir}/{day_dir}")
+                removed.append(f"{rel_dir}/{day_dir}")
+        if not list_subdirs(spark, f"{root}/{rel_dir}"):
+            delete_path(spark, f"{root}/{rel_dir}")
+    return removed
+
+
 def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "row_key") -> None:
     """Remove all cells of the given row keys.
 

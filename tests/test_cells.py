@@ -112,3 +112,17 @@ def test_clear_and_delete_with_escaped_relation(spark, tmp_dir):
     assert sorted(r[0] for r in TB.list_relations(spark, path).collect()) == ["plain"]
     TB.clear_relation(spark, path, "plain")
     assert TB.list_relations(spark, path).count() == 0
+
+
+def test_expire_partitions(spark, tmp_dir):
+    p = [f'{{"id":"k{i % 3}","relation":"dev","a":{i}}}' for i in range(10)]
+    cells = _cells(spark, p, ts=[i * 86400 for i in range(10)])  # one message per day from 1970-01-01
+    path = f"{tmp_dir}/cells"
+    TB.write_cells(cells, path)
+    removed = TB.expire_partitions(spark, path, keep_days=3, today="1970-01-10")
+    assert len(removed) == 6  # days 1..6 are older than 1970-01-07
+    left = TB.read_cells(spark, path)
+    assert sorted({str(r[0]) for r in left.select("ingest_date").collect()}) == \
+        ["1970-01-07", "1970-01-08", "1970-01-09", "1970-01-10"]
+    assert TB.expire_partitions(spark, path, keep_days=0, today="1971-01-01") and \
+        TB.list_relations(spark, path).count() == 0
