@@ -5,6 +5,7 @@
     python -m celltide.cli list --table DIR
     python -m celltide.cli query --table DIR --relation R [--limit N]
     python -m celltide.cli clear --table DIR --relation R
+    python -m celltide.cli panel --logs GLOB [--selector namespace=verne] [--contains level=error]
 
 ``query`` prints the newest value of every cell of the relation's rows as
 ``{row_key: {family: {qualifier: value}}}`` lines; the work (latest per cell,
@@ -36,6 +37,12 @@ def main(argv: list[str] | None = None) -> None:
     ing.add_argument("--catalog", help="schema file (JSON: relation -> [{name, type}])")
     ing.add_argument("--trigger-seconds", type=int, default=0, help="0: process what is there and stop")
     ing.add_argument("--max-files-per-trigger", type=int)
+    pan = sub.add_parser("panel", help="log lines: label selector, raw-line contains, time range, newest first")
+    pan.add_argument("--logs", required=True, help="log files (glob), e.g. /var/log/pods/*/*/*.log")
+    pan.add_argument("--selector", action="append", default=[], help="label=value, repeatable")
+    pan.add_argument("--contains")
+    pan.add_argument("--since", default="6 hours")
+    pan.add_argument("--limit", type=int, default=1000)
     for name in ("init", "list", "query", "clear"):
         p = sub.add_parser(name)
         p.add_argument("--table", required=True)
@@ -65,6 +72,13 @@ def main(argv: list[str] | None = None) -> None:
         rows = C.row_maps(C.latest_cells(TB.scan(spark, a.table, a.relation)))
         for r in rows.orderBy("row_key").limit(a.limit).select("row_key", F.to_json("cells")).toLocalIterator():
             print(json.dumps({r[0]: json.loads(r[1])}))
+    elif a.cmd == "panel":
+        from celltide.operators import logs as LG
+        logs = LG.parse_logs(LG.read_log_files(spark, a.logs)).withColumn("seq", F.monotonically_increasing_id())
+        selector = dict(kv.split("=", 1) for kv in a.selector)
+        rows = LG.panel(logs, selector, a.contains, since=a.since, limit=a.limit, time_col="ts")
+        for r in rows.select("line").toLocalIterator():
+            print(r["line"])
     elif a.cmd == "clear":
         TB.clear_relation(spark, a.table, a.relation)
 

@@ -126,3 +126,18 @@ def test_stream_log_files_and_age_filter(spark, tmp_dir):
     q.awaitTermination(300)
     got = sorted((r["namespace"], r["container"], r["msg"], r["rejected"]) for r in spark.table("logs_t").collect())
     assert got == [("observe", "vernemq", "new", False), ("observe", "vernemq", "old", True)]
+
+
+def test_cli_panel(spark, tmp_dir, capsys):
+    from celltide import cli
+    for ns, ctr in (("verne", "listener"), ("observe", "listener")):
+        d = f"{tmp_dir}/pods/{ns}_p_u/{ctr}"
+        os.makedirs(d)
+        with open(f"{d}/0.log", "w") as f:
+            f.write('level=info ts=2024-01-01T00:00:00Z caller=a.go:1 msg="old"\n')
+            f.write('level=info ts=2024-01-01T10:00:00Z caller=a.go:2 msg="quotes \\"level=error\\""\n')
+            f.write('level=error ts=2024-01-01T11:00:00Z caller=a.go:3 msg="boom"\n')
+    cli.main(["panel", "--logs", f"{tmp_dir}/pods/*/*/*.log", "--selector", "namespace=verne",
+              "--contains", "level=error"])
+    lines = capsys.readouterr().out.strip().split("\n")
+    assert len(lines) == 2 and "boom" in lines[0] and "quotes" in lines[1]
