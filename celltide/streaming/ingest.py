@@ -66,9 +66,16 @@ def read_stream_cells(spark: SparkSession, cells_path: str) -> DataFrame:
     return spark.read.parquet(cells_path)
 
 
-def forward_stream(records: DataFrame, path: str, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
-    """Forward records exactly once through the checkpointed file sink
-    (``.format("kafka")`` with the same columns on a cluster with a broker)."""
-    return (records.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-            .trigger(**(trigger or {"availableNow": True})).start(path))
+def forward_stream(records: DataFrame, path: str | None, checkpoint: str, trigger: dict | None = None,
+                   kafka_bootstrap: str | None = None) -> StreamingQuery:
+    """Forward records (``key, value, topic, headers``) to the next hop.
+
+    Files: exactly once through the checkpointed file sink.  Kafka (when
+    ``kafka_bootstrap`` is given; each record's ``topic`` column names the
+    target): at least once, with the same checkpoint for restarts.
+    """
+    w = records.writeStream.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
+    if kafka_bootstrap:
+        return (w.format("kafka").option("kafka.bootstrap.servers", kafka_bootstrap)
+                .option("includeHeaders", "true").start())
+    return w.format("parquet").start(path)
