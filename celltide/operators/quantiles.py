@@ -14,7 +14,8 @@ buffer on one task.  Here the work is spread out:
    (same definition as ``percentile`` / ``quantile_cont``).
 
 No group is ever gathered whole: the largest unit of work is one block's
-distinct values, about ``distinct / blocks``.
+distinct values, about ``distinct / blocks``.  Below a checked size the
+counts of a key go to one ``percentile`` buffer instead (fewer stages).
 """
 
 from __future__ import annotations
@@ -40,14 +41,25 @@ def frequencies(df: DataFrame, key: str, x: str, materialize: bool = True) -> Da
 
 
 def exact_percentiles(df: DataFrame, key: str, x: str, ps: list[float], blocks: int = 64,
-                      accuracy: int = 10_000, freq: DataFrame | None = None) -> DataFrame:
+                      accuracy: int = 10_000, freq: DataFrame | None = None,
+                      single_task_limit: int = 1_000_000) -> DataFrame:
     """``key, p, value`` for each key and each fraction in ``ps`` (NULL ``x`` ignored).
 
     Pass ``freq`` (from ``frequencies``) to reuse one aggregation for several
-    statistics.
+    statistics.  When no key has more than ``single_task_limit`` distinct
+    values (checked on the checkpointed counts), ``percentile`` with the count
+    as frequency is used: exact, one buffer of at most that many entries per
+    key.  Otherwise the blocked plan below runs.
     """
     if freq is None:
         freq = frequencies(df, key, x)
+    if single_task_limit > 0:
+        widest = freq.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        if widest <= single_task_limit:
+            q = freq.groupBy(key).agg(F.percentile(F.col(x), [float(p) for p in ps], F.col("_c")).alias("_q"))
+            return q.select(key, F.posexplode("_q").alias("_i", "value")).select(
+                key, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("_i") + 1).alias("p"),
+                F.col("value").cast("double").alias("value"))
     cuts = [i / blocks for i in range(1, blocks)]
     if cuts:
         per_key = freq.groupBy(key).agg(F.sum("_c").alias("_n"),

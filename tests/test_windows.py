@@ -63,8 +63,9 @@ def test_exact_percentiles_match_numpy(spark):
            [("b", rng.random() * 100) for _ in range(777)] + [("c", 5.0)] + [("d", None)]
     df = spark.createDataFrame(data, "k string, x double")
     ps = [0.0, 0.5, 0.9, 0.95, 0.99, 1.0]
-    for blocks in (1, 4, 64):
-        got = {(r["k"], r["p"]): r["value"] for r in exact_percentiles(df, "k", "x", ps, blocks=blocks).collect()}
+    for blocks, limit in ((1, 0), (4, 0), (64, 0), (64, 1_000_000)):
+        got = {(r["k"], r["p"]): r["value"]
+               for r in exact_percentiles(df, "k", "x", ps, blocks=blocks, single_task_limit=limit).collect()}
         for k in ("a", "b", "c"):
             xs = np.array([v for kk, v in data if kk == k and v is not None])
             for p in ps:
