@@ -153,3 +153,23 @@ def q_clear_relation(spark, sf_dir):
     keys = ev.where(F.col("user_id") % 10 == 0).select(X.device_id().alias("row_key"))
     TB.delete_keys(spark, path, keys)
     return TB.read_cells(spark, path).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("stream_cells", O.with_(O.EV, O.SPARSE_CELLS) +
+       "SELECT row_key, family, qualifier, value, event_id FROM cells")
+def q_stream_cells(spark, sf_dir):
+    """S1 + T1 + S7 under Structured Streaming: messages landed as 4 files, one
+    checkpointed ``availableNow`` run of the foreachBatch ingest (2 files per
+    micro-batch), cells read back from the written table."""
+    from celltide.streaming import ingest as IG
+    from celltide.streaming import sources as SS
+    landing = new_location(spark, "landing")
+    SS.land_messages(X.sparse_messages(X.load_events(spark, sf_dir)), landing, files=4)
+    out = new_location(spark, "stream-cells")
+    q = IG.start_ingest(SS.landed_messages(spark, landing, max_files_per_trigger=2), K.default_catalog(), out,
+                        new_location(spark, "stream-quarantine"), new_location(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return IG.read_stream_cells(spark, out).select("row_key", "family", "qualifier", "value",
+                                                   F.col("seq").alias("event_id"))
