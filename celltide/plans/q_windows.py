@@ -64,3 +64,29 @@ def q_dedup(spark, sf_dir):
     """Redelivered messages (``event_id % 10 = 0`` twice) kept once."""
     msgs = X.duplicated_messages(X.load_events(spark, sf_dir))
     return W.dedup(msgs, ("message_id",)).select(F.col("seq").alias("event_id"))
+
+
+@query("stream_tumbling", """
+SELECT time_bucket(INTERVAL '3 seconds', ts) AS window_start, event_type AS relation,
+       CAST(count(*) AS BIGINT) AS n, min(value) AS min_value, max(value) AS max_value,
+       round(sum(value), 6) AS sum_value
+FROM events GROUP BY 1, 2""")
+def q_stream_tumbling(spark, sf_dir):
+    """T2-T4 under Structured Streaming: 3-second windows on publish time with a
+    watermark (no allowed lateness), update mode.  Messages arrive in time
+    order (8-day slices of 2 files, one slice per micro-batch), so no row is
+    behind the watermark of an earlier micro-batch and every window is complete."""
+    from celltide.storage import new_location
+    from celltide.streaming import sources as SS
+    from celltide.streaming import stateful as ST
+    landing = new_location(spark, "landing")
+    SS.land_in_time_order(X.messages(X.load_events(spark, sf_dir)), landing, days_per_slice=8, files_per_slice=2)
+    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 2), K.default_catalog()))
+    out = new_location(spark, "stream-windows")
+    q = ST.start_window_updates(ST.tumbling_stream(stream, value=_value()), out, new_location(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    t = ST.latest_window_updates(spark, out, ["window_start", "relation"])
+    return t.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "relation", "n",
+                    "min_value", "max_value", F.round("sum_value", 6).alias("sum_value"))

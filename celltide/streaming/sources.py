@@ -45,3 +45,18 @@ def kafka_messages(spark: SparkSession, bootstrap: str, topic: str,
 def land_messages(messages: DataFrame, landing_dir: str, files: int = 1) -> None:
     """Write a batch of messages as landed files (used to feed a stream in tests)."""
     messages.repartition(files).write.mode("append").parquet(landing_dir)
+
+
+def land_in_time_order(messages: DataFrame, landing_dir: str, days_per_slice: int = 8,
+                       files_per_slice: int = 2, ts_col: str = "publish_time") -> int:
+    """Land messages as time slices of ``days_per_slice`` days, ``files_per_slice``
+    files each, slice after slice (the file source reads in modification-time
+    order).  Read with ``maxFilesPerTrigger=files_per_slice`` and each
+    micro-batch is one slice, so event time moves forward between batches.
+    Returns the number of slices (one value per period reaches the driver)."""
+    sliced = messages.withColumn("_slice", F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice))
+    slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect())
+    for i, sl in enumerate(slices):
+        (sliced.where(F.col("_slice") == sl).drop("_slice").repartition(files_per_slice)
+         .write.mode("append").parquet(f"{landing_dir}/slice={i:06d}"))
+    return len(slices)

@@ -40,3 +40,26 @@ def shadow_stream(decoded: DataFrame, fields: list[str], ts_col: str = "publish_
     """Running device shadow (``update`` output mode); state holds one row
     per device, the shadow itself."""
     return SH.device_shadow(decoded, fields, ts_col)
+
+
+def start_window_updates(agg: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
+    """Run a windowed aggregate in ``update`` mode; each micro-batch's updated
+    groups go to ``path`` under its ``batch_id`` (dynamic overwrite, so a
+    replay rewrites its own folder).  Read with ``latest_window_updates``."""
+    from pyspark.sql import functions as F
+
+    def write(df, bid):
+        (df.withColumn("batch_id", F.lit(bid)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+    return (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+            .foreachBatch(write).trigger(**(trigger or {"availableNow": True})).start())
+
+
+def latest_window_updates(spark, path: str, keys: list[str]) -> DataFrame:
+    """The last update of every window group (one partially aggregated groupBy)."""
+    from pyspark.sql import functions as F
+    df = spark.read.parquet(path)
+    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
+    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
+    return latest.select(*keys, *[F.col("_v")[c].alias(c) for c in vals])
