@@ -3,8 +3,8 @@
 A message is ``payload BINARY`` plus source columns.  Decoding is one
 narrow projection: bytes -> UTF-8 text -> VARIANT -> object map, the row key
 from ``id`` and the relation from the body, and a ``reason`` that is NULL for
-good messages.  The catalog check is a broadcast left join on a size-checked
-catalog, so the whole step runs without a shuffle.  Nothing is dropped: every
+good messages.  The catalog check is a left join, broadcast when the catalog
+is within its size bound, so the whole step normally runs without a shuffle.  Nothing is dropped: every
 bad message keeps its payload and a reason.
 """
 
@@ -43,7 +43,7 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
     known = F.lit(True)
     if catalog is not None:
         spark = messages.sparkSession
-        cat = F.broadcast(catalog.relations_df(spark).withColumn("_known", F.lit(True)))
+        cat = catalog.join_side(catalog.relations_df(spark).withColumn("_known", F.lit(True)))
         df = df.join(cat, "relation", "left")
         known = F.coalesce(F.col("_known"), F.lit(False))
     reason = (F.when(~valid, "BAD_UTF8")
@@ -75,13 +75,13 @@ def quarantine_counts(decoded: DataFrame) -> DataFrame:
 
 def known_relation(messages: DataFrame, catalog: Catalog, col: str = "relation") -> DataFrame:
     """Messages whose relation is in the catalog (broadcast semi join)."""
-    cat = F.broadcast(catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col))
+    cat = catalog.join_side(catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col))
     return messages.join(cat, col, "left_semi")
 
 
 def unknown_relation(messages: DataFrame, catalog: Catalog, col: str = "relation") -> DataFrame:
     """Messages whose relation is not in the catalog (broadcast anti join)."""
-    cat = F.broadcast(catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col))
+    cat = catalog.join_side(catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col))
     return messages.join(cat, col, "left_anti")
 
 

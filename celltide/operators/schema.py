@@ -69,7 +69,7 @@ def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
                        F.array(F.struct(F.lit(marker).alias("key"), F.lit(None).cast("variant").alias("value"))))
     keys = decoded_good.select("relation", F.explode(entries).alias("e")) \
         .select("relation", F.col("e.key").alias("field"), F.col("e.value").alias("v"))
-    keys = keys.join(F.broadcast(cat), ["relation", "field"], "left")
+    keys = keys.join(catalog.join_side(cat), ["relation", "field"], "left")
     bad = F.lit(False)
     for declared in DECLARED_TYPES:
         bad = F.when(F.col("type") == declared,

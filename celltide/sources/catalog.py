@@ -1,9 +1,9 @@
 """Schema catalog: relation -> ordered list of (name, declared type).
 
 The catalog is configuration (one JSON object, as a producer's schema file),
-small by construction.  It is parsed once on the driver, its size is checked,
-and it reaches the executors only as a broadcast side or as literal
-expressions.
+small in practice.  It is parsed once on the driver and its size is checked:
+within ``MAX_BROADCAST_FIELDS`` it is broadcast to the executors, beyond it
+the planner joins it like any other table.
 """
 
 from __future__ import annotations
@@ -49,8 +49,9 @@ EVENT_RELATIONS = ["signup", "purchase", "error", "view", "click"]
 EVENT_FIELDS = [("id", "STRING"), ("timestamp", "TIMESTAMP"), ("value", "FLOAT"),
                 ("k", "INTEGER"), ("relation", "STRING")]
 
-# A catalog larger than this is refused rather than broadcast.
-MAX_CATALOG_FIELDS = 100_000
+# Largest catalog (in fields) that is broadcast; a larger one is joined by
+# the planner's own choice (shuffle join), never forced into a broadcast.
+MAX_BROADCAST_FIELDS = 100_000
 
 
 class Catalog:
@@ -58,9 +59,17 @@ class Catalog:
 
     def __init__(self, relations: Mapping[str, Sequence[tuple[str, str]]]):
         self.relations = {r: [(n, t.upper()) for n, t in fields] for r, fields in relations.items()}
-        n = sum(len(f) for f in self.relations.values())
-        if n > MAX_CATALOG_FIELDS:
-            raise ValueError(f"catalog has {n} fields, more than {MAX_CATALOG_FIELDS}")
+        self.n_fields = sum(len(f) for f in self.relations.values())
+
+    @property
+    def broadcastable(self) -> bool:
+        return self.n_fields <= MAX_BROADCAST_FIELDS
+
+    def join_side(self, df: DataFrame) -> DataFrame:
+        """``df`` (built from this catalog) hinted for broadcast when the catalog
+        is within the size bound; otherwise left to the planner."""
+        from pyspark.sql import functions as F
+        return F.broadcast(df) if self.broadcastable else df
 
     @classmethod
     def from_json(cls, text: str) -> "Catalog":

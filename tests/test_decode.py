@@ -65,3 +65,14 @@ def test_envelope_round_trip(spark):
     back = D.decode_envelopes(D.encode_envelope(msgs)).collect()
     assert sorted(bytes(r["payload"]) for r in back) == sorted([b'{"id":"a"}', b"\x00\x01"])
     assert all(r["attributes"] == {"relation": "dev"} for r in back)
+
+
+def test_large_catalog_is_not_broadcast(spark, monkeypatch):
+    from celltide.sources import catalog as K
+    assert CAT.broadcastable
+    monkeypatch.setattr(K, "MAX_BROADCAST_FIELDS", 1)
+    big = Catalog({"dev": [("id", "STRING")], "dev2": [("id", "STRING")]})
+    assert not big.broadcastable
+    d = D.decode(_msgs(spark, [b'{"id":"a","relation":"dev"}', b'{"id":"a","relation":"zz"}']), big)
+    got = dict(d.select("seq", "reason").collect())
+    assert got == {0: None, 1: "UNKNOWN_RELATION"}
