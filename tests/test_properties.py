@@ -92,3 +92,20 @@ def test_relabel_random(spark):
             assert i not in got, (lab, got.get(i))
         else:
             assert got.get(i) == exp, (lab, got.get(i), exp)
+
+
+def test_latest_cells_random(spark):
+    from celltide.operators.cells import latest_cells
+    rng = random.Random(21)
+    rows = []
+    for seq in range(2000):
+        rows.append((f"r{rng.randint(0, 30)}", "cf1", rng.choice(["a", "b", "c"]),
+                     rng.choice([None, "1", "2", "x"]), rng.randint(0, 20), seq))
+    df = spark.createDataFrame(rows, "row_key string, family string, qualifier string, value string, "
+                                     "t int, seq long").withColumn("cell_ts", F.timestamp_seconds("t"))
+    got = {(r["row_key"], r["qualifier"]): r["value"] for r in latest_cells(df).collect()}
+    best = {}
+    for rk, _, q, v, t, seq in rows:
+        if (rk, q) not in best or (t, seq) > best[(rk, q)][0]:
+            best[(rk, q)] = ((t, seq), v)
+    assert got == {k: v for k, (_, v) in best.items()}
