@@ -15,7 +15,7 @@ from celltide.plans import oracles as O
 from celltide.plans.registry import query
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
-from celltide.storage import new_location
+from celltide.storage import list_subdirs, new_location
 
 _TABLES: dict[tuple[str, str], str] = {}
 
@@ -23,7 +23,7 @@ _TABLES: dict[tuple[str, str], str] = {}
 def cells_table(spark: SparkSession, sf_dir: str) -> str:
     """Cells of the sparse messages written once per session to the shared folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _TABLES:
+    if key not in _TABLES or not list_subdirs(spark, _TABLES[key]):  # written once; again if removed
         path = new_location(spark, "cells")
         msgs = X.sparse_messages(X.load_events(spark, sf_dir))
         TB.write_cells(C.to_cells(D.good(D.decode(msgs, K.default_catalog()))), path)
