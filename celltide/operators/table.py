@@ -42,8 +42,21 @@ def create_table(spark: SparkSession, name: str, path: str) -> None:
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def partition_cols(spark: SparkSession, path: str) -> list[str]:
+    """``relation, ingest_date`` for batch-written tables, plus ``batch_id``
+    for tables written by the streaming ingest (found from one folder chain)."""
+    root = path.rstrip("/")
+    rels = [d for d in list_subdirs(spark, root) if d.startswith("relation=")]
+    if rels:
+        days = list_subdirs(spark, f"{root}/{rels[0]}")
+        if days and any(d.startswith("batch_id=") for d in list_subdirs(spark, f"{root}/{rels[0]}/{days[0]}")):
+            return PARTITION_COLS + ["batch_id"]
+    return list(PARTITION_COLS)
+
+
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CELLS_DDL).parquet(path)
+    extra = ", batch_id BIGINT" if "batch_id" in partition_cols(spark, path) else ""
+    return spark.read.schema(CELLS_DDL + extra).parquet(path)
 
 
 # Characters Spark escapes as %XX in partition folder names
@@ -70,7 +83,8 @@ def scan(spark: SparkSession, path: str, relation: str | None = None,
         if escape_path_name(relation) not in [d.split("=", 1)[1] for d in list_subdirs(spark, path)
                                               if d.startswith("relation=")]:
             return spark.createDataFrame([], CELLS_DDL)
-        df = (spark.read.schema(CELLS_DDL).option("basePath", path).parquet(folder)
+        extra = ", batch_id BIGINT" if "batch_id" in partition_cols(spark, path) else ""
+        df = (spark.read.schema(CELLS_DDL + extra).option("basePath", path).parquet(folder)
               .where(F.col("relation") == relation))
     return df.orderBy("row_key", "family", "qualifier", "seq") if ordered else df
 
@@ -128,27 +142,34 @@ def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str =
     of those partitions (``left_anti`` on the keys) are staged in the shared
     folder, then written back with dynamic partition overwrite; partitions
     left empty are removed.  The staged copy makes a retry after a lost
-    executor or driver safe.
+    executor or driver safe.  Works on both table layouts (``partition_cols``).
     """
+    parts = partition_cols(spark, path)
     table = read_cells(spark, path)
     keys = keys.select(F.col(key_col).alias("row_key")).distinct()
-    hit = table.join(keys, "row_key", "left_semi").select(*PARTITION_COLS).distinct()
-    kept = table.join(hit, PARTITION_COLS, "left_semi").join(keys, "row_key", "left_anti")
+    hit = table.join(keys, "row_key", "left_semi").select(*parts).distinct()
+    kept = table.join(hit, parts, "left_semi").join(keys, "row_key", "left_anti")
     stage = new_location(spark, "stage")
-    write_cells(kept, stage)
+    (kept.select(*CELL_COLUMNS, *[c for c in parts if c not in CELL_COLUMNS])
+     .hint("rebalance", *parts).write.partitionBy(*parts).parquet(stage))
     # partition values only: bounded by the number of touched partitions
-    touched = [(r["relation"], r["ingest_date"]) for r in hit.collect()]
-    staged = read_cells(spark, stage)
-    remaining = {(r["relation"], r["ingest_date"]) for r in staged.select(*PARTITION_COLS).distinct().collect()}
-    (staged.select(*CELL_COLUMNS).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path))
-    # (the staged copy is already clustered by partition: no re-shuffle needed)
+    touched = [tuple(r[c] for c in parts) for r in hit.collect()]
+    staged = spark.read.schema(CELLS_DDL + (", batch_id BIGINT" if "batch_id" in parts else "")).parquet(stage)
+    remaining = {tuple(r[c] for c in parts) for r in staged.select(*parts).distinct().collect()}
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*parts).parquet(path))
     root = path.rstrip("/")
-    for rel, day in touched:
-        if (rel, day) not in remaining:
-            delete_path(spark, f"{root}/relation={escape_path_name(rel)}/ingest_date={day}")
-    for rel in {r for r, _ in touched}:
-        folder = f"{root}/relation={escape_path_name(rel)}"
-        if not list_subdirs(spark, folder):
-            delete_path(spark, folder)
+
+    def folder(values) -> str:
+        segs = [f"{c}={escape_path_name(str(v))}" for c, v in zip(parts, values)]
+        return "/".join([root] + segs)
+
+    for values in touched:
+        if values not in remaining:
+            delete_path(spark, folder(values))
+    # remove parent folders left without partitions, deepest first
+    for depth in range(len(parts) - 1, 0, -1):
+        for prefix in {v[:depth] for v in touched}:
+            if not list_subdirs(spark, folder(prefix)):
+                delete_path(spark, folder(prefix))
     delete_path(spark, stage)

@@ -141,3 +141,24 @@ def test_cli_panel(spark, tmp_dir, capsys):
               "--contains", "level=error"])
     lines = capsys.readouterr().out.strip().split("\n")
     assert len(lines) == 2 and "boom" in lines[0] and "quotes" in lines[1]
+
+
+def test_table_ops_on_stream_layout(spark, tmp_dir):
+    ev = X.load_events(spark, SF_SMALL)
+    SS.land_messages(X.sparse_messages(ev), f"{tmp_dir}/landing", files=2)
+    q = IG.start_ingest(SS.landed_messages(spark, f"{tmp_dir}/landing", 1), K.default_catalog(), f"{tmp_dir}/t",
+                        f"{tmp_dir}/q", f"{tmp_dir}/ck")
+    q.awaitTermination(300)
+    path = f"{tmp_dir}/t"
+    assert TB.partition_cols(spark, path) == ["relation", "ingest_date", "batch_id"]
+    before = TB.read_cells(spark, path)
+    n, n_view = before.count(), before.where("relation = 'view'").count()
+    keys = ev.where("user_id % 10 = 0").select(X.device_id().alias("row_key"))
+    n_keys = before.join(keys, "row_key", "left_semi").count()
+    n_view_keys = before.where("relation = 'view'").join(keys, "row_key", "left_semi").count()
+    TB.delete_keys(spark, path, keys)
+    assert TB.read_cells(spark, path).count() == n - n_keys
+    TB.clear_relation(spark, path, "view")
+    left = TB.read_cells(spark, path)
+    assert left.where("relation = 'view'").count() == 0 and "view" not in [r[0] for r in TB.list_relations(spark, path).collect()]
+    assert left.count() == n - n_keys - (n_view - n_view_keys)
