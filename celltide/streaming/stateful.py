@@ -43,9 +43,10 @@ def shadow_stream(decoded: DataFrame, fields: list[str], ts_col: str = "publish_
 
 
 def start_window_updates(agg: DataFrame, path: str, checkpoint: str, trigger: dict | None = None):
-    """Run a windowed aggregate in ``update`` mode; each micro-batch's updated
-    groups go to ``path`` under its ``batch_id`` (dynamic overwrite, so a
-    replay rewrites its own folder).  Read with ``latest_window_updates``."""
+    """Run a streaming aggregate (windows, device shadow, ...) in ``update``
+    mode; each micro-batch's updated groups go to ``path`` under its
+    ``batch_id`` (dynamic overwrite, so a replay rewrites its own folder).
+    Read with ``latest_window_updates``."""
     from pyspark.sql import functions as F
 
     def write(df, bid):
@@ -57,7 +58,7 @@ def start_window_updates(agg: DataFrame, path: str, checkpoint: str, trigger: di
 
 
 def latest_window_updates(spark, path: str, keys: list[str]) -> DataFrame:
-    """The last update of every window group (one partially aggregated groupBy)."""
+    """The last update of every group (one partially aggregated groupBy)."""
     from pyspark.sql import functions as F
     df = spark.read.parquet(path)
     vals = [c for c in df.columns if c not in keys and c != "batch_id"]
