@@ -90,3 +90,24 @@ def q_stream_tumbling(spark, sf_dir):
     t = ST.latest_window_updates(spark, out, ["window_start", "relation"])
     return t.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "relation", "n",
                     "min_value", "max_value", F.round("sum_value", 6).alias("sum_value"))
+
+
+@query("stream_dedup", "SELECT event_id FROM events")
+def q_stream_dedup(spark, sf_dir):
+    """T8 under Structured Streaming: redelivered messages (``event_id % 10 = 0``
+    twice) arrive in time order; ``dropDuplicatesWithinWatermark`` (1 hour)
+    keeps each message id once, written through the exactly-once file sink."""
+    from celltide.storage import new_location
+    from celltide.streaming import sources as SS
+    from celltide.streaming import stateful as ST
+    landing = new_location(spark, "landing")
+    SS.land_in_time_order(X.duplicated_messages(X.load_events(spark, sf_dir)).drop("copy"), landing,
+                          days_per_slice=8, files_per_slice=2)
+    d = ST.dedup_stream(SS.landed_messages(spark, f"{landing}/*", 2), delay="1 hour")
+    out = new_location(spark, "stream-dedup")
+    q = (d.writeStream.format("parquet").option("checkpointLocation", new_location(spark, "stream-ckpt"))
+         .trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.schema(SS.MESSAGE_SCHEMA).parquet(out).select(F.col("seq").alias("event_id"))
