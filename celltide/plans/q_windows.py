@@ -111,3 +111,44 @@ def q_stream_dedup(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.schema(SS.MESSAGE_SCHEMA).parquet(out).select(F.col("seq").alias("event_id"))
+
+
+@query("stream_late", """
+WITH a AS (SELECT event_id, ts,
+                  CASE WHEN event_id % 50 = 0 THEN event_id * 2 + 41 ELSE event_id * 2 END AS arrival
+           FROM events),
+w AS (SELECT CAST(ceil((max(arrival) + 1) / 1000.0) AS BIGINT) * 100 AS width FROM a),
+s AS (SELECT a.event_id, a.ts, (a.arrival + 80) // w.width AS slice FROM a, w),
+m AS (SELECT slice, max(ts) AS mx FROM s GROUP BY slice),
+p AS (SELECT slice, max(mx) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev
+      FROM m)
+SELECT event_id, coalesce(ts < prev, false) AS is_late FROM s JOIN p USING (slice)""")
+def q_stream_late(spark, sf_dir):
+    """T3 under Structured Streaming with a side output: messages arrive in
+    ``late_split``'s arrival order in 10 slices (one micro-batch each); a row
+    behind the max event time of the earlier micro-batches goes to the late
+    table instead of being dropped."""
+    from celltide.storage import new_location
+    from celltide.streaming import late as LT
+    from celltide.streaming import sources as SS
+    msgs = X.messages(X.load_events(spark, sf_dir)).withColumn("arrival", X.arrival_order("seq"))
+    span = msgs.select(F.max("arrival")).first()[0] + 1  # one scalar
+    # about 10 slices; the width is a multiple of 100 arrival slots and the
+    # boundaries are shifted by 80, so each boundary falls inside the 41-slot
+    # delay of one delayed message (which then arrives one micro-batch late)
+    width = -(-span // 1000) * 100
+    landing = new_location(spark, "landing")
+    SS.land_in_slices(msgs.drop("arrival"), landing,
+                      F.floor((X.arrival_order("seq") + 80) / width), files_per_slice=2)
+    paths = [new_location(spark, k) for k in ("late-state", "on-time", "late")]
+    q = LT.start_late_split(SS.landed_messages(spark, f"{landing}/*", 2), "publish_time", *paths,
+                            new_location(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    schema = SS.MESSAGE_SCHEMA + ", batch_id BIGINT"
+    on = spark.read.schema(schema).parquet(paths[1]).select(F.col("seq").alias("event_id"),
+                                                            F.lit(False).alias("is_late"))
+    late = spark.read.schema(schema).parquet(paths[2]).select(F.col("seq").alias("event_id"),
+                                                              F.lit(True).alias("is_late"))
+    return on.unionByName(late)

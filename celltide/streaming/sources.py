@@ -7,7 +7,7 @@ connector is not part of this environment, so that path is untested here.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MESSAGE_SCHEMA = ("seq BIGINT, message_id STRING, topic STRING, payload BINARY, "
@@ -49,12 +49,18 @@ def land_messages(messages: DataFrame, landing_dir: str, files: int = 1) -> None
 
 def land_in_time_order(messages: DataFrame, landing_dir: str, days_per_slice: int = 8,
                        files_per_slice: int = 2, ts_col: str = "publish_time") -> int:
-    """Land messages as time slices of ``days_per_slice`` days, ``files_per_slice``
-    files each, slice after slice (the file source reads in modification-time
-    order).  Read with ``maxFilesPerTrigger=files_per_slice`` and each
-    micro-batch is one slice, so event time moves forward between batches.
-    Returns the number of slices (one value per period reaches the driver)."""
-    sliced = messages.withColumn("_slice", F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice))
+    """Land messages as time slices of ``days_per_slice`` days (see ``land_in_slices``),
+    so a stream sees event time move forward between micro-batches."""
+    return land_in_slices(messages, landing_dir,
+                          F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice), files_per_slice)
+
+
+def land_in_slices(messages: DataFrame, landing_dir: str, slice_of: Column, files_per_slice: int = 2) -> int:
+    """Land messages slice after slice (ascending ``slice_of``), ``files_per_slice``
+    files each; the file source reads in modification-time order, so with
+    ``maxFilesPerTrigger=files_per_slice`` each micro-batch is one slice.
+    Returns the number of slices (one value per slice reaches the driver)."""
+    sliced = messages.withColumn("_slice", slice_of)
     slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect())
     for i, sl in enumerate(slices):
         (sliced.where(F.col("_slice") == sl).drop("_slice").repartition(files_per_slice)
