@@ -2,7 +2,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from celltide.plans.registry import QUERIES
 
 from conftest import SF_SMALL
 
@@ -11,31 +11,31 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_udf_no_cartesian(spark, name):
-    p = _plan(E.queries()[name](spark, SF_SMALL))
+    p = _plan(QUERIES[name](spark, SF_SMALL))
     for bad in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct",
                 "BroadcastNestedLoopJoin"):
         assert bad not in p, f"{name}: {bad}"
 
 
 def test_scan_prunes_relation_partition(spark):
-    p = _plan(E.queries()["scan"](spark, SF_SMALL))
+    p = _plan(QUERIES["scan"](spark, SF_SMALL))
     assert "PartitionFilters: [isnotnull(relation" in p and "(relation#" in p
 
 
 def test_latest_cell_single_hash_exchange(spark):
-    p = _plan(E.queries()["latest_cell"](spark, SF_SMALL))
+    p = _plan(QUERIES["latest_cell"](spark, SF_SMALL))
     assert p.count("Exchange hashpartitioning") == 1
     assert "partial_max_by" in p
 
 
 def test_panel_is_top_n(spark):
-    p = _plan(E.queries()["log_panel_error"](spark, SF_SMALL))
+    p = _plan(QUERIES["log_panel_error"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
 
 
 def test_projection_pushed_to_scan(spark):
-    p = _plan(E.queries()["topic_filter"](spark, SF_SMALL))
+    p = _plan(QUERIES["topic_filter"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string" in p
     assert "props" not in p.split("ReadSchema")[1].split("\n")[0]
