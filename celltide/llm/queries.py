@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from celltide.llm import host_quality, licenses
 from celltide.llm.bpe_chunks import encode_documents
 from celltide.llm.minhash import near_duplicates
 from celltide.llm.packing import pack
@@ -40,9 +41,9 @@ def op2_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op2_exact_top_k"] = """
 WITH v AS (
-    SELECT vec_id, list_transform(embedding::DOUBLE[], x -> floor(256 * x)) AS x FROM embeddings
+    SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(256 * x)) AS x FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
     FROM v q JOIN v c ON c.vec_id <> q.vec_id WHERE q.vec_id % 50 = 0),
@@ -78,3 +79,19 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_quality.quality_rules(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_host_quality"] = host_quality.ORACLE
+
+
+@query
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_license_scan"] = licenses.ORACLE
