@@ -99,9 +99,8 @@ def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns."""
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     texts = docs.select(row.alias("row"), F.col("text").cast("string").alias("text"))
-    documents = measured(texts).withColumn("source", F.col("row.source").cast("string"))
-    verdicts = staged(host_verdicts(documents), "hosts")
-    return judged(documents, verdicts).filter("kept").select("row.*")
+    documents = staged(measured(texts), "measures").withColumn("source", F.col("row.source").cast("string"))
+    return judged(documents, host_verdicts(documents)).filter("kept").select("row.*")
 
 
 ORACLE = """

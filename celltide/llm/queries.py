@@ -13,6 +13,7 @@ from celltide.llm.packing import pack
 from celltide.llm.substring_dedup import substring_dedup
 from celltide.llm.token_files import read_ids, write_ids
 from celltide.llm.topk import exact_top_k
+from celltide.llm.toxicity import toxicity
 from celltide.llm.warc import read_archives, write_archives
 from celltide.storage import new_location
 
@@ -89,6 +90,11 @@ def op8_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_host_quality"] = host_quality.ORACLE
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
