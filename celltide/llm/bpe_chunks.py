@@ -2,7 +2,8 @@
 
 A long text is cut into chunks that overlap.  Chunks are pre-tokenised in parallel, each from its own first character;
 after a few pre-tokens a chunk's boundaries agree with those of the chunk before it.  The first place in the overlap
-where both have a boundary is the seam: the pattern looks only ahead, so from there on both go alike.  Where an overlap
+where both have a boundary, not after white space, is the seam: the pattern looks only ahead, so from there on both go
+alike, and what lies before it is cut as in the whole text (a run of white space is cut by what follows).  Where an overlap
 has no seam (one pre-token spans it), the chunks on both sides are joined.  The pieces between seams are then encoded
 in parallel and their ids concatenated.  Texts that fit one chunk are encoded where they lie.
 """
@@ -21,6 +22,8 @@ from celltide.llm.common import pieces_of, staged, workers_import
 from celltide.llm.vocab import rank_encoder, token_bytes, vocabulary
 
 VOCABULARY, CHUNK, OVERLAP = "byte_bpe_multi_50k.tiktoken", 16_384, 512
+#: Characters that the pattern's literal alternatives need to be told apart ('ll): boundaries nearer to a chunk's end are no seams.
+LOOKAHEAD = 3
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string, ids binary"
 
 
@@ -89,10 +92,10 @@ def _pretokenise(chunk: int, overlap: int, pattern: str | None):
         own = _pattern(pattern)
         for batch in batches:
             head, tail = [], []
-            for text in batch.column("text"):
-                found = boundaries(own, text.as_py())
+            for text in batch.column("text").to_pylist():
+                found = boundaries(own, text)
                 head.append([x for x in found if x < overlap])
-                tail.append([x - chunk for x in found if x >= chunk])
+                tail.append([x - chunk for x in found if chunk <= x <= chunk + overlap - LOOKAHEAD and not text[x - 1].isspace()])
             kind = pa.list_(pa.int32())
             yield pa.record_batch([*(batch.column(x) for x in ("row", "n", "doc_id", "text")), pa.array(head, kind), pa.array(tail, kind)], names=["row", "n", "doc_id", "text", "head", "tail"])
 

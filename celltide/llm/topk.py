@@ -26,11 +26,10 @@ K, SCALE, BLOCK = 5, 256, 16_384
 EXACT = 2.0**52  # below this, sums of integers in double precision are exact
 
 
-def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a @ b for integers: in double precision where that is exact, else in Python's integers."""
-    if not a.size or not b.size or float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < EXACT:
-        return a.astype(np.float64) @ b.astype(np.float64)
-    return a.astype(object) @ b.astype(object)
+def _exact_kind(vectors: np.ndarray, queries: np.ndarray) -> type:
+    """Double precision where sums of the products are exact in it, else Python's integers."""
+    most = float(np.abs(vectors).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(vectors.shape[1], 1)
+    return np.float64 if most < EXACT else object
 
 
 class Lists:
@@ -38,19 +37,19 @@ class Lists:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.sorted = np.sort(self.vectors, axis=0)
+        self.sorted = np.sort(vectors, axis=0)
 
     def bounds(self, rows: np.ndarray, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """(lower, upper) scores of some rows for each query after reading all lists to ``depth``."""
-        n = len(self.vectors)
-        x, up, down = self.vectors[rows], np.maximum(queries, 0).T, np.minimum(queries, 0).T
+        n, kind = len(self.vectors), _exact_kind(self.vectors, queries)
+        x, asked = self.vectors[rows].astype(kind), queries.T.astype(kind)
         if depth >= n:
-            exact = _product(x, queries.T)
+            exact = x @ asked
             return exact, exact
-        from_top, from_end = self.sorted[n - depth], self.sorted[depth - 1]
-        top, end = x >= from_top, x <= from_end
-        lower = _product(np.where(top, x, self.sorted[0]), up) + _product(np.where(end, x, self.sorted[-1]), down)
-        upper = _product(np.maximum(x, from_top), up) + _product(np.minimum(x, from_end), down)
+        up, down = np.maximum(asked, 0), np.minimum(asked, 0)
+        least, from_end, from_top, most = (self.sorted[i].astype(kind) for i in (0, depth - 1, n - depth, n - 1))
+        lower = np.where(x >= from_top, x, least) @ up + np.where(x <= from_end, x, most) @ down
+        upper = np.maximum(x, from_top) @ up + np.minimum(x, from_end) @ down
         return lower, upper
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:

@@ -1,0 +1,73 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+from fixtures import awkward, empty, prose
+from tokenizers import Tokenizer
+
+from celltide.llm.packing import best_fit, pack
+
+
+def placed_without_overlap(pieces, capacity):
+    """Number of sequences; ``pieces``: (sequence, offset, length)."""
+    by = defaultdict(list)
+    for s, o, n in pieces:
+        by[s].append((o, n))
+    for own in by.values():
+        end = 0
+        for o, n in sorted(own):
+            assert o == end
+            end += n
+        assert end <= capacity
+    return len(by)
+
+
+def naive_best_fit(counts, capacity):
+    rooms = []
+    for length in sorted(counts, reverse=True):
+        for _ in range(counts[length]):
+            fit = [i for i, r in enumerate(rooms) if r >= length]
+            if fit:
+                rooms[min(fit, key=lambda i: rooms[i])] -= length
+            else:
+                rooms.append(capacity - length)
+    return sorted(rooms)
+
+
+def test_plan_is_best_fit():
+    r = random.Random(5)
+    for _ in range(200):
+        capacity = r.randrange(1, 60)
+        counts = {r.randrange(1, capacity + 1): r.randrange(1, 30) for _ in range(r.randrange(1, 15))}
+        slots, bins = best_fit(counts, capacity)
+        pieces, ranks = [], defaultdict(list)
+        for length, first, last, each, sequence, offset in slots:
+            for i in range(last - first + 1):
+                ranks[length].append(first + i)
+                pieces.append((sequence + i // each, offset + i % each * length, length))
+        assert {k: sorted(v) for k, v in ranks.items()} == {k: list(range(n)) for k, n in counts.items()}
+        assert placed_without_overlap(pieces, capacity) == bins
+        rooms = [capacity] * bins
+        for s, _, n in pieces:
+            rooms[s] -= n
+        assert sorted(rooms) == naive_best_fit(counts, capacity)
+
+
+def test_pieces_are_the_librarys_ids(spark):
+    docs = awkward(spark, [*prose(1, 12), "It's 3.14 o'clock — ÉTÉ İ ẖ a b\x1cc <|endoftext|> don't.Stop!?", "big " * 9000])
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.encode_special_tokens = True
+    want = []
+    for r in docs.collect():
+        ids = np.array([*library.encode(r.text or "", add_special_tokens=False).ids, 1], "<u4")
+        want += [(r.doc_id, n, at, len(ids[at:at + 4096]), zlib.crc32(ids[at:at + 4096].tobytes())) for n, at in enumerate(range(0, len(ids), 4096))]
+    got = pack(docs).collect()
+    assert sorted(want, key=str) == sorted(((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got), key=str)
+    n = placed_without_overlap([(r.sequence_id, r.offset, r.length) for r in got], 4096)
+    assert n == len(naive_best_fit({x: sum(r.length == x for r in got) for x in {r.length for r in got}}, 4096))
+
+
+def test_empty_table(spark):
+    assert pack(empty(spark)).collect() == []
