@@ -4,9 +4,9 @@ A document is its set of word shingles.  Equal sets become one class, named by t
 a signature, the minima of many universal hash functions over its set.  Signatures are cut into bands; classes that
 agree on a band are candidates.  In each bucket every member is held against the bucket's smallest member, by signature
 and then on the full sets, and the links give components (large-star, small-star).  A bucket whose members are all in
-one component needs no more.  In the others, members of different components are compared by signature, in tiles of
-bounded size, and what agrees is confirmed on the full sets.  So no link between components is lost, and a large group
-of copies costs one comparison for each copy and band.
+one component needs no more.  In the others, members of different components are compared in tiles of bounded size: by
+signature, and what agrees on the full sets.  A tile gives only the links that join its components.  So no link between
+components is lost, and a large group of copies costs one comparison for each copy and band.
 
 With 32 bands of 4 minima, two sets of similarity 0.8 share no band with a probability below 1e-7.
 """
@@ -24,7 +24,9 @@ from celltide.llm.common import pieces_of, staged, workers_import
 from celltide.llm.components import components
 from celltide.llm.textscan import U, mix, range_hash, scan, window_hashes
 
-SHINGLE, PERCENT, BANDS, ROWS, TILE = 4, 80, 32, 4, 512
+SHINGLE, PERCENT, BANDS, ROWS, TILE = 4, 80, 32, 4, 256
+#: Columns of an incidence matrix at a time.
+COLUMNS = 8192
 #: Share of equal minima below which two sets of the wanted similarity have signatures with a probability below 1e-6.
 MARGIN = 0.19
 
@@ -104,23 +106,58 @@ def _confirm(k: int, percent: int, least_equal: int):
     return run
 
 
-def _compare(least_equal: int):
-    """Pairs of one tile of a bucket that are in different components and whose signatures agree."""
+def _common(hashes: np.ndarray, first: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with the sets ``right``, by products of incidence matrices."""
+    size = np.diff(first)
+    owner = np.repeat(np.arange(len(size)), size)
+    _, number, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    several = count[number] > 1  # a shingle of one set is in no intersection
+    renumber = np.cumsum(count > 1) - 1
+    owner, number = owner[several], renumber[number[several]]
+    order = np.argsort(number, kind="stable")
+    owner, number = owner[order], number[order]
+    out = np.zeros((len(left), len(right)), np.float32)
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(number, (low, low + COLUMNS))
+        part = np.zeros((len(size), COLUMNS), np.float32)
+        part[owner[a:b], number[a:b] - low] = 1
+        out += part[left] @ part[right].T
+    return out
+
+
+def _compare(k: int, percent: int, least_equal: int):
+    """Links between components in one tile of a bucket, as few as join what the tile joins."""
 
     def run(tile: pa.Table) -> pa.Table:
-        node, component, block = (tile.column(x).to_numpy() for x in ("node", "component", "block"))
-        signs = np.frombuffer(b"".join(tile.column("signature").to_pylist()), "<u4").reshape(len(node), -1)
-        i = tile.column("i")[0].as_py()
-        left = np.flatnonzero(block == i)
-        right = np.flatnonzero(block != i) if (block != i).any() else left
-        if tile.column("j")[0].as_py() != i and right is left:
-            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        component, block = (tile.column(x).to_numpy() for x in ("component", "block"))
+        signs = np.frombuffer(b"".join(tile.column("signature").to_pylist()), "<u4").reshape(len(block), -1)
+        i, j = (tile.column(x)[0].as_py() for x in ("i", "j"))
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        likely = np.zeros((len(left), len(right)), bool)
+        for at, x in enumerate(left):
+            likely[at] = (component[right] != component[x]) & ((signs[right] == signs[x]).sum(1) >= least_equal)
+        joined: dict[int, int] = {}
+
+        def find(x: int) -> int:
+            while x in joined:
+                x = joined[x]
+            return x
+
         out: list[tuple[int, int]] = []
-        for x in left:
-            other = right[(component[right] != component[x]) & ((node[right] > node[x]) | (block[right] != block[x]))]
-            agree = other[(signs[other] == signs[x]).sum(1) >= least_equal]
-            out += ((max(node[x], node[y]), min(node[x], node[y])) for y in agree)
-        return pa.table({"a": pa.array([int(p[0]) for p in out], pa.int64()), "b": pa.array([int(p[1]) for p in out], pa.int64())})
+        if likely.any():
+            left, right, likely = left[likely.any(1)], right[likely.any(0)], likely[likely.any(1)][:, likely.any(0)]
+            rows = np.union1d(left, right)
+            texts = tile.column("text").take(pa.array(rows)).combine_chunks().cast(pa.large_binary())
+            hashes, first = _sets(texts, k)
+            left, right, size = np.searchsorted(rows, left), np.searchsorted(rows, right), np.diff(first)
+            common = _common(hashes, first, left, right)
+            likely &= 100 * common >= percent * (size[left][:, None] + size[right][None, :] - common)
+            for x, y in np.argwhere(likely):
+                a, b = find(int(component[rows[left[x]]])), find(int(component[rows[right[y]]]))
+                if a != b:
+                    joined[max(a, b)] = min(a, b)
+                    out.append((max(a, b), min(a, b)))
+        return pa.table({"a": pa.array([p[0] for p in out], pa.int64()), "b": pa.array([p[1] for p in out], pa.int64())})
 
     return run
 
@@ -156,30 +193,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     buckets = banded.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size")).filter("size > 1")
     shared = staged(banded.join(buckets, "bucket"), "buckets")
 
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        pairs = staged(pairs.distinct(), "pairs")
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = classes.join(ends, "node", "left_semi").withColumnRenamed("node", "doc_id")
-        texts = staged(table.join(wanted, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select("doc_id", "text", "signature"), "texts")
-        as_end = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"text_{x}"), F.col("signature").alias(f"signature_{x}"))
-        both = pairs.join(as_end("a"), "a").join(as_end("b"), "b").select("a", "b", "signature_a", "signature_b", "text_a", "text_b")
-        return both.mapInArrow(_confirm(shingle, percent, least_equal), "a long, b long")
-
-    links = confirmed(shared.filter("node > head").select(F.col("node").alias("a"), F.col("head").alias("b")))
+    # every member against its buckets' heads
+    pairs = staged(shared.filter("node > head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
+    ends = shared.select("node").distinct()
+    wanted = classes.join(ends, "node", "left_semi").withColumnRenamed("node", "doc_id")
+    texts = staged(table.join(wanted, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select(F.col("doc_id").alias("node"), "text", "signature"), "texts")
+    as_end = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("signature").alias(f"signature_{x}"))
+    both = pairs.join(as_end("a"), "a").join(as_end("b"), "b").select("a", "b", "signature_a", "signature_b", "text_a", "text_b")
+    links = both.mapInArrow(_confirm(shingle, percent, least_equal), "a long, b long")
     found = staged(components(links.unionByName(same_id)), "components")
 
-    # pairs without a bucket's head, where its members are still in several components
+    # members of one bucket that are still in several components
     labelled = shared.filter("size > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("high > low").select("bucket")
     open_rows = labelled.filter("node != head").join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("size") / tile).cast("int")) \
-        .withColumn("block", F.pmod(F.hash("node"), "blocks")).join(classes.select("node", "signature"), "node")
+        .withColumn("block", F.pmod(F.hash("node"), "blocks")).join(texts, "node")
     tiled = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "node", "component", "signature")
-    rest = tiled.groupBy("bucket", "i", "j").applyInArrow(_compare(least_equal), "a long, b long")
-    more = staged(confirmed(rest), "links")
-    name = lambda side: found.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-    joined = more.join(name("a"), "a", "left").join(name("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
-    merged = components(joined).select(F.col("node").alias("component"), F.col("component").alias("into"))
+        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "signature", "text")
+    more = tiled.groupBy("bucket", "i", "j").applyInArrow(_compare(shingle, percent, least_equal), "a long, b long")
+    merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("into"))
 
     labels = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(merged, "component", "left") \
         .select("doc_id", *own_set, F.coalesce("into", "component").alias("component"))
