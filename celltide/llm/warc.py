@@ -24,6 +24,7 @@ from celltide.llm.common import workers_import
 VERSION, DATE = b"WARC/1.1", "1970-01-01T00:00:00Z"  # pages carry no time of capture
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP, ID = b"\x1f\x8b\x08", "urn:x-page:"
+STEP = 16_384  # bytes to decompress at a time
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 PLAIN = re.compile(rb"WARC/1\.[01]\r\n")
 
@@ -62,6 +63,7 @@ class Found:
     headers: dict[str, str] = field(default_factory=dict)
     http: dict[str, str] = field(default_factory=dict)
     payload: bytes = b""
+    digest: str = ""
 
 
 class Damage(ValueError):
@@ -78,8 +80,8 @@ def _fields(lines: list[bytes]) -> dict[str, str]:
     return out
 
 
-def _digest_fits(stated: str | None, content: bytes) -> bool:
-    return stated is None or not stated.startswith("sha1:") or stated[5:] == sha1(content)
+def _digest_fits(stated: str | None, digest: str) -> bool:
+    return stated is None or not stated.startswith("sha1:") or stated[5:] == digest
 
 
 def parse(data: bytes, at: int) -> Found:
@@ -96,7 +98,7 @@ def parse(data: bytes, at: int) -> Found:
     if data[end:end + 4] != b"\r\n\r\n":
         raise Damage("block does not end where it should")
     block = data[begin:end]
-    if not _digest_fits(headers.get("warc-block-digest"), block):
+    if not _digest_fits(headers.get("warc-block-digest"), sha1(block)):
         raise Damage("block digest differs")
     out = Found(at, end + 4, headers)
     if headers.get("content-type", "").startswith("application/http"):
@@ -104,21 +106,27 @@ def parse(data: bytes, at: int) -> Found:
         out.http = _fields(top.split(b"\r\n")[1:])
     else:
         out.payload = block
-    if headers.get("warc-type") == "response" and not _digest_fits(headers.get("warc-payload-digest"), out.payload):
-        raise Damage("payload digest differs")
+    if headers.get("warc-type") == "revisit":
+        out.digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
+    else:
+        out.digest = sha1(out.payload)
+        if not _digest_fits(headers.get("warc-payload-digest"), out.digest):
+            raise Damage("payload digest differs")
     return out
 
 
 def _member(data: bytes, at: int) -> tuple[bytes, int]:
     """(content, end) of the gzip member at ``at``."""
-    unpack = zlib.decompressobj(31)
+    unpack, view, parts = zlib.decompressobj(31), memoryview(data), []
     try:
-        content = unpack.decompress(memoryview(data)[at:])
+        while at < len(data) and not unpack.eof:  # bit by bit: what follows the member is copied
+            parts.append(unpack.decompress(view[at:at + STEP]))
+            at += STEP
     except zlib.error as e:
         raise Damage("gzip member is damaged") from e
     if not unpack.eof:
         raise Damage("gzip member does not end")
-    return content, len(data) - len(unpack.unused_data)
+    return b"".join(parts), min(at, len(data)) - len(unpack.unused_data)
 
 
 def _in_member(content: bytes) -> list[Found]:
@@ -136,7 +144,7 @@ def salvage(data: bytes) -> Iterator[Found | tuple[int, int, str]]:
         try:
             if data.startswith(GZIP, at):
                 content, end = _member(data, at)
-                found = [Found(at, end, x.headers, x.http, x.payload) for x in _in_member(content)]
+                found = [Found(at, end, x.headers, x.http, x.payload, x.digest) for x in _in_member(content)]
             else:
                 found = [parse(data, at)]
                 end = found[0].end
@@ -216,10 +224,8 @@ def _read(with_payload: bool):
                         out.append((file, x[0], x[1], x[2], *[None] * 7))
                         continue
                     kind = x.headers.get("warc-type")
-                    whole = kind != "revisit"
-                    n = len(x.payload) if whole else int(x.http.get("content-length", 0))
-                    digest = sha1(x.payload) if whole else x.headers.get("warc-payload-digest", "").removeprefix("sha1:")
-                    out.append((file, x.offset, x.end, None, _page(x.headers.get("warc-record-id")), x.headers.get("warc-target-uri"), kind, _page(x.headers.get("warc-refers-to")), n, digest, x.payload if with_payload else None))
+                    n = len(x.payload) if kind != "revisit" else int(x.http.get("content-length", 0))
+                    out.append((file, x.offset, x.end, None, _page(x.headers.get("warc-record-id")), x.headers.get("warc-target-uri"), kind, _page(x.headers.get("warc-refers-to")), n, x.digest, x.payload if with_payload else None))
                     size += len(x.payload) if with_payload else 0
                     if size > 4 << 20 or len(out) >= 10_000:
                         yield batch_of(out)
