@@ -30,7 +30,7 @@ class Rule:
 
 
 def anchored(regex: str) -> str:
-    return f"^(?:{regex})$"
+    return rf"\A(?:{regex})\z"
 
 
 def java_replacement(rep: str) -> str:

@@ -8,8 +8,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
-ISO_MILLIS = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def path_base(c: Column) -> Column:
@@ -27,9 +25,9 @@ def iso_text(ts: Column, fmt: str = ISO_MICROS) -> Column:
     return F.date_format(ts, fmt)
 
 
-def parse_time(text: Column) -> Column:
-    """ISO text (whole seconds, ms, µs or ns, with ``Z``) -> timestamp; NULL if unparsable."""
-    return text.try_cast("timestamp")
+def format_text(template: str, *values: Column) -> Column:
+    """``template`` with ``%s`` and ``%d`` filled in, as a format function does."""
+    return F.format_string(template, *values)
 
 
 def millis_between(start: Column, end: Column) -> Column:

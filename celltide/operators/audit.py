@@ -22,8 +22,3 @@ def multiset_diff(sent: DataFrame, received: DataFrame, key: str = "msg_hash") -
     return (a.unionByName(b).groupBy(key)
             .agg(F.sum("s").alias("sent"), F.sum("r").alias("received"))
             .where(F.col("sent") != F.col("received")))
-
-
-def same_multiset(sent: DataFrame, received: DataFrame, key: str = "msg_hash") -> bool:
-    """O3 as a check: True when both sides hold the same keys equally often."""
-    return multiset_diff(sent, received, key).isEmpty()

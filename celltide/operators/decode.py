@@ -3,9 +3,9 @@
 A message is ``payload BINARY`` plus source columns.  Decoding is one
 narrow projection: bytes -> UTF-8 text -> VARIANT -> object map, the row key
 from ``id`` and the relation from the body, and a ``reason`` that is NULL for
-good messages.  The catalog check is a left join, broadcast when the catalog
-is within its size bound, so the whole step normally runs without a shuffle.  Nothing is dropped: every
-bad message keeps its payload and a reason.
+good messages.  The catalog check is a left join with a table that is built
+on the driver, so the planner knows its size and broadcasts a small one.
+Nothing is dropped: every bad message keeps its payload and a reason.
 """
 
 from __future__ import annotations
@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 
 from celltide.sources.catalog import Catalog
 
-# Quarantine reasons, in the order they are tested.
-REASONS = ["BAD_UTF8", "BAD_JSON", "NOT_OBJECT", "NO_ID", "ID_NOT_STRING",
-           "NO_RELATION", "UNKNOWN_RELATION"]
-
-
 def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
     """Add ``row_key, relation, obj (MAP<STRING,VARIANT>), reason`` to messages.
 
@@ -37,13 +32,15 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
     id_v = F.try_element_at(F.col("obj"), F.lit("id"))
     id_is_text = F.coalesce(F.schema_of_variant(id_v) == "STRING", F.lit(False))
     has_rel = F.map_contains_key(F.col("obj"), "relation")
+    rel_v = F.try_element_at(F.col("obj"), F.lit("relation"))
+    rel_is_text = F.coalesce(F.schema_of_variant(rel_v) == "STRING", F.lit(False))
     df = (df
           .withColumn("row_key", F.when(id_is_text, id_v.cast("string")))
-          .withColumn("relation", F.try_element_at(F.col("obj"), F.lit("relation")).cast("string")))
+          .withColumn("relation", F.when(rel_is_text, rel_v.cast("string"))))
     known = F.lit(True)
     if catalog is not None:
         spark = messages.sparkSession
-        cat = catalog.join_side(catalog.relations_df(spark).withColumn("_known", F.lit(True)))
+        cat = catalog.relations_df(spark).withColumn("_known", F.lit(True))
         df = df.join(cat, "relation", "left")
         known = F.coalesce(F.col("_known"), F.lit(False))
     reason = (F.when(~valid, "BAD_UTF8")
@@ -52,6 +49,7 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
               .when(~has_id, "NO_ID")
               .when(~id_is_text, "ID_NOT_STRING")
               .when(~has_rel, "NO_RELATION")
+              .when(~rel_is_text, "RELATION_NOT_STRING")
               .when(~known, "UNKNOWN_RELATION"))
     out = df.withColumn("reason", reason).drop("_utf8", "_v")
     return out.drop("_known") if catalog is not None else out
@@ -61,9 +59,10 @@ def good(decoded: DataFrame) -> DataFrame:
     return decoded.where(F.col("reason").isNull()).drop("reason")
 
 
-def quarantined(decoded: DataFrame) -> DataFrame:
-    """Bad messages with their original bytes and the reason."""
-    keep = [c for c in ("seq", "message_id", "topic", "publish_time", "attributes", "payload", "reason")
+def quarantined(decoded: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Bad messages with their original bytes and the reason: ``BAD_UTF8, BAD_JSON, NOT_OBJECT, NO_ID,
+    ID_NOT_STRING, NO_RELATION, RELATION_NOT_STRING`` or ``UNKNOWN_RELATION``, the first that holds."""
+    keep = [c for c in ("seq", "message_id", "topic", "publish_time", "attributes", "payload", "reason", *also)
             if c in decoded.columns]
     return decoded.where(F.col("reason").isNotNull()).select(*keep)
 
@@ -74,14 +73,14 @@ def quarantine_counts(decoded: DataFrame) -> DataFrame:
 
 
 def known_relation(messages: DataFrame, catalog: Catalog, col: str = "relation") -> DataFrame:
-    """Messages whose relation is in the catalog (broadcast semi join)."""
-    cat = catalog.join_side(catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col))
+    """Messages whose relation is in the catalog (semi join)."""
+    cat = catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col)
     return messages.join(cat, col, "left_semi")
 
 
 def unknown_relation(messages: DataFrame, catalog: Catalog, col: str = "relation") -> DataFrame:
-    """Messages whose relation is not in the catalog (broadcast anti join)."""
-    cat = catalog.join_side(catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col))
+    """Messages whose relation is not in the catalog (anti join)."""
+    cat = catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col)
     return messages.join(cat, col, "left_anti")
 
 

@@ -6,7 +6,7 @@ them into built-in map expressions.
 
 from __future__ import annotations
 
-from celltide.functions.relabel import Rule, relabel  # noqa: F401  (re-export)
+from celltide.functions.relabel import Rule
 
 # Pod log target rules of the log collector.
 POD_LOG_RULES = [
@@ -36,3 +36,7 @@ DROP_FINISHED_PODS = Rule(action="drop", source_labels=("__meta_kubernetes_pod_p
 # Pod labels become target labels.
 POD_LABELMAP = Rule(action="labelmap", regex="__meta_kubernetes_pod_label_(.+)")
 NODE_LABELMAP = Rule(action="labelmap", regex="__meta_kubernetes_node_label_(.+)")
+
+# Only the API server's secure endpoint is kept.
+KEEP_API_SERVER = Rule(action="keep", source_labels=("__meta_kubernetes_namespace", "__meta_kubernetes_service_name", "__meta_kubernetes_endpoint_port_name"),
+                       regex="default;kubernetes;https")

@@ -7,11 +7,16 @@ Covers S13, P13-P15, P17, P24, P25, O1, A8, A9 and J5.  A log frame has
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.functions import logfmt
 
+# Fixed value: where the pod log layout names namespace, pod and container.
+POD_LOG_PATH = r"/pods/([^_/]+)_([^_/]+)_([^/]+)/([^/]+)/[^/]*$"
+
 
 def parse_logs(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Add ``level, ts, caller, msg`` parsed from the logfmt line."""
@@ -24,7 +29,7 @@ def read_log_files(spark, path: str, label_pattern: str | None = None) -> DataFr
     With the ``/var/log/pods/<namespace>_<pod>_<uid>/<container>/N.log``
     layout, namespace, pod and container come out of ``_metadata.file_path``.
     """
-    pat = label_pattern or r"/pods/([^_/]+)_([^_/]+)_([^/]+)/([^/]+)/[^/]*$"
+    pat = label_pattern or POD_LOG_PATH
     df = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"))
     return df.select(
         "line", "file",
@@ -38,7 +43,7 @@ def stream_log_files(spark, path: str, label_pattern: str | None = None,
                      max_files_per_trigger: int | None = None) -> DataFrame:
     """S13 as a stream: new log files are picked up per micro-batch, labels
     from ``_metadata.file_path`` as in ``read_log_files``."""
-    pat = label_pattern or r"/pods/([^_/]+)_([^_/]+)_([^/]+)/([^/]+)/[^/]*$"
+    pat = label_pattern or POD_LOG_PATH
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
@@ -50,32 +55,39 @@ def stream_log_files(spark, path: str, label_pattern: str | None = None,
                      F.regexp_extract("file", pat, 4).alias("container"))
 
 
-def now_of(df: DataFrame, time_col: str) -> Column:
-    """Latest time in ``df`` as a scalar subquery (no join, no collect)."""
-    return df.select(F.max(time_col)).scalar()
+def newest(df: DataFrame, time_col: str) -> dt.datetime:
+    """Latest time in ``df``: a ``now`` for recorded data (one row reaches the driver)."""
+    return df.agg(F.max(time_col)).first()[0]
 
 
-def panel(logs: DataFrame, selector: dict[str, str], contains: str | None = None,
-          now: Column | None = None, since: str = "6 hours", limit: int = 1000,
-          time_col: str = "arrival_ts") -> DataFrame:
+def panel(logs: DataFrame, selector: dict[str, str], contains: str | None = None, *,
+          now: dt.datetime, since: dt.timedelta = dt.timedelta(hours=6), limit: int | None = None,
+          time_col: str = "arrival_ts", date_col: str | None = None) -> DataFrame:
     """P13-P15 + O1: label equality, raw-line substring, time range, newest first.
 
     ``contains`` tests the raw line, not the parsed level: a message that
-    quotes ``level=error`` matches the error panel too.  The limit makes the
-    sort a per-partition top-n (``TakeOrderedAndProject``).
+    quotes ``level=error`` matches the error panel too.  The range is
+    ``now - since`` to ``now``, as literals on the stored column, so that it
+    reaches the scan; ``date_col`` names a date partition to prune by.  All
+    lines are returned unless a ``limit`` is asked for, which makes the sort a
+    per-partition top-n.
     """
     cond = F.lit(True)
     for k, v in selector.items():
         cond = cond & (F.col(k) == v)
     if contains is not None:
         cond = cond & F.col("line").contains(contains)
-    t_now = now if now is not None else now_of(logs, time_col)
-    # 0 <= now - ts <= span, written with a single reference to ``now``
-    # (``between`` would plan the scalar subquery twice): |2(now - ts) - span| <= span
-    age = F.unix_micros(t_now) - F.unix_micros(time_col)
-    span = F.unix_micros(F.lit("1970-01-01 00:00:00").cast("timestamp") + F.expr(f"INTERVAL {since}"))
-    cond = cond & (F.abs(age * 2 - span) <= span)
-    return logs.where(cond).orderBy(F.col(time_col).desc(), F.col("seq").asc()).limit(limit)
+    cond = cond & F.col(time_col).between(F.lit(now - since), F.lit(now))
+    if date_col:
+        cond = cond & F.col(date_col).between(F.lit((now - since).date()), F.lit(now.date()))
+    lines = logs.where(cond).orderBy(F.col(time_col).desc(), F.col("seq").asc())
+    return lines if limit is None else lines.limit(limit)
+
+
+def write_logs(logs: DataFrame, path: str, time_col: str = "arrival_ts") -> None:
+    """Store log lines by day (``log_date``), in time order within files."""
+    (logs.withColumn("log_date", F.to_date(time_col)).hint("rebalance", "log_date")
+     .sortWithinPartitions("log_date", time_col).write.mode("append").partitionBy("log_date").parquet(path))
 
 
 def volume(logs: DataFrame, every: str = "15 minutes",
@@ -100,27 +112,32 @@ def template(line: Column) -> Column:
     return line
 
 
-def patterns(logs: DataFrame, k: int = 20) -> DataFrame:
-    """The ``k`` most frequent line templates (ties by template text)."""
-    return (logs.groupBy(template(F.col("line")).alias("template"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.col("n").desc(), F.col("template")).limit(k))
+def patterns(logs: DataFrame, k: int | None = None) -> DataFrame:
+    """Line templates by frequency (ties by template text), the first ``k`` of them if asked for."""
+    found = (logs.groupBy(template(F.col("line")).alias("template"))
+             .agg(F.count(F.lit(1)).alias("n"))
+             .orderBy(F.col("n").desc(), F.col("template")))
+    return found if k is None else found.limit(k)
 
 
 def reject_old(df: DataFrame, ts_col: str, arrival: Column, max_age: str = "168 hours") -> DataFrame:
     """Flag rows older than ``max_age`` at arrival (``rejected``); stateless,
-    so callers write ``rejected`` rows to a side table instead of losing them."""
-    return df.withColumn("rejected", F.col(ts_col) < arrival - F.expr(f"INTERVAL {max_age}"))
+    so callers write ``rejected`` rows to a side table instead of losing them.
+    A row without a time cannot be shown to be old and is accepted."""
+    old = F.col(ts_col) < arrival - F.expr(f"INTERVAL {max_age}")
+    return df.withColumn("rejected", F.coalesce(old, F.lit(False)))
 
 
-def retention(df: DataFrame, date_col: str, now: Column, days: int = 15) -> DataFrame:
-    """P25: keep whole days within ``days`` of ``now``; on a date-partitioned
-    table the predicate prunes folders."""
-    return df.where(F.col(date_col) >= F.date_sub(F.to_date(now), days))
-
-
-# Delivery outcome names.
-OUTCOMES = ["published", "failed", "not_queued", "queued_only", "no_receipt"]
+def retention(df: DataFrame, now: dt.datetime, days: int = 15, ts_col: str | None = None, date_col: str | None = None) -> DataFrame:
+    """P25: keep whole days within ``days`` of ``now``, by the stored time or by a date
+    partition; either predicate is a literal bound that reaches the scan."""
+    first = now.date() - dt.timedelta(days=days)
+    cond = F.lit(True)
+    if date_col:
+        cond = cond & (F.col(date_col) >= F.lit(first))
+    if ts_col:
+        cond = cond & (F.col(ts_col) >= F.lit(dt.datetime.combine(first, dt.time())))
+    return df.where(cond)
 
 
 def delivery_outcomes(steps: DataFrame, key: str = "msg_hash") -> DataFrame:

@@ -9,13 +9,12 @@ buffer on one task.  Here the work is spread out:
    range, so ranks can be counted block by block.
 3. Exclusive prefix counts: per block (a small table), then a running count
    inside each block (a window over one block's distinct values).
-4. The rows that hold the two ranks around ``p * (n - 1)`` are picked by a
-   join with the small target table, and the value is interpolated linearly
+4. The two ranks around ``p * (n - 1)`` are first looked up in the table of
+   blocks, and then in those blocks alone, by joins; the value is interpolated linearly
    (same definition as ``percentile`` / ``quantile_cont``).
 
 No group is ever gathered whole: the largest unit of work is one block's
-distinct values, about ``distinct / blocks``.  Below a checked size the
-counts of a key go to one ``percentile`` buffer instead (fewer stages).
+distinct values, about ``distinct / blocks``.
 """
 
 from __future__ import annotations
@@ -41,25 +40,14 @@ def frequencies(df: DataFrame, key: str, x: str, materialize: bool = True) -> Da
 
 
 def exact_percentiles(df: DataFrame, key: str, x: str, ps: list[float], blocks: int = 64,
-                      accuracy: int = 10_000, freq: DataFrame | None = None,
-                      single_task_limit: int = 1_000_000) -> DataFrame:
+                      accuracy: int = 10_000, freq: DataFrame | None = None) -> DataFrame:
     """``key, p, value`` for each key and each fraction in ``ps`` (NULL ``x`` ignored).
 
     Pass ``freq`` (from ``frequencies``) to reuse one aggregation for several
-    statistics.  When no key has more than ``single_task_limit`` distinct
-    values (checked on the checkpointed counts), ``percentile`` with the count
-    as frequency is used: exact, one buffer of at most that many entries per
-    key.  Otherwise the blocked plan below runs.
+    statistics.
     """
     if freq is None:
         freq = frequencies(df, key, x)
-    if single_task_limit > 0:
-        widest = freq.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        if widest <= single_task_limit:
-            q = freq.groupBy(key).agg(F.percentile(F.col(x), [float(p) for p in ps], F.col("_c")).alias("_q"))
-            return q.select(key, F.posexplode("_q").alias("_i", "value")).select(
-                key, F.element_at(F.array(*[F.lit(float(p)) for p in ps]), F.col("_i") + 1).alias("p"),
-                F.col("value").cast("double").alias("value"))
     cuts = [i / blocks for i in range(1, blocks)]
     if cuts:
         per_key = freq.groupBy(key).agg(F.sum("_c").alias("_n"),
@@ -81,12 +69,13 @@ def exact_percentiles(df: DataFrame, key: str, x: str, ps: list[float], blocks:
               .withColumn("_end", F.col("_start") + F.col("_c") - 1))
     targets = per_key.select(key, "_n", F.explode(F.array(*[F.lit(float(p)) for p in ps])).alias("p")) \
         .withColumn("_h", F.col("p") * (F.col("_n") - 1)) \
-        .withColumn("_lo", F.floor("_h")).withColumn("_hi", F.ceil("_h"))
-    hit_lo = (F.col("_start") <= F.col("_lo")) & (F.col("_lo") <= F.col("_end"))
-    hit_hi = (F.col("_start") <= F.col("_hi")) & (F.col("_hi") <= F.col("_end"))
-    picked = ranked.select(key, "_start", "_end", x).join(targets, key).where(hit_lo | hit_hi)
-    v = F.col(x).cast("double")
-    return (picked.groupBy(key, "p", "_h", "_lo")
-            .agg(F.max(F.when(hit_lo, v)).alias("_xlo"), F.max(F.when(hit_hi, v)).alias("_xhi"))
-            .select(key, "p", (F.col("_xlo") + (F.col("_h") - F.col("_lo")) * (F.col("_xhi") - F.col("_xlo")))
-                    .alias("value")))
+        .withColumn("_rank", F.explode(F.array_distinct(F.array(F.floor("_h"), F.ceil("_h")))))
+    # the block of each rank, then the value within it: (key, block) spreads a key over its blocks
+    inside = (F.col("_rank") >= F.col("_before_blk")) & (F.col("_rank") < F.col("_before_blk") + F.col("_bc"))
+    located = targets.join(before_blk, key).where(inside).select(key, "_blk", "p", "_h", "_rank")
+    hit = (F.col("_start") <= F.col("_rank")) & (F.col("_rank") <= F.col("_end"))
+    picked = ranked.select(key, "_blk", "_start", "_end", x).join(located, [key, "_blk"]).where(hit)
+    v, low = F.col(x).cast("double"), F.floor("_h")
+    return (picked.groupBy(key, "p", "_h")
+            .agg(F.max(F.when(F.col("_rank") == low, v)).alias("_xlo"), F.max(F.when(F.col("_rank") == F.ceil("_h"), v)).alias("_xhi"))
+            .select(key, "p", (F.col("_xlo") + (F.col("_h") - low) * (F.col("_xhi") - F.col("_xlo"))).alias("value")))

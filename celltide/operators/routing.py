@@ -29,11 +29,6 @@ def forward_records(messages: DataFrame, target_topic: str) -> DataFrame:
     )
 
 
-def attach_route(decoded: DataFrame, key: Column | None = None) -> DataFrame:
-    """The routing key (relation) read from the body, or an explicit column."""
-    return decoded.withColumn("route", key if key is not None else F.col("relation"))
-
-
 def with_relation_json(df: DataFrame, fields: list[str], relation: Column) -> Column:
     """JSON text of the given fields plus ``relation``.
 

@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.sources.catalog import DECLARED_TYPES, Catalog
+from celltide.storage import new_location
+
+
+def _typed_text(text: Column, declared: str) -> Column:
+    """Typed read of a value's canonical text, NULL when it does not convert.
+
+    An INTEGER must be integral as written (``1.9`` is none); an unknown
+    declared type is read as text.
+    """
+    spark_type = DECLARED_TYPES.get(declared.upper(), "string")
+    if spark_type == "string":
+        return text
+    value = text.try_cast(spark_type)
+    return F.when(text.rlike(r"^[+-]?\d+$"), value) if spark_type == "int" else value
 
 
 def _typed(v: Column, declared: str) -> Column:
-    """Lenient typed read of a VARIANT value; NULL when it does not convert."""
+    """Typed read of a VARIANT value: its kind must fit (text for STRING and TIMESTAMP, a number for FLOAT and
+    INTEGER), and then its canonical text is read as a stored cell is."""
     spark_type = DECLARED_TYPES.get(declared.upper())
+    text = v.cast("string")
     if spark_type is None:
-        return F.lit(None)
-    if spark_type == "string":
-        return F.when(F.schema_of_variant(v) == "STRING", v.cast("string"))
-    return F.try_variant_get(v, "$", spark_type)
+        return text
+    is_text = F.schema_of_variant(v) == "STRING"
+    is_number = F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL.*)$")
+    return F.when(is_text if spark_type in ("string", "timestamp") else is_number, _typed_text(text, declared))
 
 
 def typed_view(decoded_good: DataFrame, fields: list[tuple[str, str]],
@@ -27,24 +43,11 @@ def typed_view(decoded_good: DataFrame, fields: list[tuple[str, str]],
     return decoded_good.select(*keep, *cols)
 
 
-def typed_relation(decoded_good: DataFrame, catalog: Catalog, relation: str,
-                   keep: tuple[str, ...] = ("seq",)) -> DataFrame:
-    """Typed view of one relation (partition-pruned when read from the cells table)."""
-    return typed_view(decoded_good.where(F.col("relation") == relation), catalog.fields(relation), keep)
-
-
-def _typed_text(c: Column, declared: str) -> Column:
-    """Typed read of a stored cell text; NULL when it does not convert."""
-    spark_type = DECLARED_TYPES.get(declared.upper())
-    if spark_type is None:
-        return F.lit(None)
-    return c if spark_type == "string" else c.try_cast(spark_type)
-
-
 def typed_latest(latest: DataFrame, fields: list[tuple[str, str]], family: str = "cf1") -> DataFrame:
     """P11 on the store: newest cell values pivoted to one column per catalog
     field (the pivot values come from the catalog, so no extra pass finds
-    them), then cast by declared type."""
+    them), then read by the rule of ``typed_view``.  A stored cell no longer
+    tells ``"12"`` from ``12``: as FLOAT or INTEGER both are read."""
     from celltide.operators.cells import pivot_latest
     names = [n for n, _ in fields]
     wide = pivot_latest(latest, names, family)
@@ -58,9 +61,8 @@ def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
 
     Plan: one pass.  Every message explodes into its keys plus one marker
     entry, so a single partially aggregated ``groupBy(relation, field)`` gives
-    both the per-key counts and the message count per relation; the
-    (size-checked) catalog is broadcast, and the final join is between small
-    aggregated sides.
+    the per-key counts and, in the marker rows, the messages of each relation.
+    Those few rows are staged; what is left are joins of small tables.
     """
     spark = decoded_good.sparkSession
     marker = "\u0000messages"
@@ -69,25 +71,22 @@ def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
                        F.array(F.struct(F.lit(marker).alias("key"), F.lit(None).cast("variant").alias("value"))))
     keys = decoded_good.select("relation", F.explode(entries).alias("e")) \
         .select("relation", F.col("e.key").alias("field"), F.col("e.value").alias("v"))
-    keys = keys.join(catalog.join_side(cat), ["relation", "field"], "left")
+    keys = keys.join(cat, ["relation", "field"], "left")
     bad = F.lit(False)
     for declared in DECLARED_TYPES:
         bad = F.when(F.col("type") == declared,
                      F.col("v").isNotNull() & ~F.expr("is_variant_null(v)") & _typed(F.col("v"), declared).isNull()
                      ).otherwise(bad)
-    seen = keys.groupBy("relation", "field").agg(
-        F.count(F.lit(1)).alias("present"),
-        F.count_if(bad).alias("bad"))
-    # ``seen`` is referenced once: the message count comes from the marker row
-    # through a window over the (small) aggregated table
-    report = cat.join(seen, ["relation", "field"], "full_outer")
-    per_rel = Window.partitionBy("relation")
-    report = (report.withColumn("n_msgs", F.max(F.when(F.col("field") == marker, F.col("present"))).over(per_rel))
-              .where((F.col("field") != marker) & F.col("n_msgs").isNotNull()))
-    present = F.coalesce(F.col("present"), F.lit(0))
-    is_declared = F.col("type").isNotNull()
-    return report.select(
-        "relation", "field",
-        F.when(is_declared, F.col("n_msgs") - present).otherwise(0).cast("long").alias("missing"),
-        F.when(is_declared, 0).otherwise(present).cast("long").alias("extra"),
-        F.coalesce(F.col("bad"), F.lit(0)).cast("long").alias("badly_typed"))
+    counts = keys.groupBy("relation", "field", "type").agg(F.count(F.lit(1)).alias("present"), F.count_if(bad).alias("bad"))
+    location = new_location(spark, "conformance")
+    counts.write.parquet(location)
+    counts = spark.read.schema(counts.schema).parquet(location)  # a row for each relation and field
+    messages = counts.where(F.col("field") == marker).select("relation", F.col("present").alias("n_msgs"))
+    seen = counts.where(F.col("field") != marker)
+    none = F.lit(0).cast("long")
+    declared = cat.join(messages, "relation").join(seen.drop("type"), ["relation", "field"], "left").select(
+        "relation", "field", (F.col("n_msgs") - F.coalesce("present", none)).alias("missing"),
+        none.alias("extra"), F.coalesce("bad", none).alias("badly_typed"))
+    extra = seen.where(F.col("type").isNull()).select(
+        "relation", "field", none.alias("missing"), F.col("present").alias("extra"), none.alias("badly_typed"))
+    return declared.unionByName(extra)

@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celltide.operators.logs import now_of
-
 
 def device_shadow(decoded_good: DataFrame, fields: list[str], ts_col: str = "publish_time") -> DataFrame:
     """``id, last_seen, n_messages, f_<field>...`` (text of the newest value)."""
@@ -27,8 +25,7 @@ def device_shadow(decoded_good: DataFrame, fields: list[str], ts_col: str = "pub
     return decoded_good.groupBy(F.col("row_key").alias("id")).agg(*aggs)
 
 
-def active_devices(shadow: DataFrame, period: str = "6 hours", now: Column | None = None) -> DataFrame:
-    """Devices seen within ``period`` before ``now`` (default: the newest sighting)."""
-    t_now = now if now is not None else now_of(shadow, "last_seen")
+def active_devices(shadow: DataFrame, period: str, now: Column) -> DataFrame:
+    """Devices seen within ``period`` before ``now``."""
     return shadow.select("id", "last_seen",
-                         (F.col("last_seen") >= t_now - F.expr(f"INTERVAL {period}")).alias("active"))
+                         (F.col("last_seen") >= now - F.expr(f"INTERVAL {period}")).alias("active"))

@@ -1,71 +1,74 @@
 """The cells table on Parquet.
 
-Layout: ``<path>/relation=<r>/ingest_date=<d>/part-*.parquet``.  A relation
+Layout, for batch and streaming writers alike:
+``<path>/relation=<r>/ingest_date=<d>/write=<w>/part-*.parquet``.  A relation
 is a partition, so choosing a relation or a date range prunes folders, and
 ``row_key`` is sorted inside each file so that row-group statistics skip
-data on key lookups.
+data on key lookups.  ``write`` names the write that made the files, so a
+repeated write replaces its own files and no others; ``compact`` joins the
+writes of a closed day into one.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import urllib.parse
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.storage import delete_path, list_subdirs, new_location
+from celltide.storage import delete_path, glob_paths, list_subdirs, new_location, rename_path
 
-PARTITION_COLS = ["relation", "ingest_date"]
+PARTITION_COLS = ["relation", "ingest_date", "write"]
 CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "cell_ts", "event_ts", "seq", "relation",
                 "ingest_date"]
 
 CELLS_DDL = ("row_key STRING, family STRING, qualifier STRING, value STRING, cell_ts TIMESTAMP, "
-             "event_ts TIMESTAMP, seq BIGINT, relation STRING, ingest_date DATE")
+             "event_ts TIMESTAMP, seq BIGINT, relation STRING, ingest_date DATE, write STRING")
 
 
-def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
+def write_cells(cells: DataFrame, path: str, write: str | None = None) -> None:
     """One write routed by relation (``partitionBy``), never a loop per relation.
 
     The ``rebalance`` hint clusters rows by (relation, date) and lets adaptive
     execution size the tasks: small partitions are coalesced (few files per
     folder) and a hot relation or day is split over several tasks, so file
-    size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
+    size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  With
+    ``write`` the files of an earlier attempt of that write are removed first.
     """
-    (cells.select(*CELL_COLUMNS)
-     .hint("rebalance", *PARTITION_COLS)
+    spark = cells.sparkSession
+    if write is None:
+        write = f"batch-{uuid.uuid4().hex}"
+    else:
+        for folder in glob_paths(spark, f"{path.rstrip('/')}/relation=*/ingest_date=*/write={write}"):
+            delete_path(spark, folder)
+    (cells.select(*CELL_COLUMNS).withColumn("write", F.lit(write))
+     .hint("rebalance", "relation", "ingest_date")
      .sortWithinPartitions("relation", "ingest_date", "row_key")
-     .write.mode(mode).partitionBy(*PARTITION_COLS).parquet(path))
+     .write.mode("append").partitionBy(*PARTITION_COLS).parquet(path))
 
 
 def create_table(spark: SparkSession, name: str, path: str) -> None:
-    """Catalog table over the folder, partitioned by relation and date."""
+    """Catalog table over the folder, partitioned as the files are."""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({CELLS_DDL}) USING parquet "
-              f"PARTITIONED BY (relation, ingest_date) LOCATION '{path}'")
-    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+              f"PARTITIONED BY ({', '.join(PARTITION_COLS)}) LOCATION '{path}'")
+    register_partitions(spark, name)
 
 
-def partition_cols(spark: SparkSession, path: str) -> list[str]:
-    """``relation, ingest_date`` for batch-written tables, plus ``batch_id``
-    for tables written by the streaming ingest (found from one folder chain)."""
-    root = path.rstrip("/")
-    rels = [d for d in list_subdirs(spark, root) if d.startswith("relation=")]
-    if rels:
-        days = list_subdirs(spark, f"{root}/{rels[0]}")
-        if days and any(d.startswith("batch_id=") for d in list_subdirs(spark, f"{root}/{rels[0]}/{days[0]}")):
-            return PARTITION_COLS + ["batch_id"]
-    return list(PARTITION_COLS)
+def register_partitions(spark: SparkSession, name: str) -> None:
+    """Make the partitions written since visible in the catalog table, and forget removed ones."""
+    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
 
 
 def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    extra = ", batch_id BIGINT" if "batch_id" in partition_cols(spark, path) else ""
-    return spark.read.schema(CELLS_DDL + extra).parquet(path)
-
+    return spark.read.schema(CELLS_DDL).parquet(path)
 
-# Characters Spark escapes as %XX in partition folder names
-# (besides control characters below 0x20).
-PATH_ESCAPED_CHARS = '"#%\'*/:=?\\\x7f{[]^'
 
-
-def escape_path_name(value: str) -> str:
-    return "".join(f"%{ord(c):02X}" if c in PATH_ESCAPED_CHARS or ord(c) < 0x20 else c for c in value)
+def _relation_folders(spark: SparkSession, path: str) -> dict[str, str]:
+    """Relation -> name of its partition folder (one entry per relation)."""
+    found = [d for d in list_subdirs(spark, path) if d.startswith("relation=")]
+    return {urllib.parse.unquote(d.split("=", 1)[1]): d for d in found}
 
 
 def scan(spark: SparkSession, path: str, relation: str | None = None,
@@ -79,12 +82,10 @@ def scan(spark: SparkSession, path: str, relation: str | None = None,
     if relation is None:
         df = read_cells(spark, path)
     else:
-        folder = f"{path.rstrip('/')}/relation={escape_path_name(relation)}"
-        if escape_path_name(relation) not in [d.split("=", 1)[1] for d in list_subdirs(spark, path)
-                                              if d.startswith("relation=")]:
+        folder = _relation_folders(spark, path).get(relation)
+        if folder is None:
             return spark.createDataFrame([], CELLS_DDL)
-        extra = ", batch_id BIGINT" if "batch_id" in partition_cols(spark, path) else ""
-        df = (spark.read.schema(CELLS_DDL + extra).option("basePath", path).parquet(folder)
+        df = (spark.read.schema(CELLS_DDL).option("basePath", path).parquet(f"{path.rstrip('/')}/{folder}")
               .where(F.col("relation") == relation))
     return df.orderBy("row_key", "family", "qualifier", "seq") if ordered else df
 
@@ -94,82 +95,100 @@ def list_relations(spark: SparkSession, path: str) -> DataFrame:
     ``relation=`` folders (metadata only, one entry per relation: no file of
     the table is opened).  Partitions are never left empty here: clearing
     removes the folder, keyed deletes remove partitions they empty."""
-    names = [d.split("=", 1)[1] for d in list_subdirs(spark, path) if d.startswith("relation=")]
-    return spark.createDataFrame([(unescape_path_name(n),) for n in names], "relation string")
+    return spark.createDataFrame([(n,) for n in _relation_folders(spark, path)], "relation string")
 
 
-def relations_in_data(spark: SparkSession, path: str) -> DataFrame:
-    """Relations that have at least one row (a distributed scan of the
-    partition column; use when folders may hold only empty files)."""
-    return read_cells(spark, path).select("relation").distinct()
+def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
+    """Drop every row of a relation by removing its partition folder."""
+    folder = _relation_folders(spark, path).get(relation)
+    return folder is not None and delete_path(spark, f"{path.rstrip('/')}/{folder}")
 
 
-def unescape_path_name(name: str) -> str:
-    """Undo the ``%XX`` escaping Spark applies to partition values in folder names."""
-    import urllib.parse
-    return urllib.parse.unquote(name)
+def compact(spark: SparkSession, path: str, before: str) -> int:
+    """Join the writes of each (relation, day) before ``before`` (ISO date) into one; returns how many days were joined.
 
+    A streaming job leaves one ``write`` folder per relation and micro-batch;
+    run this on days it has left behind.  The joined files are written under
+    a hidden name next to the old ones, with the list of the writes they
+    replace; then those are removed and the name is made visible.  A run that
+    breaks off in between is finished by the next one.
+    """
+    root, joined = path.rstrip("/"), 0
+    for folder in glob_paths(spark, f"{root}/relation=*/ingest_date=*"):
+        if urllib.parse.unquote(folder.rsplit("ingest_date=", 1)[1]) >= before:
+            continue
+        for hidden in glob_paths(spark, f"{folder}/_joined-*"):
+            if glob_paths(spark, f"{hidden}/_members/_SUCCESS"):
+                _finish_compaction(spark, folder, hidden)
+            else:
+                delete_path(spark, hidden)
+        members = [d for d in list_subdirs(spark, folder) if d.startswith("write=")]
+        if len(members) < 2:
+            continue
+        hidden = f"{folder}/_joined-{uuid.uuid4().hex}"
+        columns = [f.name for f in read_cells(spark, path).schema if f.name not in PARTITION_COLS]
+        rows = spark.read.schema(CELLS_DDL).parquet(*(f"{folder}/{m}" for m in members)).select(*columns)
+        rows.repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(f"{hidden}/rows")
+        spark.createDataFrame([(m,) for m in members], "member string").coalesce(1).write.text(f"{hidden}/_members")
+        _finish_compaction(spark, folder, hidden)
+        joined += 1
+    return joined
 
-def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
-    """Drop every row of a relation by removing its partition folder."""
-    return delete_path(spark, f"{path.rstrip('/')}/relation={escape_path_name(relation)}")
+
+def _finish_compaction(spark: SparkSession, folder: str, hidden: str) -> None:
+    for row in spark.read.text(f"{hidden}/_members").toLocalIterator():
+        delete_path(spark, f"{folder}/{row['value']}")
+    if glob_paths(spark, f"{hidden}/rows"):
+        rename_path(spark, f"{hidden}/rows", f"{folder}/write={hidden.rsplit('/_', 1)[1]}")
+    delete_path(spark, hidden)
 
 
 def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: str) -> list[str]:
     """P25 on the store: remove ``ingest_date`` folders older than
     ``today - keep_days`` (ISO dates), for every relation.  Only folder names
     are listed (one entry per partition); returns the removed folders."""
-    import datetime as dt
-    cutoff = dt.date.fromisoformat(today) - dt.timedelta(days=keep_days)
-    root = path.rstrip("/")
-    removed = []
-    for rel_dir in list_subdirs(spark, root):
-        if not rel_dir.startswith("relation="):
-            continue
-        for day_dir in list_subdirs(spark, f"{root}/{rel_dir}"):
-            if day_dir.startswith("ingest_date=") and dt.date.fromisoformat(day_dir.split("=", 1)[1]) < cutoff:
-                delete_path(spark, f"{root}/{rel_dir}/{day_dir}")
-                removed.append(f"{rel_dir}/{day_dir}")
-        if not list_subdirs(spark, f"{root}/{rel_dir}"):
-            delete_path(spark, f"{root}/{rel_dir}")
+    cutoff = (dt.date.fromisoformat(today) - dt.timedelta(days=keep_days)).isoformat()
+    root, removed = path.rstrip("/"), []
+    for folder in glob_paths(spark, f"{root}/relation=*/ingest_date=*"):
+        if folder.rsplit("ingest_date=", 1)[1] < cutoff:
+            delete_path(spark, folder)
+            removed.append("/".join(folder.split("/")[-2:]))
+    _remove_empty_relations(spark, root)
     return removed
 
 
+def _remove_empty_relations(spark: SparkSession, root: str) -> None:
+    for folder in _relation_folders(spark, root).values():
+        if not glob_paths(spark, f"{root}/{folder}/ingest_date=*"):
+            delete_path(spark, f"{root}/{folder}")
+
+
 def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "row_key") -> None:
     """Remove all cells of the given row keys.
 
-    Only the partitions that hold a deleted key are rewritten: the kept rows
-    of those partitions (``left_anti`` on the keys) are staged in the shared
-    folder, then written back with dynamic partition overwrite; partitions
-    left empty are removed.  The staged copy makes a retry after a lost
-    executor or driver safe.  Works on both table layouts (``partition_cols``).
+    Partitions that hold a deleted key are found once and written to the
+    shared folder, with the rows they keep (``left_anti`` on the keys).  Then
+    the kept rows replace their partitions (dynamic overwrite), and partitions
+    that keep none, an anti join of the two, are removed one by one as they
+    stream to the driver.  The staged copies make a retry safe.
     """
-    parts = partition_cols(spark, path)
-    table = read_cells(spark, path)
+    root, stage = path.rstrip("/"), new_location(spark, "stage")
     keys = keys.select(F.col(key_col).alias("row_key")).distinct()
-    hit = table.join(keys, "row_key", "left_semi").select(*parts).distinct()
-    kept = table.join(hit, parts, "left_semi").join(keys, "row_key", "left_anti")
-    stage = new_location(spark, "stage")
-    (kept.select(*CELL_COLUMNS, *[c for c in parts if c not in CELL_COLUMNS])
-     .hint("rebalance", *parts).write.partitionBy(*parts).parquet(stage))
-    # partition values only: bounded by the number of touched partitions
-    touched = [tuple(r[c] for c in parts) for r in hit.collect()]
-    staged = spark.read.schema(CELLS_DDL + (", batch_id BIGINT" if "batch_id" in parts else "")).parquet(stage)
-    remaining = {tuple(r[c] for c in parts) for r in staged.select(*parts).distinct().collect()}
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*parts).parquet(path))
-    root = path.rstrip("/")
-
-    def folder(values) -> str:
-        segs = [f"{c}={escape_path_name(str(v))}" for c, v in zip(parts, values)]
-        return "/".join([root] + segs)
-
-    for values in touched:
-        if values not in remaining:
-            delete_path(spark, folder(values))
-    # remove parent folders left without partitions, deepest first
-    for depth in range(len(parts) - 1, 0, -1):
-        for prefix in {v[:depth] for v in touched}:
-            if not list_subdirs(spark, folder(prefix)):
-                delete_path(spark, folder(prefix))
+    table = read_cells(spark, path)
+    table.join(keys, "row_key", "left_semi").select(*PARTITION_COLS).distinct().write.parquet(f"{stage}/touched")
+    touched = spark.read.schema("relation STRING, ingest_date DATE, write STRING").parquet(f"{stage}/touched")
+    kept = table.join(touched, PARTITION_COLS, "left_semi").join(keys, "row_key", "left_anti")
+    (kept.select(*CELL_COLUMNS, "write").hint("rebalance", *PARTITION_COLS)
+     .write.partitionBy(*PARTITION_COLS).parquet(f"{stage}/kept"))
+    staged = spark.read.schema(CELLS_DDL).parquet(f"{stage}/kept")
+    (staged.hint("rebalance", *PARTITION_COLS).sortWithinPartitions(*PARTITION_COLS, "row_key")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path))
+    folders = _relation_folders(spark, path)
+    emptied = touched.join(staged.select(*PARTITION_COLS).distinct(), PARTITION_COLS, "left_anti")
+    for r in emptied.toLocalIterator():
+        day = f"{root}/{folders[r['relation']]}/ingest_date={r['ingest_date']}"
+        delete_path(spark, f"{day}/write={r['write']}")
+        if not list_subdirs(spark, day):
+            delete_path(spark, day)
+    _remove_empty_relations(spark, root)
     delete_path(spark, stage)

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from celltide.storage import shared_root
+
 
 def tumbling(df: DataFrame, ts_col: str = "publish_time", size: str = "3 seconds",
              keys: tuple[str, ...] = ("relation",), value: Column | None = None) -> DataFrame:
@@ -22,47 +24,34 @@ def tumbling(df: DataFrame, ts_col: str = "publish_time", size: str = "3 seconds
 
 
 def window_rows(df: DataFrame, ts_col: str = "publish_time", size: str = "3 seconds",
-                keys: tuple[str, ...] = ("relation",), id_col: str = "seq",
-                chunk: int = 1000) -> DataFrame:
-    """A1: all ids of each (window, key) group, kept in sorted text chunks.
-
-    Ids are grouped by ``floor(id / chunk)`` as well, so one output row holds at
-    most ``chunk`` ids even when a window of one relation carries a large share
-    of the stream; nothing is dropped.
-    """
-    return (df.groupBy(F.window(ts_col, size).alias("w"), *keys,
-                       F.floor(F.col(id_col) / chunk).alias("chunk"))
+                keys: tuple[str, ...] = ("relation",), id_col: str = "seq") -> DataFrame:
+    """A1: all ids of each (window, key) group, in order: one row for each group."""
+    return (df.groupBy(F.window(ts_col, size).alias("w"), *keys)
             .agg(F.count(F.lit(1)).alias("n"),
                  F.array_join(F.transform(F.array_sort(F.collect_list(id_col)),
                                           lambda x: x.cast("string")), ",").alias("ids"))
-            .select(F.col("w.start").alias("window_start"), *keys, "chunk", "n", "ids"))
+            .select(F.col("w.start").alias("window_start"), *keys, "n", "ids"))
 
 
-def exclusive_running_max(df: DataFrame, order_col: str, val_col: str, out_col: str,
-                          block_sizes: tuple[int, ...] = (10_000, 10_000), _level: int = 0) -> DataFrame:
+def exclusive_running_max(df: DataFrame, order_col: str, val_col: str, out_col: str) -> DataFrame:
     """``out_col`` = max of ``val_col`` over all rows with a smaller ``order_col``.
 
-    Computed by blocks so that no task sees the whole input: rows are cut into
-    blocks of ``block_sizes[0]`` consecutive order values; each block gets a
-    running max of its own rows, plus the max over all earlier blocks, which is
-    the same problem one level up on the (much smaller) table of block maxima.
-    Only the last level, ``N / prod(block_sizes)`` rows, uses one ordered
-    window.
+    Rows are range-partitioned by ``order_col``, so each part holds about as
+    many rows whatever the values are, and written to the shared folder with
+    their part.  Each part gets a running max of its own rows, and the max
+    over the parts before it: a window over one row for each part.
     """
-    if not block_sizes:
-        w = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(out_col, F.max(val_col).over(w))
-    b, bmax, prior, inner = (f"_b{_level}", f"_bmax{_level}", f"_prior{_level}", f"_in{_level}")
-    rows = df.withColumn(b, F.floor(F.col(order_col) / block_sizes[0]))
-    blocks = rows.groupBy(b).agg(F.max(val_col).alias(bmax))
-    blocks = exclusive_running_max(blocks, b, bmax, prior, block_sizes[1:], _level + 1).select(b, prior)
-    within = Window.partitionBy(b).orderBy(order_col).rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn(inner, F.max(val_col).over(within)).join(blocks, b, "left")
-    return rows.withColumn(out_col, F.greatest(inner, prior)).drop(b, inner, prior)
-
-
-def late_flags(df: DataFrame, order_col: str, ts_col: str, delay_seconds: float = 0.0,
-               block_sizes: tuple[int, ...] = (10_000, 10_000)) -> DataFrame:
+    shared_root(df.sparkSession)
+    rows = df.repartitionByRange(order_col).withColumn("_part", F.spark_partition_id()).checkpoint()
+    parts = rows.groupBy("_part").agg(F.max(val_col).alias("_max"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("_part", F.max("_max").over(earlier).alias("_prior"))
+    within = Window.partitionBy("_part").orderBy(order_col).rangeBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_own", F.max(val_col).over(within)).join(parts, "_part", "left")
+    return rows.withColumn(out_col, F.greatest("_own", "_prior")).drop("_part", "_own", "_prior")
+
+
+def late_flags(df: DataFrame, order_col: str, ts_col: str, delay_seconds: float = 0.0) -> DataFrame:
     """Mark rows whose event time is behind the watermark when they arrive.
 
     Watermark at a row = max event time of all rows that arrived before it,
@@ -70,7 +59,7 @@ def late_flags(df: DataFrame, order_col: str, ts_col: str, delay_seconds: float
     ``watermark`` and ``is_late``; late rows are flagged, not dropped, so a
     caller can send them to a side output.
     """
-    rows = exclusive_running_max(df, order_col, ts_col, "watermark", block_sizes)
+    rows = exclusive_running_max(df, order_col, ts_col, "watermark")
     if delay_seconds:
         rows = rows.withColumn("watermark", F.col("watermark") - F.make_interval(secs=F.lit(delay_seconds)))
     return rows.withColumn("is_late", F.coalesce(F.col(ts_col) < F.col("watermark"), F.lit(False)))

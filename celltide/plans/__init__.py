@@ -2,5 +2,5 @@
 
 ``q_ingest``: catalog, topics, envelopes, typed views, the cells table and the streaming ingest;
 ``q_windows``: windows, lateness, dedup (batch and streaming); ``q_logs``: logs and labels;
-``q_reports``: SLOs, shadow, audit; ``oracles``: SQL building blocks shared by the oracles.
+``q_reports``: SLOs, shadow, audit; ``q_jobs``: whole jobs (repeated ingest, files, retention); ``oracles``: SQL building blocks shared by the oracles.
 """

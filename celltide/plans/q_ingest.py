@@ -171,5 +171,5 @@ def q_stream_cells(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return IG.read_stream_cells(spark, out).select("row_key", "family", "qualifier", "value",
+    return TB.read_cells(spark, out).select("row_key", "family", "qualifier", "value",
                                                    F.col("seq").alias("event_id"))

@@ -43,15 +43,14 @@ def _panel_sql(level: str) -> str:
 now AS (SELECT max(ts) AS t FROM events)
 SELECT event_id, ts, line FROM l, now
 WHERE namespace = 'verne' AND container = 'listener' AND contains(line, 'level={level}')
-  AND ts >= now.t - INTERVAL 6 HOUR AND ts <= now.t
-ORDER BY ts DESC, event_id LIMIT 1000"""
+  AND ts >= now.t - INTERVAL 6 HOUR AND ts <= now.t"""
 
 
 def _panel(level: str):
     def run(spark, sf_dir):
         """P13-P15 + O1: dashboard panel, label selector + raw-line contains, last 6 h, newest first."""
-        p = LG.panel(_logs(spark, sf_dir), {"namespace": "verne", "container": "listener"},
-                     contains=f"level={level}", since="6 hours", limit=1000)
+        now = LG.newest(X.load_events(spark, sf_dir), "ts")
+        p = LG.panel(_logs(spark, sf_dir), {"namespace": "verne", "container": "listener"}, contains=f"level={level}", now=now)
         return p.select(F.col("seq").alias("event_id"), F.col("arrival_ts").cast("timestamp_ntz").alias("ts"),
                         "line")
     return run
@@ -77,10 +76,10 @@ SELECT template, CAST(count(*) AS BIGINT) AS n FROM (
   SELECT regexp_replace(regexp_replace(regexp_replace(line,
            '\d{4}-\d{2}-\d{2}T[0-9:.]+Z', '<ts>', 'g'), '0x[0-9a-fA-F]+', '<hex>', 'g'),
            '\d+(?:\.\d+)?', '<num>', 'g') AS template FROM l)
-GROUP BY template ORDER BY n DESC, template LIMIT 20""")
+GROUP BY template""")
 def q_log_patterns(spark, sf_dir):
-    """Top 20 line templates (numbers, times and hex masked)."""
-    return LG.patterns(_logs(spark, sf_dir), k=20)
+    """Line templates (numbers, times and hex masked) by frequency."""
+    return LG.patterns(_logs(spark, sf_dir))
 
 
 @query("reject_old", """
@@ -90,7 +89,7 @@ FROM events""")
 def q_reject_old(spark, sf_dir):
     """Lines older than 168 h when the batch arrives (at the newest line) are rejected."""
     logs = _logs(spark, sf_dir)
-    flagged = LG.reject_old(logs, "arrival_ts", LG.now_of(logs, "arrival_ts"), "168 hours")
+    flagged = LG.reject_old(logs, "arrival_ts", F.lit(LG.newest(logs, "arrival_ts")), "168 hours")
     return flagged.agg(F.count_if(~F.col("rejected")).alias("accepted"),
                        F.count_if(F.col("rejected")).alias("rejected"))
 
@@ -101,9 +100,9 @@ WHERE CAST(ts AS DATE) >= CAST((SELECT max(ts) FROM events) AS DATE) - INTERVAL
 GROUP BY 1""")
 def q_retention(spark, sf_dir):
     """P25: rows of the days kept by a 15-day retention, per day."""
-    ev = X.load_events(spark, sf_dir).withColumn("event_date", F.to_date("ts"))
-    kept = LG.retention(ev, "event_date", LG.now_of(ev, "ts"), days=15)
-    return kept.groupBy(F.date_format("event_date", "yyyy-MM-dd").alias("event_date")) \
+    ev = X.load_events(spark, sf_dir)
+    kept = LG.retention(ev, LG.newest(ev, "ts"), days=15, ts_col="ts")
+    return kept.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("event_date")) \
         .agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -96,7 +96,7 @@ SELECT id, last_seen, last_seen >= (SELECT max(last_seen) FROM sh) - INTERVAL 6
 def q_active_devices(spark, sf_dir):
     """A10: devices seen within 6 hours of the newest sighting."""
     # "now" = newest message time, from a one-column scan (not a second shadow aggregation)
-    now = LG.now_of(X.load_events(spark, sf_dir), "ts")
+    now = F.lit(LG.newest(X.load_events(spark, sf_dir), "ts"))
     a = SH.active_devices(_shadow(spark, sf_dir), "6 hours", now)
     return a.select("id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "active")
 

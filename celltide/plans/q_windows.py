@@ -33,14 +33,14 @@ def q_tumbling(spark, sf_dir):
 
 @query("window_rows", """
 SELECT time_bucket(INTERVAL '3 seconds', ts) AS window_start, event_type AS relation,
-       event_id // 1000 AS chunk, CAST(count(*) AS BIGINT) AS n,
+       CAST(count(*) AS BIGINT) AS n,
        string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids
-FROM events GROUP BY 1, 2, 3""")
+FROM events GROUP BY 1, 2""")
 def q_window_rows(spark, sf_dir):
-    """A1: every message id of each (window, relation), in bounded sorted chunks."""
-    t = W.window_rows(_decoded(spark, sf_dir), "publish_time", "3 seconds", ("relation",), "seq", 1000)
+    """A1: every message id of each (window, relation), in order."""
+    t = W.window_rows(_decoded(spark, sf_dir), "publish_time", "3 seconds", ("relation",), "seq")
     return t.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "relation",
-                    "chunk", "n", "ids")
+                    "n", "ids")
 
 
 @query("late_split", """
@@ -55,7 +55,7 @@ def q_late_split(spark, sf_dir):
     """Rows behind the watermark (max event time seen so far, no allowed
     lateness) at their arrival; rows with ``event_id % 50 = 0`` arrive 20 late."""
     msgs = X.messages(X.load_events(spark, sf_dir)).withColumn("arrival", X.arrival_order("seq"))
-    flagged = W.late_flags(msgs, "arrival", "publish_time", 0.0, block_sizes=(10_000, 10_000))
+    flagged = W.late_flags(msgs, "arrival", "publish_time", 0.0)
     return flagged.select(F.col("seq").alias("event_id"), "is_late")
 
 
@@ -74,14 +74,14 @@ FROM events GROUP BY 1, 2""")
 def q_stream_tumbling(spark, sf_dir):
     """T2-T4 under Structured Streaming: 3-second windows on publish time with a
     watermark (no allowed lateness), update mode.  Messages arrive in time
-    order (8-day slices of 2 files, one slice per micro-batch), so no row is
+    order (8-day slices, one per micro-batch), so no row is
     behind the watermark of an earlier micro-batch and every window is complete."""
     from celltide.storage import new_location
     from celltide.streaming import sources as SS
     from celltide.streaming import stateful as ST
     landing = new_location(spark, "landing")
-    SS.land_in_time_order(X.messages(X.load_events(spark, sf_dir)), landing, days_per_slice=8, files_per_slice=2)
-    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 2), K.default_catalog()))
+    SS.land_in_time_order(X.messages(X.load_events(spark, sf_dir)), landing, days_per_slice=8)
+    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 1), K.default_catalog()))
     out = new_location(spark, "stream-windows")
     q = ST.start_window_updates(ST.tumbling_stream(stream, value=_value()), out, new_location(spark, "stream-ckpt"))
     q.awaitTermination()
@@ -102,8 +102,8 @@ def q_stream_dedup(spark, sf_dir):
     from celltide.streaming import stateful as ST
     landing = new_location(spark, "landing")
     SS.land_in_time_order(X.duplicated_messages(X.load_events(spark, sf_dir)).drop("copy"), landing,
-                          days_per_slice=8, files_per_slice=2)
-    d = ST.dedup_stream(SS.landed_messages(spark, f"{landing}/*", 2), delay="1 hour")
+                          days_per_slice=8)
+    d = ST.dedup_stream(SS.landed_messages(spark, f"{landing}/*", 1), delay="1 hour")
     out = new_location(spark, "stream-dedup")
     q = (d.writeStream.format("parquet").option("checkpointLocation", new_location(spark, "stream-ckpt"))
          .trigger(availableNow=True).start(out))
@@ -139,9 +139,9 @@ def q_stream_late(spark, sf_dir):
     width = -(-span // 1000) * 100
     landing = new_location(spark, "landing")
     SS.land_in_slices(msgs.drop("arrival"), landing,
-                      F.floor((X.arrival_order("seq") + 80) / width), files_per_slice=2)
+                      F.floor((X.arrival_order("seq") + 80) / width))
     paths = [new_location(spark, k) for k in ("late-state", "on-time", "late")]
-    q = LT.start_late_split(SS.landed_messages(spark, f"{landing}/*", 2), "publish_time", *paths,
+    q = LT.start_late_split(SS.landed_messages(spark, f"{landing}/*", 1), "publish_time", *paths,
                             new_location(spark, "stream-ckpt"))
     q.awaitTermination()
     if q.exception() is not None:

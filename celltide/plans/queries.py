@@ -140,4 +140,4 @@ def q_quarantine_rows(spark, sf_dir):
 
 
 # The other query families register themselves on import.
-from celltide.plans import q_ingest, q_logs, q_reports, q_windows  # noqa: E402,F401
+from celltide.plans import q_ingest, q_jobs, q_logs, q_reports, q_windows  # noqa: E402,F401

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings the operators depend on for correct results.
@@ -29,11 +26,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
-                app_name: str = "celltide") -> SparkSession:
+                app_name: str = "celltide", checkpoint_dir: str | None = None) -> SparkSession:
     """Build (or reuse) a session with the required settings.
 
-    ``spark.checkpoint.dir`` is taken from the cluster configuration; only
-    when nobody set it (local tests) a private scratch folder is used.
+    ``spark.checkpoint.dir`` comes from the cluster's configuration or from
+    ``checkpoint_dir``; operations that need the shared folder fail without it.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -43,8 +40,6 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in REQUIRED_CONF.items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir",
-                       tempfile.mkdtemp(prefix="celltide-ckpt-", dir=os.environ.get("TMPDIR")))
-    return configure(spark)
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return configure(builder.getOrCreate())

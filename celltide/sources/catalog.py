@@ -1,9 +1,8 @@
 """Schema catalog: relation -> ordered list of (name, declared type).
 
 The catalog is configuration (one JSON object, as a producer's schema file),
-small in practice.  It is parsed once on the driver and its size is checked:
-within ``MAX_BROADCAST_FIELDS`` it is broadcast to the executors, beyond it
-the planner joins it like any other table.
+small in practice.  It is parsed once on the driver, so the planner knows its
+size and picks the join.
 """
 
 from __future__ import annotations
@@ -49,27 +48,12 @@ EVENT_RELATIONS = ["signup", "purchase", "error", "view", "click"]
 EVENT_FIELDS = [("id", "STRING"), ("timestamp", "TIMESTAMP"), ("value", "FLOAT"),
                 ("k", "INTEGER"), ("relation", "STRING")]
 
-# Largest catalog (in fields) that is broadcast; a larger one is joined by
-# the planner's own choice (shuffle join), never forced into a broadcast.
-MAX_BROADCAST_FIELDS = 100_000
-
 
 class Catalog:
     """Relation -> [(field, declared type)], insertion-ordered."""
 
     def __init__(self, relations: Mapping[str, Sequence[tuple[str, str]]]):
         self.relations = {r: [(n, t.upper()) for n, t in fields] for r, fields in relations.items()}
-        self.n_fields = sum(len(f) for f in self.relations.values())
-
-    @property
-    def broadcastable(self) -> bool:
-        return self.n_fields <= MAX_BROADCAST_FIELDS
-
-    def join_side(self, df: DataFrame) -> DataFrame:
-        """``df`` (built from this catalog) hinted for broadcast when the catalog
-        is within the size bound; otherwise left to the planner."""
-        from pyspark.sql import functions as F
-        return F.broadcast(df) if self.broadcastable else df
 
     @classmethod
     def from_json(cls, text: str) -> "Catalog":
@@ -91,13 +75,6 @@ class Catalog:
     def fields(self, relation: str) -> list[tuple[str, str]]:
         return self.relations[relation]
 
-    def all_field_names(self) -> list[str]:
-        seen: dict[str, None] = {}
-        for fields in self.relations.values():
-            for name, _ in fields:
-                seen.setdefault(name, None)
-        return list(seen)
-
     def struct_type(self, relation: str) -> T.StructType:
         """Spark schema of a relation; unknown declared types become ``string``."""
         return T.StructType([

@@ -15,29 +15,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from celltide.functions.text import ISO_MICROS
+
 # Fixed values of the fixtures (FIXTURES.md part B).
 MQTT_TOPIC_ROOT = "telemetry"
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 BAD_MODULUS = 97
 NONCONFORM_MODULUS = 89
 POD_PHASES = ["Running", "Running", "Pending", "Succeeded", "Failed"]
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the cluster has
-    task slots (one small file with one row group is read by one task).
-
-    A large input already has many splits and is returned unchanged, so the
-    extra shuffle is only paid where it buys parallelism.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001  (no classic SparkContext, e.g. a Connect session)
-        return df
-    return df.repartition(target) if n < target else df
-
-
 _EVENTS: dict[tuple[str, str], DataFrame] = {}
 
 
@@ -50,8 +36,7 @@ def load_events(spark: SparkSession, sf_dir: str, refresh: bool = False) -> Data
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if refresh or key not in _EVENTS:
-        _EVENTS[key] = spread(spark.read.parquet(f"{sf_dir}/events.parquet")
-                              .withColumn("ts", F.col("ts").cast("timestamp")))
+        _EVENTS[key] = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
     return _EVENTS[key]
 
 

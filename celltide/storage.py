@@ -2,32 +2,27 @@
 
 Written tables (cells, quarantine, routed relations) and streaming
 checkpoints live under that folder so that every executor and a restarted
-driver see them.  A machine-local folder is used only when the setting is
-missing, which happens in local tests.
+driver see them.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); set only when missing."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); fails when none is named."""
+    sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext._jsc.sc()
-        if not root and sc.getCheckpointDir().isDefined():
-            root = sc.getCheckpointDir().get()
-    except Exception:  # noqa: BLE001  (no classic SparkContext)
-        sc = None
+    if not root and sc._jsc.sc().getCheckpointDir().isDefined():
+        root = sc._jsc.sc().getCheckpointDir().get()
     if not root:
-        root = tempfile.mkdtemp(prefix="celltide-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    if sc is not None and sc.getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that the driver and all executors share, "
+                           "e.g. --conf spark.checkpoint.dir=hdfs:///checkpoints")
+    if sc._jsc.sc().getCheckpointDir().isEmpty():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
@@ -36,19 +31,37 @@ def new_location(spark: SparkSession, kind: str) -> str:
     return f"{shared_root(spark)}/celltide/{kind}/{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def delete_path(spark: SparkSession, path: str) -> bool:
     """Recursively delete ``path`` through the Hadoop file system API."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hpath, fs = _file_system(spark, path)
     return bool(fs.delete(hpath, True))
 
 
+def rename_path(spark: SparkSession, source: str, target: str) -> None:
+    hpath, fs = _file_system(spark, source)
+    if not fs.rename(hpath, _file_system(spark, target)[0]):
+        raise RuntimeError(f"cannot rename {source} to {target}")
+
+
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a Hadoop glob, sorted."""
+    hpath, fs = _file_system(spark, pattern)
+    return sorted(s.getPath().toString() for s in fs.globStatus(hpath) or [])
+
+
+def set_modified(spark: SparkSession, path: str, millis: int) -> None:
+    hpath, fs = _file_system(spark, path)
+    fs.setTimes(hpath, millis, -1)
+
+
 def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the immediate sub-folders of ``path`` (partition listing)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    hpath, fs = _file_system(spark, path)
     if not fs.exists(hpath):
         return []
     return sorted(s.getPath().getName() for s in fs.listStatus(hpath) if s.isDirectory())

@@ -1,44 +1,54 @@
 """Streaming ingest: messages -> decode -> cells + quarantine.
 
 One ``foreachBatch`` feeds two outputs from a single decode of each
-micro-batch.  ``foreachBatch`` is at-least-once, so both outputs are written
-with dynamic partition overwrite into a ``batch_id`` partition: a replayed
-batch replaces exactly the folders it wrote before, never adds rows.
+micro-batch.  ``foreachBatch`` is at-least-once, so each output carries the
+identity of its write, the query's own id (kept in its checkpoint) and the
+batch id: a replayed batch replaces what it wrote before, whatever it was,
+and never touches another query's rows.  Ingest time is the batch's time from
+the offset log, which a replay reads again.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from celltide.operators import cells as C
 from celltide.operators import decode as D
-from celltide.operators.table import CELL_COLUMNS
+from celltide.operators import table as TB
 from celltide.sources.catalog import Catalog
+from celltide.storage import delete_path, glob_paths
 
-STREAM_PARTITIONS = ["relation", "ingest_date", "batch_id"]
+INGEST_TIME = "ingest_time"
 
 
-def _overwrite_batch(df: DataFrame, path: str, partitions: list[str]) -> None:
-    (df.hint("rebalance", *partitions[:-1])
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions).parquet(path))
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave to the query of a checkpoint, the same after each restart."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, catalog: Catalog, cells_path: str,
+def ingest_batch(batch: DataFrame, write: str, catalog: Catalog, cells_path: str,
                  quarantine_path: str, include_key: bool = True, meta_family: bool = True) -> None:
-    """Decode one micro-batch once, then write good cells and quarantined messages."""
-    decoded = D.decode(batch, catalog).withColumn("batch_id", F.lit(batch_id)).persist()
+    """Decode one micro-batch once, then write good cells and quarantined messages.
+
+    ``batch`` has the messages and their ``ingest_time``; ``write`` names this
+    write: a repeated one replaces the earlier attempt in both outputs.
+    """
+    spark = batch.sparkSession
+    decoded = D.decode(batch, catalog).persist()
     try:
         # ingest time: one value per micro-batch, ties broken by seq
-        cells = C.to_cells(D.good(decoded), cell_ts=F.current_timestamp(),
+        cells = C.to_cells(D.good(decoded), cell_ts=F.col(INGEST_TIME),
                            include_key=include_key, meta_family=meta_family)
-        _overwrite_batch(cells.select(*CELL_COLUMNS, F.lit(batch_id).alias("batch_id")),
-                         cells_path, STREAM_PARTITIONS)
-        bad = D.quarantined(decoded).withColumn("ingest_date", F.current_date()) \
-            .withColumn("batch_id", F.lit(batch_id))
-        _overwrite_batch(bad, quarantine_path, ["ingest_date", "batch_id"])
+        TB.write_cells(cells, cells_path, write)
+        for folder in glob_paths(spark, f"{quarantine_path.rstrip('/')}/ingest_date=*/write={write}"):
+            delete_path(spark, folder)
+        bad = D.quarantined(decoded, (INGEST_TIME,)).withColumn("ingest_date", F.to_date(INGEST_TIME)).withColumn("write", F.lit(write))
+        (bad.drop(INGEST_TIME).hint("rebalance", "ingest_date").write.mode("append")
+         .partitionBy("ingest_date", "write").parquet(quarantine_path))
     finally:
         decoded.unpersist()
 
@@ -53,19 +63,20 @@ def start_ingest(messages: DataFrame, catalog: Catalog, cells_path: str, quarant
     if dedup_delay:
         messages = messages.withWatermark("publish_time", dedup_delay) \
             .dropDuplicatesWithinWatermark(["message_id"])
-    w = (messages.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(lambda df, bid: ingest_batch(df, bid, catalog, cells_path, quarantine_path, **cell_opts)))
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        write = f"{query_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        ingest_batch(batch, write, catalog, cells_path, quarantine_path, **cell_opts)
+
+    # in a stream this is the batch's time, kept in the offset log
+    timed = messages.withColumn(INGEST_TIME, F.current_timestamp())
+    w = timed.writeStream.option("checkpointLocation", checkpoint).foreachBatch(run)
     if query_name:
         w = w.queryName(query_name)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
 
 
-def read_stream_cells(spark: SparkSession, cells_path: str) -> DataFrame:
-    """Cells written by the ingest stream (``batch_id`` is a partition column)."""
-    return spark.read.parquet(cells_path)
-
-
 def forward_stream(records: DataFrame, path: str | None, checkpoint: str, trigger: dict | None = None,
                    kafka_bootstrap: str | None = None) -> StreamingQuery:
     """Forward records (``key, value, topic, headers``) to the next hop.

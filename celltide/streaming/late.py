@@ -6,9 +6,11 @@ against the maximum event time of all *earlier* micro-batches (the watermark
 with no allowed lateness, as the engine default of the reference), and the
 late rows go to their own table.
 
-The running maximum is one row per batch id in the shared folder, written
-with dynamic partition overwrite, so a replayed batch reads the same earlier
-maxima and rewrites the same folders: no duplicates, no lost rows.
+The running maximum is one row per batch id in the shared folder: the maximum
+up to and with that batch, so a batch reads the row of the one before it and
+no other.  It is written with dynamic partition overwrite, so a replayed
+batch reads the same maximum and rewrites the same folders: no duplicates, no
+lost rows.
 """
 
 from __future__ import annotations
@@ -17,9 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from celltide.storage import list_subdirs
-
-STATE_SCHEMA = "max_ts TIMESTAMP, batch_id BIGINT"
+from celltide.storage import glob_paths
 
 
 def _overwrite(df: DataFrame, path: str, parts: list[str]) -> None:
@@ -30,13 +30,9 @@ def _overwrite(df: DataFrame, path: str, parts: list[str]) -> None:
 def split_batch(batch: DataFrame, batch_id: int, ts_col: str, state_path: str, on_time_path: str,
                 late_path: str, delay_seconds: float = 0.0) -> None:
     spark = batch.sparkSession
-    earlier = [int(d.split("=", 1)[1]) for d in list_subdirs(spark, state_path)
-               if d.startswith("batch_id=") and int(d.split("=", 1)[1]) < batch_id]
     wm = None
-    if earlier:
-        # one tiny row per earlier batch: the watermark before this batch
-        wm = (spark.read.schema(STATE_SCHEMA).parquet(state_path).where(F.col("batch_id") < batch_id)
-              .agg(F.max("max_ts")).first()[0])
+    if glob_paths(spark, f"{state_path}/batch_id={batch_id - 1}"):
+        wm = spark.read.schema("max_ts TIMESTAMP").parquet(f"{state_path}/batch_id={batch_id - 1}").first()[0]
     rows = batch.persist()
     try:
         if wm is None:
@@ -46,8 +42,9 @@ def split_batch(batch: DataFrame, batch_id: int, ts_col: str, state_path: str, o
         flagged = rows.withColumn("batch_id", F.lit(batch_id)).withColumn("_late", F.coalesce(late, F.lit(False)))
         _overwrite(flagged.where(~F.col("_late")).drop("_late"), on_time_path, ["batch_id"])
         _overwrite(flagged.where(F.col("_late")).drop("_late"), late_path, ["batch_id"])
-        # the watermark only moves forward: this batch's max joins the earlier ones
-        _overwrite(rows.agg(F.max(ts_col).alias("max_ts")).withColumn("batch_id", F.lit(batch_id)),
+        # the watermark only moves forward
+        newest = F.greatest(F.max(ts_col), F.lit(wm).cast("timestamp"))
+        _overwrite(rows.agg(newest.alias("max_ts")).withColumn("batch_id", F.lit(batch_id)),
                    state_path, ["batch_id"])
     finally:
         rows.unpersist()

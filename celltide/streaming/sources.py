@@ -7,9 +7,13 @@ connector is not part of this environment, so that path is untested here.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from celltide.storage import glob_paths, set_modified
+
 MESSAGE_SCHEMA = ("seq BIGINT, message_id STRING, topic STRING, payload BINARY, "
                   "publish_time TIMESTAMP, attributes MAP<STRING, STRING>")
 
@@ -30,14 +34,23 @@ def kafka_messages(spark: SparkSession, bootstrap: str, topic: str,
          .option("subscribe", topic).option("includeHeaders", "true"))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    df = r.load()
-    attrs = F.map_from_entries(F.transform(
-        F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>")),
-        lambda h: F.struct(h["key"], h["value"].cast("string"))))
-    return df.select(
+    return from_kafka(r.load())
+
+
+def from_kafka(records: DataFrame) -> DataFrame:
+    """Messages of Kafka records (a batch or a stream).
+
+    Of headers with one name the last counts.  The message id is where the
+    record stands (topic, partition, offset): a key names a device, not a
+    message, and may be missing.
+    """
+    headers = F.coalesce(F.col("headers"), F.array().cast("array<struct<key:string,value:binary>>"))
+    last = F.filter(headers, lambda h, i: ~F.exists(F.slice(headers, i + 2, F.size(headers)), lambda later: later["key"] == h["key"]))
+    attrs = F.map_from_entries(F.transform(last, lambda h: F.struct(h["key"], h["value"].cast("string"))))
+    return records.select(
         # partition-local offsets are unique only with the partition: fold it in
         (F.col("offset") * F.lit(1 << 16) + F.col("partition")).alias("seq"),
-        F.col("key").cast("string").alias("message_id"),
+        F.concat_ws("-", "topic", "partition", "offset").alias("message_id"),
         F.col("topic"), F.col("value").alias("payload"),
         F.col("timestamp").alias("publish_time"), attrs.alias("attributes"))
 
@@ -48,21 +61,21 @@ def land_messages(messages: DataFrame, landing_dir: str, files: int = 1) -> None
 
 
 def land_in_time_order(messages: DataFrame, landing_dir: str, days_per_slice: int = 8,
-                       files_per_slice: int = 2, ts_col: str = "publish_time") -> int:
+                       ts_col: str = "publish_time") -> int:
     """Land messages as time slices of ``days_per_slice`` days (see ``land_in_slices``),
     so a stream sees event time move forward between micro-batches."""
-    return land_in_slices(messages, landing_dir,
-                          F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice), files_per_slice)
-
-
-def land_in_slices(messages: DataFrame, landing_dir: str, slice_of: Column, files_per_slice: int = 2) -> int:
-    """Land messages slice after slice (ascending ``slice_of``), ``files_per_slice``
-    files each; the file source reads in modification-time order, so with
-    ``maxFilesPerTrigger=files_per_slice`` each micro-batch is one slice.
-    Returns the number of slices (one value per slice reaches the driver)."""
-    sliced = messages.withColumn("_slice", slice_of)
-    slices = sorted(r[0] for r in sliced.select("_slice").distinct().collect())
-    for i, sl in enumerate(slices):
-        (sliced.where(F.col("_slice") == sl).drop("_slice").repartition(files_per_slice)
-         .write.mode("append").parquet(f"{landing_dir}/slice={i:06d}"))
-    return len(slices)
+    return land_in_slices(messages, landing_dir, F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice))
+
+
+def land_in_slices(messages: DataFrame, landing_dir: str, slice_of: Column) -> int:
+    """Land messages in one pass, a file for each value of ``slice_of``, with modification times that
+    ascend with it: the file source reads in that order, so with ``maxFilesPerTrigger=1`` each
+    micro-batch is one slice.  Returns the number of slices."""
+    (messages.withColumn("slice", F.format_string("%020d", slice_of.cast("long")))
+     .repartition("slice").write.partitionBy("slice").parquet(landing_dir))
+    spark = messages.sparkSession
+    files = glob_paths(spark, f"{landing_dir}/slice=*/part-*")
+    start = int(time.time() * 1000) - 1000 * len(files)
+    for i, file in enumerate(files):
+        set_modified(spark, file, start + 1000 * i)
+    return len(files)

@@ -23,10 +23,10 @@ def tumbling_stream(decoded: DataFrame, ts_col: str = "publish_time", size: str
 
 def window_rows_stream(decoded: DataFrame, ts_col: str = "publish_time", size: str = "3 seconds",
                        delay: str = "0 seconds", keys: tuple[str, ...] = ("relation",),
-                       id_col: str = "seq", chunk: int = 1000) -> DataFrame:
+                       id_col: str = "seq") -> DataFrame:
     """A1 in a stream: the ids of each (window, key) group, emitted once when
-    the watermark closes the window (append mode), in chunks of ``chunk``."""
-    return W.window_rows(decoded.withWatermark(ts_col, delay), ts_col, size, keys, id_col, chunk)
+    the watermark closes the window (append mode)."""
+    return W.window_rows(decoded.withWatermark(ts_col, delay), ts_col, size, keys, id_col)
 
 
 def dedup_stream(messages: DataFrame, ts_col: str = "publish_time", delay: str = "10 minutes",

@@ -12,6 +12,8 @@ def spark():
     from celltide.session import get_session
 
     s = get_session("local[4]", 4, "celltide-tests")
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="celltide-ckpt-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

@@ -67,12 +67,26 @@ def test_envelope_round_trip(spark):
     assert all(r["attributes"] == {"relation": "dev"} for r in back)
 
 
-def test_large_catalog_is_not_broadcast(spark, monkeypatch):
-    from celltide.sources import catalog as K
-    assert CAT.broadcastable
-    monkeypatch.setattr(K, "MAX_BROADCAST_FIELDS", 1)
-    big = Catalog({"dev": [("id", "STRING")], "dev2": [("id", "STRING")]})
-    assert not big.broadcastable
-    d = D.decode(_msgs(spark, [b'{"id":"a","relation":"dev"}', b'{"id":"a","relation":"zz"}']), big)
-    got = dict(d.select("seq", "reason").collect())
-    assert got == {0: None, 1: "UNKNOWN_RELATION"}
+def test_relation_must_be_text(spark):
+    bad = [b'{"id":"a","relation":null}', b'{"id":"a","relation":7}', b'{"id":"a","relation":"zz"}', b'{"id":"a","relation":"dev"}']
+    want = {0: "RELATION_NOT_STRING", 1: "RELATION_NOT_STRING", 2: "UNKNOWN_RELATION", 3: None}
+    assert dict(D.decode(_msgs(spark, bad), CAT).select("seq", "reason").collect()) == want
+    assert dict(D.decode(_msgs(spark, bad)).select("seq", "reason").collect()) == want | {2: None}
+
+
+def test_typed_reads_are_strict(spark):
+    from celltide.operators import cells as C
+    from celltide.operators import schema as S
+    fields = [("id", "STRING"), ("n", "INTEGER"), ("x", "FLOAT"), ("t", "TIMESTAMP"), ("o", "POINT")]
+    cat = Catalog({"dev": [*fields, ("relation", "STRING")]})
+    texts = ['"n":1.9,"x":"12","t":5,"o":{"a":1}', '"n":7,"x":2,"t":"2024-01-01T00:00:00Z","o":"p"', '"n":50.0,"x":1e3,"t":"no"', '"n":null,"x":null,"t":null', '"n":99999999999,"x":true']
+    msgs = D.good(D.decode(_msgs(spark, [f'{{"id":"k{i}","relation":"dev",{t}}}'.encode() for i, t in enumerate(texts)]), cat))
+    got = {r["id"]: (r["n"], r["x"], r["t"] is not None, r["o"]) for r in S.typed_view(msgs, fields).collect()}
+    assert got == {"k0": (None, None, False, '{"a":1}'), "k1": (7, 2.0, True, "p"), "k2": (50, 1000.0, False, None),
+                   "k3": (None, None, False, None), "k4": (None, None, False, None)}
+    stored = S.typed_latest(C.latest_cells(C.to_cells(msgs)), fields)
+    kept = {r["id"]: (r["n"], r["x"], r["t"] is not None, r["o"]) for r in stored.collect()}
+    # a stored cell no longer tells the text "12" from the number
+    assert kept == got | {"k0": (None, 12.0, False, '{"a":1}')}
+    report = {r["field"]: (r["missing"], r["extra"], r["badly_typed"]) for r in S.conformance(msgs, cat).collect()}
+    assert report == {"id": (0, 0, 0), "n": (0, 0, 2), "x": (0, 0, 2), "t": (1, 0, 2), "o": (3, 0, 0), "relation": (0, 0, 0)}

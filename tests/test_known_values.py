@@ -26,7 +26,7 @@ def test_users_seen_in_last_6_hours(spark):
     ev = X.load_events(spark, SF_ORACLE)
     per_user = ev.select(F.col("user_id").cast("string").alias("row_key"), F.col("ts").alias("publish_time"),
                          F.col("event_id").alias("seq"), F.create_map().cast("map<string,variant>").alias("obj"))
-    active = SH.active_devices(SH.device_shadow(per_user, []), "6 hours")
+    active = SH.active_devices(SH.device_shadow(per_user, []), "6 hours", F.lit(LG.newest(ev, "ts")))
     assert active.where("active").count() == 64
 
 

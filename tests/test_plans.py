@@ -1,8 +1,13 @@
 """Plan checks: no Python UDF, no cartesian product, pruning, one shuffle for A5."""
 
+import datetime as dt
+
 import pytest
 
+from celltide.operators import logs as LG
+from celltide.plans import queries  # noqa: F401  (registers them)
 from celltide.plans.registry import QUERIES
+from celltide.sources import fixtures as X
 
 from conftest import SF_SMALL
 
@@ -30,9 +35,21 @@ def test_latest_cell_single_hash_exchange(spark):
     assert "partial_max_by" in p
 
 
-def test_panel_is_top_n(spark):
-    p = _plan(QUERIES["log_panel_error"](spark, SF_SMALL))
-    assert "TakeOrderedAndProject" in p
+def test_limited_panel_is_top_n(spark):
+    logs = X.log_lines(X.load_events(spark, SF_SMALL))
+    assert "TakeOrderedAndProject" in _plan(LG.panel(logs, {}, now=dt.datetime(2024, 1, 30), limit=10))
+    assert "TakeOrderedAndProject" not in _plan(LG.panel(logs, {}, now=dt.datetime(2024, 1, 30)))
+
+
+def test_time_ranges_reach_the_scan(spark, tmp_dir):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    LG.write_logs(X.log_lines(X.load_events(spark, SF_SMALL)), f"{tmp_dir}/logs")
+    stored = spark.read.parquet(f"{tmp_dir}/logs")
+    p = _plan(LG.panel(stored, {"namespace": "verne"}, now=dt.datetime(2024, 1, 20), date_col="log_date"))
+    assert "GreaterThanOrEqual(arrival_ts,2024-01-19" in p and "LessThanOrEqual(arrival_ts,2024-01-20" in p
+    assert "PartitionFilters: [isnotnull(log_date" in p
+    p = _plan(LG.retention(stored, dt.datetime(2024, 1, 20), ts_col="arrival_ts", date_col="log_date"))
+    assert "GreaterThanOrEqual(arrival_ts,2024-01-05" in p and "PartitionFilters: [isnotnull(log_date" in p
 
 
 def test_projection_pushed_to_scan(spark):

@@ -138,7 +138,7 @@ def test_cli_panel(spark, tmp_dir, capsys):
             f.write('level=info ts=2024-01-01T10:00:00Z caller=a.go:2 msg="quotes \\"level=error\\""\n')
             f.write('level=error ts=2024-01-01T11:00:00Z caller=a.go:3 msg="boom"\n')
     cli.main(["panel", "--logs", f"{tmp_dir}/pods/*/*/*.log", "--selector", "namespace=verne",
-              "--contains", "level=error"])
+              "--contains", "level=error", "--now", "2024-01-01T12:00:00"])
     lines = capsys.readouterr().out.strip().split("\n")
     assert len(lines) == 2 and "boom" in lines[0] and "quotes" in lines[1]
 
@@ -150,7 +150,7 @@ def test_table_ops_on_stream_layout(spark, tmp_dir):
                         f"{tmp_dir}/q", f"{tmp_dir}/ck")
     q.awaitTermination(300)
     path = f"{tmp_dir}/t"
-    assert TB.partition_cols(spark, path) == ["relation", "ingest_date", "batch_id"]
+    assert TB.PARTITION_COLS == ["relation", "ingest_date", "write"]
     before = TB.read_cells(spark, path)
     n, n_view = before.count(), before.where("relation = 'view'").count()
     keys = ev.where("user_id % 10 = 0").select(X.device_id().alias("row_key"))
@@ -162,3 +162,52 @@ def test_table_ops_on_stream_layout(spark, tmp_dir):
     left = TB.read_cells(spark, path)
     assert left.where("relation = 'view'").count() == 0 and "view" not in [r[0] for r in TB.list_relations(spark, path).collect()]
     assert left.count() == n - n_keys - (n_view - n_view_keys)
+
+
+def test_compaction_keeps_rows_and_finishes_a_broken_run(spark, tmp_dir):
+    path = f"{tmp_dir}/t"
+    cells = C.to_cells(D.good(D.decode(X.messages(X.load_events(spark, SF_SMALL)), K.default_catalog())))
+    key = lambda: sorted(map(str, TB.read_cells(spark, path).select(*TB.CELL_COLUMNS).collect()))
+    for part in range(3):
+        TB.write_cells(cells.where(F.col("seq") % 3 == part), path)
+    before = key()
+    n = TB.compact(spark, path, "2024-01-20")
+    assert n > 0 and key() == before
+    writes = TB.read_cells(spark, path).where("ingest_date < '2024-01-20'").select(*TB.PARTITION_COLS).distinct()
+    assert writes.count() == writes.select("relation", "ingest_date").distinct().count()
+    # broken off after the joined files were written and one of two old writes was removed
+    folder = f"{path}/relation=view/ingest_date=2024-01-25"
+    members = [d for d in os.listdir(folder) if d.startswith("write=")]
+    rows = spark.read.parquet(*(f"{folder}/{m}" for m in members))
+    rows.write.parquet(f"{folder}/_joined-x/rows")
+    spark.createDataFrame([(m,) for m in members], "member string").write.text(f"{folder}/_joined-x/_members")
+    from celltide.storage import delete_path
+    delete_path(spark, f"{folder}/{members[0]}")
+    TB.compact(spark, path, "2024-01-26")
+    assert key() == before
+    # one that had not come so far is dropped
+    spark.read.parquet(folder).limit(1).write.parquet(f"{folder}/_joined-y/rows")
+    TB.compact(spark, path, "2024-01-26")
+    assert key() == before and not [d for d in os.listdir(folder) if d.startswith("_joined")]
+
+
+def test_no_shared_folder_is_a_clear_error(spark, tmp_dir):
+    import subprocess
+    import sys
+    code = ("from celltide.session import get_session; from celltide.storage import new_location\n"
+            "spark = get_session('local[1]')\nnew_location(spark, 'x')")
+    env = os.environ | {"SPARK_CONF_DIR": tmp_dir, "PYTHONPATH": os.path.dirname(os.path.dirname(os.path.abspath(__file__)))}
+    out = subprocess.run([sys.executable, "-c", code], env=env, capture_output=True, text=True, timeout=240)
+    assert out.returncode and "spark.checkpoint.dir is not set" in out.stderr
+    out = subprocess.run([sys.executable, "-c", code.replace("'local[1]'", f"'local[1]', checkpoint_dir='{tmp_dir}'")], env=env, capture_output=True, text=True, timeout=240)
+    assert out.returncode == 0, out.stderr[-500:]
+
+
+def test_kafka_records(spark):
+    rows = [("t", 0, 5, b"k", b"a", [("r", b"1"), ("s", b"2"), ("r", b"3")]), ("t", 1, 5, None, b"b", None), ("t", 0, 6, b"k", b"c", [])]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long, key binary, value binary, headers array<struct<key:string,value:binary>>") \
+        .withColumn("timestamp", F.timestamp_seconds(F.lit(0)))
+    got = {r["message_id"]: (bytes(r["payload"]), r["attributes"]) for r in SS.from_kafka(df).collect()}
+    assert got == {"t-0-5": (b"a", {"r": "3", "s": "2"}), "t-1-5": (b"b", {}), "t-0-6": (b"c", {})}
+    from celltide.operators import windows as W
+    assert W.dedup(SS.from_kafka(df)).count() == 3

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from celltide.operators import cells as C
 from celltide.operators import decode as D
+from celltide.operators import table as TB
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 from celltide.streaming import ingest as IG
@@ -41,7 +42,7 @@ def test_stream_equals_batch_for_1_and_3_files(spark, tmp_dir):
         msgs, landing = _land(spark, d, files)
         out, quar, _ = _run_ingest(spark, d, landing, max_files)
         batch = C.to_cells(D.good(D.decode(msgs, K.default_catalog())))
-        assert _key(IG.read_stream_cells(spark, out)) == _key(batch)
+        assert _key(TB.read_cells(spark, out)) == _key(batch)
         bad = spark.read.parquet(quar).groupBy("reason").count().collect()
         expect = D.quarantine_counts(D.decode(msgs, K.default_catalog())).collect()
         assert sorted(map(tuple, bad)) == sorted(map(tuple, expect))
@@ -54,14 +55,17 @@ def test_restart_adds_no_rows(spark, tmp_dir):
     # same checkpoint, nothing new: no rows added
     out2, _, _ = _run_ingest(spark, tmp_dir, landing)
     assert spark.read.parquet(out2).count() == n1
-    # a replayed batch id overwrites its own partitions
-    batch = spark.readStream.schema(SS.MESSAGE_SCHEMA).parquet(landing)
-    one = spark.read.schema(SS.MESSAGE_SCHEMA).parquet(landing)
-    IG.ingest_batch(one, 0, K.default_catalog(), out, quar)
-    IG.ingest_batch(one, 0, K.default_catalog(), out, quar)
-    assert spark.read.parquet(out).where("batch_id = 0").count() == \
-        C.to_cells(D.good(D.decode(one, K.default_catalog()))).count()
-    assert batch.isStreaming
+    n_bad = spark.read.parquet(quar).count()
+    # a replayed batch replaces what it wrote, also under another date and another catalog
+    write = f"{IG.query_id(spark, ckpt)}-0"
+    one = spark.read.schema(SS.MESSAGE_SCHEMA).parquet(landing).withColumn(IG.INGEST_TIME, F.current_timestamp() - F.expr("INTERVAL 1 DAY"))
+    IG.ingest_batch(one, write, K.Catalog({"view": K.EVENT_FIELDS}), out, quar)
+    assert [r[0] for r in TB.read_cells(spark, out).select("relation").distinct().collect()] == ["view"]
+    IG.ingest_batch(one, write, K.default_catalog(), out, quar)
+    assert TB.read_cells(spark, out).count() == n1 and spark.read.parquet(quar).count() == n_bad
+    # another query's batch 0 stays apart
+    IG.ingest_batch(one, "other-0", K.default_catalog(), out, quar)
+    assert TB.read_cells(spark, out).count() == 2 * n1
 
 
 def test_tumbling_stream_update_equals_batch(spark, tmp_dir):
@@ -118,9 +122,9 @@ def test_window_rows_stream_matches_batch(spark, tmp_dir):
     q = (ST.window_rows_stream(stream).writeStream.outputMode("complete").format("memory")
          .queryName("wrows_t").option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
     q.awaitTermination(300)
-    got = sorted(tuple(r) for r in spark.table("wrows_t").select("relation", "chunk", "n", "ids").collect())
+    got = sorted(tuple(r) for r in spark.table("wrows_t").select("relation", "n", "ids").collect())
     batch = W.window_rows(D.good(D.decode(X.messages(ev), K.default_catalog())))
-    assert got == sorted(tuple(r) for r in batch.select("relation", "chunk", "n", "ids").collect())
+    assert got == sorted(tuple(r) for r in batch.select("relation", "n", "ids").collect())
 
 
 def test_ingest_with_dedup(spark, tmp_dir):
@@ -130,7 +134,7 @@ def test_ingest_with_dedup(spark, tmp_dir):
     q = IG.start_ingest(SS.landed_messages(spark, landing), K.default_catalog(), f"{tmp_dir}/c", f"{tmp_dir}/q",
                         f"{tmp_dir}/ck", dedup_delay="1 hour")
     q.awaitTermination(300)
-    out = IG.read_stream_cells(spark, f"{tmp_dir}/c")
+    out = TB.read_cells(spark, f"{tmp_dir}/c")
     once = C.to_cells(D.good(D.decode(X.messages(ev), K.default_catalog())))
     assert out.count() == once.count()
 
