@@ -39,12 +39,6 @@ def java_replacement(rep: str) -> str:
     return re.sub(r"\$\{(\d+)\}", r"$\1", rep)
 
 
-def joined(labels: Column, names: tuple[str, ...], sep: str) -> Column:
-    if not names:
-        return F.lit("")
-    return F.concat_ws(sep, *[F.coalesce(labels.getItem(n), F.lit("")) for n in names])
-
-
 def _assemble(labels: Column, changed: dict[str, Column]) -> Column:
     """``labels`` with the ``changed`` labels replaced; empty or NULL values removed."""
     if not changed:
@@ -68,22 +62,15 @@ def _labelmap(labels: Column, rx: str, rep: str) -> Column:
     return F.map_from_entries(last)
 
 
-def apply_rule(labels: Column, rule: Rule) -> tuple[Column, Column | None]:
-    """Map-level form of one rule: (new labels, keep-row predicate or None)."""
+def _whole_map(labels: Column, rule: Rule) -> Column:
+    """The labels after a rule that looks at every label."""
     rx = anchored(rule.regex)
-    if rule.action == "replace":
-        src = joined(labels, rule.source_labels, rule.separator)
-        new = F.regexp_replace(src, rx, java_replacement(rule.replacement))
-        return F.when(src.rlike(rx), _assemble(labels, {rule.target_label: new})).otherwise(labels), None
-    if rule.action in ("keep", "drop"):
-        m = joined(labels, rule.source_labels, rule.separator).rlike(rx)
-        return labels, (m if rule.action == "keep" else ~m)
     if rule.action == "labelmap":
-        return _labelmap(labels, rx, java_replacement(rule.replacement)), None
+        return _labelmap(labels, rx, java_replacement(rule.replacement))
     if rule.action == "labeldrop":
-        return F.map_filter(labels, lambda k, v: ~k.rlike(rx)), None
+        return F.map_filter(labels, lambda k, v: ~k.rlike(rx))
     if rule.action == "labelkeep":
-        return F.map_filter(labels, lambda k, v: k.rlike(rx)), None
+        return F.map_filter(labels, lambda k, v: k.rlike(rx))
     raise ValueError(f"unsupported relabel action {rule.action!r}")
 
 
@@ -124,7 +111,7 @@ def relabel(df: DataFrame, rules: list[Rule], col: str = "labels",
         else:
             df = df.withColumn(col, _assemble(F.col(col), changed))
             changed = {}
-            df = df.withColumn(col, apply_rule(F.col(col), rule)[0])
+            df = df.withColumn(col, _whole_map(F.col(col), rule))
     df = df.withColumn(col, _assemble(F.col(col), changed))
     if drop_internal:
         df = df.withColumn(col, F.map_filter(F.col(col), lambda k, v: ~k.startswith("__")))

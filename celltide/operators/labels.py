@@ -40,3 +40,19 @@ NODE_LABELMAP = Rule(action="labelmap", regex="__meta_kubernetes_node_label_(.+)
 # Only the API server's secure endpoint is kept.
 KEEP_API_SERVER = Rule(action="keep", source_labels=("__meta_kubernetes_namespace", "__meta_kubernetes_service_name", "__meta_kubernetes_endpoint_port_name"),
                        regex="default;kubernetes;https")
+
+# Targets of the node metrics job.
+NODE_METRICS_RULES = [
+    NODE_LABELMAP,
+    CONSTANT_ADDRESS_RULE,
+    Rule(source_labels=("__meta_kubernetes_node_name",), regex="(.+)", replacement="/api/v1/nodes/$1/proxy/metrics", target_label="__metrics_path__"),
+]
+
+# Targets of the annotated service endpoints.
+SERVICE_ENDPOINT_RULES = [
+    Rule(action="keep", source_labels=("__meta_kubernetes_service_annotation_prometheus_io_scrape",), regex="true"),
+    Rule(action="drop", source_labels=("__meta_kubernetes_service_annotation_prometheus_io_scrape_slow",), regex="true"),
+    Rule(source_labels=("__meta_kubernetes_service_annotation_prometheus_io_scheme",), regex="(https?)", target_label="__scheme__"),
+    Rule(source_labels=("__meta_kubernetes_service_annotation_prometheus_io_path",), regex="(.+)", target_label="__metrics_path__"),
+    ADDRESS_PORT_RULE,
+]

@@ -185,6 +185,36 @@ def q_relabel_keep_joined(spark, sf_dir):
     return relabel(ev.withColumn("labels", labels), [LB.KEEP_API_SERVER]).select("event_id")
 
 
+@query("relabel_node_metrics", """
+SELECT event_id, '/api/v1/nodes/node-' || CAST(user_id AS VARCHAR) || '/proxy/metrics' AS metrics_path,
+       'kubernetes.default.svc:443' AS address, event_type AS zone FROM events""")
+def q_relabel_node_metrics(spark, sf_dir):
+    """P20 + P22: path, address and mapped labels of the node metrics targets."""
+    ev = X.load_events(spark, sf_dir)
+    labels = F.create_map(F.lit("__meta_kubernetes_node_name"), F.concat(F.lit("node-"), F.col("user_id").cast("string")),
+                          F.lit("__meta_kubernetes_node_label_zone"), F.col("event_type"))
+    out = relabel(ev.withColumn("labels", labels), LB.NODE_METRICS_RULES)
+    return out.select("event_id", F.col("labels")["__metrics_path__"].alias("metrics_path"), F.col("labels")["__address__"].alias("address"), F.col("labels")["zone"].alias("zone"))
+
+
+@query("relabel_service_endpoints", """
+SELECT event_id, CASE user_id % 3 WHEN 0 THEN 'https' WHEN 1 THEN 'http' ELSE 'ftp0' END AS scheme,
+       CASE WHEN user_id % 5 = 0 THEN '/metrics' ELSE '/m/' || event_type END AS path, '10.0.0.1:9100' AS address
+FROM events WHERE event_id % 2 = 0 AND event_id % 7 <> 0""")
+def q_relabel_service_endpoints(spark, sf_dir):
+    """P20 + P21: scrape and scrape_slow annotations keep or drop a target; scheme, path and port annotations rewrite it."""
+    ev = X.load_events(spark, sf_dir)
+    note = "__meta_kubernetes_service_annotation_prometheus_io_"
+    given = {"__address__": F.lit("10.0.0.1:80"), "__scheme__": F.lit("ftp0"), "__metrics_path__": F.lit("/metrics"),
+             f"{note}scrape": F.when(F.col("event_id") % 2 == 0, "true").otherwise("truely"),
+             f"{note}scrape_slow": F.when(F.col("event_id") % 7 == 0, "true").otherwise("false"),
+             f"{note}scheme": F.when(F.col("user_id") % 3 == 0, "https").when(F.col("user_id") % 3 == 1, "http").otherwise("httpss"),
+             f"{note}path": F.when(F.col("user_id") % 5 == 0, "").otherwise(F.concat(F.lit("/m/"), "event_type")), f"{note}port": F.lit("9100")}
+    labels = F.map_from_arrays(F.array(*map(F.lit, given)), F.array(*given.values()))
+    out = relabel(ev.withColumn("labels", labels), LB.SERVICE_ENDPOINT_RULES)
+    return out.select("event_id", *(F.col("labels")[k].alias(a) for k, a in (("__scheme__", "scheme"), ("__metrics_path__", "path"), ("__address__", "address"))))
+
+
 @query("scalars", """
 SELECT event_id, event_type || '.go' AS base, 'v ' || CAST(user_id AS VARCHAR) AS trimmed,
        CAST(user_id * 1000 + 7 AS BIGINT) AS ms, event_type || '-' || CAST(user_id AS VARCHAR) || '!' AS text, round(value, 1) AS rounded

@@ -83,3 +83,18 @@ def test_keep_drop_labelmap_address(spark):
     assert addr["__address__"] == "10.0.0.1:9100"
     const = relabel(_labels(spark, [{}]), [LB.CONSTANT_ADDRESS_RULE]).first()["labels"]
     assert const["__address__"] == "kubernetes.default.svc:443"
+
+
+def test_logfmt_escapes_and_long_messages(spark):
+    cases = {
+        r'C:\\new': "C:\\new", r'a\nb\tc\rd': "a\nb\tc\rd", r'\\n': "\\n", r'\"q\"': '"q"', r'caf\u00e9 \U0001f600 \x41': "caf\u00e9 \U0001f600 A",
+        r'\a\b\f\v': "\a\b\f\v", '{\\"p\\":\\"C:\\\\\\\\x\\"}': '{"p":"C:\\\\x"}', "": "", "level=error ts=x caller=y": "level=error ts=x caller=y",
+        '\\"' * 75_000: '"' * 75_000, "x" * 150_000: "x" * 150_000,
+    }
+    lines = [(i, f'level=info ts=2024-01-01T00:00:00.123456789Z caller=a.go:1 msg="{m}"') for i, m in enumerate(cases)]
+    lines += [(100, "no fields"), (101, 'msg="only level=warn"'), (102, 'level= msg="unclosed')]
+    got = {r["i"]: r["p"] for r in spark.createDataFrame(lines, "i int, line string").select("i", logfmt.parse(F.col("line")).alias("p")).collect()}
+    for i, want in enumerate(cases.values()):
+        assert (got[i]["level"], got[i]["caller"], got[i]["msg"]) == ("info", "a.go:1", want)
+    assert tuple(got[100]) == (None, None, None, None) and got[101]["msg"] == "only level=warn" and got[101]["level"] is None
+    assert got[102]["msg"] is None and got[102]["level"] is None
