@@ -30,10 +30,15 @@ def staged(df: DataFrame, kind: str) -> DataFrame:
 
     Cuts the lineage: a lost executor repeats only what follows, and no costly step runs twice.
     """
+    return staged_at(df, kind)[0]
+
+
+def staged_at(df: DataFrame, kind: str) -> tuple[DataFrame, str]:
+    """``staged`` and the folder, for a table that is deleted once it has been used."""
     spark = df.sparkSession
     path = new_location(spark, kind)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def pieces_of(batch: pa.RecordBatch, column: str, max_bytes: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, pa.Array]]:

@@ -24,10 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltide.llm.common import pieces_of, staged, workers_import
+from celltide.llm.common import pieces_of, staged, staged_at, workers_import
 from celltide.llm.textscan import U, Words, mix, range_hash, scan
+from celltide.storage import delete_path
 
-WINDOW, GRAM = 20, 6
+#: Words of a repeat, and of a seed: shorter seeds are fewer, but more of them are shared by chance or by short common lines.
+WINDOW, GRAM = 20, 9
 
 
 class Anchors:
@@ -252,7 +254,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     found = table.filter("doc_id is not null and text is not null").select("doc_id", "text") \
         .mapInArrow(_seeds(window, gram), "anchor long, block long, doc_id long, at long")
     shared = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    seeds = staged(found.join(shared, "anchor"), "seeds")
+    seeds, seeds_at = staged_at(found.join(shared, "anchor"), "seeds")
 
     blocks = seeds.groupBy("anchor", "block").agg(F.min("doc_id").alias("first"))
     several = blocks.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("anchor", F.lit(True).alias("several"))
@@ -265,6 +267,7 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     kinds = ("doc_id long, tag long, at int, first_half long, second_half long, text string, whole array<int>, "
              f"{RESULT}")
     extended = staged(table.join(marks, ["doc_id", "tag"], "left").mapInArrow(_extend(window, gram, with_text), _schema(kinds, table)), "repeats")
+    delete_path(spark, seeds_at)
 
     singles = extended.filter("at is not null").select("first_half", "second_half", "doc_id", "tag", "at")
     firsts = singles.groupBy("first_half", "second_half").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("last > first").drop("last")
