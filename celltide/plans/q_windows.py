@@ -152,3 +152,37 @@ def q_stream_late(spark, sf_dir):
     late = spark.read.schema(schema).parquet(paths[2]).select(F.col("seq").alias("event_id"),
                                                               F.lit(True).alias("is_late"))
     return on.unionByName(late)
+
+
+@query("stream_tumbling_append", """
+WITH a AS (SELECT event_id, ts, event_type, value, time_bucket(INTERVAL '3 seconds', ts) AS w,
+                  CASE WHEN event_id % 50 = 0 THEN event_id * 2 + 41 ELSE event_id * 2 END AS arrival FROM events),
+wd AS (SELECT CAST(ceil((max(arrival) + 1) / 1000.0) AS BIGINT) * 100 AS width FROM a),
+s AS (SELECT a.*, (a.arrival + 80) // wd.width AS slice FROM a, wd),
+m AS (SELECT slice, max(ts) AS mx FROM s GROUP BY slice),
+l AS (SELECT slice, max(mx) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING) AS closed FROM m)
+SELECT w AS window_start, event_type AS relation, CAST(count(*) AS BIGINT) AS n,
+       min(value) AS min_value, max(value) AS max_value, round(sum(value), 6) AS sum_value
+FROM s JOIN l USING (slice)
+WHERE (closed IS NULL OR w + INTERVAL 3 SECOND > closed) AND w + INTERVAL 3 SECOND <= (SELECT max(ts) FROM events)
+GROUP BY 1, 2""")
+def q_stream_tumbling_append(spark, sf_dir):
+    """T3 as an engine runs it: append mode fires each window once, when the watermark (no allowed lateness) has passed
+    its end; rows for a window that has fired are dropped, and windows that are still open do not appear.
+    Messages arrive in ``late_split``'s order in 10 slices, one to a micro-batch."""
+    from celltide.storage import new_location
+    from celltide.streaming import sources as SS
+    from celltide.streaming import stateful as ST
+    msgs = X.messages(X.load_events(spark, sf_dir))
+    span = msgs.select(F.max(X.arrival_order("seq"))).first()[0] + 1  # one scalar
+    landing, out = new_location(spark, "landing"), new_location(spark, "stream-windows")
+    SS.land_in_slices(msgs, landing, F.floor((X.arrival_order("seq") + 80) / (-(-span // 1000) * 100)))
+    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 1), K.default_catalog()))
+    q = (ST.tumbling_stream(stream, value=_value()).writeStream.outputMode("append").format("parquet")
+         .option("checkpointLocation", new_location(spark, "stream-ckpt")).trigger(availableNow=True).start(out))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    t = spark.read.schema("window_start TIMESTAMP, relation STRING, n BIGINT, min_value DOUBLE, max_value DOUBLE, sum_value DOUBLE").parquet(out)
+    return t.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "relation", "n",
+                    "min_value", "max_value", F.round("sum_value", 6).alias("sum_value"))
