@@ -62,7 +62,7 @@ def _encode_short(path: str | None, pattern: str | None, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = rank_encoder(path or vocabulary(VOCABULARY), _pattern(pattern))
         for batch in batches:
-            for rows, values in pieces_of(batch, "text", 4 << 20):
+            for rows, values in pieces_of(batch, "text", 8 << 20):
                 ids, first = encode(values)
                 ids = ids.astype("<u4")
                 yield _result(rows.column("doc_id"), [_digest(ids[a:b].tobytes(), path, with_ids) for a, b in zip(first[:-1], first[1:])])

@@ -135,7 +135,7 @@ def _encode(path: str | None, end_id: int, segment_ids: int):
             return pa.record_batch([pa.array([out], pa.binary())], names=["segment"])
 
         for batch in batches:
-            for rows, values in pieces_of(batch, "text", 4 << 20):
+            for rows, values in pieces_of(batch, "text", 8 << 20):
                 ids, first = encode(values)
                 for d, doc_id in enumerate(rows.column("doc_id").to_pylist()):
                     doc_ids.append(doc_id)

@@ -19,12 +19,13 @@ import numpy as np
 import pyarrow as pa
 
 OTHER_SPACE = re.compile(rb"[\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
-_SPACE, _BREAK, _ALNUM, _PUNCT = 1, 2, 4, 8
+_SPACE, _BREAK, _ALNUM, _PUNCT, _LEAD = 1, 2, 4, 8, 16
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[32] = _SPACE
 _CLASS[[9, 10, 11, 12, 13]] = _BREAK
 _CLASS[[c for c in range(33, 127) if chr(c).isalnum()]] = _ALNUM
 _CLASS[[c for c in range(33, 127) if not chr(c).isalnum() and c != ord("'")]] = _PUNCT
+_CLASS[[*range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = _LEAD  # what OTHER_SPACE begins with
 _LATIN_TAIL = np.zeros(256, bool)  # second byte of a two-byte Latin-1 letter after 0xC3
 _LATIN_TAIL[0x80:0xC0] = True
 _LATIN_TAIL[[0x97, 0xB7]] = False  # the multiplication and division signs
@@ -71,7 +72,7 @@ class StretchEncoder:
             here |= alone
         at = np.zeros(len(data) + 1, bool)
         at[1:-1] = here
-        if OTHER_SPACE.search(data):
+        if (kind & _LEAD).any() and OTHER_SPACE.search(data):
             for d, value in enumerate(values):
                 if OTHER_SPACE.search(value.as_buffer()):
                     at[bounds[d]:bounds[d + 1]] = False
@@ -122,25 +123,54 @@ class StretchEncoder:
         return out
 
 
-def _library(path: str) -> Callable[[list[str]], list[list[int]]]:
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: printable Latin-1 as it is, the rest from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+
+
+def _library(path: str, words_only: bool) -> Callable[[list[str]], list[list[int]]]:
+    """Ids of stretches.  One that is a word of Latin letters is a pre-token as it is and goes straight to the library's
+    model; the others go through the library's whole pipeline."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks in parallel
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True  # their strings in a text are ordinary text
-    return lambda texts: [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    merge = library.model.tokenize
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        out: list[list[int]] = [[]] * len(texts)
+        rest = []
+        for i, text in enumerate(texts):
+            own = text.removeprefix(" ")
+            if words_only:
+                text = own = own.lower()
+            if own.isalpha() and max(own) < "\u0250":
+                out[i] = [t.id for t in merge(text.encode().decode("latin-1").translate(_LETTERS))]
+            else:
+                rest.append(i)
+        for i, e in zip(rest, library.encode_batch_fast([texts[i] for i in rest], add_special_tokens=False)):
+            out[i] = e.ids
+        return out
+
+    return encode
 
 
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> StretchEncoder:
     """For a tokenizers file that drops white space and ignores case."""
-    return StretchEncoder(_library(path), words_only=True)
+    return StretchEncoder(_library(path, True), words_only=True)
 
 
 @lru_cache(maxsize=4)
 def byte_encoder(path: str) -> StretchEncoder:
     """For a byte-level tokenizers file."""
-    return StretchEncoder(_library(path))
+    return StretchEncoder(_library(path, False))
 
 
 @lru_cache(maxsize=4)
