@@ -59,8 +59,32 @@ def start_window_updates(agg: DataFrame, path: str, checkpoint: str, trigger: di
 
 def latest_window_updates(spark, path: str, keys: list[str]) -> DataFrame:
     """The last update of every group (one partially aggregated groupBy)."""
+    latest = _latest(spark.read.parquet(path), keys)
+    return latest.drop("batch_id")
+
+
+def _latest(updates: DataFrame, keys: list[str]) -> DataFrame:
+    from pyspark.sql import functions as F
+    vals = [c for c in updates.columns if c not in keys and c != "batch_id"]
+    latest = updates.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"), F.max("batch_id").alias("batch_id"))
+    return latest.select(*keys, *[F.col("_v")[c].alias(c) for c in vals], "batch_id")
+
+
+def fold_updates(spark, path: str, keys: list[str], until: int) -> None:
+    """Replace the updates of the committed batches up to ``until`` by the last one of each group, kept as batch ``until``.
+
+    Bounds the update log by the number of groups.  The folded updates are
+    written before the old ones are removed, and a group's last update is the
+    same with either, so a run that breaks off does no harm.
+    """
     from pyspark.sql import functions as F
-    df = spark.read.parquet(path)
-    vals = [c for c in df.columns if c not in keys and c != "batch_id"]
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*vals), "batch_id").alias("_v"))
-    return latest.select(*keys, *[F.col("_v")[c].alias(c) for c in vals])
+    from celltide.storage import delete_path, list_subdirs, new_location
+    old = spark.read.parquet(path).where(F.col("batch_id") <= until)
+    stage = new_location(spark, "folded")
+    _latest(old, keys).withColumn("batch_id", F.lit(until)).write.parquet(stage)
+    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("batch_id").parquet(path))
+    for d in list_subdirs(spark, path):
+        if d.startswith("batch_id=") and int(d.split("=", 1)[1]) < until:
+            delete_path(spark, f"{path}/{d}")
+    delete_path(spark, stage)

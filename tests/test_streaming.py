@@ -182,3 +182,17 @@ def test_late_rows_side_output(spark, tmp_dir):
     one = spark.read.schema(SS.MESSAGE_SCHEMA).parquet(f"{landing}/f001")
     LT.split_batch(one, 1, *args[:4])
     assert count_all() == n
+
+
+def test_folded_updates_keep_the_last_of_each_group(spark, tmp_dir):
+    import os
+    rows = [(f"d{i % 7}", float(b * 100 + i), b) for b in range(6) for i in range(b, 9)]
+    df = spark.createDataFrame(rows, "id string, v double, batch_id long")
+    path = f"{tmp_dir}/updates"
+    # within a batch each group has one update
+    df.dropDuplicates(["id", "batch_id"]).write.partitionBy("batch_id").parquet(path)
+    before = sorted(map(tuple, ST.latest_window_updates(spark, path, ["id"]).collect()))
+    ST.fold_updates(spark, path, ["id"], 4)
+    assert sorted(d for d in os.listdir(path) if d.startswith("batch_id")) == ["batch_id=4", "batch_id=5"]
+    assert sorted(map(tuple, ST.latest_window_updates(spark, path, ["id"]).collect())) == before
+    assert spark.read.parquet(path).where("batch_id = 4").count() == 7
