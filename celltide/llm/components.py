@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from celltide.storage import shared_root
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the smallest node of its neighbourhood."""
@@ -31,6 +33,7 @@ def components(edges: DataFrame) -> DataFrame:
     Each round is cut off by ``checkpoint()``; rounds go on until the edges stay the same, when each node has one edge,
     to its component.  Null ends and loops are ignored.
     """
+    shared_root(edges.sparkSession)  # where checkpoints go
     edges = edges.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct().checkpoint()
     before = _state(edges)
     while before[0]:

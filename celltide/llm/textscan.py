@@ -17,6 +17,7 @@ U = np.uint64
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
+BLOCK = 4 << 20  # bytes to hash at a time, for the memory of one very long text
 SPACES = b" \t\n\x0b\x0c\r"
 
 
@@ -100,7 +101,11 @@ def scan(values: pa.Array, fold_case: bool = False) -> Words:
     ends[cuts - 1] = inside[cuts - 1]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
     table = _FOLDED if fold_case else _VALUES
-    hashes = range_hash(table[data], begin, end)
+    hashes = np.empty(len(begin), U)
+    cuts = np.unique(np.append(np.searchsorted(begin, np.arange(0, len(data), BLOCK)), len(begin)))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        low = begin[a]
+        hashes[a:b] = range_hash(table[data[low:end[b - 1]]], begin[a:b] - low, end[a:b] - low)
     first = np.searchsorted(begin, bounds).astype(np.int64)
     return Words(begin, end, hashes, first, bounds)
 
