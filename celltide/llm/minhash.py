@@ -20,9 +20,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from celltide.llm.common import pieces_of, staged, workers_import
+from celltide.llm.common import pieces_of, staged, staged_at, workers_import
 from celltide.llm.components import components
 from celltide.llm.textscan import U, mix, range_hash, scan, window_hashes
+from celltide.storage import delete_path
 
 SHINGLE, PERCENT, BANDS, ROWS, TILE = 4, 80, 32, 4, 256
 #: Columns of an incidence matrix at a time.
@@ -176,13 +177,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     n, text = bands * rows, F.coalesce(F.col("text").cast("string"), F.lit(""))
     least_equal = int((percent / 100 - MARGIN) * n)
     table = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.crc32(text).alias("tag"))
-    signed = staged(table.mapInArrow(_sign(shingle, n), "doc_id long, tag long, n_shingles long, set_1 long, set_2 long, signature binary"), "signatures")
+    used: list[str] = []  # folders of tables that the result does not need
+
+    def kept_while_used(df: DataFrame, kind: str) -> DataFrame:
+        out, path = staged_at(df, kind)
+        used.append(path)
+        return out
+
+    signed = kept_while_used(table.mapInArrow(_sign(shingle, n), "doc_id long, tag long, n_shingles long, set_1 long, set_2 long, signature binary"), "signatures")
     own_set = ["set_1", "set_2", "n_shingles"]
-    some = signed.filter("n_shingles > 0 and doc_id is not null")
+    rows_of = staged(signed.select("doc_id", *own_set), "sets")
+    some = rows_of.filter("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy(own_set).agg(F.min("doc_id").alias("node"))
     members = some.select("doc_id", *own_set).join(classes, own_set).select("doc_id", *own_set, "node").distinct()
     members = staged(members, "members")
-    classes = staged(members.filter("doc_id = node").join(signed.withColumnRenamed("doc_id", "node"), ["node", *own_set]).dropDuplicates(["node", *own_set])
+    classes = kept_while_used(members.filter("doc_id = node").join(signed.withColumnRenamed("doc_id", "node"), ["node", *own_set]).dropDuplicates(["node", *own_set])
                      .select("node", "tag", "signature"), "classes")
     # a doc_id with several texts is one node: link its classes
     several = members.groupBy("doc_id").agg(F.min("node").alias("b"), F.max("node").alias("last")).filter("last > b").select("doc_id", "b")
@@ -191,13 +200,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     key = F.expr(f"xxhash64(band, substring(signature, band * {4 * rows} + 1, {4 * rows}))")
     banded = classes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")).select("node", key.alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size")).filter("size > 1")
-    shared = staged(banded.join(buckets, "bucket"), "buckets")
+    shared = kept_while_used(banded.join(buckets, "bucket"), "buckets")
 
     # every member against its buckets' heads
-    pairs = staged(shared.filter("node > head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
+    pairs = kept_while_used(shared.filter("node > head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct(), "pairs")
     ends = shared.select("node").distinct()
     wanted = classes.join(ends, "node", "left_semi").withColumnRenamed("node", "doc_id")
-    texts = staged(table.join(wanted, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select(F.col("doc_id").alias("node"), "text", "signature"), "texts")
+    texts = kept_while_used(table.join(wanted, ["doc_id", "tag"]).dropDuplicates(["doc_id", "tag"]).select(F.col("doc_id").alias("node"), "text", "signature"), "texts")
     as_end = lambda x: texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}"), F.col("signature").alias(f"signature_{x}"))
     both = pairs.join(as_end("a"), "a").join(as_end("b"), "b").select("a", "b", "signature_a", "signature_b", "text_a", "text_b")
     links = both.mapInArrow(_confirm(shingle, percent, least_equal), "a long, b long")
@@ -213,8 +222,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     more = tiled.groupBy("bucket", "i", "j").applyInArrow(_compare(shingle, percent, least_equal), "a long, b long")
     merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("into"))
 
+    for path in used:
+        delete_path(spark, path)
     labels = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(merged, "component", "left") \
         .select("doc_id", *own_set, F.coalesce("into", "component").alias("component"))
-    out = signed.select("doc_id", *own_set).join(labels, ["doc_id", *own_set], "left")
+    out = rows_of.join(labels, ["doc_id", *own_set], "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -29,7 +29,7 @@ def _cut(path: str | None, capacity: int, end_id: int, with_ids: bool):
         encode = word_encoder(path or vocabulary(VOCABULARY))
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for rows, values in pieces_of(batch, "text", 8 << 20):
+            for rows, values in pieces_of(batch, "text", 2 << 20):
                 out: list[tuple] = []
                 every, first = encode(values)
                 for doc_id, a, b in zip(rows.column("doc_id").to_pylist(), first[:-1], first[1:]):

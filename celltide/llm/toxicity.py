@@ -21,8 +21,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from celltide.llm.common import staged, workers_import
-from celltide.llm.vocab import StretchEncoder
+from celltide.llm.common import staged_at, workers_import
+from celltide.llm.vocab import StretchEncoder, hold_memory
+from celltide.storage import delete_path
 
 #: Bound on the labelled rows that the model is fitted on (those with the smallest hash of ``doc_id``), and on its terms.
 SAMPLE, TERMS = 20_000, 1_000
@@ -123,17 +124,21 @@ FEATURES = 6
 class Scanner:
     """Features of texts for a set of terms."""
 
-    def __init__(self, terms: tuple[tuple[str, float], ...], most: int = 1_000_000):
+    def __init__(self, terms: tuple[tuple[str, float], ...], most: int = 300_000):
         self.weight = dict(terms)
         self.automaton = Automaton(self.weight)
         self.cut = StretchEncoder(list, words_only=True).cut
         self.known: dict[bytes, bool] = {}
         self.most = most
 
+    def forget(self) -> None:
+        self.known = {}
+
     def _has_hit(self, stretches: list[bytes]) -> np.ndarray:
+        hold_memory(self)
+        if len(self.known) > self.most:
+            self.forget()
         known, find = self.known, self.automaton.find
-        if len(known) > self.most:
-            known.clear()
         for s in stretches:
             if s not in known:
                 known[s] = any(find(w) for w in WORD.findall(s.decode("utf-8").lower()))
@@ -231,10 +236,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     windows = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))
     rows = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null") \
         .join(F.broadcast(sample), "doc_id").withColumn("words", words).withColumn("sketch", F.array_min(windows))  # at most SAMPLE rows
-    rows = staged(rows.withColumn("words", F.array_distinct("words")).dropDuplicates(["sketch"]), "toxicity-sample")
+    rows, rows_at = staged_at(rows.withColumn("words", F.array_distinct("words")).dropDuplicates(["sketch"]), "toxicity-sample")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
+        delete_path(docs.sparkSession, rows_at)
         return Model((), (*[0.0] * (FEATURES - 1), float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))))
     t, c = F.col("t").cast("double"), F.col("c").cast("double")
     share, expected = n_toxic / (n_toxic + n_clean), lambda k: (t + c) * k
@@ -246,6 +252,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         .filter((F.col("g2") >= LEAST_G2) & (F.col("weight") >= LEAST_LOG_ODDS)).orderBy(F.desc("g2"), "word").limit(TERMS).select("word", "weight").collect()
     lexicon = tuple(sorted((r["word"], float(r["weight"])) for r in terms))
     known = rows.select("toxic", _feature_column(lexicon)(F.col("text")).alias("x")).toPandas()  # at most SAMPLE rows of six numbers
+    delete_path(docs.sparkSession, rows_at)
     weights = fit_logistic(np.stack(known["x"].to_numpy()).astype(float), known["toxic"].to_numpy(float))
     return Model(lexicon, tuple(map(float, weights)))
 

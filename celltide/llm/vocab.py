@@ -40,6 +40,17 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+_holder: list = [None]
+
+
+def hold_memory(owner) -> None:
+    """Let ``owner`` remember; what another encoder or scanner of this worker remembered is forgotten."""
+    if _holder[0] is not owner:
+        if _holder[0] is not None:
+            _holder[0].forget()
+        _holder[0] = owner
+
+
 class StretchEncoder:
     """Runs of texts (UTF-8) to ids, through a memory of at most ``most`` short stretches.
 
@@ -48,11 +59,14 @@ class StretchEncoder:
     the older one and what was not used since is forgotten.
     """
 
-    def __init__(self, encode_all: Callable[[list[str]], list[list[int]]], words_only: bool = False, most: int = 1_000_000, longest: int = 64):
+    def __init__(self, encode_all: Callable[[list[str]], list[list[int]]], words_only: bool = False, most: int = 800_000, longest: int = 64):
         self.encode_all, self.words_only, self.half, self.longest = encode_all, words_only, most // 2, longest
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+
     def cut(self, values: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(bytes, places to cut with both ends, first byte of each text) of a null-free array that holds some bytes."""
         offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + len(values) + 1]
@@ -103,6 +117,7 @@ class StretchEncoder:
 
     def look_up(self, different: list[bytes]) -> list[bytes]:
         """Ids of different stretches, each as little-endian unsigned 32-bit numbers."""
+        hold_memory(self)
         new = [x for x in different if x not in self.known]
         if len(self.known) + len(new) > self.half:
             self.known, self.older = {}, self.known
@@ -164,7 +179,7 @@ def _library(path: str, words_only: bool) -> Callable[[list[str]], list[list[int
 @lru_cache(maxsize=4)
 def word_encoder(path: str) -> StretchEncoder:
     """For a tokenizers file that drops white space and ignores case."""
-    return StretchEncoder(_library(path, True), words_only=True)
+    return StretchEncoder(_library(path, True), words_only=True, most=400_000)
 
 
 @lru_cache(maxsize=4)

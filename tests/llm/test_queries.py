@@ -52,3 +52,16 @@ def test_pipeline(spark):
     assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in got} == want and len(got) == len(want)
     lengths = [r.length for r in got]
     assert placed_without_overlap([(r.sequence_id, r.offset, r.length) for r in got], 4096) == len(naive_best_fit({x: lengths.count(x) for x in lengths}, 4096))
+
+
+KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_column_types_match_oracle(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DIR}/{t}.parquet')")
+    own = {f.name: KINDS[f.dataType.simpleString()] for f in QUERIES[name](spark, DIR).schema.fields}
+    other = con.sql(ORACLES[name])
+    assert own == dict(zip(other.columns, map(str, other.types)))
