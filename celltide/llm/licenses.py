@@ -4,10 +4,19 @@ A text is scanned by lines, by paragraphs (lines up to a blank one) and as a who
 case, runs of other characters than letters and digits as one space) and becomes its set of word bigrams.  With a
 threshold t, only templates whose number of bigrams lies between t / (2 - t) and (2 - t) / t of the segment's can
 reach it; the others are pruned before any comparison.
+
+``running`` also compares windows of each template's number of words, at every place of the whole normalised text.  To
+reach t, a segment or window must hold at least t / (2 - t) of a template's n bigrams, so it holds one of any
+n - ceil(n * t / (2 - t)) + 1 of them: the longest ones serve as anchors.  A text without any anchor has no match, and
+only windows over an anchor are scored; neither leaves out a match.
 """
 
 from __future__ import annotations
 
+import math
+import re
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,31 +43,62 @@ def _words(text: Column) -> Column:
     return F.split(F.trim(F.regexp_replace(F.lower(text), NOT_WORD, " ")), " ")
 
 
-def _bigrams(words: Column) -> Column:
-    """Distinct 64-bit hashes of the pairs of neighbouring words."""
+def _pairs(words: Column) -> Column:
+    """64-bit hashes of the pairs of neighbouring words."""
     pairs = F.transform(F.sequence(F.lit(0), F.size(words) - 2), lambda i: F.xxhash64(F.get(words, i), F.get(words, i + 1)))
-    return F.when(F.size(words) > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(words) > 1, pairs).otherwise(F.array().cast("array<bigint>"))
+
+
+def _bigrams(words: Column) -> Column:
+    return F.array_distinct(_pairs(words))
+
 
+def _anchors(words: list[str], threshold: float) -> list[tuple[str, str]]:
+    """The bigrams of which every segment or window in reach of a template holds one."""
+    pairs = sorted(set(zip(words, words[1:])), key=lambda p: (-len(p[0]) - len(p[1]), p))
+    return pairs[:len(pairs) - math.ceil(len(pairs) * threshold / (2 - threshold) - 1e-9) + 1]
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+
+def _one_of(anchors: set[tuple[str, str]]) -> str:
+    """Pattern that finds one of ``anchors`` in a lower-case text."""
+    after: dict[str, list[str]] = {}
+    for a, b in sorted(anchors):
+        after.setdefault(re.escape(a), []).append(re.escape(b))
+    return r"(?<![\p{L}\p{N}])(?:" + "|".join(f"{a}{NOT_WORD}(?:{'|'.join(b)})" for a, b in after.items()) + r")(?![\p{L}\p{N}])"
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with ``value`` computed once for each row."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, running: bool = False) -> DataFrame:
     """(doc_id, n_segments, n_matches, license, dice) for each row of ``docs`` (``doc_id``, ``text``).
 
     ``n_matches``: segments that reach the threshold with some template; ``license`` and ``dice``: the best of those
     (ties to the first name), else null.  Null or empty text has no segment.  Repeated rows give a row each.  An empty
     table gives an empty result.  Other columns are ignored.
+
+    ``running``: a template also matches inside a segment or across several; such a match counts for ``license`` and
+    ``dice`` like any other, and for ``n_matches`` as one if no segment reaches the threshold.
     """
     spark = docs.sparkSession
     names = sorted(templates)
     grams = spark.createDataFrame([(n, templates[n]) for n in names], "name string, text string").select("name", _words(F.col("text")).alias("words")) \
-        .select("name", _bigrams(F.col("words")).alias("grams")).orderBy("name").collect()  # one row for each template
-    known = F.array(*(F.struct(F.lit(r["name"]).alias("name"), F.lit(len(r["grams"])).alias("n"), F.array(*map(F.lit, r["grams"])).alias("grams")) for r in grams))
+        .select("name", "words", _bigrams(F.col("words")).alias("grams"), _pairs(F.col("words")).alias("pairs")).orderBy("name").collect()  # one row for each template
+    first = [_anchors(r["words"], threshold) for r in grams]
+    hashes = [dict(zip(zip(r["words"], r["words"][1:]), r["pairs"])) for r in grams]
+    known = F.array(*(F.struct(F.lit(r["name"]).alias("name"), F.lit(len(r["grams"])).alias("n"), F.array(*map(F.lit, r["grams"])).alias("grams"),
+                               F.lit(len(r["pairs"])).alias("wide"), F.array(*(F.lit(h[p]) for p in a)).cast("array<bigint>").alias("anchors")) for r, a, h in zip(grams, first, hashes)))
+    anchored = F.array(*map(F.lit, sorted({h[p] for a, h in zip(first, hashes) for p in a}))).cast("array<bigint>")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.split(text, "\n")
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n\s*"), lambda x: F.contains(x, F.lit("\n")))
     whole = F.when(text.rlike(r"\n[ \t\r]*\n"), F.array(text)).otherwise(F.array().cast("array<string>"))
-    segments = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat(lines, paragraphs, whole).alias("segments"))
-    words = segments.select("doc_id", F.filter(F.transform("segments", _words), lambda w: F.get(w, F.lit(0)) != "").alias("words"))
-    sets = words.select("doc_id", F.size("words").alias("n_segments"), F.transform("words", _bigrams).alias("sets"))
+    reachable = F.lower(text).rlike(_one_of({p for a in first for p in a})) if running else F.lit(True)
+    segments = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.concat(lines, paragraphs, whole).alias("segments"), F.when(reachable, text).alias("text"))
+    words = segments.select("doc_id", "text", F.filter(F.transform("segments", _words), lambda w: F.get(w, F.lit(0)) != "").alias("words"))
+    sets = words.select("doc_id", "text", F.size("words").alias("n_segments"), F.when(F.col("text").isNotNull(), F.transform("words", _bigrams)).otherwise(F.array().cast("array<array<bigint>>")).alias("sets"))
 
     def matches(own: Column) -> Column:
         """(dice, name) of the templates in reach of a segment."""
@@ -67,9 +107,27 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
         return F.filter(F.transform(near, lambda t: F.struct((-2.0 * F.size(F.array_intersect(own, t["grams"])) / (n + t["n"])).alias("minus"), t["name"].alias("name"))),
                         lambda m: m["minus"] <= -threshold)
 
-    found = sets.withColumn("known", known).select("doc_id", "n_segments", F.filter(F.transform("sets", lambda s: F.array_min(matches(s))), lambda m: m.isNotNull()).alias("found"))
-    best = F.array_min("found")
-    return found.select("doc_id", F.col("n_segments").cast("long").alias("n_segments"), F.size("found").cast("long").alias("n_matches"), best["name"].alias("license"), (-best["minus"]).alias("dice"))
+    def windows(pairs: Column) -> Column:
+        """(dice, name) of the best window of each template that reaches the threshold, over all pairs of a text."""
+        places = F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: F.array_contains(anchored, F.get(pairs, i)))
+
+        def best(t: Column, at: Column) -> Column:
+            wide = F.least(t["wide"], F.size(pairs))
+            over = F.filter(at, lambda i: F.array_contains(t["anchors"], F.get(pairs, i)))
+            begins = F.array_distinct(F.flatten(F.transform(over, lambda i: F.sequence(F.greatest(F.lit(0), i - wide + 1), F.least(i, F.size(pairs) - wide)))))
+            minus = F.transform(begins, lambda b: _let(F.array_distinct(F.slice(pairs, b + 1, wide)), lambda own: -2.0 * F.size(F.array_intersect(own, t["grams"])) / (F.size(own) + t["n"])))
+            return F.struct(F.array_min(minus).alias("minus"), t["name"].alias("name"))
+
+        found = _let(places, lambda at: F.transform(F.col("known"), lambda t: best(t, at)))
+        return F.when(F.size(pairs) > 0, F.filter(found, lambda m: m["minus"] <= -threshold))
+
+    by_segment = F.filter(F.transform("sets", lambda s: F.array_min(matches(s))), lambda m: m.isNotNull())
+    by_window = F.when(F.col("text").isNotNull(), _let(_words(F.col("text")), lambda w: _let(_pairs(w), windows))) if running else F.lit(None)
+    none = F.array().cast("array<struct<minus: double, name: string>>")
+    found = sets.withColumn("known", known).select("doc_id", "n_segments", by_segment.alias("found"), F.coalesce(by_window, none).alias("passages"))
+    best = F.array_min(F.concat("found", "passages"))
+    n_matches = F.greatest(F.size("found"), F.least(F.size("passages"), F.lit(1)))
+    return found.select("doc_id", F.col("n_segments").cast("long").alias("n_segments"), n_matches.cast("long").alias("n_matches"), best["name"].alias("license"), (-best["minus"]).alias("dice"))
 
 
 def _quoted(text: str) -> str:

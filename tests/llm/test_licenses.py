@@ -38,3 +38,30 @@ def test_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert scan_licenses(empty(spark)).collect() == []
+
+
+def brute_running(text, threshold=0.8):
+    """Segments as in ``brute``, and every window of each template's number of words over the whole text."""
+    n, matches, name, dice = brute(text, threshold)
+    words, _ = grams(text or "")
+    best = [(-dice, name)] if name else []
+    for name, t in TEMPLATES.items():
+        size = len(grams(t)[0])
+        for at in range(max(1, len(words) - size + 1) if len(words) > 1 else 0):
+            own = set(zip(words[at:at + size], words[at + 1:at + size]))
+            d = 2.0 * len(own & grams(t)[1]) / (len(own) + len(grams(t)[1]))
+            if d >= threshold:
+                best.append((-d, name))
+    best = min(best, default=None)
+    return n, max(matches, int(best is not None)), best and best[1], best and -best[0]
+
+
+def test_notices_in_running_text(spark):
+    mit, apache = TEMPLATES["MIT grant"], TEMPLATES["Apache-2.0 header"]
+    header = "Copyright 2024\n\n" + apache.replace("You may", "\nYou may").replace(" Unless", "\n\nUnless").replace(" See the", "\n\nSee the") + "\n\n" + "some other words here. " * 60
+    texts = ["Copyright 2024 Jane Doe. Released under the MIT License. All other rights reserved by the author.", header, f"{'a b c ' * 30}{mit} {'d e f ' * 30}",
+             apache[:300], "x Licensed under the\nApache License,\n\nVersion 2.0. y", "the mit", "license of the MIT license of the", mit.replace("copies", "things") + " and so on", *prose(6, 5)]
+    docs = awkward(spark, texts)
+    got = sorted((tuple(r) for r in scan_licenses(docs, running=True).collect()), key=key)
+    assert got == sorted(((r.doc_id, *brute_running(r.text)) for r in docs.collect()), key=key)
+    assert {x[0]: x[3] for x in got if x[0] in (1, 2, 3, 5)} == {1: "MIT notice", 2: "Apache-2.0 header", 3: "MIT grant", 5: "Apache-2.0 notice"}
