@@ -36,6 +36,34 @@ TEMPLATES = {
     "MIT notice": "Released under the MIT License.",
     "MPL-2.0 header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
 }
+_CC = "This work is licensed under a Creative Commons Attribution-{} 4.0 International License."
+_GNU = "This work is licensed under the GNU {} License, version {}."
+_GNU_HEADER = "This {} is free software: you can redistribute it and/or modify it under the terms of the GNU {} License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+_BSD = TEMPLATES["BSD-2-Clause grant"] + " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. {}Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+#: Licences worded so much like one of ``TEMPLATES`` that they would be taken for it.
+SIBLINGS = {
+    "AGPL-3.0 header": _GNU_HEADER.format("program", "Affero General Public", "3"),
+    "AGPL-3.0 notice": _GNU.format("Affero General Public", "3"),
+    "BSD-3-Clause text": _BSD.format("3. "),
+    "BSD-4-Clause text": _BSD.format("3. All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the copyright holder. 4. "),
+    "CC-BY-4.0 short notice": "Licensed under CC BY 4.0.",
+    "CC-BY-NC-4.0 long notice": _CC.format("NonCommercial"),
+    "CC-BY-NC-ND-4.0 notice": _CC.format("NonCommercial-NoDerivatives"),
+    "CC-BY-NC-ND-4.0 short notice": "Licensed under CC BY-NC-ND 4.0.",
+    "CC-BY-NC-SA-4.0 notice": _CC.format("NonCommercial-ShareAlike"),
+    "CC-BY-NC-SA-4.0 short notice": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-ND-4.0 notice": _CC.format("NoDerivatives"),
+    "CC-BY-ND-4.0 short notice": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-SA-4.0 short notice": "Licensed under CC BY-SA 4.0.",
+    "GPL-2.0 header": _GNU_HEADER.format("program", "General Public", "2"),
+    "GPL-2.0 notice": _GNU.format("General Public", "2"),
+    "LGPL-2.0 header": _GNU_HEADER.format("library", "Library General Public", "2"),
+    "LGPL-2.0 notice": _GNU.format("Library General Public", "2"),
+    "LGPL-2.1 header": _GNU_HEADER.format("library", "Lesser General Public", "2.1"),
+    "LGPL-2.1 notice": _GNU.format("Lesser General Public", "2.1"),
+    "LGPL-3.0 header": _GNU_HEADER.format("program", "Lesser General Public", "3"),
+    "LGPL-3.0 notice": _GNU.format("Lesser General Public", "3"),
+}
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -80,7 +108,8 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
     table gives an empty result.  Other columns are ignored.
 
     ``running``: a template also matches inside a segment or across several; such a match counts for ``license`` and
-    ``dice`` like any other, and for ``n_matches`` as one if no segment reaches the threshold.
+    ``dice`` like any other, and for ``n_matches`` as one if no segment reaches the threshold.  A match is set aside if
+    its template is a part of a much longer one that matches too (the grant that BSD licences share).
     """
     spark = docs.sparkSession
     names = sorted(templates)
@@ -125,7 +154,13 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] = TEMPLATES, thresh
     by_window = F.when(F.col("text").isNotNull(), _let(_words(F.col("text")), lambda w: _let(_pairs(w), windows))) if running else F.lit(None)
     none = F.array().cast("array<struct<minus: double, name: string>>")
     found = sets.withColumn("known", known).select("doc_id", "n_segments", by_segment.alias("found"), F.coalesce(by_window, none).alias("passages"))
-    best = F.array_min(F.concat("found", "passages"))
+    own = [set(r["grams"]) for r in grams]
+    parts = [f"{names[k]}\n{names[j]}" for j, part in enumerate(own) for k, large in enumerate(own)
+             if len(large) * threshold > len(part) * (2 - threshold) and len(part & large) >= threshold * len(part)]
+    parts = F.array(*map(F.lit, parts)).cast("array<string>")
+    every = F.concat("found", "passages")
+    alone = _let(every, lambda x: F.filter(x, lambda m: ~F.exists(x, lambda o: F.array_contains(parts, F.concat(o["name"], F.lit("\n"), m["name"])))))
+    best = F.array_min(alone if running else every)
     n_matches = F.greatest(F.size("found"), F.least(F.size("passages"), F.lit(1)))
     return found.select("doc_id", F.col("n_segments").cast("long").alias("n_segments"), n_matches.cast("long").alias("n_matches"), best["name"].alias("license"), (-best["minus"]).alias("dice"))
 

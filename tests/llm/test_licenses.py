@@ -2,7 +2,7 @@ import re
 
 from fixtures import awkward, empty, key, prose
 
-from celltide.llm.licenses import TEMPLATES, scan_licenses
+from celltide.llm.licenses import SIBLINGS, TEMPLATES, scan_licenses
 
 
 def grams(text):
@@ -65,3 +65,13 @@ def test_notices_in_running_text(spark):
     got = sorted((tuple(r) for r in scan_licenses(docs, running=True).collect()), key=key)
     assert got == sorted(((r.doc_id, *brute_running(r.text)) for r in docs.collect()), key=key)
     assert {x[0]: x[3] for x in got if x[0] in (1, 2, 3, 5)} == {1: "MIT notice", 2: "Apache-2.0 header", 3: "MIT grant", 5: "Apache-2.0 notice"}
+
+
+def test_siblings_are_told_apart(spark):
+    """The best match names the licence itself, alone, as paragraphs and in running text."""
+    known = TEMPLATES | SIBLINGS
+    names = sorted(known)
+    forms = [lambda t: t, lambda t: t.replace(": ", ":\n\n").replace(". ", ".\n\n"), lambda t: f"Some words go before. {t} Others come after it."]
+    docs = awkward(spark, [form(known[n]) for form in forms for n in names])
+    got = {r.doc_id: (r.license, r.dice) for r in scan_licenses(docs, known, running=True).collect()}
+    assert [got[i + 1] for i in range(len(forms) * len(names))] == [(n, 1.0) for _ in forms for n in names]
