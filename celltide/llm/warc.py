@@ -129,39 +129,81 @@ def _member(data: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(parts), min(at, len(data)) - len(unpack.unused_data)
 
 
-def _in_member(content: bytes) -> list[Found]:
-    out, at = [], 0
-    while at < len(content):
-        out.append(parse(content, at))
-        at = out[-1].end
-    return out
+def _before_damage(data: bytes, at: int) -> bytes:
+    """What the member at ``at`` holds before its stream breaks off."""
+    unpack, view, parts, step = zlib.decompressobj(31), memoryview(data), [], STEP
+    while at < len(data) and not unpack.eof:
+        saved = unpack.copy() if step > 1 else None
+        try:
+            parts.append(unpack.decompress(view[at:at + step]))
+            at += step
+        except zlib.error:
+            if saved is None:
+                break
+            unpack, step = saved, 1  # what a failing call unpacked is lost: byte by byte up to the damage
+    return b"".join(parts)
+
+
+def _packed_end(data: bytes, at: int, size: int) -> int:
+    """Where the first ``size`` bytes of the content of the member at ``at`` end in ``data``."""
+    unpack, view = zlib.decompressobj(31), memoryview(data)
+    while size and at < len(data):
+        part = view[at:at + STEP]
+        size -= len(unpack.decompress(part, size))
+        at += len(part) - len(unpack.unconsumed_tail)
+    return at
 
 
-def salvage(data: bytes) -> Iterator[Found | tuple[int, int, str]]:
-    """Records in order, and (begin, end, reason) for stretches of bytes that gave none."""
+def _in_member(content: bytes) -> Iterator[Found | tuple[int, int, str]]:
+    """``salvage`` of a member's content, where only version lines begin a record."""
+    return salvage(content, PLAIN)
+
+
+def salvage(data: bytes, start: re.Pattern[bytes] = START) -> Iterator[Found | tuple[int, int, str]]:
+    """Records in order, and (begin, end, reason) for stretches of bytes that gave none.
+
+    A member is salvaged like a file: its records have the member's offset, and so have the gaps between them.  Of a
+    member that breaks off, the records before the damage are found, and the member is a gap from its offset on;
+    only a member of one record alone stands or falls with its own checksum.
+    """
     at, gap, reason = 0, -1, ""
     while at < len(data):
+        packed = start is START and data.startswith(GZIP, at)
+        inner: list[Found | tuple[int, int, str]] = []
+        broken = ""
         try:
-            if data.startswith(GZIP, at):
+            if packed:
                 content, end = _member(data, at)
-                found = [Found(at, end, x.headers, x.http, x.payload, x.digest) for x in _in_member(content)]
+                inner = list(_in_member(content))
             else:
-                found = [parse(data, at)]
-                end = found[0].end
+                inner = [parse(data, at)]
+                end = inner[0].end
         except Damage as e:
-            if gap < 0:
-                gap, reason = at, str(e)
-            next_start = START.search(data, at + 1)
-            at = next_start.start() if next_start else len(data)
-            continue
-        if gap >= 0 and not found:  # an empty member says nothing about where records go on
-            at = end
-            continue
-        if gap >= 0:
-            yield gap, at, reason
-            gap = -1
-        yield from found
-        at = end
+            broken = str(e)
+            rest = at + 1
+            if packed:
+                content = _before_damage(data, at)
+                inner = [x for x in _in_member(content) if isinstance(x, Found)]
+                if [x.end for x in inner] == [len(content)]:
+                    inner = []
+                if inner:  # bytes of what was found are not searched again
+                    rest = max(rest, _packed_end(data, at, inner[-1].end))
+            next_start = start.search(data, rest)
+            end = next_start.start() if next_start else len(data)
+        if any(isinstance(x, Found) for x in inner):
+            if gap >= 0:
+                yield gap, at, reason
+                gap = -1
+            for x in inner:
+                if isinstance(x, tuple):
+                    yield at, end, x[2]
+                else:
+                    yield Found(at, end, x.headers, x.http, x.payload, x.digest) if packed else x
+        elif inner and not broken:  # a whole member without a valid record
+            broken = inner[0][2]
+        if broken and gap < 0:
+            gap, reason = at, broken
+        at = end  # an empty member says nothing about where records go on
     if gap >= 0:
         yield gap, len(data), reason
 

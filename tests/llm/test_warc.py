@@ -83,3 +83,20 @@ def test_salvage_in_a_table(spark, tmp_dir):
     assert sorted(r.page_id for r in rows if r.gap is None) == [0, 1]
     (gap,) = [r for r in rows if r.gap]
     assert gap.end - gap.offset == 2
+
+
+def test_salvage_inside_a_member():
+    """Records around a damaged one in the same member, and those before a break of the stream, are found."""
+    spoilt = RECORDS[2].replace(b"<p>2", b"<p>X", 1)
+    packed = member(b"".join([*RECORDS[:2], spoilt, *RECORDS[3:]]))
+    records, gaps = found(packed + member(RECORDS[0]))
+    assert records == [0, 1, 3, 4, 5, 0] and [g[:2] for g in gaps] == [(0, len(packed))]
+    many = [record(i, None, os.urandom(3000), None) for i in range(60)]
+    for level in (0, 6):
+        packed = member(b"".join(many), level)
+        spot = len(packed) * 2 // 3
+        for cut in (packed[:spot], packed[:spot] + packed[spot + 5000:]):
+            records, gaps = found(cut + member(RECORDS[1]))
+            kept = [x for x in records if x != 1]
+            assert records[-1] == 1 and set(kept) >= {0, *range(2, 38)} and len(kept) == len(set(kept)), (level, records)
+            assert gaps[0][0] == 0
