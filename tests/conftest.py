@@ -23,6 +23,3 @@ def spark():
 def tmp_dir():
     return tempfile.mkdtemp(prefix="celltide-test-")
 
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"

@@ -8,7 +8,7 @@ from celltide.operators import windows as W
 from celltide.operators.quantiles import exact_percentiles
 from celltide.sources import fixtures as X
 
-from conftest import SF_ORACLE
+from locations import SF_ORACLE
 
 
 def test_value_percentiles(spark):

@@ -9,7 +9,7 @@ import __spark_entry__ as E
 from celltide.plans.registry import ORACLES, QUERIES
 from tools.oracle_check import rows_of
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 @pytest.fixture(scope="module")

@@ -9,7 +9,7 @@ from celltide.plans import queries  # noqa: F401  (registers them)
 from celltide.plans.registry import QUERIES
 from celltide.sources import fixtures as X
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 def _plan(df):

@@ -11,7 +11,7 @@ from celltide.operators import shadow as SH
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 def _skewed_events(spark):

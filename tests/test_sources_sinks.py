@@ -16,7 +16,7 @@ from celltide.streaming import ingest as IG
 from celltide.streaming import sources as SS
 from celltide.streaming import stateful as ST
 
-from conftest import SF_SMALL
+from locations import SF_SMALL
 
 
 def test_create_table_and_partitions(spark, tmp_dir):
