@@ -5,7 +5,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
-from fixtures import awkward, empty, prose
+from llm_cases import awkward, empty, prose
 
 from celltide.llm.bpe_chunks import decode, encode_documents
 from celltide.llm.vocab import ranks

@@ -1,6 +1,6 @@
 import random
 
-from fixtures import awkward, empty, key, prose
+from llm_cases import awkward, empty, key, prose
 
 from celltide.llm import host_quality
 from celltide.llm.host_quality import HOST_RULES, keep_good, quality_rules

@@ -1,6 +1,6 @@
 import re
 
-from fixtures import awkward, empty, key, prose
+from llm_cases import awkward, empty, key, prose
 
 from celltide.llm.licenses import SIBLINGS, TEMPLATES, scan_licenses
 

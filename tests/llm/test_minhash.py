@@ -1,7 +1,7 @@
 from collections import defaultdict
 
 import pytest
-from fixtures import awkward, empty, key, prose
+from llm_cases import awkward, empty, key, prose
 
 from celltide.llm.components import components
 from celltide.llm.minhash import near_duplicates

@@ -4,7 +4,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
-from fixtures import awkward, empty, prose
+from llm_cases import awkward, empty, prose
 from tokenizers import Tokenizer
 
 from celltide.llm.packing import best_fit, pack

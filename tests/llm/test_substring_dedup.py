@@ -1,7 +1,7 @@
 import hashlib
 
 import pytest
-from fixtures import awkward, empty, key, prose
+from llm_cases import awkward, empty, key, prose
 
 from celltide.llm.substring_dedup import substring_dedup
 

@@ -2,7 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from fixtures import awkward, empty, prose
+from llm_cases import awkward, empty, prose
 from test_bpe_chunks import strange
 from tokenizers import Tokenizer
 

@@ -2,7 +2,7 @@ import random
 import zlib
 
 import pytest
-from fixtures import awkward, empty, prose
+from llm_cases import awkward, empty, prose
 
 from celltide.llm.toxicity import Automaton, Model, Scanner, keep_clean, learn, score, toxicity
 
