@@ -83,8 +83,14 @@ def _sign(k: int, n: int):
     return run
 
 
+def _shingles(text: bytes, k: int) -> set[bytes]:
+    """The shingles themselves, of a folded text's words joined by a space."""
+    words = text.lower().split()
+    return {b" ".join(words[i:i + k]) for i in range(max(len(words) - k, 0) + 1)} if words else set()
+
+
 def _confirm(k: int, percent: int, least_equal: int):
-    """Links among pairs (a, b) with both signatures and texts."""
+    """Links among pairs (a, b) with both signatures and texts, confirmed on the shingles themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, known = None, None  # the set of the last b: pairs come grouped by it
@@ -95,10 +101,10 @@ def _confirm(k: int, percent: int, least_equal: int):
                 signs = [np.frombuffer(batch.column(x)[i].as_buffer(), "<u4") for x in ("signature_a", "signature_b")]
                 if int((signs[0] == signs[1]).sum()) < least_equal:
                     continue
-                own = _sets(pa.array([batch.column("text_a")[i].as_py().encode()], pa.large_binary()), k)[0]
+                own = _shingles(batch.column("text_a")[i].as_py().encode(), k)
                 if held != b:
-                    held, known = b, _sets(pa.array([batch.column("text_b")[i].as_py().encode()], pa.large_binary()), k)[0]
-                common = len(np.intersect1d(own, known, assume_unique=True))
+                    held, known = b, _shingles(batch.column("text_b")[i].as_py().encode(), k)
+                common = len(own & known)
                 if 100 * common >= percent * (len(own) + len(known) - common):
                     links.append((a, b))
             if links:

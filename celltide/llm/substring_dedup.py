@@ -4,7 +4,8 @@ Every window of ``window`` words is anchored at its winnowed seed: the smallest
 inside it (leftmost on ties), so equal windows have equal anchors at equal offsets.  A run of neighbouring windows
 with one anchor is a block.  Documents are joined on anchors; a block that equals an earlier document's block is a
 repeat as a whole (both ways extended to its ends), and where blocks of one anchor differ, their windows are extended
-one by one.  Neighbouring repeated windows join into maximal repeats, whose words are removed.
+one by one, by a 128-bit digest of their words.  Neighbouring repeated windows join into maximal repeats, whose words are
+removed.
 
 Order and identity: a window is removed if the same word sequence starts in a row with a smaller ``doc_id`` or earlier
 in the same row.  Rows that share a ``doc_id`` never count as earlier than each other.  A row with a null ``doc_id`` is
@@ -25,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltide.llm.common import pieces_of, staged, staged_at, workers_import
-from celltide.llm.textscan import U, Words, mix, range_hash, scan
+from celltide.llm.textscan import U, Words, mix, range_hash, scan, window_hash
 from celltide.storage import delete_path
 
 #: Words of a repeat, and of a seed: shorter seeds are fewer, but more of them are shared by chance or by short common lines.
@@ -43,7 +44,7 @@ class Anchors:
             self.start = self.block_of = self.low = self.high = self.at = self.document = np.zeros(0, np.int64)
             self.hashes = np.zeros(0, U)
             return
-        grams = range_hash(h, np.arange(n_grams), np.arange(gram, n_grams + gram))
+        grams = window_hash(h, gram)
         bits = U(int(n_grams).bit_length())
         low_bits = (U(1) << bits) - U(1)
         best = (grams & ~low_bits) | np.arange(n_grams, dtype=U)
@@ -76,10 +77,27 @@ def _repeats_inside(words: Words, found: Anchors, window: int) -> np.ndarray:
     _, which, count = np.unique(own, return_inverse=True, return_counts=True)
     rows = np.flatnonzero((count[which] > 1)[found.block_of])
     start = found.start[rows]
-    key = mix(range_hash(words.hashes, start, start + window) + mix(words.document[start].astype(U) + U(1)))
-    keep = np.ones(len(rows), bool)
-    keep[np.unique(key, return_index=True)[1]] = False
-    return rows[keep]
+    key = mix(window_hash(words.hashes, window)[start] + mix(words.document[start].astype(U) + U(1)))
+    _, first, which = np.unique(key, return_index=True, return_inverse=True)
+    earlier, repeat = start[first][which], np.ones(len(rows), bool)
+    repeat[first] = False
+    for i in range(window):  # word by word
+        repeat &= words.hashes[earlier + i] == words.hashes[start + i]
+    return rows[repeat]
+
+
+def _digests(values: pa.Array, words: Words, start: np.ndarray, window: int) -> np.ndarray:
+    """128-bit BLAKE2b of the words of each window, as two integers; ``start`` ascends."""
+    out, own = [], words.document[start]
+    edges = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+    for a, b in zip(edges[:-1], edges[1:]):
+        low, high = words.first[own[a]], words.first[own[a] + 1]
+        text = b" ".join(values[int(own[a])].as_py().split())
+        place = np.zeros(high - low + 1, np.int64)
+        np.cumsum(words.end[low:high] - words.begin[low:high] + 1, out=place[1:])
+        begin, end = place[start[a:b] - low].tolist(), (place[start[a:b] - low + window] - 1).tolist()
+        out += [hashlib.blake2b(text[x:y], digest_size=16).digest() for x, y in zip(begin, end)]
+    return np.frombuffer(b"".join(out), "<i8").reshape(-1, 2)
 
 
 def _tags(values: pa.Array) -> np.ndarray:
@@ -190,8 +208,8 @@ def _extend(window: int, gram: int, with_text: bool):
                 if len(look):
                     start = found.start[look]
                     own = words.document[start]
-                    second = range_hash(mix(words.hashes + U(0x632BE59BD9B4E019)), start, start + window)
-                    yield _rows(len(look), rest=pa.nulls(len(look), rows.column("rest").type), doc_id=ids.take(pa.array(own)), tag=tags.take(pa.array(own)), at=pa.array((start - words.first[own]).astype(np.int32)), first_half=_signed(range_hash(words.hashes, start, start + window)), second_half=_signed(second))
+                    halves = _digests(values, words, start, window)
+                    yield _rows(len(look), rest=pa.nulls(len(look), rows.column("rest").type), doc_id=ids.take(pa.array(own)), tag=tags.take(pa.array(own)), at=pa.array((start - words.first[own]).astype(np.int32)), first_half=pa.array(halves[:, 0]), second_half=pa.array(halves[:, 1]))
 
     return run
 

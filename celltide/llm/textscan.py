@@ -1,12 +1,14 @@
 """Words and hashes of whole texts, vectorised over a run of documents.
 
-A word is a maximal run of bytes other than space and ``\\t \\n \\v \\f \\r`` of the UTF-8 text.  All hashes are 64-bit
-polynomials over bytes or words with fixed odd bases modulo 2**64, finished by a bit mixer; a word's or window's
-hash depends on its content only, so tasks and runs agree.
+A word is a maximal run of bytes other than separators of the UTF-8 text; by default those are space and
+``\\t \\n \\v \\f \\r``.  A word's hash takes its bytes eight at a time through a keyed bit mixer, and words over 32 bytes
+through keyed BLAKE2b.  A window's hash mixes the hashes of its halves, so neither has the algebra of a polynomial that
+lets chosen texts collide.  A word's or window's hash depends on its content only, so tasks and runs agree.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -14,54 +16,91 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
 BLOCK = 4 << 20  # bytes to hash at a time, for the memory of one very long text
 SPACES = b" \t\n\x0b\x0c\r"
+#: Longest word, in bytes, that is hashed eight bytes at a time.
+LANES = 32
+_KEY = b"celltide word"
+_LENGTH, _LEFT = U(0xD6E8FEB86659FD93), U(0x9E3779B97F4A7C15)
+_LANE_KEYS = np.random.default_rng(20240229).integers(1, 1 << 64, LANES // 8, dtype=U)
+#: Bits of a lane that hold the first n bytes.
+_HELD = np.array([(1 << 8 * n) - 1 for n in range(9)], U)
+_FOLD = np.arange(256, dtype=np.uint8)
+_FOLD[ord("A"):ord("Z") + 1] += 32
 
 
-def _byte_values() -> np.ndarray:
-    """A random 64-bit value for each byte, from a fixed seed."""
-    return np.random.default_rng(20240229).integers(1, 1 << 64, 256, dtype=U)
+def in_words(separators: bytes) -> np.ndarray:
+    """For each byte, whether it belongs to a word."""
+    table = np.ones(256, bool)
+    table[list(separators)] = False
+    return table
 
 
-_VALUES = _byte_values()
-_FOLDED = _VALUES.copy()
-_FOLDED[ord("A"):ord("Z") + 1] = _VALUES[ord("a"):ord("z") + 1]
-_IN_WORD = np.ones(256, bool)
-_IN_WORD[list(SPACES)] = False
-_powers = {"up": np.ones(1, U), "down": np.ones(1, U)}
-
-
-def _power(kind: str, n: int) -> np.ndarray:
-    """The first ``n`` powers of the base or of its inverse; kept for runs of ordinary size."""
-    have = _powers[kind]
-    if len(have) < n:
-        step = np.full(max(n, 1 << 16), _BASE if kind == "up" else _INVERSE, U)
-        step[0] = 1
-        have = np.cumprod(step)
-        if n <= 1 << 22:
-            _powers[kind] = have
-    return have[:n]
+_IN_WORD = in_words(SPACES)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply)."""
     h = h ^ (h >> U(30))
-    h = h * U(0xBF58476D1CE4E5B9)
+    h *= U(0xBF58476D1CE4E5B9)
     h ^= h >> U(27)
     h *= U(0x94D049BB133111EB)
     h ^= h >> U(31)
     return h
 
 
+def _join(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix(left * _LEFT + right)
+
+
+def window_hash(values: np.ndarray, k: int) -> np.ndarray:
+    """Hash of each ``k`` consecutive values, by halves; one for each start that has ``k`` values."""
+    out, have, power, width = None, 0, values, 1
+    while len(values) >= k:
+        if k & width:  # this block stands left of the smaller ones
+            out = power if out is None else _join(power[:len(values) - have - width + 1], out[width:])
+            have += width
+        if have == k:
+            return out
+        power = _join(power[:-width], power[width:])
+        width *= 2
+    return np.zeros(0, U)
+
+
 def range_hash(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of ``values[begin:end]`` for each pair; equal sequences hash alike wherever they stand."""
-    n = len(values)
-    total = np.zeros(n + 1, U)
-    np.cumsum(values * _power("up", n), out=total[1:])
-    return mix((total[end] - total[begin]) * _power("down", n + 1)[begin] + (end - begin).astype(U) * U(0xD6E8FEB86659FD93))
+    """Hash of ``values[begin:end]`` for each pair; equal sequences hash alike wherever they stand.
+
+    Two windows of the largest power of two that fits cover a range.
+    """
+    length = end - begin
+    out = length.astype(U) * _LENGTH
+    power, width = values, 1
+    while len(length) and width <= length.max():
+        now = np.flatnonzero((length >= width) & (length < 2 * width))
+        out[now] = mix(out[now] + _join(power[begin[now]], power[end[now] - width]))
+        if len(power) <= width:
+            break
+        power = _join(power[:-width], power[width:])
+        width *= 2
+    return out
+
+
+def _word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of ``data[begin:end]`` for each word; ``data`` has eight more bytes than the words."""
+    eight = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
+    length = end - begin
+    out = mix((eight[begin] & _HELD[np.minimum(length, 8)]) ^ _LANE_KEYS[0])
+    rest = np.flatnonzero(length > 8)
+    for lane in range(1, LANES // 8):
+        if not len(rest):
+            break
+        at = eight[begin[rest] + 8 * lane] & _HELD[np.minimum(length[rest] - 8 * lane, 8)]
+        out[rest] = _join(out[rest], mix(at ^ _LANE_KEYS[lane]))
+        rest = rest[length[rest] > 8 * lane + 8]
+    out = mix(out + length.astype(U) * _LENGTH)
+    for i in rest:
+        out[i] = int.from_bytes(hashlib.blake2b(data[begin[i]:end[i]], digest_size=8, key=_KEY).digest(), "little")
+    return out
 
 
 @dataclass
@@ -82,8 +121,11 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
 
 
-def scan(values: pa.Array, fold_case: bool = False) -> Words:
-    """Words of each element of a null-free large binary array; ``fold_case`` hashes A-Z as a-z."""
+def scan(values: pa.Array, fold_case: bool = False, inside: np.ndarray = _IN_WORD) -> Words:
+    """Words of each element of a null-free large binary array; ``fold_case`` hashes A-Z as a-z.
+
+    ``inside`` tells for each byte whether it belongs to a word (``in_words``).
+    """
     n = len(values)
     offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset:values.offset + n + 1]
     low, high = (int(offsets[0]), int(offsets[-1])) if n else (0, 0)
@@ -91,29 +133,29 @@ def scan(values: pa.Array, fold_case: bool = False) -> Words:
         return Words(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, U), np.zeros(n + 1, np.int64), np.zeros(n + 1, np.int64))
     data = np.frombuffer(values.buffers()[2], np.uint8)[low:high]
     bounds = offsets - low
-    inside = _IN_WORD[data]
-    starts = inside.copy()
-    starts[1:] &= ~inside[:-1]
+    within = inside[data]
+    starts = within.copy()
+    starts[1:] &= ~within[:-1]
     cuts = bounds[(bounds > 0) & (bounds < len(data))]
-    starts[cuts] = inside[cuts]
-    ends = inside.copy()
-    ends[:-1] &= ~inside[1:]
-    ends[cuts - 1] = inside[cuts - 1]
+    starts[cuts] = within[cuts]
+    ends = within.copy()
+    ends[:-1] &= ~within[1:]
+    ends[cuts - 1] = within[cuts - 1]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    table = _FOLDED if fold_case else _VALUES
     hashes = np.empty(len(begin), U)
     cuts = np.unique(np.append(np.searchsorted(begin, np.arange(0, len(data), BLOCK)), len(begin)))
     for a, b in zip(cuts[:-1], cuts[1:]):
         low = begin[a]
-        hashes[a:b] = range_hash(table[data[low:end[b - 1]]], begin[a:b] - low, end[a:b] - low)
+        part = np.zeros(end[b - 1] - low + 8, np.uint8)
+        part[:-8] = data[low:end[b - 1]]
+        hashes[a:b] = _word_hashes(_FOLD[part] if fold_case else part, begin[a:b] - low, end[a:b] - low)
     first = np.searchsorted(begin, bounds).astype(np.int64)
     return Words(begin, end, hashes, first, bounds)
 
 
 def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     """(start, hash) of every window of ``k`` consecutive words within one document, in order."""
-    n = len(words.hashes)
-    start = np.arange(max(n - k + 1, 0))
-    last = np.repeat(words.first[1:], np.diff(words.first))[: len(start)]
-    start = start[start + k <= last]
-    return start, range_hash(words.hashes, start, start + k)
+    hashes = window_hash(words.hashes, k)
+    last = np.repeat(words.first[1:], np.diff(words.first))[:len(hashes)]
+    start = np.flatnonzero(np.arange(len(hashes)) + k <= last)
+    return start, hashes[start]

@@ -87,3 +87,10 @@ def test_components(spark):
     got = components(spark.createDataFrame(pairs, "a long, b long")).collect()
     assert {r.node: r.component for r in got} == want and len(got) == len(want)
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_words_with_one_polynomial_hash(spark):
+    words = ["".join("ab"[(i.bit_count() + x) & 1] for i in range(1024)) for x in (0, 1)]
+    rows = [(1, words[0]), (2, words[1]), (3, f"x {words[0]} y"), (4, f"x {words[1]} y"), (5, f"x {words[1]} y")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 4)]

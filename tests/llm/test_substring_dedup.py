@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import pytest
 from llm_cases import awkward, empty, key, prose
@@ -50,3 +51,23 @@ def test_untouched_text_is_unchanged_and_columns_are_carried(spark):
 
 def test_empty_table(spark):
     assert substring_dedup(empty(spark)).collect() == []
+
+
+def thue_morse_pairs(seed):
+    """Texts that differ in one long word of two letters, whose complement a polynomial hash cannot tell apart."""
+    r = random.Random(seed)
+    rows = []
+    for n in (1024, 2048, 512 * r.randrange(2, 9)):
+        a, b = r.sample("abcdefgh", 2)
+        word = ["".join(x[i.bit_count() & 1] for i in range(n)) for x in (a + b, b + a)]
+        before, after = ([f"w{r.randrange(10**6)}" for _ in range(k)] for k in (10, 20))
+        rows += [" ".join([*before, w, *after]) for w in word]
+    return rows
+
+
+def test_words_with_one_polynomial_hash(spark):
+    texts = [*thue_morse_pairs(1), *thue_morse_pairs(2)]
+    rows = list(enumerate(texts, 1))
+    got = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == [x[:4] for x in brute(rows, 20)]
+    assert {r.doc_id: r.n_removed for r in got}[2] == 20
