@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from celltide.llm import host_quality, licenses
+from celltide.llm import decontaminate, host_quality, licenses
 from celltide.llm.bpe_chunks import encode_documents
 from celltide.llm.minhash import near_duplicates
 from celltide.llm.packing import pack
@@ -101,3 +102,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_license_scan"] = licenses.ORACLE
+
+
+@query
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
+
+
+ORACLES["op13_decontaminate"] = decontaminate.ORACLE

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltide.llm.common import pieces_of, staged, staged_at, workers_import
-from celltide.llm.textscan import U, Words, mix, range_hash, scan, window_hash
+from celltide.llm.textscan import U, Words, mix, range_hash, scan, window_digests, window_hash
 from celltide.storage import delete_path
 
 #: Words of a repeat, and of a seed: shorter seeds are fewer, but more of them are shared by chance or by short common lines.
@@ -86,20 +86,6 @@ def _repeats_inside(words: Words, found: Anchors, window: int) -> np.ndarray:
     return rows[repeat]
 
 
-def _digests(values: pa.Array, words: Words, start: np.ndarray, window: int) -> np.ndarray:
-    """128-bit BLAKE2b of the words of each window, as two integers; ``start`` ascends."""
-    out, own = [], words.document[start]
-    edges = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
-    for a, b in zip(edges[:-1], edges[1:]):
-        low, high = words.first[own[a]], words.first[own[a] + 1]
-        text = b" ".join(values[int(own[a])].as_py().split())
-        place = np.zeros(high - low + 1, np.int64)
-        np.cumsum(words.end[low:high] - words.begin[low:high] + 1, out=place[1:])
-        begin, end = place[start[a:b] - low].tolist(), (place[start[a:b] - low + window] - 1).tolist()
-        out += [hashlib.blake2b(text[x:y], digest_size=16).digest() for x, y in zip(begin, end)]
-    return np.frombuffer(b"".join(out), "<i8").reshape(-1, 2)
-
-
 def _tags(values: pa.Array) -> np.ndarray:
     return np.array([zlib.crc32(x.as_buffer()) for x in values], np.int64)
 
@@ -208,7 +194,7 @@ def _extend(window: int, gram: int, with_text: bool):
                 if len(look):
                     start = found.start[look]
                     own = words.document[start]
-                    halves = _digests(values, words, start, window)
+                    halves = window_digests(values, words, start, window).view("<i8").reshape(-1, 2)
                     yield _rows(len(look), rest=pa.nulls(len(look), rows.column("rest").type), doc_id=ids.take(pa.array(own)), tag=tags.take(pa.array(own)), at=pa.array((start - words.first[own]).astype(np.int32)), first_half=pa.array(halves[:, 0]), second_half=pa.array(halves[:, 1]))
 
     return run

@@ -9,6 +9,7 @@ lets chosen texts collide.  A word's or window's hash depends on its content onl
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -159,3 +160,20 @@ def window_hashes(words: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     last = np.repeat(words.first[1:], np.diff(words.first))[:len(hashes)]
     start = np.flatnonzero(np.arange(len(hashes)) + k <= last)
     return start, hashes[start]
+
+
+def window_digests(values: pa.Array, words: Words, start: np.ndarray, k: int, split: Callable[[bytes], list[bytes]] = bytes.split) -> np.ndarray:
+    """128-bit BLAKE2b of the ``k`` words of each window, joined by a space, as ``S16``; ``start`` ascends.
+
+    ``split`` gives the words of a text in the form that is to be compared; they are as long as the words scanned.
+    """
+    out, own = [], words.document[start]
+    edges = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own))
+    for a, b in zip(edges[:-1], edges[1:]):
+        low, high = words.first[own[a]], words.first[own[a] + 1]
+        text = b" ".join(split(values[int(own[a])].as_py()))
+        place = np.zeros(high - low + 1, np.int64)
+        np.cumsum(words.end[low:high] - words.begin[low:high] + 1, out=place[1:])
+        begin, end = place[start[a:b] - low].tolist(), (place[start[a:b] - low + k] - 1).tolist()
+        out += [hashlib.blake2b(text[x:y], digest_size=16).digest() for x, y in zip(begin, end)]
+    return np.frombuffer(b"".join(out), "S16")

@@ -23,7 +23,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DIR}/{t}.parquet')")
     assert rows_of(QUERIES[name](spark, DIR).toPandas()) == rows_of(con.execute(ORACLES[name]).df())
 
@@ -60,7 +60,7 @@ KINDS = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "D
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_column_types_match_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{DIR}/{t}.parquet')")
     own = {f.name: KINDS[f.dataType.simpleString()] for f in QUERIES[name](spark, DIR).schema.fields}
     other = con.sql(ORACLES[name])
