@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.llm import decontaminate, host_quality, licenses
+from celltide.llm import decontaminate, host_quality, importance, licenses
 from celltide.llm.bpe_chunks import encode_documents
 from celltide.llm.minhash import near_duplicates
 from celltide.llm.packing import pack
@@ -104,6 +104,12 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op10_license_scan"] = licenses.ORACLE
 
 
+@query
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 @query
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))

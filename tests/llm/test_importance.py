@@ -1,0 +1,76 @@
+import hashlib
+import math
+import zlib
+from collections import Counter
+
+import pytest
+from llm_cases import awkward, empty, key, prose
+from test_decontaminate import words_of
+
+from celltide.llm.importance import draw, ranked, resample
+from celltide.llm.queries import QUERIES
+
+
+def features(text, low, high):
+    words = words_of(text)
+    return [b" ".join(words[i:i + n]) for n in range(low, high + 1) for i in range(len(words) - n + 1)]
+
+
+def brute(docs, target, low=1, high=1, buckets=10_000, percent=10, least=20, seed=2024):
+    """(doc_id, n_features, weight, score, rank) of each row."""
+    own = [[zlib.crc32(f) % buckets for f in features(t, low, high)] for _, t in docs]
+    s, t = Counter(b for x in own for b in x), Counter(zlib.crc32(f) % buckets for x in target for f in features(x, low, high))
+    all_s, all_t = s.total(), t.total()
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (all_s + buckets) / ((s[b] + 1) * (all_t + buckets)))) for b in range(buckets)]
+    out = []
+    for (doc, text), x in zip(docs, own):
+        weight = sum(gain[b] for b in x) // len(x) if x else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        score = weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))
+        out.append([doc, len(x), weight, score, None, len(words_of(text))])
+    enough = sorted((r for r in out if r[5] >= least), key=lambda r: (-r[3], r[0] is None, r[0], -r[1], -r[5]))
+    for i, r in enumerate(enough[:percent * len(enough) // 100]):
+        r[4] = i + 1
+    return [tuple(r[:5]) for r in out]
+
+
+def rows_of(df):
+    return sorted(((r.doc_id, r.n_features, r.weight, r.score, r["rank"]) for r in df.collect()), key=key)
+
+
+@pytest.mark.parametrize("parameters", [{}, {"ngrams": (1, 2), "buckets": 100_000, "percent": 30, "least_words": 5, "seed": 7}, {"buckets": 7, "percent": 100}])
+def test_against_brute_force(spark, parameters):
+    docs = awkward(spark, [*prose(4, 60), "Ab-ab", "É é", "x" * 200_000 + " y" * 30])
+    target = [*prose(5, 10), None, "", "Ab ab ab"]
+    benchmark = spark.createDataFrame([(i, t, "clash", b"clash") for i, t in enumerate(target)], "item_id long, text string, rest string, features binary")
+    low, high = parameters.get("ngrams", (1, 1))
+    plain = {"seed": parameters.get("seed", 2024), "buckets": parameters.get("buckets", 10_000), "percent": parameters.get("percent", 10), "least": parameters.get("least_words", 20)}
+    want = brute([(r.doc_id, r.text) for r in docs.collect()], target, low, high, **plain)
+    assert rows_of(resample(docs, benchmark, **parameters)) == sorted(want, key=key)
+    drawn = draw(docs, benchmark, **parameters)
+    assert drawn.columns == docs.columns
+    assert sorted((r.doc_id for r in drawn.collect()), key=str) == sorted((x[0] for x in want if x[4]), key=str)
+
+
+def test_query_on_the_given_tables(spark):
+    path = "/root/testdata/sf0.001"
+    docs, items = (spark.read.parquet(f"{path}/{x}.parquet").collect() for x in ("documents", "benchmark"))
+    assert rows_of(QUERIES["op11_importance_resampling"](spark, path)) == sorted(brute([(r.doc_id, r.text) for r in docs], [r.text for r in items]), key=key)
+
+
+def test_empty_tables(spark):
+    target = spark.createDataFrame([], "text string")
+    assert resample(empty(spark), target).collect() == []
+    docs = awkward(spark, prose(6, 30))
+    assert rows_of(resample(docs, target)) == sorted(brute([(r.doc_id, r.text) for r in docs.collect()], []), key=key)
+    with pytest.raises(ValueError):
+        resample(docs, target, buckets=0)
+
+
+def test_ranks_are_global_with_ties_and_repeats(spark):
+    """Most rows share one score, and some rows are alike: ranks are 1..n all the same."""
+    rows = [(i % 900, 5 if i % 3 else i % 7) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, score long").repartition(7)
+    got = ranked(df, "score", "doc_id").orderBy("rank").collect()
+    assert [(r.score, r.doc_id) for r in got] == sorted((s, d) for d, s in rows)
+    assert [r["rank"] for r in got] == list(range(1, 3001)) and {r.ranked_rows for r in got} == {3000}
