@@ -11,6 +11,7 @@ from celltide.llm import decontaminate, host_quality, importance, licenses
 from celltide.llm.bpe_chunks import encode_documents
 from celltide.llm.minhash import near_duplicates
 from celltide.llm.packing import pack
+from celltide.llm.spelling import DROP_ONE_IN, spelling_variants
 from celltide.llm.substring_dedup import substring_dedup
 from celltide.llm.token_files import read_ids, write_ids
 from celltide.llm.topk import exact_top_k
@@ -110,6 +111,11 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drawn.select("doc_id", "n_features", "weight", "score", "rank")
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"), drop_one_in=DROP_ONE_IN)
+
+
 @query
 def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
