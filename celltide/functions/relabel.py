@@ -7,7 +7,9 @@ references and a ``target_label``.  Actions: ``replace``, ``keep``, ``drop``,
 the empty string; a replacement that yields the empty string removes the
 target label; a ``replace`` whose regex does not match leaves the target as
 it was.  Every rule compiles to built-in expressions (``rlike``,
-``regexp_replace``, ``map_filter``, ``transform``).
+``regexp_replace``, ``map_filter``, ``transform``).  A key that is written twice
+keeps its last value: ``configure`` sets ``spark.sql.mapKeyDedupPolicy`` so, and
+without it a repeated key fails the job.
 """
 
 from __future__ import annotations
@@ -43,23 +45,21 @@ def _assemble(labels: Column, changed: dict[str, Column]) -> Column:
     """``labels`` with the ``changed`` labels replaced; empty or NULL values removed."""
     if not changed:
         return labels
-    names = list(changed)
-    base = F.map_filter(labels, lambda k, v: ~k.isin(*names))
-    overlay = F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*changed.values()))
-    return F.map_filter(F.map_concat(base, overlay), lambda k, v: v.isNotNull() & (v != ""))
+    overlay = F.map_from_arrays(F.array(*[F.lit(n) for n in changed]), F.array(*changed.values()))
+    return F.map_filter(F.map_concat(labels, overlay), lambda k, v: v.isNotNull() & (v != ""))
 
 
 def _labelmap(labels: Column, rx: str, rep: str) -> Column:
-    """Matching keys get a renamed copy that wins over an existing label of that name."""
+    """Matching keys get a renamed copy that wins over an existing label of that name; of several copies to one name
+    that of the last label in the order of names wins, as label sets are sorted.
+
+    The map is built once, from the labels and then the copies; each key is matched and renamed once.
+    """
     entries = F.map_entries(labels)
-    renamed = F.transform(F.filter(entries, lambda e: e["key"].rlike(rx)),
+    renamed = F.transform(F.array_sort(F.filter(entries, lambda e: e["key"].rlike(rx))),
                           lambda e: F.struct(F.regexp_replace(e["key"], rx, rep).alias("key"),
                                              e["value"].alias("value")))
-    rev = F.reverse(F.concat(entries, renamed))
-    keys = F.transform(rev, lambda e: e["key"])
-    # first occurrence in the reversed list = last writer wins
-    last = F.filter(rev, lambda e, i: F.array_position(keys, e["key"]) == i + 1)
-    return F.map_from_entries(last)
+    return F.map_from_entries(F.concat(entries, renamed))
 
 
 def _whole_map(labels: Column, rule: Rule) -> Column:

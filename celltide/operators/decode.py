@@ -3,8 +3,10 @@
 A message is ``payload BINARY`` plus source columns.  Decoding is one
 narrow projection: bytes -> UTF-8 text -> VARIANT -> object map, the row key
 from ``id`` and the relation from the body, and a ``reason`` that is NULL for
-good messages.  The catalog check is a left join with a table that is built
-on the driver, so the planner knows its size and broadcasts a small one.
+good messages.  A catalog of checked size goes into the plan as a literal
+list of names, so the check is one more expression and moves no row.  A larger
+one is joined on (relation, salt), with the messages of each relation, and those
+without one, dealt over ``SALTS`` keys.
 Nothing is dropped: every bad message keeps its payload and a reason.
 """
 
@@ -15,6 +17,26 @@ from pyspark.sql import functions as F
 
 from celltide.sources.catalog import Catalog
 
+#: Keys over which the join with a large catalog deals each relation; the catalog is repeated as often.
+SALTS = 32
+
+
+def _salted(messages: DataFrame, relation: str) -> DataFrame:
+    """``_salt`` from what tells messages apart, the same in each attempt of a task."""
+    telling = [c for c in ("payload", "message_id", "seq", "publish_time") if c in messages.columns]
+    return messages.withColumn("_salt", F.pmod(F.xxhash64(*(telling or [relation])), F.lit(SALTS)))
+
+
+def _with_known(messages: DataFrame, catalog: Catalog, relation: str = "relation") -> DataFrame:
+    """``messages`` with ``_known``: whether the catalog has their relation."""
+    if catalog.fits_in_plan():
+        return messages.withColumn("_known", F.coalesce(F.col(relation).isin(catalog.names()), F.lit(False)))
+    names = catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", relation) \
+        .select(relation, F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")).alias("_salt"), F.lit(True).alias("_known"))
+    joined = _salted(messages, relation).join(names, [relation, "_salt"], "left").drop("_salt")
+    return joined.select(*messages.columns, F.coalesce("_known", F.lit(False)).alias("_known"))
+
+
 def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
     """Add ``row_key, relation, obj (MAP<STRING,VARIANT>), reason`` to messages.
 
@@ -39,10 +61,8 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
           .withColumn("relation", F.when(rel_is_text, rel_v.cast("string"))))
     known = F.lit(True)
     if catalog is not None:
-        spark = messages.sparkSession
-        cat = catalog.relations_df(spark).withColumn("_known", F.lit(True))
-        df = df.join(cat, "relation", "left")
-        known = F.coalesce(F.col("_known"), F.lit(False))
+        df = _with_known(df, catalog)
+        known = F.col("_known")
     reason = (F.when(~valid, "BAD_UTF8")
               .when(parsed.isNull(), "BAD_JSON")
               .when(F.col("obj").isNull(), "NOT_OBJECT")
@@ -51,8 +71,10 @@ def decode(messages: DataFrame, catalog: Catalog | None = None) -> DataFrame:
               .when(~has_rel, "NO_RELATION")
               .when(~rel_is_text, "RELATION_NOT_STRING")
               .when(~known, "UNKNOWN_RELATION"))
-    out = df.withColumn("reason", reason).drop("_utf8", "_v")
-    return out.drop("_known") if catalog is not None else out
+    df = df.withColumn("reason", reason)
+    # a generated row: filters on the reason stay above it, else the optimizer would copy the parse into each of them
+    found = ("obj", "row_key", "relation", "reason")
+    return df.select(*[c for c in messages.columns if c not in found], F.inline(F.array(F.struct(*found))))
 
 
 def good(decoded: DataFrame) -> DataFrame:
@@ -73,15 +95,13 @@ def quarantine_counts(decoded: DataFrame) -> DataFrame:
 
 
 def known_relation(messages: DataFrame, catalog: Catalog, col: str = "relation") -> DataFrame:
-    """Messages whose relation is in the catalog (semi join)."""
-    cat = catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col)
-    return messages.join(cat, col, "left_semi")
+    """Messages whose relation is in the catalog."""
+    return _with_known(messages, catalog, col).where("_known").drop("_known")
 
 
 def unknown_relation(messages: DataFrame, catalog: Catalog, col: str = "relation") -> DataFrame:
-    """Messages whose relation is not in the catalog (anti join)."""
-    cat = catalog.relations_df(messages.sparkSession).withColumnRenamed("relation", col)
-    return messages.join(cat, col, "left_anti")
+    """Messages whose relation is not in the catalog, those without one among them."""
+    return _with_known(messages, catalog, col).where("not _known").drop("_known")
 
 
 def decode_envelopes(bodies: DataFrame, body_col: str = "body") -> DataFrame:

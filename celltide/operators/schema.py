@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from celltide.sources.catalog import DECLARED_TYPES, Catalog
-from celltide.storage import new_location
 
 
 def _typed_text(text: Column, declared: str) -> Column:
@@ -59,34 +58,31 @@ def conformance(decoded_good: DataFrame, catalog: Catalog) -> DataFrame:
     missing, a key is not in the catalog (extra), or a value does not convert
     to its declared type (badly_typed).  JSON ``null`` is present, not bad.
 
-    Plan: one pass.  Every message explodes into its keys plus one marker
-    entry, so a single partially aggregated ``groupBy(relation, field)`` gives
-    the per-key counts and, in the marker rows, the messages of each relation.
-    Those few rows are staged; what is left are joins of small tables.
+    Plan: aggregate before meeting the catalog.  Every message explodes into
+    its keys plus one marker entry, and each value is tested against all
+    declared types, so that no field needs its type to be counted.  The
+    catalog's fields join the same ``groupBy(relation, field)`` as rows that
+    count nothing: one exchange of partial counts, a row for each relation,
+    field and task.  A window over those few rows gives each field its
+    relation's number of messages.
     """
-    spark = decoded_good.sparkSession
     marker = "\u0000messages"
-    cat = catalog.to_df(spark).select("relation", F.col("name").alias("field"), "type")
     entries = F.concat(F.map_entries("obj"),
                        F.array(F.struct(F.lit(marker).alias("key"), F.lit(None).cast("variant").alias("value"))))
     keys = decoded_good.select("relation", F.explode(entries).alias("e")) \
         .select("relation", F.col("e.key").alias("field"), F.col("e.value").alias("v"))
-    keys = keys.join(cat, ["relation", "field"], "left")
-    bad = F.lit(False)
-    for declared in DECLARED_TYPES:
-        bad = F.when(F.col("type") == declared,
-                     F.col("v").isNotNull() & ~F.expr("is_variant_null(v)") & _typed(F.col("v"), declared).isNull()
-                     ).otherwise(bad)
-    counts = keys.groupBy("relation", "field", "type").agg(F.count(F.lit(1)).alias("present"), F.count_if(bad).alias("bad"))
-    location = new_location(spark, "conformance")
-    counts.write.parquet(location)
-    counts = spark.read.schema(counts.schema).parquet(location)  # a row for each relation and field
-    messages = counts.where(F.col("field") == marker).select("relation", F.col("present").alias("n_msgs"))
-    seen = counts.where(F.col("field") != marker)
+    given = F.col("v").isNotNull() & ~F.expr("is_variant_null(v)")
+    bad = {t: F.when(given & _typed(F.col("v"), t).isNull(), F.lit(1)).otherwise(F.lit(0)).cast("long") for t in DECLARED_TYPES}
     none = F.lit(0).cast("long")
-    declared = cat.join(messages, "relation").join(seen.drop("type"), ["relation", "field"], "left").select(
-        "relation", "field", (F.col("n_msgs") - F.coalesce("present", none)).alias("missing"),
-        none.alias("extra"), F.coalesce("bad", none).alias("badly_typed"))
-    extra = seen.where(F.col("type").isNull()).select(
-        "relation", "field", none.alias("missing"), F.col("present").alias("extra"), none.alias("badly_typed"))
-    return declared.unionByName(extra)
+    counted = keys.select("relation", "field", F.lit(None).cast("string").alias("type"), F.lit(1).cast("long").alias("present"),
+                          *(c.alias(t) for t, c in bad.items()))
+    declared = catalog.to_df(decoded_good.sparkSession).select("relation", F.col("name").alias("field"), "type", none.alias("present"), *(none.alias(t) for t in bad))
+    counts = counted.unionByName(declared).groupBy("relation", "field") \
+        .agg(F.max("type").alias("type"), *(F.sum(c).alias(c) for c in ("present", *bad)))
+    messages = F.max(F.when(F.col("field") == marker, F.col("present"))).over(Window.partitionBy("relation"))
+    rows = counts.withColumn("n_msgs", messages).where((F.col("field") != marker) & (F.col("n_msgs") > 0))
+    known, badly = F.col("type").isNotNull(), none
+    for t in bad:
+        badly = F.when(F.col("type") == t, F.col(t)).otherwise(badly)
+    return rows.select("relation", "field", F.when(known, F.col("n_msgs") - F.col("present")).otherwise(none).alias("missing"),
+                       F.when(known, none).otherwise(F.col("present")).alias("extra"), badly.alias("badly_typed"))

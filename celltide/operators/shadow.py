@@ -13,11 +13,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def device_shadow(decoded_good: DataFrame, fields: list[str], ts_col: str = "publish_time") -> DataFrame:
-    """``id, last_seen, n_messages, f_<field>...`` (text of the newest value)."""
+def device_shadow(decoded_good: DataFrame, fields: list[str], ts_col: str = "publish_time", reported: bool = False) -> DataFrame:
+    """``id, last_seen, n_messages, f_<field>...`` (text of the newest value).
+
+    ``reported`` adds the list of those ``fields`` that the device has sent at
+    all, as a NULL value may also be one that was sent as ``null``.
+    """
     order = F.struct(F.col(ts_col), F.col("seq"))
     obj = F.col("obj")
     aggs = [F.max(ts_col).alias("last_seen"), F.count(F.lit(1)).alias("n_messages")]
+    if reported:
+        sent = [F.when(F.bool_or(F.map_contains_key(obj, f)), F.lit(f)) for f in fields]
+        aggs.append(F.array_compact(F.array(*sent)).alias("reported"))
     for f in fields:
         present = F.map_contains_key(obj, f)
         aggs.append(F.max_by(F.try_element_at(obj, F.lit(f)).cast("string"),

@@ -166,11 +166,9 @@ def q_shadow_all_fields(spark, sf_dir):
     """A10: the newest value of every catalog field that a device has reported."""
     msgs = D.good(D.decode(X.sparse_messages(X.load_events(spark, sf_dir)), K.default_catalog()))
     fields = sorted({n for r in K.default_catalog().names() for n, _ in K.default_catalog().fields(r)})
-    shadow = device_shadow(msgs, fields)
-    reported = msgs.groupBy(F.col("row_key").alias("id")).agg(F.array_distinct(F.flatten(F.collect_set(F.map_keys("obj")))).alias("reported"))
+    shadow = device_shadow(msgs, fields, reported=True)
     values = F.explode(F.array(*(F.struct(F.lit(f).alias("field"), F.col(f"f_{f}").alias("value")) for f in fields)))
-    return shadow.select("id", values.alias("e")).select("id", "e.*").join(reported, "id") \
-        .where(F.array_contains("reported", F.col("field"))).select("id", "field", "value")
+    return shadow.select("id", "reported", values.alias("e")).where(F.array_contains("reported", F.col("e.field"))).select("id", "e.*")
 
 
 @query("relabel_keep_joined", """

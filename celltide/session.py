@@ -10,6 +10,8 @@ REQUIRED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # JSON with a repeated key keeps the last value instead of failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # A map built with a repeated key keeps the last value too (labelmap and label overlays).
+    "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     # Runtime re-planning: coalesce small shuffles, split skewed partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -1,8 +1,9 @@
 """Schema catalog: relation -> ordered list of (name, declared type).
 
 The catalog is configuration (one JSON object, as a producer's schema file),
-small in practice.  It is parsed once on the driver, so the planner knows its
-size and picks the join.
+small in practice.  It is parsed once on the driver.  As a DataFrame it is a
+local relation, whose size the planner knows; up to ``PLAN_FIELDS`` and
+``PLAN_CHARS`` it is written into plans as literals, and no join is needed.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -49,6 +51,10 @@ EVENT_FIELDS = [("id", "STRING"), ("timestamp", "TIMESTAMP"), ("value", "FLOAT")
                 ("k", "INTEGER"), ("relation", "STRING")]
 
 
+#: Most fields, and characters of names, of a catalog that is written into a plan.
+PLAN_FIELDS, PLAN_CHARS = 5_000, 200_000
+
+
 class Catalog:
     """Relation -> [(field, declared type)], insertion-ordered."""
 
@@ -69,6 +75,11 @@ class Catalog:
     def merged(self, other: "Catalog") -> "Catalog":
         return Catalog({**self.relations, **other.relations})
 
+    def fits_in_plan(self) -> bool:
+        """Whether names and fields are few and short enough to be literals of a plan."""
+        fields = [n for fs in self.relations.values() for n, _ in fs]
+        return len(fields) + len(self.relations) <= PLAN_FIELDS and sum(map(len, fields)) + sum(map(len, self.relations)) <= PLAN_CHARS
+
     def names(self) -> list[str]:
         return list(self.relations)
 
@@ -84,11 +95,19 @@ class Catalog:
     def to_df(self, spark: SparkSession) -> DataFrame:
         """One row per field: ``relation, pos, name, type`` (pos from 1)."""
         rows = [(r, i + 1, n, t) for r, fields in self.relations.items() for i, (n, t) in enumerate(fields)]
-        schema = "relation string, pos int, name string, type string"
-        return spark.createDataFrame(rows, schema)
+        return _local(spark, rows, "relation string, pos int, name string, type string")
 
     def relations_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame([(r,) for r in self.relations], "relation string")
+        return _local(spark, [(r,) for r in self.relations], "relation string")
+
+
+def _local(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """Rows of the driver as a local relation (through Arrow; a list would become an RDD of unknown size)."""
+    schema = T.StructType.fromDDL(ddl)
+    columns = zip(*rows) if rows else [()] * len(schema)
+    kinds = {"string": pa.string(), "int": pa.int32()}
+    table = pa.table({f.name: pa.array(c, kinds[f.dataType.simpleString()]) for f, c in zip(schema, columns)})
+    return spark.createDataFrame(table, schema)
 
 
 def reference_catalog() -> Catalog:

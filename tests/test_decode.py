@@ -90,3 +90,47 @@ def test_typed_reads_are_strict(spark):
     assert kept == got | {"k0": (None, 12.0, False, '{"a":1}')}
     report = {r["field"]: (r["missing"], r["extra"], r["badly_typed"]) for r in S.conformance(msgs, cat).collect()}
     assert report == {"id": (0, 0, 0), "n": (0, 0, 2), "x": (0, 0, 2), "t": (1, 0, 2), "o": (3, 0, 0), "relation": (0, 0, 0)}
+
+
+def large_catalog():
+    """A catalog beyond the bound of literals."""
+    return Catalog({"dev": [("id", "STRING"), ("t", "FLOAT")]} | {f"r{i}": [(f"f{j}", "FLOAT") for j in range(4)] for i in range(2_000)})
+
+
+def test_large_catalog_is_joined_with_hot_and_null_relations_split(spark):
+    assert CAT.fits_in_plan() and not large_catalog().fits_in_plan()
+    payloads = [b'{"id":"a","relation":"dev"}'] * 300 + [b"nope"] * 200 + [b'{"id":"a","relation":"r7"}', b'{"id":"a","relation":"zzz"}', b'{"id":"a"}']
+    msgs = _msgs(spark, payloads)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (before, "-1"):  # as the planner chooses, and by the salted key
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            one, other = (sorted(D.decode(msgs, c).select("seq", "reason").collect()) for c in (Catalog({**CAT.relations, "r7": []}), large_catalog()))
+            assert one == other and len(one) == len(payloads)
+        plan = D.decode(msgs, large_catalog())._jdf.queryExecution().executedPlan().toString()
+        exchanges = [line for line in plan.split("\n") if "Exchange hashpartitioning" in line]
+        assert exchanges and all("_salt" in line for line in exchanges)
+        parts = D.decode(msgs, large_catalog()).groupBy(F.spark_partition_id().alias("p"), "relation").count()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        sizes = [r["count"] for r in parts.collect() if r["relation"] == "dev"]
+        assert sum(sizes) == 300 and len(sizes) > 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_unknown_relation_keeps_rows_without_one(spark):
+    df = spark.createDataFrame([("dev",), ("zzz",), (None,)], "relation string")
+    for cat in (CAT, large_catalog()):
+        assert [r[0] for r in D.known_relation(df, cat).collect()] == ["dev"]
+        assert sorted(D.unknown_relation(df, cat).collect(), key=str) == sorted([("zzz",), (None,)], key=str)
+
+
+def test_columns_of_the_source_do_not_clash(spark):
+    msgs = _msgs(spark, [b'{"id":"a","relation":"dev"}']).withColumn("relation", F.lit("x")).withColumn("reason", F.lit("y"))
+    row = D.decode(msgs, CAT).first()
+    assert (row["relation"], row["reason"], row["row_key"]) == ("dev", None, "a")
+
+
+def test_empty_catalog_knows_no_relation(spark):
+    assert D.decode(_msgs(spark, [b'{"id":"a","relation":"dev"}']), Catalog({})).first()["reason"] == "UNKNOWN_RELATION"

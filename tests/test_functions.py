@@ -98,3 +98,15 @@ def test_logfmt_escapes_and_long_messages(spark):
         assert (got[i]["level"], got[i]["caller"], got[i]["msg"]) == ("info", "a.go:1", want)
     assert tuple(got[100]) == (None, None, None, None) and got[101]["msg"] == "only level=warn" and got[101]["level"] is None
     assert got[102]["msg"] is None and got[102]["level"] is None
+
+
+def test_labelmap_last_copy_wins_and_cost_is_linear(spark):
+    rule = [Rule(action="labelmap", regex="(?:a|b)_(.+)")]
+    labels = {"a_x": "1", "b_x": "2", "x": "0", "y": "3", "a_y": "4", "z": "5"}
+    row = relabel(spark.createDataFrame([(labels,)], "labels map<string,string>"), rule).first()["labels"]
+    assert row == labels | {"x": "2", "y": "4"}
+    # matched and renamed once: the plan holds each expression once
+    plan = relabel(spark.createDataFrame([(labels,)], "labels map<string,string>"), rule)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.count("RLIKE") + plan.count("rlike") == 1
+    many = {f"a_{i}": str(i) for i in range(20_000)}
+    assert len(relabel(spark.createDataFrame([(many,)], "labels map<string,string>"), rule).first()["labels"]) == 40_000

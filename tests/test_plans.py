@@ -56,3 +56,28 @@ def test_projection_pushed_to_scan(spark):
     p = _plan(QUERIES["topic_filter"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string" in p
     assert "props" not in p.split("ReadSchema")[1].split("\n")[0]
+
+
+DECODING = ["cells", "cells_no_key", "quarantine", "quarantine_rows", "catalog", "typed", "conformance", "shadow_all_fields", "device_shadow",
+            "active_devices", "tumbling", "window_rows"]
+
+
+@pytest.mark.parametrize("name", DECODING)
+def test_decoding_moves_no_message_for_the_catalog(spark, name):
+    """The catalog check is a literal list: no join on relation, and the JSON text is parsed once."""
+    p = _plan(QUERIES[name](spark, SF_SMALL))
+    assert p.count("parseJson") == 1
+    assert "SortMergeJoin" not in p
+    # only counted rows may be dealt by relation: partial results of an aggregate stand below
+    lines = p.split("\n")
+    for i, line in enumerate(lines):
+        assert "Exchange hashpartitioning(relation#" not in line or any("Aggregate" in x for x in lines[i + 1:i + 3])
+
+
+def test_conformance_counts_before_it_meets_the_catalog(spark):
+    p = _plan(QUERIES["conformance"](spark, SF_SMALL))
+    lines = [x.strip() for x in p.split("\n")]
+    exchanges = [i for i, x in enumerate(lines) if "Exchange hashpartitioning" in x]
+    # one of partial counts on (relation, field), and one of counted rows for the window
+    assert len(exchanges) == 2 and "relation" in lines[exchanges[1]] and "field" in lines[exchanges[1]]
+    assert "partial_sum" in lines[exchanges[1] + 1] and "Join" not in p

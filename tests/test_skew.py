@@ -7,6 +7,7 @@ from celltide.operators import audit as A
 from celltide.operators import cells as C
 from celltide.operators import decode as D
 from celltide.operators import logs as LG
+from celltide.operators import schema as S
 from celltide.operators import shadow as SH
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
@@ -57,3 +58,13 @@ def test_hot_message_in_multiset_and_audit(spark):
                                                       F.lit("published"))).alias("step"))
     out = {r["outcome"]: r["n"] for r in LG.delivery_audit(steps).collect()}
     assert out == {"published": ev.count() - n_hot + 1}
+
+
+def test_conformance_of_one_relation(spark):
+    ev = X.load_events(spark, SF_SMALL).withColumn("event_type", F.lit("view"))
+    n = ev.count()
+    odd = {k: ev.where(F.col("event_id") % 89 == k).count() for k in (0, 1, 2)}
+    msgs = D.good(D.decode(X.nonconforming_messages(ev), K.default_catalog()))
+    got = {r["field"]: (r["missing"], r["extra"], r["badly_typed"]) for r in S.conformance(msgs, K.default_catalog()).collect()}
+    assert got == {"id": (0, 0, 0), "timestamp": (0, 0, 0), "value": (0, 0, odd[0]), "k": (odd[2], 0, 0), "relation": (0, 0, 0), "x": (0, odd[1], 0)}
+    assert msgs.count() == n
