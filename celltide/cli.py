@@ -6,6 +6,7 @@
     python -m celltide.cli query --table DIR --relation R [--limit N]
     python -m celltide.cli clear --table DIR --relation R
     python -m celltide.cli compact --table DIR --before 2024-01-31
+    python -m celltide.cli vacuum --table DIR [--keep-hours 24]
     python -m celltide.cli panel --logs GLOB [--selector namespace=verne] [--contains level=error]
 
 ``query`` prints the newest value of every cell of the relation's rows as
@@ -45,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     pan.add_argument("--hours", type=float, default=6)
     pan.add_argument("--now", type=dt.datetime.fromisoformat, help="end of the time range (default: the clock, UTC)")
     pan.add_argument("--limit", type=int)
-    for name in ("init", "list", "query", "clear", "compact"):
+    for name in ("init", "list", "query", "clear", "compact", "vacuum"):
         p = sub.add_parser(name)
         p.add_argument("--table", required=True)
         if name in ("query", "clear"):
@@ -54,6 +55,8 @@ def main(argv: list[str] | None = None) -> None:
             p.add_argument("--limit", type=int)
         if name == "compact":
             p.add_argument("--before", required=True, help="join the writes of days before this one (ISO date)")
+        if name == "vacuum":
+            p.add_argument("--keep-hours", type=float, default=24.0, help="keep what left the table within this time, for reads that go on")
         if name == "init":
             p.add_argument("--name", default="cells")
     a = ap.parse_args(argv)
@@ -88,6 +91,8 @@ def main(argv: list[str] | None = None) -> None:
             print(r["line"])
     elif a.cmd == "compact":
         print(TB.compact(spark, a.table, a.before))
+    elif a.cmd == "vacuum":
+        print(TB.vacuum(spark, a.table, a.keep_hours))
     elif a.cmd == "clear":
         TB.clear_relation(spark, a.table, a.relation)
 

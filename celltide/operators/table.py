@@ -1,31 +1,33 @@
 """The cells table on Parquet.
 
 Layout, for batch and streaming writers alike:
-``<path>/relation=<r>/ingest_date=<d>/write=<w>/part-*.parquet``.  A relation
-is a partition, so choosing a relation or a date range prunes folders, and
-``row_key`` is sorted inside each file so that row-group statistics skip
-data on key lookups.  ``write`` names the write that made the files, so a
-repeated write replaces its own files and no others; ``compact`` joins the
-writes of a closed day into one.
+``<path>/write=<w>/relation=<r>/ingest_date=<d>/part-*.parquet``, with a write
+log (``table_log``) that says which of these folders make up the table.  A
+relation is a partition, so choosing a relation or a date range reads only its
+folders, and ``row_key`` is sorted inside each file so that row-group
+statistics skip data on key lookups.  Every change (a write, a repeated write,
+clearing, keyed deletes, expiry, compaction) is one commit: readers see it
+whole or not at all.  ``vacuum`` deletes what is no longer part of the table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import urllib.parse
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.storage import delete_path, glob_paths, list_subdirs, new_location, rename_path
+from celltide.operators import table_log as TL
+from celltide.operators.table_log import vacuum  # noqa: F401  (part of the table's operations)
+from celltide.storage import delete_path, leaf_folders, list_subdirs, rename_path
 
-PARTITION_COLS = ["relation", "ingest_date", "write"]
+PARTITION_COLS = ["write", "relation", "ingest_date"]
 CELL_COLUMNS = ["row_key", "family", "qualifier", "value", "cell_ts", "event_ts", "seq", "relation",
                 "ingest_date"]
 
 CELLS_DDL = ("row_key STRING, family STRING, qualifier STRING, value STRING, cell_ts TIMESTAMP, "
-             "event_ts TIMESTAMP, seq BIGINT, relation STRING, ingest_date DATE, write STRING")
+             "event_ts TIMESTAMP, seq BIGINT, write STRING, relation STRING, ingest_date DATE")
 
 
 def write_cells(cells: DataFrame, path: str, write: str | None = None) -> None:
@@ -35,18 +37,11 @@ def write_cells(cells: DataFrame, path: str, write: str | None = None) -> None:
     execution size the tasks: small partitions are coalesced (few files per
     folder) and a hot relation or day is split over several tasks, so file
     size follows ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.  With
-    ``write`` the files of an earlier attempt of that write are removed first.
+    ``write`` what an earlier attempt of that write committed is replaced.
     """
-    spark = cells.sparkSession
-    if write is None:
-        write = f"batch-{uuid.uuid4().hex}"
-    else:
-        for folder in glob_paths(spark, f"{path.rstrip('/')}/relation=*/ingest_date=*/write={write}"):
-            delete_path(spark, folder)
-    (cells.select(*CELL_COLUMNS).withColumn("write", F.lit(write))
-     .hint("rebalance", "relation", "ingest_date")
-     .sortWithinPartitions("relation", "ingest_date", "row_key")
-     .write.mode("append").partitionBy(*PARTITION_COLS).parquet(path))
+    rows = cells.select(*CELL_COLUMNS).hint("rebalance", "relation", "ingest_date") \
+        .sortWithinPartitions("relation", "ingest_date", "row_key")
+    TL.append(rows, path, ["relation", "ingest_date"], write)
 
 
 def create_table(spark: SparkSession, name: str, path: str) -> None:
@@ -57,138 +52,142 @@ def create_table(spark: SparkSession, name: str, path: str) -> None:
 
 
 def register_partitions(spark: SparkSession, name: str) -> None:
-    """Make the partitions written since visible in the catalog table, and forget removed ones."""
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    """Make the catalog table's partitions those of the newest commit: add the new ones, drop those that left."""
+    location = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").first()["data_type"]
+    wanted = set(TL.snapshot(spark, location).folders)
+    have = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").toLocalIterator()}
 
+    def spec(folder: str) -> str:
+        quoted = {k: v.replace("\\", "\\\\").replace("'", "\\'") for k, v in TL.partition(folder).items()}
+        return "PARTITION (" + ", ".join(f"{k}='{v}'" for k, v in quoted.items()) + ")"
 
-def read_cells(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(CELLS_DDL).parquet(path)
+    for verb, some, between in (("ADD IF NOT EXISTS", wanted - have, " "), ("DROP IF EXISTS", have - wanted, ", ")):
+        some = sorted(some)
+        for i in range(0, len(some), 500):
+            spark.sql(f"ALTER TABLE {name} {verb} {between.join(map(spec, some[i:i + 500]))}")
 
 
-def _relation_folders(spark: SparkSession, path: str) -> dict[str, str]:
-    """Relation -> name of its partition folder (one entry per relation)."""
-    found = [d for d in list_subdirs(spark, path) if d.startswith("relation=")]
-    return {urllib.parse.unquote(d.split("=", 1)[1]): d for d in found}
+def read_cells(spark: SparkSession, path: str) -> DataFrame:
+    """The table as of its last commit."""
+    return TL.read(spark, path, CELLS_DDL)
 
 
 def scan(spark: SparkSession, path: str, relation: str | None = None,
          ordered: bool = False) -> DataFrame:
     """Rows of one relation, in row-key order on request.
 
-    Only the relation's folder is listed and read (``basePath`` keeps the
-    partition columns), so a scan of one relation does not list the files of
-    all the others; the partition filter stays in the plan as well.
+    Only the relation's folders are listed and read; the partition filter
+    stays in the plan as well.
     """
     if relation is None:
         df = read_cells(spark, path)
     else:
-        folder = _relation_folders(spark, path).get(relation)
-        if folder is None:
-            return spark.createDataFrame([], CELLS_DDL)
-        df = (spark.read.schema(CELLS_DDL).option("basePath", path).parquet(f"{path.rstrip('/')}/{folder}")
-              .where(F.col("relation") == relation))
+        df = TL.read(spark, path, CELLS_DDL, lambda p: p["relation"] == relation).where(F.col("relation") == relation)
     return df.orderBy("row_key", "family", "qualifier", "seq") if ordered else df
 
 
 def list_relations(spark: SparkSession, path: str) -> DataFrame:
-    """Relations present in the table, from one listing of its top-level
-    ``relation=`` folders (metadata only, one entry per relation: no file of
-    the table is opened).  Partitions are never left empty here: clearing
-    removes the folder, keyed deletes remove partitions they empty."""
-    return spark.createDataFrame([(n,) for n in _relation_folders(spark, path)], "relation string")
+    """Relations present in the table, from its log (no folder is listed and no file opened)."""
+    names = sorted({TL.partition(f)["relation"] for f in TL.snapshot(spark, path).folders})
+    return spark.createDataFrame([(n,) for n in names], "relation string")
 
 
 def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
-    """Drop every row of a relation by removing its partition folder."""
-    folder = _relation_folders(spark, path).get(relation)
-    return folder is not None and delete_path(spark, f"{path.rstrip('/')}/{folder}")
-
-
-def compact(spark: SparkSession, path: str, before: str) -> int:
-    """Join the writes of each (relation, day) before ``before`` (ISO date) into one; returns how many days were joined.
-
-    A streaming job leaves one ``write`` folder per relation and micro-batch;
-    run this on days it has left behind.  The joined files are written under
-    a hidden name next to the old ones, with the list of the writes they
-    replace; then those are removed and the name is made visible.  A run that
-    breaks off in between is finished by the next one.
+    """Drop every row of a relation, in one commit."""
+    found = False
+
+    def change(now: TL.Snapshot) -> tuple[dict[str, str], list[str]]:
+        nonlocal found
+        gone = [f for f in now.folders if TL.partition(f)["relation"] == relation]
+        found = bool(gone)
+        return {}, gone
+
+    TL.commit(spark, path, change)
+    return found
+
+
+def _last_writes(writes: set[str]) -> set[str]:
+    """The newest batch of each streaming query (``<query>-<number>``): the one that may still be repeated."""
+    newest: dict[str, int] = {}
+    for w in writes:
+        query, _, number = w.rpartition("-")
+        if query and number.isdigit():
+            newest[query] = max(newest.get(query, -1), int(number))
+    return {f"{q}-{n}" for q, n in newest.items()}
+
+
+def compact(spark: SparkSession, path: str, before: str, ended: bool = False) -> int:
+    """Join the folders of each (relation, day) before ``before`` (ISO date) into one; returns how many were joined.
+
+    A streaming job leaves a folder for each relation, day and micro-batch; run
+    this on days it has left behind.  All of them are rewritten by one job and
+    replaced in one commit, so readers see every row once at any time.  The
+    newest batch of each streaming query is left out, as the query may repeat
+    it, unless the queries have ``ended``.  If another commit has taken one of
+    the folders away in the meantime, nothing is changed and 0 returned.
     """
-    root, joined = path.rstrip("/"), 0
-    for folder in glob_paths(spark, f"{root}/relation=*/ingest_date=*"):
-        if urllib.parse.unquote(folder.rsplit("ingest_date=", 1)[1]) >= before:
-            continue
-        for hidden in glob_paths(spark, f"{folder}/_joined-*"):
-            if glob_paths(spark, f"{hidden}/_members/_SUCCESS"):
-                _finish_compaction(spark, folder, hidden)
-            else:
-                delete_path(spark, hidden)
-        members = [d for d in list_subdirs(spark, folder) if d.startswith("write=")]
-        if len(members) < 2:
-            continue
-        hidden = f"{folder}/_joined-{uuid.uuid4().hex}"
-        columns = [f.name for f in read_cells(spark, path).schema if f.name not in PARTITION_COLS]
-        rows = spark.read.schema(CELLS_DDL).parquet(*(f"{folder}/{m}" for m in members)).select(*columns)
-        rows.repartitionByRange("row_key").sortWithinPartitions("row_key").write.parquet(f"{hidden}/rows")
-        spark.createDataFrame([(m,) for m in members], "member string").coalesce(1).write.text(f"{hidden}/_members")
-        _finish_compaction(spark, folder, hidden)
-        joined += 1
-    return joined
-
-
-def _finish_compaction(spark: SparkSession, folder: str, hidden: str) -> None:
-    for row in spark.read.text(f"{hidden}/_members").toLocalIterator():
-        delete_path(spark, f"{folder}/{row['value']}")
-    if glob_paths(spark, f"{hidden}/rows"):
-        rename_path(spark, f"{hidden}/rows", f"{folder}/write={hidden.rsplit('/_', 1)[1]}")
-    delete_path(spark, hidden)
+    root, now = path.rstrip("/"), TL.snapshot(spark, path)
+    open_writes = set() if ended else _last_writes(set(now.folders.values()))
+    due: dict[tuple[str, str], list[str]] = {}
+    for folder, write in now.folders.items():
+        p = TL.partition(folder)
+        if p["ingest_date"] < before and write not in open_writes:
+            due.setdefault((p["relation"], p["ingest_date"]), []).append(folder)
+    members = [f for folders in due.values() if len(folders) > 1 for f in folders]
+    if not members:
+        return 0
+    name = f"joined-{uuid.uuid4().hex}"
+    order = ["relation", "ingest_date", "row_key"]
+    TL.read(spark, path, CELLS_DDL, folders=members).drop("write").repartitionByRange(*order).sortWithinPartitions(*order) \
+        .write.partitionBy(*order[:2]).parquet(f"{root}/write={name}")
+    joined = {f"write={name}/{leaf}": name for leaf in leaf_folders(spark, f"{root}/write={name}")}
+    after = TL.commit(spark, path, lambda s: (joined, members) if s.folders.keys() >= set(members) else ({}, ()))
+    return sum(len(f) > 1 for f in due.values()) if after.folders.keys() >= joined.keys() else 0
 
 
 def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: str) -> list[str]:
-    """P25 on the store: remove ``ingest_date`` folders older than
-    ``today - keep_days`` (ISO dates), for every relation.  Only folder names
-    are listed (one entry per partition); returns the removed folders."""
+    """P25 on the store: remove the days older than ``today - keep_days``
+    (ISO dates) of every relation, in one commit; returns the removed
+    (relation, day) names."""
     cutoff = (dt.date.fromisoformat(today) - dt.timedelta(days=keep_days)).isoformat()
-    root, removed = path.rstrip("/"), []
-    for folder in glob_paths(spark, f"{root}/relation=*/ingest_date=*"):
-        if folder.rsplit("ingest_date=", 1)[1] < cutoff:
-            delete_path(spark, folder)
-            removed.append("/".join(folder.split("/")[-2:]))
-    _remove_empty_relations(spark, root)
-    return removed
+    gone: list[str] = []
 
+    def change(now: TL.Snapshot) -> tuple[dict[str, str], list[str]]:
+        gone[:] = [f for f in now.folders if TL.partition(f)["ingest_date"] < cutoff]
+        return {}, gone
 
-def _remove_empty_relations(spark: SparkSession, root: str) -> None:
-    for folder in _relation_folders(spark, root).values():
-        if not glob_paths(spark, f"{root}/{folder}/ingest_date=*"):
-            delete_path(spark, f"{root}/{folder}")
+    TL.commit(spark, path, change)
+    return sorted({f.split("/", 1)[1] for f in gone})
 
 
 def delete_keys(spark: SparkSession, path: str, keys: DataFrame, key_col: str = "row_key") -> None:
-    """Remove all cells of the given row keys.
+    """Remove all cells of the given row keys, in one commit.
 
-    Partitions that hold a deleted key are found once and written to the
-    shared folder, with the rows they keep (``left_anti`` on the keys).  Then
-    the kept rows replace their partitions (dynamic overwrite), and partitions
-    that keep none, an anti join of the two, are removed one by one as they
-    stream to the driver.  The staged copies make a retry safe.
+    Folders that hold a deleted key are found first; the rows they keep
+    (``left_anti`` on the keys) are written anew and take their place.  Rows
+    stay with the write that they came from, so a repeated batch still
+    replaces them.  A commit in between that takes one of the folders away
+    makes it start again.
     """
-    root, stage = path.rstrip("/"), new_location(spark, "stage")
+    root = path.rstrip("/")
     keys = keys.select(F.col(key_col).alias("row_key")).distinct()
-    table = read_cells(spark, path)
-    table.join(keys, "row_key", "left_semi").select(*PARTITION_COLS).distinct().write.parquet(f"{stage}/touched")
-    touched = spark.read.schema("relation STRING, ingest_date DATE, write STRING").parquet(f"{stage}/touched")
-    kept = table.join(touched, PARTITION_COLS, "left_semi").join(keys, "row_key", "left_anti")
-    (kept.select(*CELL_COLUMNS, "write").hint("rebalance", *PARTITION_COLS)
-     .write.partitionBy(*PARTITION_COLS).parquet(f"{stage}/kept"))
-    staged = spark.read.schema(CELLS_DDL).parquet(f"{stage}/kept")
-    (staged.hint("rebalance", *PARTITION_COLS).sortWithinPartitions(*PARTITION_COLS, "row_key")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLS).parquet(path))
-    folders = _relation_folders(spark, path)
-    emptied = touched.join(staged.select(*PARTITION_COLS).distinct(), PARTITION_COLS, "left_anti")
-    for r in emptied.toLocalIterator():
-        day = f"{root}/{folders[r['relation']]}/ingest_date={r['ingest_date']}"
-        delete_path(spark, f"{day}/write={r['write']}")
-        if not list_subdirs(spark, day):
-            delete_path(spark, day)
-    _remove_empty_relations(spark, root)
-    delete_path(spark, stage)
+    while True:
+        now = TL.snapshot(spark, path)
+        folder_of = {tuple(TL.partition(f)[c] for c in PARTITION_COLS): f for f in now.folders}
+        at = TL.read(spark, path, CELLS_DDL, folders=now.folders).join(keys, "row_key", "left_semi").select(*(F.col(c).cast("string") for c in PARTITION_COLS))
+        touched = sorted(folder_of[tuple(r)] for r in at.distinct().toLocalIterator())  # at most a row for each folder
+        if not touched:
+            return
+        tag, staged = uuid.uuid4().hex[:12], f"{root}/_staged-{uuid.uuid4().hex}"
+        kept = TL.read(spark, path, CELLS_DDL, folders=touched).join(keys, "row_key", "left_anti").withColumn("write", F.concat("write", F.lit(f"~{tag}")))
+        kept.select(*CELL_COLUMNS, "write").hint("rebalance", *PARTITION_COLS).sortWithinPartitions(*PARTITION_COLS, "row_key") \
+            .write.partitionBy(*PARTITION_COLS).parquet(staged)
+        owner = {TL.partition(f)["write"]: now.folders[f] for f in touched}
+        add = {leaf: owner[TL.partition(leaf)["write"].removesuffix(f"~{tag}")] for leaf in leaf_folders(spark, staged)}
+        for folder in list_subdirs(spark, staged):
+            if folder.startswith("write="):
+                rename_path(spark, f"{staged}/{folder}", f"{root}/{folder}")
+        delete_path(spark, staged)
+        after = TL.commit(spark, path, lambda s: (add, touched) if s.folders.keys() >= set(touched) else ({}, ()))
+        if not after.folders.keys() & set(touched) and after.folders.keys() >= add.keys():
+            return

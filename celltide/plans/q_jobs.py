@@ -56,7 +56,7 @@ def q_catalog_table(spark, sf_dir):
     path = _two_runs(spark, sf_dir)
     name = f"cells_{path.rsplit('/', 1)[1]}"
     TB.create_table(spark, name, path)
-    TB.compact(spark, path, "9999-12-31")
+    TB.compact(spark, path, "9999-12-31", ended=True)
     TB.register_partitions(spark, name)
     spark.catalog.refreshTable(name)
     return spark.table(name).groupBy("relation").agg(F.count(F.lit(1)).alias("n"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -59,6 +60,61 @@ def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     fs.setTimes(hpath, millis, -1)
 
 
+def list_names(spark: SparkSession, path: str) -> dict[str, int]:
+    """Names directly under ``path`` and when each was modified (ms); one listing, empty if there is no such folder."""
+    hpath, fs = _file_system(spark, path)
+    return {s.getPath().getName(): s.getModificationTime() for s in fs.listStatus(hpath)} if fs.exists(hpath) else {}
+
+
+def leaf_folders(spark: SparkSession, path: str) -> list[str]:
+    """Folders under ``path`` that hold data files, relative to it; names with ``_`` or ``.`` in front are none."""
+    hpath, fs = _file_system(spark, path)
+    if not fs.exists(hpath):
+        return []
+    root, found, files = fs.makeQualified(hpath).toString().rstrip("/"), set(), fs.listFiles(hpath, True)
+    while files.hasNext():
+        folder, name = files.next().getPath().toString().removeprefix(f"{root}/").rpartition("/")[::2]
+        if folder and not any(x.startswith(("_", ".")) for x in (*folder.split("/"), name)):
+            found.add(folder)
+    return sorted(found)
+
+
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """A small UTF-8 file whole; None if there is none."""
+    hpath, fs = _file_system(spark, path)
+    if not fs.exists(hpath):
+        return None
+    stream = fs.open(hpath)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small UTF-8 file, whole; False, and no change, if there is one of that name already.
+
+    The name appears by a rename that does not replace, which is atomic on HDFS.  A store without such a rename
+    needs a single writer.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    hpath, fs = _file_system(spark, path)
+    hidden = jvm.org.apache.hadoop.fs.Path(hpath.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(hidden)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    whole = [fs.makeQualified(p) for p in (hidden, hpath)]
+    none = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(whole[1].toUri(), conf).rename(*whole, none)
+    except Py4JJavaError as e:
+        fs.delete(hidden, False)
+        if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def list_subdirs(spark: SparkSession, path: str) -> list[str]:
     """Names of the immediate sub-folders of ``path`` (partition listing)."""
     hpath, fs = _file_system(spark, path)

@@ -19,10 +19,12 @@ from pyspark.sql.streaming import StreamingQuery
 from celltide.operators import cells as C
 from celltide.operators import decode as D
 from celltide.operators import table as TB
+from celltide.operators import table_log as TL
 from celltide.sources.catalog import Catalog
-from celltide.storage import delete_path, glob_paths
 
 INGEST_TIME = "ingest_time"
+QUARANTINE_DDL = ("seq BIGINT, message_id STRING, topic STRING, publish_time TIMESTAMP, attributes MAP<STRING, STRING>, payload BINARY, "
+                  "reason STRING, write STRING, ingest_date DATE")
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -37,22 +39,23 @@ def ingest_batch(batch: DataFrame, write: str, catalog: Catalog, cells_path: str
     ``batch`` has the messages and their ``ingest_time``; ``write`` names this
     write: a repeated one replaces the earlier attempt in both outputs.
     """
-    spark = batch.sparkSession
     decoded = D.decode(batch, catalog).persist()
     try:
         # ingest time: one value per micro-batch, ties broken by seq
         cells = C.to_cells(D.good(decoded), cell_ts=F.col(INGEST_TIME),
                            include_key=include_key, meta_family=meta_family)
         TB.write_cells(cells, cells_path, write)
-        for folder in glob_paths(spark, f"{quarantine_path.rstrip('/')}/ingest_date=*/write={write}"):
-            delete_path(spark, folder)
-        bad = D.quarantined(decoded, (INGEST_TIME,)).withColumn("ingest_date", F.to_date(INGEST_TIME)).withColumn("write", F.lit(write))
-        (bad.drop(INGEST_TIME).hint("rebalance", "ingest_date").write.mode("append")
-         .partitionBy("ingest_date", "write").parquet(quarantine_path))
+        bad = D.quarantined(decoded, (INGEST_TIME,)).withColumn("ingest_date", F.to_date(INGEST_TIME)).drop(INGEST_TIME)
+        TL.append(bad.hint("rebalance", "ingest_date"), quarantine_path, ["ingest_date"], write)
     finally:
         decoded.unpersist()
 
 
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Quarantined messages as of the last commit."""
+    return TL.read(spark, path, QUARANTINE_DDL)
+
+
 def start_ingest(messages: DataFrame, catalog: Catalog, cells_path: str, quarantine_path: str,
                  checkpoint: str, trigger: dict | None = None, query_name: str | None = None,
                  dedup_delay: str | None = None, **cell_opts) -> StreamingQuery:

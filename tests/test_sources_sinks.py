@@ -150,7 +150,6 @@ def test_table_ops_on_stream_layout(spark, tmp_dir):
                         f"{tmp_dir}/q", f"{tmp_dir}/ck")
     q.awaitTermination(300)
     path = f"{tmp_dir}/t"
-    assert TB.PARTITION_COLS == ["relation", "ingest_date", "write"]
     before = TB.read_cells(spark, path)
     n, n_view = before.count(), before.where("relation = 'view'").count()
     keys = ev.where("user_id % 10 = 0").select(X.device_id().alias("row_key"))
@@ -164,33 +163,6 @@ def test_table_ops_on_stream_layout(spark, tmp_dir):
     assert left.count() == n - n_keys - (n_view - n_view_keys)
 
 
-def test_compaction_keeps_rows_and_finishes_a_broken_run(spark, tmp_dir):
-    path = f"{tmp_dir}/t"
-    cells = C.to_cells(D.good(D.decode(X.messages(X.load_events(spark, SF_SMALL)), K.default_catalog())))
-    key = lambda: sorted(map(str, TB.read_cells(spark, path).select(*TB.CELL_COLUMNS).collect()))
-    for part in range(3):
-        TB.write_cells(cells.where(F.col("seq") % 3 == part), path)
-    before = key()
-    n = TB.compact(spark, path, "2024-01-20")
-    assert n > 0 and key() == before
-    writes = TB.read_cells(spark, path).where("ingest_date < '2024-01-20'").select(*TB.PARTITION_COLS).distinct()
-    assert writes.count() == writes.select("relation", "ingest_date").distinct().count()
-    # broken off after the joined files were written and one of two old writes was removed
-    folder = f"{path}/relation=view/ingest_date=2024-01-25"
-    members = [d for d in os.listdir(folder) if d.startswith("write=")]
-    rows = spark.read.parquet(*(f"{folder}/{m}" for m in members))
-    rows.write.parquet(f"{folder}/_joined-x/rows")
-    spark.createDataFrame([(m,) for m in members], "member string").write.text(f"{folder}/_joined-x/_members")
-    from celltide.storage import delete_path
-    delete_path(spark, f"{folder}/{members[0]}")
-    TB.compact(spark, path, "2024-01-26")
-    assert key() == before
-    # one that had not come so far is dropped
-    spark.read.parquet(folder).limit(1).write.parquet(f"{folder}/_joined-y/rows")
-    TB.compact(spark, path, "2024-01-26")
-    assert key() == before and not [d for d in os.listdir(folder) if d.startswith("_joined")]
-
-
 def test_no_shared_folder_is_a_clear_error(spark, tmp_dir):
     import subprocess
     import sys
