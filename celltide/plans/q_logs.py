@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from celltide.functions.relabel import Rule, relabel
 from celltide.operators import labels as LB
 from celltide.operators import logs as LG
+from celltide.operators import templates as TM
 from celltide.plans.registry import query
 from celltide.sources import fixtures as X
 
@@ -82,6 +83,17 @@ def q_log_patterns(spark, sf_dir):
     return LG.patterns(_logs(spark, sf_dir))
 
 
+@query("log_templates", """
+SELECT CASE WHEN user_id % 3 < 2 THEN 'verne' ELSE 'observe' END AS namespace,
+       CASE event_type WHEN 'signup' THEN 'new user <*> signed up' WHEN 'purchase' THEN 'order <*> paid by <*>'
+            WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'cannot open <*> permission denied' ELSE 'cannot open <*> not found' END
+            WHEN 'view' THEN 'page <*> viewed' ELSE 'link <*> was clicked' END AS template, CAST(count(*) AS BIGINT) AS n
+FROM events GROUP BY 1, 2""")
+def q_log_templates(spark, sf_dir):
+    """Templates of messages whose variable parts are words and paths, per namespace."""
+    return TM.mine_templates(X.worded_lines(X.load_events(spark, sf_dir)), by=("namespace",))
+
+
 @query("reject_old", """
 SELECT CAST(count(*) FILTER (WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 168 HOUR) AS BIGINT) AS accepted,
        CAST(count(*) FILTER (WHERE ts < (SELECT max(ts) FROM events) - INTERVAL 168 HOUR) AS BIGINT) AS rejected

@@ -299,3 +299,17 @@ def sent_received(events: DataFrame) -> tuple[DataFrame, DataFrame]:
     received = events.select(F.md5(payload_text()).alias("msg_hash"), F.explode(times).alias("copy")) \
         .select("msg_hash")
     return sent, received
+
+
+def worded_lines(ev: DataFrame) -> DataFrame:
+    """``seq, namespace, msg``: log messages whose variable parts are words and paths (numbers spelled in letters)."""
+    word = lambda c: F.translate(c.cast("string"), "0123456789", "qwertyuiop")
+    user, event = word(F.col("user_id")), word(F.col("event_id"))
+    msg = (F.when(F.col("event_type") == "signup", F.concat(F.lit("new user "), user, F.lit(" signed up")))
+           .when(F.col("event_type") == "purchase", F.concat(F.lit("order "), event, F.lit(" paid by "), user))
+           .when((F.col("event_type") == "error") & (F.col("event_id") % 2 == 0), F.concat(F.lit("cannot open /var/"), event, F.lit(": permission denied")))
+           .when(F.col("event_type") == "error", F.concat(F.lit("cannot open /var/"), event, F.lit(": not found")))
+           .when(F.col("event_type") == "view", F.concat(F.lit("page /"), event, F.lit("/"), user, F.lit(" viewed")))
+           .otherwise(F.concat(F.lit("link "), F.element_at(F.array(F.lit("top"), F.lit("left"), F.lit("right")), (F.col("event_id") % 3 + 1).cast("int")), F.lit(" was clicked"))))
+    namespace = F.when(F.col("user_id") % 3 < 2, "verne").otherwise("observe")
+    return ev.select(F.col("event_id").alias("seq"), namespace.alias("namespace"), msg.alias("msg"))
