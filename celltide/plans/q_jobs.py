@@ -20,6 +20,8 @@ from celltide.plans.registry import query
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 from celltide.storage import new_location
+from celltide.streaming import delivery as DL
+from celltide.streaming import devices as DV
 from celltide.streaming import ingest as IG
 from celltide.streaming import sources as SS
 
@@ -225,3 +227,51 @@ def q_scalars(spark, sf_dir):
                      T.trim_space(F.concat(F.lit(" \t\nv "), F.col("user_id").cast("string"), F.lit("\r\n "))).alias("trimmed"),
                      T.millis_between(F.col("ts"), later).alias("ms"), T.format_text("%s-%d!", F.col("event_type"), F.col("user_id")).alias("text"),
                      F.round("value", 1).alias("rounded"))
+
+
+def _with_sentinel(events):
+    """``events`` and one of a device of its own, 30 days after the newest, that moves the watermark past all of them."""
+    last = events.orderBy(F.desc("ts"), F.desc("event_id")).limit(1)
+    return events.unionByName(last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS")).withColumn("user_id", F.lit(-1).cast("long")))
+
+
+@query("stream_device_sessions", O.with_(O.EV) + """,
+n AS (SELECT row_key AS id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY row_key ORDER BY ts) <= INTERVAL 1 DAY THEN 0 ELSE 1 END AS opens,
+             CASE WHEN event_id % 5 <> 0 THEN value_text END AS v, event_id FROM ev),
+s AS (SELECT *, sum(opens) OVER (PARTITION BY id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS session FROM n)
+SELECT id, min(ts) AS online_from, max(ts) AS last_seen, max(ts) + INTERVAL 1 DAY AS offline_at, CAST(count(*) AS BIGINT) AS n_messages,
+       arg_max(v, (ts, event_id)) AS newest_value FROM s GROUP BY id, session""")
+def q_stream_device_sessions(spark, sf_dir):
+    """A10 + T7 under Structured Streaming: a device is online until a day has passed without a message; sessions are
+    emitted as the watermark passes their end, and their state goes with them.  Messages arrive in 8-day slices."""
+    landing, out = new_location(spark, "landing"), new_location(spark, "sessions")
+    SS.land_in_time_order(X.sparse_messages(_with_sentinel(X.load_events(spark, sf_dir))), landing, days_per_slice=8)
+    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 1), K.default_catalog()))
+    sessions = DV.device_sessions_stream(stream, "1 DAY", fields=("value",))
+    _finished(sessions.writeStream.format("parquet").option("checkpointLocation", new_location(spark, "ckpt")).trigger(availableNow=True).start(out))
+    t = spark.read.schema(sessions.schema).parquet(out)
+    times = (F.col(c).cast("timestamp_ntz").alias(c) for c in ("online_from", "last_seen", "offline_at"))
+    return t.where(~F.col("id").endswith("--1")).select("id", *times, "n_messages", F.col("f_value")["value"].alias("newest_value"))
+
+
+@query("stream_unpublished", """
+SELECT event_id, ts AS received_ts, ts + INTERVAL 1 HOUR AS due FROM events WHERE event_id % 101 = 0 OR event_id % 53 = 0 OR event_id % 40 = 0""")
+def q_stream_unpublished(spark, sf_dir):
+    """J5 under Structured Streaming: messages not published within an hour of their receipt, each reported once.
+
+    Of the steps some are not queued (``% 101``) or failed (``% 53``), some published two hours late (``% 40``), some received
+    again ten minutes later (``% 45``), some published twice (``% 7``).  Steps arrive in 8-day slices of their own time."""
+    ev = _with_sentinel(X.load_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))).withColumn("key", F.when(F.col("user_id") != -1, F.col("event_id")).otherwise(-1))
+    e = F.col("event_id")
+    step = lambda name, minutes: F.struct(F.lit(name).alias("step"), (F.col("ts") + F.make_interval(mins=F.lit(minutes))).alias("at"))
+    done = (e % 101 != 0) & (e % 53 != 0)
+    steps = F.array_compact(F.array(step("received", 0), F.when(e % 45 == 0, step("received", 10)), F.when(e % 101 != 0, step("queued", 1)), F.when((e % 101 != 0) & (e % 53 == 0), step("failed", 2)),
+                                    F.when(done & (e % 40 != 0), step("published", 5)), F.when(done & (e % 40 == 0), step("published", 120)), F.when(done & (e % 7 == 0), step("published", 130))))
+    log = ev.select("key", F.explode(steps).alias("s")).select("key", F.col("s.step").alias("step"), F.col("s.at").alias("ts"))
+    landing, out = new_location(spark, "landing"), new_location(spark, "unpublished")
+    SS.land_in_time_order(log, landing, days_per_slice=8, ts_col="ts")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", "1").parquet(f"{landing}/*")
+    missing = DL.unpublished_stream(stream, "1 HOUR", key="key")
+    _finished(missing.writeStream.format("parquet").option("checkpointLocation", new_location(spark, "ckpt")).trigger(availableNow=True).start(out))
+    t = spark.read.schema(missing.schema).parquet(out)
+    return t.where("key <> -1").select(F.col("key").alias("event_id"), *(F.col(c).cast("timestamp_ntz").alias(c) for c in ("received_ts", "due")))
