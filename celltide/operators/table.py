@@ -106,43 +106,14 @@ def clear_relation(spark: SparkSession, path: str, relation: str) -> bool:
     return found
 
 
-def _last_writes(writes: set[str]) -> set[str]:
-    """The newest batch of each streaming query (``<query>-<number>``): the one that may still be repeated."""
-    newest: dict[str, int] = {}
-    for w in writes:
-        query, _, number = w.rpartition("-")
-        if query and number.isdigit():
-            newest[query] = max(newest.get(query, -1), int(number))
-    return {f"{q}-{n}" for q, n in newest.items()}
-
-
 def compact(spark: SparkSession, path: str, before: str, ended: bool = False) -> int:
     """Join the folders of each (relation, day) before ``before`` (ISO date) into one; returns how many were joined.
 
     A streaming job leaves a folder for each relation, day and micro-batch; run
-    this on days it has left behind.  All of them are rewritten by one job and
-    replaced in one commit, so readers see every row once at any time.  The
-    newest batch of each streaming query is left out, as the query may repeat
-    it, unless the queries have ``ended``.  If another commit has taken one of
-    the folders away in the meantime, nothing is changed and 0 returned.
+    this on days it has left behind (``table_log.join_writes``: one job, one
+    commit, and the batch that may still be repeated is left out).
     """
-    root, now = path.rstrip("/"), TL.snapshot(spark, path)
-    open_writes = set() if ended else _last_writes(set(now.folders.values()))
-    due: dict[tuple[str, str], list[str]] = {}
-    for folder, write in now.folders.items():
-        p = TL.partition(folder)
-        if p["ingest_date"] < before and write not in open_writes:
-            due.setdefault((p["relation"], p["ingest_date"]), []).append(folder)
-    members = [f for folders in due.values() if len(folders) > 1 for f in folders]
-    if not members:
-        return 0
-    name = f"joined-{uuid.uuid4().hex}"
-    order = ["relation", "ingest_date", "row_key"]
-    TL.read(spark, path, CELLS_DDL, folders=members).drop("write").repartitionByRange(*order).sortWithinPartitions(*order) \
-        .write.partitionBy(*order[:2]).parquet(f"{root}/write={name}")
-    joined = {f"write={name}/{leaf}": name for leaf in leaf_folders(spark, f"{root}/write={name}")}
-    after = TL.commit(spark, path, lambda s: (joined, members) if s.folders.keys() >= set(members) else ({}, ()))
-    return sum(len(f) > 1 for f in due.values()) if after.folders.keys() >= joined.keys() else 0
+    return TL.join_writes(spark, path, CELLS_DDL, ["relation", "ingest_date"], ["row_key"], lambda p: p["ingest_date"] < before, ended)
 
 
 def expire_partitions(spark: SparkSession, path: str, keep_days: int, today: str) -> list[str]:

@@ -33,6 +33,35 @@ def window_rows(df: DataFrame, ts_col: str = "publish_time", size: str = "3 seco
             .select(F.col("w.start").alias("window_start"), *keys, "n", "ids"))
 
 
+def window_chunks(df: DataFrame, ts_col: str = "publish_time", size: str = "3 seconds", keys: tuple[str, ...] = ("relation",),
+                  order_col: str = "seq", values: tuple[str, ...] = (), rows: int = 10_000) -> DataFrame:
+    """A1 for groups of any size: ``window_start, <keys>, n, chunk, items``.
+
+    A group's rows, in ``order_col``, come in chunks of ``rows`` rows numbered from 0; ``items`` holds ``order_col`` and the
+    ``values``, and ``n`` is the size of the whole group.  Rows are range-partitioned by (group, order), so a large group
+    lies in several parts; a row's number is its place within its part and the sizes of the group's parts before.  No task
+    holds more than its part's rows, or a chunk.
+    """
+    shared_root(df.sparkSession)
+    group = ["window_start", *keys]
+    order = [*group, order_col]
+    named = df.select(F.window(ts_col, size).start.alias("window_start"), *keys, order_col, *values).where("window_start IS NOT NULL")
+    placed = named.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    # the id is the part's number << 33 and the row's place in it
+    placed = placed.withColumn("_part", F.shiftright("_place", 33))
+    parts = placed.groupBy(*group, "_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    own = Window.partitionBy(*group)
+    before = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*(F.col(c).alias(f"_{c}") for c in (*group, "_part")), "_first",
+                         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), F.sum("_n").over(own).alias("n"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*group, "_part")]
+    number = F.col("_before") + F.col("_place") - F.col("_first")
+    numbered = placed.join(parts, same).withColumn("chunk", F.floor(number / rows))
+    item = F.struct(F.col("_place"), F.struct(order_col, *values).alias("item"))
+    chunks = numbered.groupBy(*group, "n", "chunk").agg(F.sort_array(F.collect_list(item)).alias("_items"))  # at most ``rows`` of them
+    return chunks.select(*group, "n", "chunk", F.transform("_items", lambda x: x["item"]).alias("items"))
+
+
 def exclusive_running_max(df: DataFrame, order_col: str, val_col: str, out_col: str) -> DataFrame:
     """``out_col`` = max of ``val_col`` over all rows with a smaller ``order_col``.
 

@@ -43,6 +43,22 @@ def q_window_rows(spark, sf_dir):
                     "n", "ids")
 
 
+@query("window_chunks", """
+WITH r AS (SELECT time_bucket(INTERVAL '1 day', ts) AS window_start, event_type AS relation, event_id, value,
+                  row_number() OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts), event_type ORDER BY event_id) - 1 AS number,
+                  count(*) OVER (PARTITION BY time_bucket(INTERVAL '1 day', ts), event_type) AS n FROM events)
+SELECT window_start, relation, CAST(n AS BIGINT) AS n, CAST(number // 25 AS BIGINT) AS chunk,
+       string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS ids, round(sum(value), 6) AS sum_value
+FROM r GROUP BY 1, 2, 3, 4""")
+def q_window_chunks(spark, sf_dir):
+    """A1: the rows of each (day, relation) in numbered chunks of 25, so that a group may be of any size."""
+    msgs = _decoded(spark, sf_dir).withColumn("value", _value())
+    t = W.window_chunks(msgs, size="1 day", values=("value",), rows=25)
+    ids = F.array_join(F.transform("items", lambda x: x["seq"].cast("string")), ",")
+    total = F.aggregate("items", F.lit(0.0), lambda a, x: a + x["value"])
+    return t.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "relation", "n", "chunk", ids.alias("ids"), F.round(total, 6).alias("sum_value"))
+
+
 @query("late_split", """
 WITH a AS (SELECT event_id, ts,
                   CASE WHEN event_id % 50 = 0 THEN event_id * 2 + 41 ELSE event_id * 2 END AS arrival

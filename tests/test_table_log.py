@@ -130,7 +130,7 @@ def test_conflicting_commits(spark, tmp_dir, monkeypatch):
     TL.commit(spark, path, lambda s: ({}, [*s.of_write("first"), *s.of_write("second")]))
     # a relation cleared while its days are joined stays cleared
     real = TL.leaf_folders
-    monkeypatch.setattr(TB, "leaf_folders", lambda s, p: TB.clear_relation(s, path, "r") and real(s, p))
+    monkeypatch.setattr(TL, "leaf_folders", lambda s, p: TB.clear_relation(s, path, "r") and real(s, p))
     assert TB.compact(spark, path, "2000-01-01") == 0 and TB.read_cells(spark, path).count() == 0
 
 

@@ -71,3 +71,27 @@ def test_exact_percentiles_match_numpy(spark):
             for p in ps:
                 assert abs(got[(k, p)] - float(np.quantile(xs, p))) < 1e-9, (k, p, blocks)
         assert not any(k == "d" for k, _ in got)
+
+
+def test_window_chunks_of_one_group_of_all_rows(spark):
+    """One group holds nearly all rows, with ties and a null key beside it: chunks are full, in order, and cut over several parts."""
+    df = spark.range(20_000).select(F.col("id").alias("seq"), F.when(F.col("id") % 100 == 7, F.lit(None)).otherwise("r").alias("relation"), (F.col("id") * 2).alias("v"),
+                                    F.timestamp_seconds(F.lit(0)).alias("publish_time"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = W.window_chunks(df, values=("v",), rows=300).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    for key in ("r", None):
+        own = sorted((r for r in got if r["relation"] == key), key=lambda r: r["chunk"])
+        ids = [i for i in range(20_000) if (i % 100 == 7) == (key is None)]
+        assert [r["chunk"] for r in own] == list(range(-(-len(ids) // 300))) and {r["n"] for r in own} == {len(ids)}
+        assert [(x["seq"], x["v"]) for r in own for x in r["items"]] == [(i, 2 * i) for i in ids]
+        assert all(len(r["items"]) == 300 for r in own[:-1])
+
+
+def test_window_chunks_split_a_hot_group_over_parts(spark):
+    df = spark.range(5_000).select(F.col("id").alias("seq"), F.lit("r").alias("relation"), F.timestamp_seconds(F.lit(0)).alias("publish_time"))
+    plan = W.window_chunks(df, rows=100)
+    sizes = [len(r["items"]) for r in plan.collect()]
+    assert sizes == [100] * 50 and W.window_chunks(df.limit(0)).count() == 0
