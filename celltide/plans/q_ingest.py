@@ -79,6 +79,15 @@ def q_bounded_read(spark, sf_dir):
     return A.bounded_read(X.messages(X.load_events(spark, sf_dir)), 100).select(F.col("seq").alias("event_id"))
 
 
+@query("bounded_runs", "SELECT event_id, CAST(CASE WHEN event_id < 40 THEN 0 WHEN event_id < 90 THEN 1 ELSE 2 END AS INTEGER) AS run FROM (SELECT event_id, row_number() OVER (ORDER BY event_id) AS i FROM events) WHERE i <= 100")
+def q_bounded_runs(spark, sf_dir):
+    """Stop after 40, then 50, then 10 messages and go on where the run before stopped; nothing twice."""
+    msgs, path = X.messages(X.load_events(spark, sf_dir)), new_location(spark, "runs")
+    for n in (40, 50, 10):
+        A.read_next(msgs, path, n)
+    return A.all_read(spark, path, msgs.schema).select(F.col("seq").alias("event_id"), F.col("run").cast("int").alias("run"))
+
+
 @query("typed", """
 SELECT event_id, event_type || '-' || CAST(user_id AS VARCHAR) AS id, ts,
        CASE WHEN event_id % 89 = 0 THEN NULL ELSE value END AS value,

@@ -132,3 +132,30 @@ def q_stream_shadow(spark, sf_dir):
     s = ST.latest_window_updates(spark, out, ["id"])
     return s.select("id", F.col("last_seen").cast("timestamp_ntz").alias("last_seen"), "n_messages",
                     "f_timestamp", "f_value", "f_k")
+
+
+SKETCH_ERROR = 0.01
+
+@query("slo_sketch", """
+WITH c AS (SELECT strftime(ts, '%Y-%m-%d') AS day, CASE WHEN value = 0 THEN 0 ELSE CAST(ceil(ln(value) / ln(1.01 / 0.99)) AS BIGINT) END AS cell, count(*) AS n
+           FROM events GROUP BY 1, 2),
+u AS (SELECT *, sum(n) OVER (PARTITION BY day ORDER BY cell) AS upto, sum(n) OVER (PARTITION BY day) AS total FROM c),
+p(p) AS (VALUES (0.5::DOUBLE), (0.95::DOUBLE), (0.99::DOUBLE))
+SELECT day, p, CAST(total AS BIGINT) AS n, round(exp(cell * ln(1.01 / 0.99)) * 2 / (1 + 1.01 / 0.99), 6) AS value
+FROM u, p WHERE floor(p * (total - 1)) < upto AND floor(p * (total - 1)) >= upto - n""")
+def q_slo_sketch(spark, sf_dir):
+    """A3: percentiles of the publish duration by day, from sketches of 15-minute intervals, built by a stream in update mode."""
+    from celltide.operators import sketches as SK
+    from celltide.storage import new_location
+    from celltide.streaming import stateful as ST
+    ev = X.load_events(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), F.lit("mqtt_message_duration").alias("metric"), F.col("value").alias("x"))
+    landing, out = new_location(spark, "samples"), new_location(spark, "sketches")
+    ev.repartitionByRange(4, "ts").write.parquet(landing)
+    stream = SK.interval_sketches_stream(spark.readStream.schema(ev.schema).parquet(landing), "15 minutes", error=SKETCH_ERROR)
+    q = ST.start_window_updates(stream, out, new_location(spark, "stream-ckpt"))
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    stored = ST.latest_window_updates(spark, out, ["bucket", "metric", "cell"])
+    days = SK.merged(stored, (F.date_format("bucket", "yyyy-MM-dd").alias("day"), "metric"))
+    return SK.sketch_quantiles(days, ("day", "metric"), [0.5, 0.95, 0.99], SKETCH_ERROR).select("day", "p", "n", F.round("value", 6).alias("value"))

@@ -156,18 +156,14 @@ def q_stream_late(spark, sf_dir):
     landing = new_location(spark, "landing")
     SS.land_in_slices(msgs.drop("arrival"), landing,
                       F.floor((X.arrival_order("seq") + 80) / width))
-    paths = [new_location(spark, k) for k in ("late-state", "on-time", "late")]
-    q = LT.start_late_split(SS.landed_messages(spark, f"{landing}/*", 1), "publish_time", *paths,
-                            new_location(spark, "stream-ckpt"))
+    path = new_location(spark, "late-split")
+    stream = SS.landed_messages(spark, f"{landing}/*", 1)
+    q = LT.start_late_split(stream, "publish_time", path, new_location(spark, "stream-ckpt"))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    schema = SS.MESSAGE_SCHEMA + ", batch_id BIGINT"
-    on = spark.read.schema(schema).parquet(paths[1]).select(F.col("seq").alias("event_id"),
-                                                            F.lit(False).alias("is_late"))
-    late = spark.read.schema(schema).parquet(paths[2]).select(F.col("seq").alias("event_id"),
-                                                              F.lit(True).alias("is_late"))
-    return on.unionByName(late)
+    LT.join_batches(spark, path, stream.schema, ["batch_id"])
+    return LT.split_rows(spark, path, stream.schema).select(F.col("seq").alias("event_id"), F.col("late").alias("is_late"))
 
 
 @query("stream_tumbling_append", """

@@ -1,10 +1,12 @@
 """Streaming = batch, restart safety, windows, dedup and shadow under readStream."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from celltide.operators import cells as C
 from celltide.operators import decode as D
 from celltide.operators import table as TB
+from celltide.operators import table_log as TL
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 from celltide.streaming import ingest as IG
@@ -165,23 +167,31 @@ def test_late_rows_side_output(spark, tmp_dir):
     for i in range((n + 39) // 50 + 1):
         SS.land_messages(ranked.where(F.col("_f") == i).drop("_f", "arrival"), f"{landing}/f{i:03d}", files=1)
     stream = spark.readStream.schema(SS.MESSAGE_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{landing}/*")
-    args = ("publish_time", f"{tmp_dir}/state", f"{tmp_dir}/on", f"{tmp_dir}/late", f"{tmp_dir}/ck")
-    q = LT.start_late_split(stream, *args)
+    path, ckpt = f"{tmp_dir}/split", f"{tmp_dir}/ck"
+    q = LT.start_late_split(stream, "publish_time", path, ckpt)
     q.awaitTermination(600)
-    schema = SS.MESSAGE_SCHEMA + ", batch_id BIGINT"
+    assert q.exception() is None
 
-    def count_all():
-        return sum(spark.read.schema(schema).parquet(p).count() for p in (args[2], args[3]))
+    def split():
+        return sorted((r["seq"], r["batch_id"], r["late"]) for r in LT.split_rows(spark, path, stream.schema).collect())
 
-    assert count_all() == n  # nothing lost
+    before = split()
+    assert len(before) == n  # nothing lost
     # a delayed row (event_id % 50 = 0) is behind the max event time of the
     # earlier micro-batches
-    late_ids = {r["seq"] for r in spark.read.schema(schema).parquet(args[3]).collect()}
-    assert late_ids == set(range(0, n, 50))
-    # replaying a batch id rewrites its own folders: counts unchanged
-    one = spark.read.schema(SS.MESSAGE_SCHEMA).parquet(f"{landing}/f001")
-    LT.split_batch(one, 1, *args[:4])
-    assert count_all() == n
+    assert {s for s, _, late in before if late} == set(range(0, n, 50))
+    assert {r["seq"] for r in LT.split_rows(spark, path, stream.schema, late=True).collect()} == set(range(0, n, 50))
+    # folders are joined, but for the newest batch; that one repeated, before and after, adds no row and splits alike
+    query, last = IG.query_id(spark, ckpt), max(b for _, b, _ in before)
+    rows = LT.split_rows(spark, path, stream.schema).where(F.col("batch_id") == last).drop("batch_id", "late").collect()
+    newest = spark.createDataFrame(rows, stream.schema)
+    LT.split_batch(newest, last, "publish_time", path, query)
+    assert split() == before
+    assert LT.join_batches(spark, path, stream.schema, ["batch_id"]) == 2 and len(TL.snapshot(spark, path).folders) <= 4
+    LT.split_batch(newest, last, "publish_time", path, query)
+    assert split() == before
+    with pytest.raises(ValueError):
+        LT.split_batch(newest, last - 1, "publish_time", path, query)
 
 
 def test_folded_updates_keep_the_last_of_each_group(spark, tmp_dir):
