@@ -6,12 +6,15 @@ state by state as texts need it; it finds each word that is a term or one edit a
 term's weight in one of four contexts: stated or inside quotation marks, exact or misspelled; and once more if the words
 around it address someone.  A logistic model over these sums gives the score.
 
-Words are runs of letters and digits, in lower case.  Labels, language, source and ``doc_id`` enter no score.
+Words are runs of letters and digits, in lower case.  Two words parted by one sign (``m*ron``) are also looked up with it, as
+a word whose sign costs the one edit, where neither of them is a hit by itself.  Labels, language, source and ``doc_id``
+enter no score.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -22,16 +25,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from celltide.llm.common import staged_at, workers_import
-from celltide.llm.vocab import StretchEncoder, hold_memory
+from celltide.llm.vocab import _ALNUM, _CLASS, _PUNCT, StretchEncoder, hold_memory
 from celltide.storage import delete_path
 
-#: Bound on the labelled rows that the model is fitted on (those with the smallest hash of ``doc_id``), and on its terms.
-SAMPLE, TERMS = 20_000, 1_000
+#: Bound on the labelled rows that the model is fitted on (those with the smallest hash of ``doc_id``).
+SAMPLE = 20_000
+#: Bytes of a lexicon that may be sent to every task; a larger one is an error, never cut.
+LEXICON_BYTES = 64 << 20
 FOLDS = 5
 #: A term needs this many toxic documents, this log-likelihood ratio (G2) and this log odds ratio.
 LEAST_TOXIC, LEAST_G2, LEAST_LOG_ODDS = 3, 20.0, 2.0
-#: Terms shorter than this are found only as they are written.
-LEAST_MISSPELLED = 5
+#: Words shorter than the first are no terms, and terms shorter than the second are found only as they are written.
+LEAST_LETTERS, LEAST_MISSPELLED = 3, 5
 CONTEXT = 8  # words on each side
 NOT_WORD = r"[^\p{L}\p{N}]+"
 WORD = re.compile(r"[^\W_]+")
@@ -116,6 +121,7 @@ class Model:
 
     terms: tuple[tuple[str, float], ...]
     weights: tuple[float, ...]
+    least_misspelled: int = LEAST_MISSPELLED
 
 
 FEATURES = 6
@@ -124,9 +130,9 @@ FEATURES = 6
 class Scanner:
     """Features of texts for a set of terms."""
 
-    def __init__(self, terms: tuple[tuple[str, float], ...], most: int = 300_000):
+    def __init__(self, terms: tuple[tuple[str, float], ...], least_misspelled: int = LEAST_MISSPELLED, most: int = 300_000):
         self.weight = dict(terms)
-        self.automaton = Automaton(self.weight)
+        self.automaton = Automaton(self.weight, least_misspelled=least_misspelled)
         self.cut = StretchEncoder(list, words_only=True).cut
         self.known: dict[bytes, bool] = {}
         self.most = most
@@ -141,7 +147,8 @@ class Scanner:
         known, find = self.known, self.automaton.find
         for s in stretches:
             if s not in known:
-                known[s] = any(find(w) for w in WORD.findall(s.decode("utf-8").lower()))
+                text = s.decode("utf-8").lower()
+                known[s] = any(find(w) for w in WORD.findall(text)) or any(find(w) for *_, w in _masked(text))
         return np.fromiter(map(known.__getitem__, stretches), bool, len(stretches))
 
     def features(self, values: pa.LargeBinaryArray) -> np.ndarray:
@@ -154,37 +161,73 @@ class Scanner:
         stretches = pa.Array.from_buffers(pa.large_binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
         coded = stretches.dictionary_encode()
         hit = places[:-1][self._has_hit(coded.dictionary.to_pylist())[coded.indices.to_numpy()]]
+        begin, end = _across(data, places, bounds)
+        if len(begin):
+            joined = [data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist())]
+            hit = np.concatenate((hit, begin[self._has_hit(joined)]))
         for d in np.unique(np.searchsorted(bounds, hit, "right") - 1):
             out[d] = self._weigh(values[int(d)].as_py().decode("utf-8"))
         return out
 
     def _weigh(self, text: str) -> list[float]:
         words = [(m.group().lower(), m.start()) for m in WORD.finditer(text)]
-        quoted = _quoted(text)
+        found = [self.automaton.find(word) for word, _ in words]
+        for i, _, masked in _masked(text):
+            if found[i] is None and found[i + 1] is None:
+                found[i] = self.automaton.find(masked.lower())
+        spans = _quoted(text)
+        opened = [a for a, _ in spans]
         sums = np.zeros(FEATURES - 1)
-        for i, (word, at) in enumerate(words):
-            if (found := self.automaton.find(word)) is None:
+        for i, (hit, (_, at)) in enumerate(zip(found, words)):
+            if hit is None:
                 continue
-            term, edits = found
+            term, edits = hit
             weight = self.weight[term]
-            sums[2 * (edits > 0) + any(a <= at < b for a, b in quoted)] += weight
+            span = bisect_right(opened, at) - 1
+            sums[2 * (edits > 0) + (span >= 0 and at < spans[span][1])] += weight
             if any(w in ADDRESS for w, _ in words[max(0, i - CONTEXT):i + CONTEXT + 1]):
                 sums[4] += weight
         return [*np.log1p(sums), 1.0]
 
 
+def _masked(text: str) -> list[tuple[int, int, str]]:
+    """(number of the first word, its start, both words with the sign) for words that one sign parts."""
+    out, end, start = [], -1, 0
+    for i, m in enumerate(WORD.finditer(text)):
+        if m.start() == end + 1 and i and not text[end].isspace():
+            out.append((i - 1, start, text[start:m.end()]))
+        start, end = m.span()
+    return out
+
+
+def _across(data: np.ndarray, places: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Byte ranges of the stretches around each ASCII sign that may part two words; stretches are cut at such signs."""
+    kind = _CLASS[data]
+    letter = ((kind & _ALNUM) != 0) | (data >= 0x80)
+    k = np.arange(1, len(places) - 1)
+    at, size = places[k], places[k + 1] - places[k]
+    inner = ((kind[at] & _PUNCT) != 0) & letter[at - 1] & ~np.isin(at, bounds)
+    k, at, size = k[inner], at[inner], size[inner]
+    after = places[np.minimum(k + 1, len(places) - 1)]
+    alone = (size == 1) & (after < len(data)) & letter[np.minimum(after, len(data) - 1)] & ~np.isin(after, bounds)
+    longer = (size > 1) & (data[np.minimum(at + 1, len(data) - 1)] >= 0x80)
+    end = np.where(alone, places[np.minimum(k + 2, len(places) - 1)], after)
+    some = alone | longer
+    return places[k - 1][some], end[some]
+
+
 def _quoted(text: str) -> list[tuple[int, int]]:
     """Spans of a line between an opening quotation mark and the next closing one."""
-    out = []
-    for line in re.finditer(r"[^\n]+", text):
-        at = line.start()
-        while at < line.end():
-            if text[at] in OPENING:
-                close = next((i for i in range(at + 1, line.end()) if text[i] in CLOSING), None)
-                if close is not None:
-                    out.append((at, close))
-                    at = close
-            at += 1
+    opening, closing = ([m.start() for m in re.finditer(f"[{marks}]", text)] for marks in (OPENING, CLOSING))
+    lines = [m.start() for m in re.finditer("\n", text)]
+    out, until = [], -1
+    for at in opening:
+        if at <= until:
+            continue
+        close, line = bisect_right(closing, at), bisect_right(lines, at)
+        if close < len(closing) and (line == len(lines) or closing[close] < lines[line]):
+            until = closing[close]
+            out.append((at, until))
     return out
 
 
@@ -202,12 +245,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int =
 
 
 @lru_cache(maxsize=2)
-def _scanner(terms: tuple[tuple[str, float], ...]) -> Scanner:
-    return Scanner(terms)
+def _scanner(terms: tuple[tuple[str, float], ...], least_misspelled: int) -> Scanner:
+    return Scanner(terms, least_misspelled)
 
 
-def _features(text: pa.Array, terms: tuple[tuple[str, float], ...]) -> np.ndarray:
-    scanner = _scanner(terms)
+def _features(text: pa.Array, terms: tuple[tuple[str, float], ...], least_misspelled: int) -> np.ndarray:
+    scanner = _scanner(terms, least_misspelled)
     values = text.cast(pa.large_binary()).fill_null(b"")
     lengths = np.concatenate(([0], np.cumsum(np.asarray(pa.compute.binary_length(values)))))
     cuts = np.unique(np.searchsorted(lengths, np.arange(0, lengths[-1] + 1, 4 << 20)))
@@ -221,12 +264,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string").cast("binary")) % FOLDS == 0, F.lit(True))
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model:
+def learn(docs: DataFrame, labels: DataFrame, least_letters: int = LEAST_LETTERS, least_misspelled: int = LEAST_MISSPELLED) -> Model:
     """Terms and weights from the rows of ``docs`` (``doc_id``, ``text``) that ``labels`` (``doc_id``, ``toxic``) marks.
 
     Rows held out, and rows without text or label, take no part; a ``doc_id`` with several labels counts as toxic.
-    Of texts that share the smallest hash of their three-word windows (copies and most near copies) one is used.
-    Without a toxic and a clean row, there are no terms and every score is that of the constant.
+    Of texts that share the smallest hash of their three-word windows (copies and most near copies) that of the smallest
+    ``doc_id`` is used (of rows that share it, the smallest text), so a model depends on the rows alone and not on how they are
+    dealt.  Every word of ``least_letters`` letters or more that passes the tests is a term; shorter ones are mostly function
+    words and parts of numbers.  Terms of fewer than ``least_misspelled`` letters have other words within one edit and are
+    found only as written.  Without a toxic and a clean row, there are no terms and every score is that of the constant.
     """
     workers_import(docs.sparkSession)
     doc_id = F.col("doc_id").cast("long")
@@ -236,31 +282,38 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     windows = F.transform(F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)))
     rows = docs.select(doc_id.alias("doc_id"), F.col("text").cast("string").alias("text")).filter("text is not null") \
         .join(F.broadcast(sample), "doc_id").withColumn("words", words).withColumn("sketch", F.array_min(windows))  # at most SAMPLE rows
-    rows, rows_at = staged_at(rows.withColumn("words", F.array_distinct("words")).dropDuplicates(["sketch"]), "toxicity-sample")
+    first = F.min_by(F.struct("doc_id", "toxic", "text", F.array_distinct("words").alias("words")), F.struct("doc_id", "text")).alias("row")
+    rows, rows_at = staged_at(rows.groupBy("sketch").agg(first).select("row.*"), "toxicity-sample")
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
         delete_path(docs.sparkSession, rows_at)
-        return Model((), (*[0.0] * (FEATURES - 1), float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))))
+        return Model((), (*[0.0] * (FEATURES - 1), float(np.log((n_toxic + 0.5) / (n_clean + 0.5)))), least_misspelled)
     t, c = F.col("t").cast("double"), F.col("c").cast("double")
     share, expected = n_toxic / (n_toxic + n_clean), lambda k: (t + c) * k
     term = lambda k, e: F.when(k > 0, k * F.log(k / e)).otherwise(0.0)
-    terms = rows.select("toxic", F.explode("words").alias("word")).filter("length(word) > 2") \
+    terms = rows.select("toxic", F.explode("words").alias("word")).filter(F.length("word") >= least_letters) \
         .groupBy("word").agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).filter(F.col("t") >= LEAST_TOXIC) \
         .withColumn("g2", 2 * (term(t, expected(share)) + term(c, expected(1 - share)))) \
         .withColumn("weight", F.log((t + 0.5) / (n_toxic + 1)) - F.log((c + 0.5) / (n_clean + 1))) \
-        .filter((F.col("g2") >= LEAST_G2) & (F.col("weight") >= LEAST_LOG_ODDS)).orderBy(F.desc("g2"), "word").limit(TERMS).select("word", "weight").collect()
-    lexicon = tuple(sorted((r["word"], float(r["weight"])) for r in terms))
-    known = rows.select("toxic", _feature_column(lexicon)(F.col("text")).alias("x")).toPandas()  # at most SAMPLE rows of six numbers
+        .filter((F.col("g2") >= LEAST_G2) & (F.col("weight") >= LEAST_LOG_ODDS)).select("word", "weight").persist()
+    size = terms.agg(F.sum(F.octet_length("word") + 64)).first()[0] or 0  # 64: of a word's place in the trie
+    if size > LEXICON_BYTES:
+        raise ValueError(f"{size} bytes of terms: raise LEXICON_BYTES, or ask for stronger terms")
+    lexicon = tuple(sorted((r["word"], float(r["weight"])) for r in terms.collect()))
+    terms.unpersist()
+    # at most SAMPLE rows of six numbers, in one order: sums of floating-point numbers depend on it
+    known = rows.select("doc_id", "toxic", _feature_column(lexicon, least_misspelled)(F.col("text")).alias("x")).toPandas()
+    known = known.iloc[np.lexsort((*np.stack(known["x"].to_numpy()).T, known["toxic"], known["doc_id"]))]
     delete_path(docs.sparkSession, rows_at)
     weights = fit_logistic(np.stack(known["x"].to_numpy()).astype(float), known["toxic"].to_numpy(float))
-    return Model(lexicon, tuple(map(float, weights)))
+    return Model(lexicon, tuple(map(float, weights)), least_misspelled)
 
 
-def _feature_column(lexicon: tuple[tuple[str, float], ...]):
+def _feature_column(lexicon: tuple[tuple[str, float], ...], least_misspelled: int):
     @F.arrow_udf("array<double>")
     def features(text: pa.Array) -> pa.Array:
-        x = _features(text, lexicon)
+        x = _features(text, lexicon, least_misspelled)
         return pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float64()))
 
     return features
@@ -271,7 +324,7 @@ def score(model: Model, text: Column) -> Column:
 
     @F.arrow_udf("double")
     def scored(values: pa.Array) -> pa.Array:
-        z = _features(values, model.terms) @ np.array(model.weights)
+        z = _features(values, model.terms, model.least_misspelled) @ np.array(model.weights)
         return pa.array(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     return scored(F.coalesce(text.cast("string"), F.lit("")))

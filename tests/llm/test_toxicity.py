@@ -1,10 +1,15 @@
+import math
 import random
+import re
+import time
 import zlib
 
+import pyarrow as pa
 import pytest
 from llm_cases import awkward, empty, prose
+from pyspark.sql import functions as F
 
-from celltide.llm.toxicity import Automaton, Model, Scanner, keep_clean, learn, score, toxicity
+from celltide.llm.toxicity import ADDRESS, CLOSING, OPENING, Automaton, Model, Scanner, _quoted, keep_clean, learn, score, toxicity
 
 
 def distance(a, b):
@@ -66,6 +71,115 @@ def test_held_out_accuracy(spark):
     assert [r.doc_id for r in keep_clean(docs, labels).collect()] == [r.doc_id for r in got if not r.predicted]
 
 
+def plain_quoted(text):
+    out = []
+    for line in re.finditer(r"[^\n]+", text):
+        at = line.start()
+        while at < line.end():
+            if text[at] in OPENING:
+                close = next((i for i in range(at + 1, line.end()) if text[i] in CLOSING), None)
+                if close is not None:
+                    out.append((at, close))
+                    at = close
+            at += 1
+    return out
+
+
+def plain_features(text, terms, least=5):
+    """Features by distances to every term, with no automaton, memory or stretches."""
+    def find(word):
+        near = [(d, t) for t in terms if (d := distance(word, t)) == 0 or d == 1 and len(t) >= least]
+        return min(near, default=None)
+
+    words = [(m.group().lower(), m.start(), m.end()) for m in re.finditer(r"[^\W_]+", text)]
+    hits = [find(w) for w, _, _ in words]
+    for i in range(len(words) - 1):
+        if words[i + 1][1] == words[i][2] + 1 and not text[words[i][2]].isspace() and not hits[i] and not hits[i + 1]:
+            hits[i] = find(text[words[i][1]:words[i + 1][2]].lower())
+    sums, quoted = [0.0] * 5, plain_quoted(text)
+    for i, hit in enumerate(hits):
+        if hit:
+            weight = terms[hit[1]]
+            sums[2 * (hit[0] > 0) + any(a <= words[i][1] < b for a, b in quoted)] += weight
+            if any(w in ADDRESS for w, _, _ in words[max(0, i - 8):i + 9]):
+                sums[4] += weight
+    return [*(math.log1p(x) for x in sums), 1.0]
+
+
+def abusive(seed, n, terms):
+    r = random.Random(seed)
+    parts = [*terms, "you", "tu", "plain", "word", "Été", '"', "»", "«", "'", "\n", "a.b", "3.14", "été@x", "-", "_", "•"]
+    out = []
+    for _ in range(n):
+        text = []
+        for _ in range(r.randrange(25)):
+            p = r.choice(parts)
+            if p in terms and r.random() < 0.7:
+                at = r.randrange(len(p))
+                p = p[:at] + r.choice(["", "*", ".", "_", "•", "'", "@", "é", " ", "**"]) + p[at + r.randrange(2):]
+            text.append(p if r.random() < 0.5 else p.upper())
+        out.append(r.choice(["", " ", ". "]).join(text) if r.random() < 0.3 else " ".join(text))
+    return out
+
+
+def test_score_against_plain_python(spark):
+    terms = {"moron": 2.0, "scum": 1.5, "idioté": 3.25, "stupid": 1.0, "éléphant": 2.5}
+    model = Model(tuple(sorted(terms.items())), (1.0, 0.5, 0.75, 0.25, 0.4, -1.5))
+    texts = [*abusive(3, 400, list(terms)), None, "", "m*ron", "x" * 200_000 + " st@pid " + "y " * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.s for r in docs.select("doc_id", score(model, docs["text"]).alias("s")).collect()}
+    some = 0
+    for i, text in enumerate(texts):
+        x = plain_features((text or "")[-200:] if len(text or "") > 100_000 else text or "", terms) if i != len(texts) - 1 else [0, 0, math.log1p(1.0), 0, 0, 1.0]
+        want = 1 / (1 + math.exp(-sum(a * b for a, b in zip(x, model.weights))))
+        assert abs(got[i] - want) < 1e-9, text
+        some += any(x[:5])
+    assert some > 200
+
+
+def test_masked_terms():
+    s = Scanner((("moron", 2.0), ("stupid", 1.0), ("scum", 1.0)))
+    for text in ("a m*ron here", "st@pid", "(MOR.ON)", "mor-on", "stu_pid", "stu•pid", "st’upid"):
+        values = pa.array([text.encode(), b"plain"], pa.large_binary())
+        assert s._weigh(text)[2] > 0 and s.features(values)[0, 2] > 0 and not s.features(values)[1, :5].any(), text
+    for text in ("mor on", "mo--ron", "s*um", "m*r*n", "mor.\non"):
+        assert not any(s._weigh(text)[:5]), text
+
+
+def test_quotation_scan_is_linear():
+    for seed in range(300):
+        r = random.Random(seed)
+        text = "".join(r.choice(OPENING + CLOSING + "ab\n ") for _ in range(r.randrange(40)))
+        assert _quoted(text) == plain_quoted(text)
+    begin = time.perf_counter()
+    assert _quoted("«" * 500_000) == [] and len(_quoted('a " ' * 250_000)) == 125_000
+    s = Scanner((("moron", 2.0),))
+    assert s._weigh('«' * 300_000 + '»' + ' moron "moron" ' * 20_000)[1] > 0
+    assert time.perf_counter() - begin < 10
+
+
+def test_model_does_not_depend_on_how_rows_are_dealt(spark):
+    docs, labels, _ = labelled(spark)
+    # near copies of opposite labels, and a doc_id with two texts
+    docs = docs.unionByName(docs.filter("doc_id % 7 = 0").selectExpr("doc_id + 1000 as doc_id", "text")).unionByName(docs.filter("doc_id = 12").selectExpr("doc_id", "concat(text, ' more') as text"))
+    labels = labels.unionByName(labels.filter("doc_id % 7 = 0").selectExpr("doc_id + 1000 as doc_id", "1 - toxic as toxic"))
+    one = learn(docs.repartition(1), labels)
+    assert one == learn(docs.orderBy("text").repartition(6), labels.repartition(3)) == learn(docs.repartition(4, "text"), labels)
+
+
+def test_every_term_that_passes_is_kept(spark):
+    """More terms than the thousand that were once the bound, short ones only on request."""
+    words = [f"zz{a}{b}{c}" for a in "abcdefghij" for b in "abcdefghij" for c in "abcdefghijklm"]
+    r = random.Random(1)
+    docs = [(i, " ".join(r.sample(words, len(words))) + f" qq u{i}" if i % 2 else f"plain words u{i} v{i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    docs = spark.createDataFrame(docs, "doc_id long, text string").withColumn("text", F.concat("text", F.lit(" end"), F.col("doc_id")))
+    model = learn(docs, labels)
+    assert {t for t, _ in model.terms} == set(words)
+    assert "qq" in dict(learn(docs, labels, least_letters=2).terms)
+    assert learn(docs, labels, least_misspelled=3).least_misspelled == 3
+
+
 def test_held_out_labels_are_not_used(spark):
     docs, labels, _ = labelled(spark)
     turned = labels.selectExpr("doc_id", "if(crc32(cast(cast(doc_id as string) as binary)) % 5 = 0, 1 - toxic, toxic) as toxic")
