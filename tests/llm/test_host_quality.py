@@ -1,9 +1,10 @@
 import random
 
 from llm_cases import awkward, empty, key, prose
+from pyspark.sql import functions as F
 
 from celltide.llm import host_quality
-from celltide.llm.host_quality import HOST_RULES, keep_good, quality_rules
+from celltide.llm.host_quality import BASE_RULES, HOST_RULES, VERDICT, host_verdicts, keep_good, measured, quality_rules
 
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -18,23 +19,25 @@ def measures(text):
             "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered), "n_lines": len(lines)}
 
 
-def brute(rows, limit=host_quality.HOST_LIMIT):
+def brute(rows):
     """``rows``: (doc_id, source, text)."""
-    found = [(d, s, m, {r: eval(rule, {}, m) for r, rule in HOST_RULES.items()}) for d, s, m in ((d, s, measures(t)) for d, s, t in rows)]
+    ratio = lambda rule, m: tuple(eval(x, {}, m) for x in rule)
+    found = [(d, s, m, {r: ratio(rule, m) for r, rule in HOST_RULES.items()}) for d, s, m in ((d, s, measures(t)) for d, s, t in rows)]
     hosts = sorted({s for _, s, _, _ in found if s is not None})
-    bad = set()
+    lift = {}
     for r in HOST_RULES:
         n = {h: sum(s == h for _, s, _, _ in found) for h in hosts}
-        f = {h: sum(s == h and b[r] for _, s, _, b in found) for h in hosts}
+        f = {h: sum(s == h and b[r][0] > b[r][1] for _, s, _, b in found) for h in hosts}
         rates = [f[h] / n[h] for h in hosts]
         mean = sum(rates) / max(len(rates), 1)
         var = sum((x - mean) ** 2 for x in rates) / max(len(rates), 1)
         strength = max(0, mean * (1 - mean) / var - 1) if var > 0 else sum(n.values())
-        bad |= {(h, r) for h in hosts if (f[h] + mean * strength) / (n[h] + strength) > limit}
+        lift |= {(h, r): round((f[h] + mean * strength) / (n[h] + strength) / mean, 9) if mean else 1 for h in hosts}
     out = []
     for d, s, m, b in found:
-        failed = b["short"] or b["repetitive"]
-        out.append((d, *(m[k] for k in host_quality.MEASURES[:-1]), failed, not failed and not any((s, r) in bad for r in b if b[r])))
+        failed = any(a > b for a, b in (ratio(rule, m) for rule in BASE_RULES.values()))
+        far = any(x > limit and x * lift.get((s, r), 0) > VERDICT * limit for r, (x, limit) in b.items())
+        out.append((d, *(m[k] for k in host_quality.MEASURES[:-1]), failed, not failed and not far))
     return out
 
 
@@ -64,6 +67,24 @@ def test_host_verdicts(spark):
     assert sorted(map(tuple, quality_rules(docs).collect()), key=key) == sorted(brute(rows), key=key)
 
 
+def test_verdict_weighs_the_excess_by_the_host(spark):
+    """Hosts that break a rule alike have lift 1: there a document goes when it is twice over the limit; a small host is shrunk."""
+    r = random.Random(4)
+    plain = lambda: " ".join(f"v{r.randrange(10**6)}" for _ in range(100))
+    rows = [(i, f"h{i % 4}", plain() + (" " + "#" * (60 if i // 4 % 10 == 0 else 150) if i // 4 % 5 == 0 else "")) for i in range(400)]
+    docs = spark.createDataFrame([(a, c, b) for a, b, c in rows], "doc_id long, text string, source string")
+    got = {x.doc_id: x.kept for x in quality_rules(docs).collect()}
+    assert got == {d: t.count("#") != 150 for d, _, t in rows}
+    assert sorted(map(tuple, quality_rules(docs).collect()), key=key) == sorted(brute(rows), key=key)
+    # one document of a new host that breaks the rule says little of it; a host with many says more
+    few = rows + [(1000, "one", plain() + " " + "#" * 60)] + [(2000 + i, "many", plain() + " " + "#" * 60) for i in range(60)]
+    table = spark.createDataFrame([(a, c, b) for a, b, c in few], "doc_id long, text string, source string")
+    found = measured(table.select(F.struct("source").alias("row"), "text")).select("row.*", *host_quality.MEASURES)
+    lift = {x.host: x.symbols_lift for x in host_verdicts(found).collect()}
+    assert lift["h0"] < 1 < lift["one"] < lift["many"]
+    assert sorted(map(tuple, quality_rules(table).collect()), key=key) == sorted(brute(few), key=key)
+
+
 def test_stage_keeps_rows_and_columns(spark):
     docs = awkward(spark, texts(3))
     kept = [tuple(x) for x in brute([(r.doc_id, r.source, r.text) for r in docs.collect()]) if x[-1]]

@@ -1,5 +1,6 @@
 """The registered queries: oracles in DuckDB, and the pipeline against brute force."""
 
+import hashlib
 import zlib
 
 import duckdb
@@ -65,3 +66,20 @@ def test_column_types_match_oracle(spark, name):
     own = {f.name: KINDS[f.dataType.simpleString()] for f in QUERIES[name](spark, DIR).schema.fields}
     other = con.sql(ORACLES[name])
     assert own == dict(zip(other.columns, map(str, other.types)))
+
+
+def test_rows_that_share_a_doc_id_are_documents_of_their_own(spark):
+    from celltide.llm.stages import near_duplicates
+    from llm_cases import awkward, prose
+
+    texts = prose(31, 12, size=120)
+    docs = awkward(spark, texts)
+    clash = docs.filter("doc_id between 1 and 6").selectExpr("7 as doc_id", *[c for c in docs.columns if c != "doc_id"])
+    docs = docs.unionByName(clash)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    named = sorted({r for r in rows if r[0] is not None}, key=lambda r: (r[0], hashlib.sha256((r[1] or "").encode()).hexdigest()))
+    kept = [named[i] for i, _, c in near(list(enumerate(named_text for _, named_text in named))) if i == c]
+    got = near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(kept + [r for r in rows if r[0] is None], key=str)
+    assert sum(r[0] == 7 for r in kept) >= 1
