@@ -1,13 +1,15 @@
 """Exact top-k inner products without random access (NRA).
 
-Vectors become integers.  In a block of vectors, each component has a list sorted by value; a query reads the lists of
-its components from the end that its sign favours, all to the same depth, depth after depth.  An entry that was read is
-known; an entry that was not is at most the value at the current depth, and at least the list's last value.  So every
-vector has a lower and an upper score.  Reading stops when no vector outside the best k by lower score can still beat
-them; what remains undecided is read on until its score is known.  Both bounds of all vectors are two matrix products
-for all queries at once: the part of a row above the depth, and the depth's value in place of the rest.
-
-Vectors and queries meet in tiles, a block of each.
+Vectors become integers.  In a block of vectors, each component has a list of (value, row), sorted by value; a query reads
+the lists of its components from the end that its sign favours, in blocks of growing depth.  What was read is kept from
+block to block: the partial score of each row, and which of its components were seen.  A component that was not seen is at
+most the value at the list's current depth and at least the list's last value, so every row has a lower and an upper
+score.  Rows whose upper score is below the k-th best lower score drop out; when a few times k are left, reading stops and
+the scores of those, and of no others, are computed from their vectors.
+
+Vectors and queries meet in tiles, a block of each.  A tile's queries read together: what a block of all lists brings is
+multiplied by all queries at once.  Each vector is sent once for each part of the queries of its length (parts of ``block``
+queries), and each query once for each block of vectors.
 """
 
 from __future__ import annotations
@@ -33,49 +35,71 @@ def _exact_kind(vectors: np.ndarray, queries: np.ndarray) -> type:
 
 
 class Lists:
-    """Sorted lists of a block of vectors, one for each component."""
+    """Sorted lists of (value, row) of a block of vectors, one for each component.
+
+    ``read`` counts the entries that queries have read, ``scored`` the rows whose vector was looked up.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        self.sorted = np.sort(vectors, axis=0)
-
-    def bounds(self, rows: np.ndarray, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """(lower, upper) scores of some rows for each query after reading all lists to ``depth``."""
-        n, kind = len(self.vectors), _exact_kind(self.vectors, queries)
-        x, asked = self.vectors[rows].astype(kind), queries.T.astype(kind)
-        if depth >= n:
-            exact = x @ asked
-            return exact, exact
+        self.rows = np.argsort(vectors, axis=0, kind="stable").T
+        self.values = np.take_along_axis(vectors.T, self.rows, axis=1)
+        self.read = self.scored = 0
+
+    def _block(self, begin: int, end: int, kind: type) -> tuple[np.ndarray, np.ndarray]:
+        """Entries ``begin`` to ``end`` of all lists, by row and component; 0 where none is."""
+        out = np.zeros((len(self.ids), len(self.rows)), kind)
+        got = np.zeros(out.shape, bool)
+        component = np.repeat(np.arange(len(self.rows)), end - begin)
+        rows = self.rows[:, begin:end].ravel()
+        out[rows, component] = self.values[:, begin:end].ravel()
+        got[rows, component] = True
+        return out, got
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, resolve: int = 4) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(query id, ids, scores) of the best k other rows of each query, ties to the smaller id.
+
+        Reading for a query stops when ``resolve * k`` rows are left.
+        """
+        n, d = self.vectors.shape
+        kind = _exact_kind(self.vectors, queries)
+        asked = queries.T.astype(kind)
         up, down = np.maximum(asked, 0), np.minimum(asked, 0)
-        least, from_end, from_top, most = (self.sorted[i].astype(kind) for i in (0, depth - 1, n - depth, n - 1))
-        lower = np.where(x >= from_top, x, least) @ up + np.where(x <= from_end, x, most) @ down
-        upper = np.maximum(x, from_top) @ up + np.minimum(x, from_end) @ down
-        return lower, upper
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(query id, ids, scores) of the best k other rows of each query, ties to the smaller id."""
-        n = len(self.ids)
-        alive = np.ones((len(queries), n), bool) & (self.ids[None, :] != query_ids[:, None])
-        depth, open_queries = max(n // 4, 1), np.arange(len(queries))
-        while len(open_queries):
-            rows = np.flatnonzero(alive[open_queries].any(0))
-            lower, upper = self.bounds(rows, queries[open_queries], depth)
-            left = []
-            for at, q in enumerate(open_queries):
-                own = np.flatnonzero(alive[q, rows])
-                low, high = lower[own, at], upper[own, at]
+        ends = self.values[:, [0, -1]].astype(kind) if n else np.zeros((d, 2), kind)
+        known = np.zeros((n, len(queries)), kind)
+        seen_top, seen_low = np.zeros((n, d), bool), np.zeros((n, d), bool)
+        alive = self.ids[:, None] != query_ids[None, :]
+        number, depth, step = np.arange(len(queries)), 0, max(n // 16, 1)
+        while len(number):
+            left = alive.sum(0) > resolve * k
+            if depth >= n:
+                left[:] = False
+            for at in np.flatnonzero(~left):
+                own = np.flatnonzero(alive[:, at])
+                scores = self.vectors[own].astype(kind) @ asked[:, number[at]]
+                self.scored += len(own)
+                which = np.lexsort((self.ids[own], -scores))[:k]
+                yield int(query_ids[number[at]]), self.ids[own[which]], scores[which]
+            number, alive, known = number[left], alive[:, left], known[:, left]
+            if not len(number):
+                return
+            until = min(n, depth + step)
+            self.read += (until - depth) * int((asked[:, number] != 0).sum())
+            rows = np.flatnonzero(alive.any(1))
+            for seen, own, (begin, end) in ((seen_top, up, (n - until, n - depth)), (seen_low, down, (depth, until))):
+                values, got = self._block(begin, end, kind)
+                known[rows] += values[rows] @ own[:, number]
+                seen |= got
+            depth, step = until, 2 * step
+            top, low = (self.values[:, i].astype(kind)[:, None] for i in (n - depth, depth - 1))  # what an unseen component is at most, or at least
+            hidden = (~seen_top[rows]).astype(kind), (~seen_low[rows]).astype(kind)
+            upper = known[rows] + hidden[0] @ (up[:, number] * top) + hidden[1] @ (down[:, number] * low)
+            lower = known[rows] + hidden[0] @ (up[:, number] * ends[:, :1]) + hidden[1] @ (down[:, number] * ends[:, 1:])
+            for at in range(len(number)):
+                own = np.flatnonzero(alive[rows, at])
                 if len(own) > k:
-                    limit = np.partition(low, len(own) - k)[len(own) - k]
-                    qualifies = high >= limit  # an equal score may still win by its id
-                    alive[q, rows[own[~qualifies]]] = False
-                    own, low, high = own[qualifies], low[qualifies], high[qualifies]
-                if (low == high).all():
-                    which = np.lexsort((self.ids[rows[own]], -low))[:k]
-                    yield int(query_ids[q]), self.ids[rows[own[which]]], low[which]
-                else:
-                    left.append(q)
-            open_queries = np.array(left, np.int64)
-            depth = min(n, depth + max(n // 4, 1))
+                    limit = np.partition(lower[own, at], len(own) - k)[len(own) - k]
+                    alive[rows[own[upper[own, at] < limit]], at] = False  # an equal score may still win by its id
 
 
 def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:

@@ -42,3 +42,27 @@ def test_scores_beyond_double_precision():
 
 def test_empty_table(spark):
     assert exact_top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).collect() == []
+
+
+def test_reading_stops_early_on_skewed_lists():
+    """Few rows stand out: a small part of the lists is read, and few vectors are looked up."""
+    r = np.random.default_rng(5)
+    vectors = r.integers(-20, 20, (4000, 16))
+    vectors[r.choice(4000, 40, replace=False)] += r.integers(200, 5000, (40, 16)) * r.choice([-1, 1], (40, 1))
+    queries = r.integers(0, 50, (30, 16)) * r.choice([-1, 1], (30, 1))
+    lists = Lists(np.arange(4000), vectors)
+    found = {q: (list(ids), list(map(int, scores))) for q, ids, scores in lists.search(np.arange(10_000, 10_030), queries, 5)}
+    for i, query in enumerate(queries):
+        want = sorted((-int(v @ query), j) for j, v in enumerate(vectors))[:5]
+        assert found[10_000 + i] == ([j for _, j in want], [-s for s, _ in want])
+    assert lists.read < 0.25 * 30 * vectors.size and lists.scored <= 30 * 20
+
+
+def test_search_with_ties_zeros_and_few_rows():
+    r = np.random.default_rng(6)
+    for n, d, k in ((0, 3, 2), (1, 1, 3), (5, 2, 5), (70, 3, 4), (200, 0, 3)):
+        vectors, queries = r.integers(-2, 3, (n, d)), r.integers(-1, 2, (12, d))
+        lists = Lists(np.arange(n) * 3, vectors)
+        for q, ids, scores in lists.search(np.arange(12), queries, k, resolve=1):
+            want = sorted((-int(v @ queries[q]), 3 * j) for j, v in enumerate(vectors) if 3 * j != q)[:k]
+            assert (list(ids), list(map(int, scores))) == ([j for _, j in want], [-s for s, _ in want])
