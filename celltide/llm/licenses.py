@@ -64,6 +64,31 @@ SIBLINGS = {
     "LGPL-3.0 header": _GNU_HEADER.format("program", "Lesser General Public", "3"),
     "LGPL-3.0 notice": _GNU.format("Lesser General Public", "3"),
 }
+_BSD_GRANT, _BSD_DISCLAIMER = _BSD.split(" {}Neither")[0], "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_GNU_OPENING = "GNU {} LICENSE Version {} Copyright (C) {} Free Software Foundation, Inc. Everyone is permitted to copy and distribute verbatim copies of this license document, but changing it is not allowed."
+_CC_OPENING = "Creative Commons {0} 4.0 International Public License By exercising the Licensed Rights (defined below), You accept and agree to be bound by the terms and conditions of this Creative Commons {0} 4.0 International Public License (\"Public License\")."
+#: Whole licence texts, and of the long ones how they open, as licence files hold them.
+TEXTS = {
+    "AGPL-3.0 text": _GNU_OPENING.format("AFFERO GENERAL PUBLIC", "3, 19 November 2007", "2007"),
+    "Apache-2.0 text": "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION 1. Definitions. \"License\" shall mean the terms and conditions for use, reproduction, and distribution as defined by Sections 1 through 9 of this document. \"Licensor\" shall mean the copyright owner or entity authorized by the copyright owner that is granting the License.",
+    "BSD-2-Clause full text": f"{_BSD_GRANT} {_BSD_DISCLAIMER}",
+    "BSD-3-Clause full text": f"{_BSD.format('3. ')} {_BSD_DISCLAIMER}",
+    "CC-BY-4.0 text": _CC_OPENING.format("Attribution"),
+    "CC-BY-NC-4.0 text": _CC_OPENING.format("Attribution-NonCommercial"),
+    "CC-BY-NC-ND-4.0 text": _CC_OPENING.format("Attribution-NonCommercial-NoDerivatives"),
+    "CC-BY-NC-SA-4.0 text": _CC_OPENING.format("Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-ND-4.0 text": _CC_OPENING.format("Attribution-NoDerivatives"),
+    "CC-BY-SA-4.0 text": _CC_OPENING.format("Attribution-ShareAlike"),
+    "GPL-2.0 text": _GNU_OPENING.format("GENERAL PUBLIC", "2, June 1991", "1989, 1991"),
+    "GPL-3.0 text": _GNU_OPENING.format("GENERAL PUBLIC", "3, 29 June 2007", "2007"),
+    "ISC text": TEMPLATES["ISC grant"] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "LGPL-2.1 text": _GNU_OPENING.format("LESSER GENERAL PUBLIC", "2.1, February 1999", "1991, 1999"),
+    "LGPL-3.0 text": _GNU_OPENING.format("LESSER GENERAL PUBLIC", "3, 29 June 2007", "2007"),
+    "MIT text": TEMPLATES["MIT grant"] + " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "MPL-2.0 text": "Mozilla Public License Version 2.0 1. Definitions 1.1. \"Contributor\" means each individual or legal entity that creates, contributes to the creation of, or owns Covered Software. 1.2. \"Contributor Version\" means the combination of the Contributions of others (if any) used by a Contributor and that particular Contributor's Contribution.",
+    "Zlib text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
+}
+ALL = TEMPLATES | SIBLINGS | TEXTS
 NOT_WORD = r"[^\p{L}\p{N}]+"
 
 
@@ -88,11 +113,19 @@ def _anchors(words: list[str], threshold: float) -> list[tuple[str, str]]:
 
 
 def _one_of(anchors: set[tuple[str, str]]) -> str:
-    """Pattern that finds one of ``anchors`` in a lower-case text."""
-    after: dict[str, list[str]] = {}
-    for a, b in sorted(anchors):
-        after.setdefault(re.escape(a), []).append(re.escape(b))
-    return r"(?<![\p{L}\p{N}])(?:" + "|".join(f"{a}{NOT_WORD}(?:{'|'.join(b)})" for a, b in after.items()) + r")(?![\p{L}\p{N}])"
+    """Pattern that finds one of ``anchors`` in a lower-case text; common beginnings are tried once."""
+    trie: dict[str, dict] = {}
+    for a, b in anchors:
+        node = trie
+        for letter in (*a, " ", *b, ""):  # "" ends a pair
+            node = node.setdefault(letter, {})
+
+    def pattern(node: dict[str, dict]) -> str:
+        parts = [(NOT_WORD if x == " " else re.escape(x)) + pattern(child) for x, child in sorted(node.items()) if x]
+        body = parts[0] if len(parts) == 1 else f"(?:{'|'.join(parts)})" if parts else ""
+        return f"(?:{body})?" if "" in node and body else body
+
+    return r"(?<![\p{L}\p{N}])" + pattern(trie) + r"(?![\p{L}\p{N}])"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -169,8 +202,9 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
+#: What ``scan_licenses`` gives for all templates with ``running``, by comparing sets of pairs as texts.
 ORACLE = """
-WITH t(name, text) AS (VALUES """ + ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in sorted(TEMPLATES.items())) + """),
+WITH t(name, text) AS (VALUES """ + ", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in sorted(ALL.items())) + """),
 d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 s AS (SELECT r, unnest(string_split(text, chr(10))
              || list_filter(string_split_regex(text, '\\n[ \\t\\r]*\\n\\s*'), lambda x: contains(x, chr(10)))
@@ -178,12 +212,28 @@ s AS (SELECT r, unnest(string_split(text, chr(10))
 a AS (SELECT row_number() OVER () AS k, r, words FROM (
       SELECT r, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS words FROM s) WHERE words[1] <> ''),
 ag AS (SELECT k, r, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS g FROM a),
-tg AS (SELECT name, list_distinct(list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1])) AS g FROM (
+tp AS (SELECT name, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) AS pairs FROM (
        SELECT name, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS words FROM t)),
+tg AS (SELECT name, list_distinct(pairs) AS g, len(pairs) AS wide FROM tp),
 m AS (SELECT k, r, name, 2.0::DOUBLE * len(list_intersect(ag.g, tg.g)) / (len(ag.g) + len(tg.g)) AS dice
       FROM ag JOIN tg ON len(ag.g) * 1.2 >= len(tg.g) * 0.8 AND len(tg.g) * 1.2 >= len(ag.g) * 0.8),
-b AS (SELECT r, count(DISTINCT k) AS n, first(name ORDER BY dice DESC, name) AS name, max(dice) AS dice FROM m WHERE dice >= 0.8 GROUP BY r),
-n AS (SELECT r, count(*) AS n FROM a GROUP BY r)
-SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_segments, coalesce(b.n, 0)::BIGINT AS n_matches, name AS license, dice
-FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN b ON d.r = b.r
+by_segment AS (SELECT r, first(name ORDER BY dice DESC, name) AS name, max(dice) AS dice FROM m WHERE dice >= 0.8 GROUP BY r, k),
+-- windows: only of templates of which the text holds as many pairs as a window in reach must
+x AS (SELECT r, list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) AS pairs FROM (
+      SELECT r, string_split(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g')), ' ') AS words FROM d)),
+held AS (SELECT DISTINCT r, p FROM (SELECT r, unnest(pairs) AS p FROM x)),
+likely AS (SELECT r, name FROM held JOIN (SELECT name, unnest(g) AS p FROM tg) USING (p) JOIN tg USING (name)
+           GROUP BY r, name HAVING count(*) * 1.2 >= any_value(len(g)) * 0.8),
+w AS (SELECT r, name, g, list_distinct(list_slice(pairs, b, b + least(wide, len(pairs)) - 1)) AS own FROM (
+      SELECT r, name, g, wide, pairs, unnest(range(1, len(pairs) - least(wide, len(pairs)) + 2)) AS b FROM likely JOIN x USING (r) JOIN tg USING (name))),
+by_window AS (SELECT r, name, max(dice) AS dice FROM (SELECT r, name, 2.0::DOUBLE * len(list_intersect(own, g)) / (len(own) + len(g)) AS dice FROM w) WHERE dice >= 0.8 GROUP BY r, name),
+every_match AS (SELECT r, name, dice FROM by_segment UNION ALL SELECT r, name, dice FROM by_window),
+part_of AS (SELECT p.name AS part, l.name AS large FROM tg p JOIN tg l ON len(l.g) * 0.8 > len(p.g) * 1.2 AND len(list_intersect(p.g, l.g)) >= 0.8 * len(p.g)),
+aside AS (SELECT DISTINCT e.r, e.name FROM every_match e JOIN part_of ON part = e.name JOIN every_match o ON o.r = e.r AND o.name = large),
+best AS (SELECT r, first(e.name ORDER BY e.dice DESC, e.name) AS name, max(e.dice) AS dice FROM every_match e ANTI JOIN aside ON aside.r = e.r AND aside.name = e.name GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM a GROUP BY r),
+ns AS (SELECT r, count(*) AS n FROM by_segment GROUP BY r),
+nw AS (SELECT DISTINCT r, 1 AS n FROM by_window)
+SELECT doc_id, coalesce(n.n, 0)::BIGINT AS n_segments, greatest(coalesce(ns.n, 0), coalesce(nw.n, 0))::BIGINT AS n_matches, name AS license, dice
+FROM d LEFT JOIN n ON d.r = n.r LEFT JOIN ns ON d.r = ns.r LEFT JOIN nw ON d.r = nw.r LEFT JOIN best ON d.r = best.r
 """

@@ -99,7 +99,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan_licenses(_table(spark, sf_dir, "documents"), licenses.TEMPLATES | licenses.SIBLINGS, running=True)
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"), licenses.ALL, running=True)
 
 
 ORACLES["op10_license_scan"] = licenses.ORACLE

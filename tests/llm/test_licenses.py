@@ -1,8 +1,9 @@
 import re
 
+import duckdb
 from llm_cases import awkward, empty, key, prose
 
-from celltide.llm.licenses import SIBLINGS, TEMPLATES, scan_licenses
+from celltide.llm.licenses import ALL, ORACLE, SIBLINGS, TEMPLATES, TEXTS, scan_licenses
 
 
 def grams(text):
@@ -69,9 +70,39 @@ def test_notices_in_running_text(spark):
 
 def test_siblings_are_told_apart(spark):
     """The best match names the licence itself, alone, as paragraphs and in running text."""
-    known = TEMPLATES | SIBLINGS
+    known = ALL
     names = sorted(known)
     forms = [lambda t: t, lambda t: t.replace(": ", ":\n\n").replace(". ", ".\n\n"), lambda t: f"Some words go before. {t} Others come after it."]
     docs = awkward(spark, [form(known[n]) for form in forms for n in names])
     got = {r.doc_id: (r.license, r.dice) for r in scan_licenses(docs, known, running=True).collect()}
     assert [got[i + 1] for i in range(len(forms) * len(names))] == [(n, 1.0) for _ in forms for n in names]
+
+
+def test_licence_files(spark):
+    """A licence file is found by its text, with a title, a copyright line and more text after it, also wrapped and with a word changed."""
+    wrap = lambda t: re.sub(r"(.{50}\S*) ", r"\1\n", t)
+    files = {n: f"{n.split(' ')[0]} License\n\nCopyright (c) 2021 Jane Doe\n\n{wrap(t)}\n\n" + "and other words follow here " * 30 for n, t in TEXTS.items()}
+    docs = awkward(spark, list(files.values()))
+    got = {r.doc_id: r.license for r in scan_licenses(docs, ALL, running=True).collect()}
+    assert [got[i + 1] for i in range(len(files))] == list(files)
+
+
+def test_query_oracle_on_siblings_running_text_and_parts(spark):
+    """The oracle says what the query gives where notices are no lines of their own, overlap, or are parts of others."""
+    mit, apache = TEMPLATES["MIT grant"], TEMPLATES["Apache-2.0 header"]
+    texts = [f"Some words. {t} More words." for t in SIBLINGS.values()] + [TEXTS["MIT text"][:700], TEXTS["BSD-2-Clause full text"], f"{mit}\n{apache}", f"x {mit} y {mit[:300]}", apache.replace(". ", ".\n\n"),
+             "Released under the MIT License. Licensed under CC BY 4.0.", mit.replace("copies", "things"), "the mit license", *prose(9, 8), "a b", "a", *list(TEXTS.values())[:6]]
+    docs = awkward(spark, texts)
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toPandas())
+    want = [tuple(None if x != x else x for x in r) for r in con.execute(ORACLE).fetchall()]
+    got = [tuple(r) for r in scan_licenses(docs, ALL, running=True).collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert len({x[3] for x in got}) > 25
+
+
+def test_a_long_text(spark):
+    """A notice in the middle of a text of 400 kB, of one line and of many."""
+    body = " ".join(f"w{i % 7919}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, f"{body} {TEMPLATES['GPL-3.0 notice']} {body}"), (2, (body + " ").replace("w77 ", "w77\n") + SIBLINGS["GPL-2.0 notice"]), (3, body)], "doc_id long, text string")
+    assert {r.doc_id: r.license for r in scan_licenses(docs, ALL, running=True).collect()} == {1: "GPL-3.0 notice", 2: "GPL-2.0 notice", 3: None}
