@@ -194,7 +194,8 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     own_set = ["set_1", "set_2", "n_shingles"]
     rows_of = staged(signed.select("doc_id", *own_set), "sets")
     some = rows_of.filter("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy(own_set).agg(F.min("doc_id").alias("node"))
+    # aggregates are written before they are joined: then the members of a large class or bucket can be dealt anew
+    classes = kept_while_used(some.groupBy(own_set).agg(F.min("doc_id").alias("node")), "sets-by-node")
     members = some.select("doc_id", *own_set).join(classes, own_set).select("doc_id", *own_set, "node").distinct()
     members = staged(members, "members")
     classes = kept_while_used(members.filter("doc_id = node").join(signed.withColumnRenamed("doc_id", "node"), ["node", *own_set]).dropDuplicates(["node", *own_set])
@@ -206,6 +207,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     key = F.expr(f"xxhash64(band, substring(signature, band * {4 * rows} + 1, {4 * rows}))")
     banded = classes.select("node", "signature", F.explode(F.sequence(F.lit(0), F.lit(bands - 1))).alias("band")).select("node", key.alias("bucket"))
     buckets = banded.groupBy("bucket").agg(F.min("node").alias("head"), F.count("*").alias("size")).filter("size > 1")
+    buckets = kept_while_used(buckets, "bucket-heads")
     shared = kept_while_used(banded.join(buckets, "bucket"), "buckets")
 
     # every member against its buckets' heads

@@ -31,6 +31,8 @@ from celltide.storage import delete_path
 
 #: Words of a repeat, and of a seed: shorter seeds are fewer, but more of them are shared by chance or by short common lines.
 WINDOW, GRAM = 20, 9
+#: Blocks of an anchor from which on it is hot, and the number of keys over which a hot anchor is dealt.
+HOT, SALTS = 10_000, 32
 
 
 class Anchors:
@@ -257,24 +259,30 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, wit
     table = docs.select(doc_id.alias("doc_id"), text.alias("text"), F.crc32(F.coalesce(text, F.lit(""))).alias("tag"), rest.alias("rest"))
     found = table.filter("doc_id is not null and text is not null").select("doc_id", "text") \
         .mapInArrow(_seeds(window, gram), "anchor long, block long, doc_id long, at long")
-    shared = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+    # aggregates are written before they are joined: then the rows they are joined with can be dealt anew where a key is hot
+    shared = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("block").alias("low"), F.max("block").alias("high")).filter("n > 1") \
+        .select("anchor", (F.col("low") != F.col("high")).alias("several"), (F.col("n") > HOT).alias("hot"))
+    shared, shared_at = staged_at(shared, "anchors")
     seeds, seeds_at = staged_at(found.join(shared, "anchor"), "seeds")
 
-    blocks = seeds.groupBy("anchor", "block").agg(F.min("doc_id").alias("first"))
-    several = blocks.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1").select("anchor", F.lit(True).alias("several"))
-    blocks = blocks.join(several, "anchor", "left")
+    # the rows of a hot anchor are dealt over SALTS keys, and its blocks repeated for each
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    blocks = seeds.groupBy("anchor", "block").agg(F.min("doc_id").alias("first"), F.max("hot").alias("hot")).select("anchor", "block", "first", F.explode(salts).alias("salt"))
+    salted = seeds.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id", "at"), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
     later = F.col("doc_id") > F.col("first")
     place = F.shiftright("at", 32).cast("int")
-    marks = seeds.join(blocks, ["anchor", "block"]).filter(later | F.col("several")) \
+    marks = salted.join(blocks, ["anchor", "block", "salt"]).filter(later | F.col("several")) \
         .select("doc_id", F.col("at").bitwiseAND(F.lit(0xFFFFFFFF)).alias("tag"), F.when(later, place).alias("whole"), F.when(~later, place).alias("apart")) \
         .groupBy("doc_id", "tag").agg(F.collect_list("whole").alias("whole"), F.collect_list("apart").alias("apart"))
     kinds = ("doc_id long, tag long, at int, first_half long, second_half long, text string, whole array<int>, "
              f"{RESULT}")
     extended = staged(table.join(marks, ["doc_id", "tag"], "left").mapInArrow(_extend(window, gram, with_text), _schema(kinds, table)), "repeats")
-    delete_path(spark, seeds_at)
+    for used in (shared_at, seeds_at):
+        delete_path(spark, used)
 
     singles = extended.filter("at is not null").select("first_half", "second_half", "doc_id", "tag", "at")
     firsts = singles.groupBy("first_half", "second_half").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("last > first").drop("last")
+    firsts = staged(firsts, "firsts")
     single = singles.join(firsts, ["first_half", "second_half"]).filter(later) \
         .groupBy("doc_id", "tag").agg(F.collect_list("at").alias("single"))
     waiting = extended.filter("text is not null").select("doc_id", "tag", "text", "whole", "rest")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.llm.common import workers_import
+from celltide.llm.common import staged, workers_import
 
 VERSION, DATE = b"WARC/1.1", "1970-01-01T00:00:00Z"  # pages carry no time of capture
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -235,7 +235,8 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0, level: int
     table = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), html.alias("html"))
     keys = table.filter((F.length("html") >= least_bytes) & F.col("page_id").isNotNull()).select("page_id", F.sha2("html", 256).alias("payload"))
     firsts = keys.groupBy("payload").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).filter("last > refers_to").drop("last")
-    later = keys.join(firsts, "payload").filter("page_id > refers_to").distinct()
+    # written first: then the pages of a payload that very many have can be dealt anew
+    later = keys.join(staged(firsts, "payloads"), "payload").filter("page_id > refers_to").distinct()
     rows = table.withColumn("payload", F.sha2("html", 256)).join(later, ["page_id", "payload"], "left").select("page_id", "url", "html", "refers_to")
     members = rows.mapInArrow(_members(level), "member binary").select(F.col("member").cast("string"))
     members.write.option("encoding", "ISO-8859-1").option("lineSep", EMPTY.decode("latin-1")).text(path)

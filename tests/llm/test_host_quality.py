@@ -94,3 +94,13 @@ def test_stage_keeps_rows_and_columns(spark):
 
 def test_empty_table(spark):
     assert quality_rules(empty(spark)).collect() == [] and keep_good(empty(spark)).collect() == []
+
+
+def test_a_long_text(spark):
+    """A text of 600 kB, with a passage that comes twice and lines that repeat."""
+    r = random.Random(8)
+    words = [f"w{r.randrange(10**9)}" for _ in range(50_000)]
+    text = " ".join(words) + "\n" + " ".join(words[:1000]) + "\n# line\n" + "# line\n" * 2
+    (row,) = quality_rules(spark.createDataFrame([(1, "s", text)], "doc_id long, source string, text string")).collect()
+    assert (row.n_words, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == (51_006, 3, 2, 2000 + 6)
+    assert not row.base_failed and row.kept

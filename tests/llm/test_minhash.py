@@ -94,3 +94,26 @@ def test_words_with_one_polynomial_hash(spark):
     rows = [(1, words[0]), (2, words[1]), (3, f"x {words[0]} y"), (4, f"x {words[1]} y"), (5, f"x {words[1]} y")]
     got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.component_id) for r in got) == [(1, 1), (2, 2), (3, 3), (4, 4), (5, 4)]
+
+
+def test_long_texts_and_a_large_class(spark):
+    """Texts of 300 kB, near copies of each other; a third of all rows have one text, and as many differ from it by a word."""
+    import random
+
+    r = random.Random(3)
+    words = [f"w{r.randrange(3000)}" for _ in range(60_000)]
+    near, far = list(words), list(words)
+    near[100:200] = [f"n{i}" for i in range(100)]
+    far[::3] = [f"f{i}" for i in range(20_000)]
+    texts = [" ".join(words), " ".join(near), " ".join(far), "x" * 150_000, "x" * 150_000 + " y"]
+    common = [f"c{i}" for i in range(80)]
+    texts += [" ".join(common)] * 60 + [" ".join([*common[:i % 80], f"d{i}", *common[i % 80 + 1:]]) for i in range(60)] + [" ".join(f"o{r.randrange(10**6)}" for _ in range(30)) for _ in range(60)]
+    rows = list(enumerate(texts))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((x.doc_id, x.n_shingles, x.component_id) for x in got) == sorted(brute(rows))
+
+
+def test_one_centre_of_very_many(spark):
+    edges = [(i, 0) for i in range(1, 3000)] + [(i, i - 1) for i in range(3001, 3050)] + [(5000, 2999)]
+    got = {x.node: x.component for x in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys([*range(3000), 5000], 0), **dict.fromkeys(range(3000, 3050), 3000)}

@@ -71,3 +71,31 @@ def test_words_with_one_polynomial_hash(spark):
     got = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == [x[:4] for x in brute(rows, 20)]
     assert {r.doc_id: r.n_removed for r in got}[2] == 20
+
+
+def test_hot_anchors_are_dealt_over_salts(spark, monkeypatch):
+    """One passage in two thirds of all rows, once alike and once with different words around it; every anchor may be hot."""
+    from celltide.llm import substring_dedup as module
+
+    monkeypatch.setattr(module, "HOT", 3)
+    monkeypatch.setattr(module, "SALTS", 5)
+    r = random.Random(4)
+    passage = [f"p{i}" for i in range(45)]
+    texts = []
+    for i in range(90):
+        own = [f"w{r.randrange(400)}" for _ in range(60)]
+        at = r.randrange(60)
+        texts.append(" ".join(own[:at] + (passage[r.randrange(3):45 - r.randrange(3)] if i % 3 else []) + own[at:]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = substring_dedup(docs).collect()
+    assert sorted((x.doc_id, x.n_words, x.n_removed, x.kept_sha256) for x in got) == sorted(x[:4] for x in brute(list(enumerate(texts)), 20))
+
+
+def test_long_texts(spark):
+    """Texts of 300 kB and more that share a passage, one of them a single line that repeats itself."""
+    r = random.Random(6)
+    words = [f"w{r.randrange(5000)}" for _ in range(60_000)]
+    texts = [" ".join(words), " ".join(words[30_000:30_500]), " ".join(words[59_000:]) + "\n" + " ".join(f"v{i}" for i in range(50_000)), "again and " * 40_000, "x" * 200_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = substring_dedup(docs).collect()
+    assert sorted((x.doc_id, x.n_words, x.n_removed, x.kept_sha256) for x in got) == sorted(x[:4] for x in brute(list(enumerate(texts)), 20))

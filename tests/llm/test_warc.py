@@ -100,3 +100,13 @@ def test_salvage_inside_a_member():
             kept = [x for x in records if x != 1]
             assert records[-1] == 1 and set(kept) >= {0, *range(2, 38)} and len(kept) == len(set(kept)), (level, records)
             assert gaps[0][0] == 0
+
+
+def test_long_payloads_and_one_that_very_many_share(spark, tmp_dir):
+    long = "".join(chr(97 + i % 26) + str(i) for i in range(400_000))
+    pages = [(1, "u", long), (2, "u", long), (3, "u", long[::-1])] + [(10 + i, f"u{i}", "" if i % 3 else f"<p>{i}</p>") for i in range(600)]
+    write_archives(spark.createDataFrame([(*p, "", "") for p in pages], PAGES).repartition(7), f"{tmp_dir}/w")
+    got = {r.page_id: r for r in read_archives(spark, f"{tmp_dir}/w").collect()}
+    assert len(got) == len(pages) and got[2].refers_to == 1 and got[2].payload_bytes == got[1].payload_bytes == len(long) and got[3].record_type == "response"
+    empty = [10 + i for i in range(600) if i % 3]
+    assert [i for i in empty if got[i].record_type == "response"] == empty[:1] and all(got[i].refers_to == empty[0] for i in empty[1:])
