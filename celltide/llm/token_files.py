@@ -189,5 +189,8 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = False) -> DataFram
     found = files.mapInArrow(_decode(with_ids), "task long, number long, doc_id long, begin long, n_tokens long, ids_crc32 long, ids binary")
     found = staged(found, "documents-read")
     sizes = found.groupBy("task", "number").agg(F.sum("n_tokens").alias("n"))  # a row for each segment
-    before = sizes.select("task", "number", (F.sum("n").over(Window.orderBy("task", "number")) - F.col("n")).alias("before"))
+    within = F.sum("n").over(Window.partitionBy("task").orderBy("number")) - F.col("n")
+    files = sizes.groupBy("task").agg(F.sum("n").alias("n")).select("task", (F.sum("n").over(Window.orderBy("task")) - F.col("n")).alias("earlier"))
+    # a row for each file that was written
+    before = sizes.select("task", "number", within.alias("within")).join(F.broadcast(files), "task").select("task", "number", (F.col("earlier") + F.col("within")).alias("before"))
     return found.join(before, ["task", "number"]).select("doc_id", (F.col("before") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))
