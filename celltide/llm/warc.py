@@ -4,6 +4,10 @@ Files are written by Spark's text writer with raw bytes: one gzip member for eac
 member, which gzip readers skip (the writer needs a separator).  The commit of the job keeps files whole when executors
 are lost.  The reader verifies every member and record; after a failed check it searches for the next valid gzip member
 or version line, goes on there, and logs the bytes between as a gap.
+
+A file comes from Spark as one binary value (of at most 2 GB), which is not copied.  What a gzip member holds is not bound
+by that: content over ``WINDOW`` bytes is unpacked from front to back, of which a window is held, and blocks are hashed piece
+by piece.  Only a payload that is asked for is held whole.
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +29,8 @@ VERSION, DATE = b"WARC/1.1", "1970-01-01T00:00:00Z"  # pages carry no time of ca
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 GZIP, ID = b"\x1f\x8b\x08", "urn:x-page:"
 STEP = 16_384  # bytes to decompress at a time
+#: Content of a member that is held whole, and length in which a header must end.
+WINDOW, HEADER = 8 << 20, 1 << 20
 START = re.compile(rb"\x1f\x8b\x08|WARC/1\.[01]\r\n")
 PLAIN = re.compile(rb"WARC/1\.[01]\r\n")
 
@@ -37,8 +43,12 @@ def member(content: bytes, level: int = 6) -> bytes:
 EMPTY = member(b"")
 
 
+def _base32(digest) -> str:
+    return base64.b32encode(digest.digest()).decode()
+
+
 def sha1(content: bytes) -> str:
-    return base64.b32encode(hashlib.sha1(content).digest()).decode()
+    return _base32(hashlib.sha1(content))
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
@@ -64,6 +74,7 @@ class Found:
     http: dict[str, str] = field(default_factory=dict)
     payload: bytes = b""
     digest: str = ""
+    size: int = 0  # bytes of the payload, also where it was not kept
 
 
 class Damage(ValueError):
@@ -84,123 +95,249 @@ def _digest_fits(stated: str | None, digest: str) -> bool:
     return stated is None or not stated.startswith("sha1:") or stated[5:] == digest
 
 
-def parse(data: bytes, at: int) -> Found:
+class Bytes:
+    """Bytes in memory, with the methods of ``Unpacked``."""
+
+    def __init__(self, data: memoryview):
+        self.data, self.stop, self.pin = data, len(data), 0
+
+    def piece(self, begin: int, end: int) -> bytes:
+        return bytes(self.data[begin:end])
+
+    def find(self, pattern: re.Pattern[bytes], at: int) -> int:
+        found = pattern.search(self.data, at)
+        return found.start() if found else -1
+
+
+class Unpacked:
+    """The content of the gzip member at ``start`` of ``data``, as far as it unpacks, read from front to back.
+
+    What was read is held from ``pin`` on as long as that is within ``WINDOW``; to go back further, unpacking starts again.
+    """
+
+    def __init__(self, data: memoryview, start: int):
+        self.data, self.start, self.pin = data, start, 0
+        self._open()
+
+    def _open(self) -> None:
+        self.at, self.unpack = self.start, zlib.decompressobj(31)
+        self.held, self.begin, self.broken = bytearray(), 0, ""
+
+    @property
+    def stop(self) -> int:
+        """Where what was unpacked so far ends."""
+        return self.begin + len(self.held)
+
+    def _more(self) -> bool:
+        """Unpack some more; False at the end, and where the stream breaks off (``broken``)."""
+        if self.unpack.eof or self.broken:
+            return False
+        saved, part = self.unpack.copy(), self.data[self.at:self.at + STEP]
+        try:
+            out = self.unpack.decompress(part, 64 * STEP)
+        except zlib.error:
+            self.broken = "gzip member is damaged"
+            try:  # what a failing call unpacked is lost: byte by byte up to the damage
+                for i in range(len(part)):
+                    self.held += saved.decompress(part[i:i + 1])
+            except zlib.error:
+                pass
+            return True
+        self.at += len(part) - len(self.unpack.unconsumed_tail) - len(self.unpack.unused_data)
+        if not out and not len(part):
+            self.broken = "gzip member does not end"
+        self.held += out
+        return True
+
+    def _drop(self, before: int) -> None:
+        gone = max(0, min(before - self.begin, len(self.held)))
+        del self.held[:gone]
+        self.begin += gone
+
+    def whole(self) -> int:
+        """The size of the content; nothing is held."""
+        while self._more():
+            self._drop(self.stop)
+        return self.stop
+
+    def piece(self, begin: int, end: int) -> bytes:
+        """What there is between ``begin`` and ``end``."""
+        keep = self.pin if 0 <= begin - self.pin <= WINDOW else begin
+        if begin < self.begin:
+            self._open()
+        while self.stop < end and self._more():
+            self._drop(keep)
+        self._drop(keep)
+        at = begin - self.begin
+        return bytes(self.held[at:at + end - begin])
+
+    def find(self, pattern: re.Pattern[bytes], at: int) -> int:
+        """Where ``pattern``, of at most 16 bytes, is found from ``at`` on; -1 if nowhere."""
+        while True:
+            self.pin = at
+            window = self.piece(at, at + STEP)
+            if found := pattern.search(window):
+                return at + found.start()
+            if len(window) < STEP:
+                return -1
+            at += STEP - 16
+
+
+Source = Bytes | Unpacked
+
+
+def _head(source: Source, at: int, until: int) -> tuple[list[bytes], int]:
+    """(lines, place behind them) of a header, which must end in ``HEADER`` bytes and before ``until``."""
+    for size in (4096, HEADER):
+        text = source.piece(at, min(at + size, until))
+        if (end := text.find(b"\r\n\r\n")) >= 0:
+            return text[:end].split(b"\r\n"), at + end + 4
+    raise Damage("header does not end")
+
+
+def parse(source: Source, at: int, with_payload: bool = True) -> Found:
     """The record whose version line is at ``at``; raises ``Damage`` if a check fails."""
-    if not PLAIN.match(data, at):
+    source.pin = at
+    if not PLAIN.match(source.piece(at, at + 10)):
         raise Damage("no version line")
-    head = data.find(b"\r\n\r\n", at)
-    if head < 0:
-        raise Damage("header does not end")
-    headers = _fields(data[at:head].split(b"\r\n")[1:])
+    lines, begin = _head(source, at, at + HEADER)
+    headers = _fields(lines[1:])
     if not (length := headers.get("content-length", "")).isdigit():
         raise Damage("no content length")
-    begin, end = head + 4, head + 4 + int(length)
-    if data[end:end + 4] != b"\r\n\r\n":
+    end = begin + int(length)
+    if isinstance(source, Bytes) and source.piece(end, end + 4) != b"\r\n\r\n":
         raise Damage("block does not end where it should")
-    block = data[begin:end]
-    if not _digest_fits(headers.get("warc-block-digest"), sha1(block)):
-        raise Damage("block digest differs")
-    out = Found(at, end + 4, headers)
+    out, http_end = Found(at, end + 4, headers), begin
     if headers.get("content-type", "").startswith("application/http"):
-        top, _, out.payload = block.partition(b"\r\n\r\n")
-        out.http = _fields(top.split(b"\r\n")[1:])
-    else:
-        out.payload = block
+        try:
+            lines, http_end = _head(source, begin, end)
+            out.http = _fields(lines[1:])
+        except Damage:
+            if end - begin > HEADER:
+                raise
+            out.http, http_end = _fields(source.piece(begin, end).split(b"\r\n")[1:]), end
+    block, payload, parts, place = hashlib.sha1(), hashlib.sha1(), [], begin
+    while place < end:
+        part = source.piece(place, min(place + (1 << 20), end))
+        if not part:
+            raise Damage("block does not end where it should")
+        block.update(part)
+        body = part[max(0, http_end - place):]
+        payload.update(body)
+        if with_payload:
+            parts.append(body)
+        place += len(part)
+    if source.piece(end, end + 4) != b"\r\n\r\n":
+        raise Damage("block does not end where it should")
+    if not _digest_fits(headers.get("warc-block-digest"), _base32(block)):
+        raise Damage("block digest differs")
+    out.size, out.payload, out.digest = end - http_end, b"".join(parts), _base32(payload)
     if headers.get("warc-type") == "revisit":
         out.digest = headers.get("warc-payload-digest", "").removeprefix("sha1:")
-    else:
-        out.digest = sha1(out.payload)
-        if not _digest_fits(headers.get("warc-payload-digest"), out.digest):
-            raise Damage("payload digest differs")
+    elif not _digest_fits(headers.get("warc-payload-digest"), out.digest):
+        raise Damage("payload digest differs")
     return out
 
 
-def _member(data: bytes, at: int) -> tuple[bytes, int]:
-    """(content, end) of the gzip member at ``at``."""
-    unpack, view, parts = zlib.decompressobj(31), memoryview(data), []
-    try:
-        while at < len(data) and not unpack.eof:  # bit by bit: what follows the member is copied
-            parts.append(unpack.decompress(view[at:at + STEP]))
-            at += STEP
-    except zlib.error as e:
-        raise Damage("gzip member is damaged") from e
-    if not unpack.eof:
-        raise Damage("gzip member does not end")
-    return b"".join(parts), min(at, len(data)) - len(unpack.unused_data)
-
-
-def _before_damage(data: bytes, at: int) -> bytes:
-    """What the member at ``at`` holds before its stream breaks off."""
-    unpack, view, parts, step = zlib.decompressobj(31), memoryview(data), [], STEP
-    while at < len(data) and not unpack.eof:
-        saved = unpack.copy() if step > 1 else None
-        try:
-            parts.append(unpack.decompress(view[at:at + step]))
-            at += step
-        except zlib.error:
-            if saved is None:
-                break
-            unpack, step = saved, 1  # what a failing call unpacked is lost: byte by byte up to the damage
-    return b"".join(parts)
-
-
-def _packed_end(data: bytes, at: int, size: int) -> int:
+def _packed_end(data: memoryview, at: int, size: int) -> int:
     """Where the first ``size`` bytes of the content of the member at ``at`` end in ``data``."""
-    unpack, view = zlib.decompressobj(31), memoryview(data)
+    unpack = zlib.decompressobj(31)
     while size and at < len(data):
-        part = view[at:at + STEP]
-        size -= len(unpack.decompress(part, size))
+        saved, part = unpack.copy(), data[at:at + STEP]
+        try:
+            size -= len(unpack.decompress(part, min(size, 64 * STEP)))
+        except zlib.error:  # the damage stands close behind: byte by byte
+            for i in range(len(part)):
+                try:
+                    size -= len(saved.decompress(part[i:i + 1]))
+                except zlib.error:
+                    return at + i
+                if size <= 0:
+                    return at + i + 1
         at += len(part) - len(unpack.unconsumed_tail)
     return at
 
 
-def _in_member(content: bytes) -> Iterator[Found | tuple[int, int, str]]:
-    """``salvage`` of a member's content, where only version lines begin a record."""
-    return salvage(content, PLAIN)
+def _next_start(data: memoryview, at: int) -> int:
+    found = START.search(data, at)
+    return found.start() if found else len(data)
 
 
-def salvage(data: bytes, start: re.Pattern[bytes] = START) -> Iterator[Found | tuple[int, int, str]]:
+def _records(source: Source, with_payload: bool) -> Iterator[Found | tuple[int, int, str]]:
+    """Records and gaps of a member's content, where only version lines begin a record."""
+    at, gap, reason = 0, -1, ""
+    while source.piece(at, at + 1):
+        try:
+            found = parse(source, at, with_payload)
+        except Damage as e:
+            if gap < 0:
+                gap, reason = at, str(e)
+            if (at := source.find(PLAIN, at + 1)) < 0:
+                break
+            continue
+        if gap >= 0:
+            yield gap, at, reason
+            gap = -1
+        yield found
+        at = found.end
+    if gap >= 0:
+        yield gap, source.stop, reason
+
+
+def _member(data: memoryview, at: int, with_payload: bool) -> tuple[str, int, Iterator[Found | tuple[int, int, str]]]:
+    """(why it breaks off, where to go on, records and gaps) of the gzip member at ``at``."""
+    unpacked = Unpacked(data, at)
+    content = unpacked.piece(0, WINDOW + 1)
+    small = len(content) <= WINDOW
+    size = len(content) if small else unpacked.whole()
+    source = (lambda: Bytes(memoryview(content))) if small else (lambda: Unpacked(data, at))
+    if not unpacked.broken:
+        return "", unpacked.at, _records(source(), with_payload)
+    n, last = 0, 0
+    for x in _records(source(), False):
+        if isinstance(x, Found):
+            n, last = n + 1, x.end
+    if not n or (n == 1 and last == size):  # one record alone stands or falls with the member's own checksum
+        return unpacked.broken, _next_start(data, at + 1), iter(())
+    # bytes of what was found are not searched again
+    rest = max(at + 1, _packed_end(data, at, last))
+    return unpacked.broken, _next_start(data, rest), (x for x in _records(source(), with_payload) if isinstance(x, Found))
+
+
+def salvage(data: bytes | memoryview, with_payload: bool = True) -> Iterator[Found | tuple[int, int, str]]:
     """Records in order, and (begin, end, reason) for stretches of bytes that gave none.
 
     A member is salvaged like a file: its records have the member's offset, and so have the gaps between them.  Of a
     member that breaks off, the records before the damage are found, and the member is a gap from its offset on;
     only a member of one record alone stands or falls with its own checksum.
     """
-    at, gap, reason = 0, -1, ""
+    data = memoryview(data).cast("B")
+    file, at, gap, reason = Bytes(data), 0, -1, ""
     while at < len(data):
-        packed = start is START and data.startswith(GZIP, at)
-        inner: list[Found | tuple[int, int, str]] = []
         broken = ""
-        try:
-            if packed:
-                content, end = _member(data, at)
-                inner = list(_in_member(content))
-            else:
-                inner = [parse(data, at)]
-                end = inner[0].end
-        except Damage as e:
-            broken = str(e)
-            rest = at + 1
-            if packed:
-                content = _before_damage(data, at)
-                inner = [x for x in _in_member(content) if isinstance(x, Found)]
-                if [x.end for x in inner] == [len(content)]:
-                    inner = []
-                if inner:  # bytes of what was found are not searched again
-                    rest = max(rest, _packed_end(data, at, inner[-1].end))
-            next_start = start.search(data, rest)
-            end = next_start.start() if next_start else len(data)
-        if any(isinstance(x, Found) for x in inner):
-            if gap >= 0:
-                yield gap, at, reason
-                gap = -1
-            for x in inner:
-                if isinstance(x, tuple):
-                    yield at, end, x[2]
-                else:
-                    yield Found(at, end, x.headers, x.http, x.payload, x.digest) if packed else x
-        elif inner and not broken:  # a whole member without a valid record
-            broken = inner[0][2]
+        if data[at:at + 3] == GZIP:
+            broken, end, inner = _member(data, at, with_payload)
+        else:
+            try:
+                record = parse(file, at, with_payload)
+                end, inner = record.end, iter([record])
+            except Damage as e:
+                broken, end, inner = str(e), _next_start(data, at + 1), iter(())
+        opened, before = False, None
+        for x in inner:
+            if isinstance(x, tuple) and not opened:
+                before = x
+                continue
+            if not opened:
+                opened = True
+                if gap >= 0:
+                    yield gap, at, reason
+                    gap = -1
+                if before:
+                    yield at, end, before[2]
+            yield (at, end, x[2]) if isinstance(x, tuple) else replace(x, offset=at, end=end)
+        if before and not opened and not broken:  # a whole member without a valid record
+            broken = before[2]
         if broken and gap < 0:
             gap, reason = at, broken
         at = end  # an empty member says nothing about where records go on
@@ -262,12 +399,12 @@ def _read(with_payload: bool):
         for batch in batches:
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
                 out, size = [], 0
-                for x in salvage(content.as_buffer().to_pybytes()):
+                for x in salvage(memoryview(content.as_buffer()), with_payload):
                     if isinstance(x, tuple):
                         out.append((file, x[0], x[1], x[2], *[None] * 7))
                         continue
                     kind = x.headers.get("warc-type")
-                    n = len(x.payload) if kind != "revisit" else int(x.http.get("content-length", 0))
+                    n = x.size if kind != "revisit" else int(x.http.get("content-length", 0))
                     out.append((file, x.offset, x.end, None, _page(x.headers.get("warc-record-id")), x.headers.get("warc-target-uri"), kind, _page(x.headers.get("warc-refers-to")), n, x.digest, x.payload if with_payload else None))
                     size += len(x.payload) if with_payload else 0
                     if size > 4 << 20 or len(out) >= 10_000:

@@ -2,9 +2,12 @@ import base64
 import gzip
 import hashlib
 import os
+import random
+import zlib
 
 import pytest
 
+from celltide.llm import warc
 from celltide.llm.warc import Found, member, read_archives, record, salvage, write_archives
 
 PAGES = "page_id long, url string, html string, payload string, refers_to string"
@@ -55,8 +58,15 @@ def found(data):
     return records, gaps
 
 
+@pytest.fixture(params=[8 << 20, 300, 1], ids=["whole", "window", "tiny"])
+def window(request, monkeypatch):
+    """How much of a member's content is held."""
+    monkeypatch.setattr(warc, "WINDOW", request.param)
+    monkeypatch.setattr(warc, "STEP", min(warc.STEP, max(request.param, 20)))
+
+
 @pytest.mark.parametrize("pack", [member, bytes], ids=["gzip", "plain"])
-def test_salvage(pack):
+def test_salvage(pack, window):
     parts = [pack(r) for r in RECORDS]
     at = [sum(map(len, parts[:i])) for i in range(7)]
     whole = b"".join(parts)
@@ -85,7 +95,7 @@ def test_salvage_in_a_table(spark, tmp_dir):
     assert gap.end - gap.offset == 2
 
 
-def test_salvage_inside_a_member():
+def test_salvage_inside_a_member(window):
     """Records around a damaged one in the same member, and those before a break of the stream, are found."""
     spoilt = RECORDS[2].replace(b"<p>2", b"<p>X", 1)
     packed = member(b"".join([*RECORDS[:2], spoilt, *RECORDS[3:]]))
@@ -110,3 +120,45 @@ def test_long_payloads_and_one_that_very_many_share(spark, tmp_dir):
     assert len(got) == len(pages) and got[2].refers_to == 1 and got[2].payload_bytes == got[1].payload_bytes == len(long) and got[3].record_type == "response"
     empty = [10 + i for i in range(600) if i % 3]
     assert [i for i in empty if got[i].record_type == "response"] == empty[:1] and all(got[i].refers_to == empty[0] for i in empty[1:])
+
+
+def test_windows_give_what_whole_members_give(monkeypatch):
+    """Random damage to archives of large and small members: the same records, gaps and payloads with any window."""
+    r = random.Random(12)
+    for _ in range(60):
+        records = [record(i, f"http://x/{i}", r.choice([os.urandom(r.randrange(900)), b"<p>%d</p>" % i * r.randrange(200), b""]), r.choice([None, None, 3])) for i in range(12)]
+        parts, at = [], 0
+        while at < len(records):
+            n = r.choice([1, 1, 2, 5])
+            body = b"".join(records[at:at + n])
+            parts.append(member(body, r.choice([0, 6])) if r.random() < 0.8 else body)
+            at += n
+        data = bytearray(b"".join(parts))
+        for _ in range(r.randrange(4)):
+            spot = r.randrange(len(data))
+            if r.random() < 0.5:
+                data[spot] ^= 1 << r.randrange(8)
+            else:
+                del data[spot:spot + r.randrange(60)]
+        outs = []
+        for window, step in ((8 << 20, 16_384), (700, 64), (1, 33)):
+            monkeypatch.setattr(warc, "WINDOW", window)
+            monkeypatch.setattr(warc, "STEP", step)
+            outs.append([x if isinstance(x, tuple) else (x.offset, x.end, x.headers, x.payload, x.digest, x.size) for x in salvage(bytes(data))])
+        assert outs[0] == outs[1] == outs[2]
+
+
+def test_a_member_of_many_records_is_read_in_a_window():
+    """A member of 400 MB, four of it packed: what is held stays small, damaged or not."""
+    import tracemalloc
+
+    packer, parts = zlib.compressobj(1, zlib.DEFLATED, 31), []
+    for i in range(100):
+        parts.append(packer.compress(record(i, None, b"%d " % i * 1_500_000 if i % 10 else b"x", None)))
+    packed = b"".join([*parts, packer.flush()])
+    for data, n in ((packed, 100), (packed[:len(packed) // 2], 40)):
+        tracemalloc.start()
+        found = sum(isinstance(x, Found) for x in salvage(data, with_payload=False))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert found >= n and peak < 60 << 20, (found, peak)
