@@ -5,7 +5,7 @@ a signature, the minima of many universal hash functions over its set.  Signatur
 agree on a band are candidates.  In each bucket every member is held against the bucket's smallest member, by signature
 and then on the full sets, and the links give components (large-star, small-star).  A bucket whose members are all in
 one component needs no more.  In the others, members of different components are compared in tiles of bounded size: by
-signature, and what agrees on the full sets.  A tile gives only the links that join its components.  So no link between
+signature alone, and the texts of those that agree on the full sets.  A tile gives only the links that join its components.  So no link between
 components is lost, and a large group of copies costs one comparison for each copy and band.
 
 With 32 bands of 4 minima, two sets of similarity 0.8 share no band with a probability below 1e-7.
@@ -132,6 +132,29 @@ def _common(hashes: np.ndarray, first: np.ndarray, left: np.ndarray, right: np.n
     return out
 
 
+def _likely(signs: np.ndarray, component: np.ndarray, left: np.ndarray, right: np.ndarray, least_equal: int) -> np.ndarray:
+    """Which of ``left`` and ``right`` are of different components and agree in enough minima."""
+    out = np.zeros((len(left), len(right)), bool)
+    for at, x in enumerate(left):
+        out[at] = (component[right] != component[x]) & ((signs[right] == signs[x]).sum(1) >= least_equal)
+    return out
+
+
+def _agreeing(least_equal: int):
+    """The members of one tile of a bucket whose signature agrees with another's across it."""
+
+    def run(tile: pa.Table) -> pa.Table:
+        component, block = (tile.column(x).to_numpy() for x in ("component", "block"))
+        signs = np.frombuffer(b"".join(tile.column("signature").to_pylist()), "<u4").reshape(len(block), -1)
+        i, j = (tile.column(x)[0].as_py() for x in ("i", "j"))
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        likely = _likely(signs, component, left, right, least_equal)
+        some = np.union1d(left[likely.any(1)], right[likely.any(0)])
+        return tile.select(["bucket", "i", "j", "node", "block", "component"]).take(pa.array(some, pa.int64()))
+
+    return run
+
+
 def _compare(k: int, percent: int, least_equal: int):
     """Links between components in one tile of a bucket, as few as join what the tile joins."""
 
@@ -140,9 +163,7 @@ def _compare(k: int, percent: int, least_equal: int):
         signs = np.frombuffer(b"".join(tile.column("signature").to_pylist()), "<u4").reshape(len(block), -1)
         i, j = (tile.column(x)[0].as_py() for x in ("i", "j"))
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        likely = np.zeros((len(left), len(right)), bool)
-        for at, x in enumerate(left):
-            likely[at] = (component[right] != component[x]) & ((signs[right] == signs[x]).sum(1) >= least_equal)
+        likely = _likely(signs, component, left, right, least_equal)
         joined: dict[int, int] = {}
 
         def find(x: int) -> int:
@@ -224,9 +245,12 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     labelled = shared.filter("size > 2").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("high > low").select("bucket")
     open_rows = labelled.filter("node != head").join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("size") / tile).cast("int")) \
-        .withColumn("block", F.pmod(F.hash("node"), "blocks")).join(texts, "node")
+        .withColumn("block", F.pmod(F.hash("node"), "blocks")).join(classes.select("node", "signature"), "node")
     tiled = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "component", "signature", "text")
+        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "component", "signature")
+    # texts are fetched only for members whose signatures agree in a tile
+    agreeing = kept_while_used(tiled.groupBy("bucket", "i", "j").applyInArrow(_agreeing(least_equal), "bucket long, i int, j int, node long, block int, component long"), "agreeing")
+    tiled = agreeing.join(texts, "node").select("bucket", "i", "j", "block", "component", "signature", "text")
     more = tiled.groupBy("bucket", "i", "j").applyInArrow(_compare(shingle, percent, least_equal), "a long, b long")
     merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("into"))
 
