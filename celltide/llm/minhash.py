@@ -150,7 +150,7 @@ def _agreeing(least_equal: int):
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         likely = _likely(signs, component, left, right, least_equal)
         some = np.union1d(left[likely.any(1)], right[likely.any(0)])
-        return tile.select(["bucket", "i", "j", "node", "block", "component"]).take(pa.array(some, pa.int64()))
+        return tile.select(["bucket", "node"]).take(pa.array(some, pa.int64()))
 
     return run
 
@@ -246,11 +246,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     mixed = labelled.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("high > low").select("bucket")
     open_rows = labelled.filter("node != head").join(mixed, "bucket").withColumn("blocks", F.ceil(F.col("size") / tile).cast("int")) \
         .withColumn("block", F.pmod(F.hash("node"), "blocks")).join(classes.select("node", "signature"), "node")
-    tiled = open_rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "component", "signature")
-    # texts are fetched only for members whose signatures agree in a tile
-    agreeing = kept_while_used(tiled.groupBy("bucket", "i", "j").applyInArrow(_agreeing(least_equal), "bucket long, i int, j int, node long, block int, component long"), "agreeing")
-    tiled = agreeing.join(texts, "node").select("bucket", "i", "j", "block", "component", "signature", "text")
+
+    def into_tiles(members: DataFrame, *carried: str) -> DataFrame:
+        """The members of each bucket in the tiles of their block with every block."""
+        return members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
+            .select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "block", "component", "signature", *carried)
+
+    tiled = into_tiles(open_rows)
+    # texts are fetched only for members whose signatures agree in a tile, once for each bucket
+    agreeing = tiled.groupBy("bucket", "i", "j").applyInArrow(_agreeing(least_equal), "bucket long, node long").distinct()
+    agreeing = kept_while_used(agreeing, "agreeing")
+    tiled = into_tiles(open_rows.join(agreeing, ["bucket", "node"], "left_semi").join(texts.select("node", "text"), "node"), "text")
     more = tiled.groupBy("bucket", "i", "j").applyInArrow(_compare(shingle, percent, least_equal), "a long, b long")
     merged = components(more).select(F.col("node").alias("component"), F.col("component").alias("into"))
 
