@@ -217,7 +217,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERC
     some = rows_of.filter("n_shingles > 0 and doc_id is not null")
     # aggregates are written before they are joined: then the members of a large class or bucket can be dealt anew
     classes = kept_while_used(some.groupBy(own_set).agg(F.min("doc_id").alias("node")), "sets-by-node")
-    members = some.select("doc_id", *own_set).join(classes, own_set).select("doc_id", *own_set, "node").distinct()
+    members = some.select("doc_id", *own_set).distinct().join(classes, own_set).select("doc_id", *own_set, "node")
     members = staged(members, "members")
     classes = kept_while_used(members.filter("doc_id = node").join(signed.withColumnRenamed("doc_id", "node"), ["node", *own_set]).dropDuplicates(["node", *own_set])
                      .select("node", "tag", "signature"), "classes")
