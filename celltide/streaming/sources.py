@@ -12,11 +12,14 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltide.storage import glob_paths, set_modified
+from celltide.storage import glob_paths, list_names, set_modified
 
 MESSAGE_SCHEMA = ("seq BIGINT, message_id STRING, topic STRING, payload BINARY, "
                   "publish_time TIMESTAMP, attributes MAP<STRING, STRING>")
 
+#: Most messages of a landed file, and most files of a micro-batch.
+FILE_ROWS, BATCH_FILES = 100_000, 64
+
 
 def landed_messages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Unbounded read of landed message files; ``maxFilesPerTrigger``
@@ -55,9 +58,34 @@ def from_kafka(records: DataFrame) -> DataFrame:
         F.col("timestamp").alias("publish_time"), attrs.alias("attributes"))
 
 
-def land_messages(messages: DataFrame, landing_dir: str, files: int = 1) -> None:
-    """Write a batch of messages as landed files (used to feed a stream in tests)."""
-    messages.repartition(files).write.mode("append").parquet(landing_dir)
+def land_messages(messages: DataFrame, landing_dir: str, files: int = 1, rows_per_file: int | None = None) -> int:
+    """Write a batch of messages as landed files (used to feed a stream in tests): ``files`` of them, and more where these
+    would hold over ``rows_per_file`` (``FILE_ROWS``) messages, so that no task writes or reads more, however large the batch.
+    Their modification times ascend, so the file source reads them in the order of ``landed_files``.  Returns their number."""
+    spark, before = messages.sparkSession, landed_files(messages.sparkSession, landing_dir)
+    messages.repartition(max(files, -(-messages.count() // (rows_per_file or FILE_ROWS)))).write.mode("append").parquet(landing_dir)
+    new = sorted(set(landed_files(spark, landing_dir)) - set(before))
+    after = list_names(spark, landing_dir)[before[-1].rpartition("/")[2]] if before else 0
+    _in_order(spark, new, after)
+    return len(new)
+
+
+def landed_files(spark: SparkSession, landing_dir: str) -> list[str]:
+    """Files of ``land_messages`` in the order in which the file source reads them."""
+    names = {n: t for n, t in list_names(spark, landing_dir).items() if n.startswith("part-")}
+    return [f"{landing_dir.rstrip('/')}/{n}" for n in sorted(names, key=lambda n: (names[n], n))]
+
+
+def files_per_batch(files: int, batches: int) -> int:
+    """``maxFilesPerTrigger`` that deals ``files`` over ``batches`` micro-batches, over more if these would be large."""
+    return max(1, min(-(-files // batches), BATCH_FILES))
+
+
+def _in_order(spark: SparkSession, files: list[str], after: int = 0) -> None:
+    """Give ``files`` modification times (ms) that ascend, later than ``after``: by these the file source orders them."""
+    start = max(int(time.time() * 1000) - 1000 * len(files), after + 1000)
+    for i, file in enumerate(files):
+        set_modified(spark, file, start + 1000 * i)
 
 
 def land_in_time_order(messages: DataFrame, landing_dir: str, days_per_slice: int = 8,
