@@ -1,18 +1,41 @@
 """Landed messages in files of bounded size, whatever the input: no task reads a fixed share of it."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from celltide.operators import cells as C
+from celltide.operators import decode as D
+from celltide.operators import table as TB
+from celltide.plans import q_jobs as QJ
+from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 from celltide.storage import list_names
 from celltide.streaming import sources as SS
 
 from locations import SF_SMALL
 
+COLUMNS = ["row_key", "family", "qualifier", "value", "seq"]
+
+
+def landings(monkeypatch):
+    """Make landed files small; the list gets the folder and the returned number of each landing."""
+    seen, land = [], SS.land_messages
+    monkeypatch.setattr(SS, "FILE_ROWS", 100)
+    monkeypatch.setattr(SS, "BATCH_FILES", 2)
+    monkeypatch.setattr(SS, "land_messages", lambda m, path, *a, **k: seen.append((path, n := land(m, path, *a, **k))) or n)
+    return seen
+
 
 def rows_by_file(spark, path):
     return [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
 
 
+def batch_cells(spark):
+    msgs = X.sparse_messages(X.load_events(spark, SF_SMALL))
+    return sorted(map(repr, C.to_cells(D.good(D.decode(msgs, K.default_catalog()))).select(*COLUMNS).collect()))
+
+
 def test_landed_files_follow_the_input_and_are_read_in_order(spark, tmp_dir):
     msgs, path = X.messages(X.load_events(spark, SF_SMALL)), f"{tmp_dir}/landing"
     n = msgs.count()
@@ -24,3 +47,14 @@ def test_landed_files_follow_the_input_and_are_read_in_order(spark, tmp_dir):
     ordered = [times[f.rpartition("/")[2]] for f in SS.landed_files(spark, path)]
     assert len(set(ordered)) == len(first) + 3 and ordered == sorted(ordered)
     assert (SS.files_per_batch(4, 2), SS.files_per_batch(1, 2), SS.files_per_batch(1000, 2)) == (2, 1, SS.BATCH_FILES)
+
+
+def test_two_runs_of_many_batches_are_replayed_batch_by_batch(spark, monkeypatch):
+    seen = landings(monkeypatch)
+    table = QJ._two_runs(spark, SF_SMALL)
+    assert all(n >= 5 and max(rows_by_file(spark, path)) <= 110 for path, n in seen)
+    cells = TB.read_cells(spark, table).cache()
+    assert sorted(map(repr, cells.select(*COLUMNS).collect())) == batch_cells(spark)
+    days = {half: {r[0] for r in cells.where(F.col("seq") % 2 == half).select("ingest_date").distinct().collect()} for half in (0, 1)}
+    assert max(days[1]) < min(days[0]) and min(days[0]) - max(days[1]) <= dt.timedelta(days=2)  # every batch of the second was replaced
+    cells.unpersist()
