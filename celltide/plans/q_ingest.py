@@ -169,13 +169,14 @@ def q_clear_relation(spark, sf_dir):
 def q_stream_cells(spark, sf_dir):
     """S1 + T1 + S7 under Structured Streaming: messages landed as 4 files, one
     checkpointed ``availableNow`` run of the foreachBatch ingest (2 files per
-    micro-batch), cells read back from the written table."""
+    micro-batch), cells read back from the written table.  A large input lands as
+    more files, and half of them, at most ``BATCH_FILES``, make a micro-batch."""
     from celltide.streaming import ingest as IG
     from celltide.streaming import sources as SS
     landing = new_location(spark, "landing")
-    SS.land_messages(X.sparse_messages(X.load_events(spark, sf_dir)), landing, files=4)
+    files = SS.land_messages(X.sparse_messages(X.load_events(spark, sf_dir)), landing, files=4)
     out = new_location(spark, "stream-cells")
-    q = IG.start_ingest(SS.landed_messages(spark, landing, max_files_per_trigger=2), K.default_catalog(), out,
+    q = IG.start_ingest(SS.landed_messages(spark, landing, SS.files_per_batch(files, 2)), K.default_catalog(), out,
                         new_location(spark, "stream-quarantine"), new_location(spark, "stream-ckpt"))
     q.awaitTermination()
     if q.exception() is not None:

@@ -114,15 +114,15 @@ def q_multiset_diff(spark, sf_dir):
 @query("stream_shadow", SHADOW_SQL)
 def q_stream_shadow(spark, sf_dir):
     """T7 under Structured Streaming: the device shadow as a running aggregate
-    (update mode, state = one row per device), micro-batches of 2 files; each
-    batch's updated devices are written by batch id and the last update of
-    every device is read back."""
+    (update mode, state = one row per device), micro-batches of 2 files (of half the
+    files, at most ``BATCH_FILES``, of a large input); each batch's updated devices are
+    written by batch id and the last update of every device is read back."""
     from celltide.storage import new_location
     from celltide.streaming import sources as SS
     from celltide.streaming import stateful as ST
     landing = new_location(spark, "landing")
-    SS.land_messages(X.sparse_messages(X.load_events(spark, sf_dir)), landing, files=4)
-    stream = D.good(D.decode(SS.landed_messages(spark, landing, 2), K.default_catalog()))
+    files = SS.land_messages(X.sparse_messages(X.load_events(spark, sf_dir)), landing, files=4)
+    stream = D.good(D.decode(SS.landed_messages(spark, landing, SS.files_per_batch(files, 2)), K.default_catalog()))
     out = new_location(spark, "stream-shadow")
     q = ST.start_window_updates(ST.shadow_stream(stream, ["timestamp", "value", "k"]), out,
                                 new_location(spark, "stream-ckpt"))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from celltide.operators import cells as C
 from celltide.operators import decode as D
 from celltide.operators import table as TB
+from celltide.plans import q_ingest as QI
 from celltide.plans import q_jobs as QJ
+from celltide.plans import q_reports as QR
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 from celltide.storage import list_names
@@ -58,3 +60,12 @@ def test_two_runs_of_many_batches_are_replayed_batch_by_batch(spark, monkeypatch
     days = {half: {r[0] for r in cells.where(F.col("seq") % 2 == half).select("ingest_date").distinct().collect()} for half in (0, 1)}
     assert max(days[1]) < min(days[0]) and min(days[0]) - max(days[1]) <= dt.timedelta(days=2)  # every batch of the second was replaced
     cells.unpersist()
+
+
+def test_stream_cells_and_shadow_read_files_of_bounded_size(spark, monkeypatch):
+    seen = landings(monkeypatch)
+    got = QI.q_stream_cells(spark, SF_SMALL).withColumnRenamed("event_id", "seq").select(*COLUMNS).collect()
+    assert sorted(map(repr, got)) == batch_cells(spark)
+    shadows = QR.q_stream_shadow(spark, SF_SMALL)
+    assert shadows.agg(F.sum("n_messages")).first()[0] == X.load_events(spark, SF_SMALL).count()
+    assert len(seen) == 2 and all(n >= 10 and max(rows_by_file(spark, path)) <= 110 for path, n in seen)
