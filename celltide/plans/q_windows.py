@@ -96,8 +96,8 @@ def q_stream_tumbling(spark, sf_dir):
     from celltide.streaming import sources as SS
     from celltide.streaming import stateful as ST
     landing = new_location(spark, "landing")
-    SS.land_in_time_order(X.messages(X.load_events(spark, sf_dir)), landing, days_per_slice=8)
-    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 1), K.default_catalog()))
+    each = SS.land_in_time_order(X.messages(X.load_events(spark, sf_dir)), landing, days_per_slice=8)
+    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", each), K.default_catalog()))
     out = new_location(spark, "stream-windows")
     q = ST.start_window_updates(ST.tumbling_stream(stream, value=_value()), out, new_location(spark, "stream-ckpt"))
     q.awaitTermination()
@@ -117,9 +117,9 @@ def q_stream_dedup(spark, sf_dir):
     from celltide.streaming import sources as SS
     from celltide.streaming import stateful as ST
     landing = new_location(spark, "landing")
-    SS.land_in_time_order(X.duplicated_messages(X.load_events(spark, sf_dir)).drop("copy"), landing,
+    each = SS.land_in_time_order(X.duplicated_messages(X.load_events(spark, sf_dir)).drop("copy"), landing,
                           days_per_slice=8)
-    d = ST.dedup_stream(SS.landed_messages(spark, f"{landing}/*", 1), delay="1 hour")
+    d = ST.dedup_stream(SS.landed_messages(spark, f"{landing}/*", each), delay="1 hour")
     out = new_location(spark, "stream-dedup")
     q = (d.writeStream.format("parquet").option("checkpointLocation", new_location(spark, "stream-ckpt"))
          .trigger(availableNow=True).start(out))
@@ -154,10 +154,10 @@ def q_stream_late(spark, sf_dir):
     # delay of one delayed message (which then arrives one micro-batch late)
     width = -(-span // 1000) * 100
     landing = new_location(spark, "landing")
-    SS.land_in_slices(msgs.drop("arrival"), landing,
+    each = SS.land_in_slices(msgs.drop("arrival"), landing,
                       F.floor((X.arrival_order("seq") + 80) / width))
     path = new_location(spark, "late-split")
-    stream = SS.landed_messages(spark, f"{landing}/*", 1)
+    stream = SS.landed_messages(spark, f"{landing}/*", each)
     q = LT.start_late_split(stream, "publish_time", path, new_location(spark, "stream-ckpt"))
     q.awaitTermination()
     if q.exception() is not None:
@@ -188,8 +188,8 @@ def q_stream_tumbling_append(spark, sf_dir):
     msgs = X.messages(X.load_events(spark, sf_dir))
     span = msgs.select(F.max(X.arrival_order("seq"))).first()[0] + 1  # one scalar
     landing, out = new_location(spark, "landing"), new_location(spark, "stream-windows")
-    SS.land_in_slices(msgs, landing, F.floor((X.arrival_order("seq") + 80) / (-(-span // 1000) * 100)))
-    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", 1), K.default_catalog()))
+    each = SS.land_in_slices(msgs, landing, F.floor((X.arrival_order("seq") + 80) / (-(-span // 1000) * 100)))
+    stream = D.good(D.decode(SS.landed_messages(spark, f"{landing}/*", each), K.default_catalog()))
     q = (ST.tumbling_stream(stream, value=_value()).writeStream.outputMode("append").format("parquet")
          .option("checkpointLocation", new_location(spark, "stream-ckpt")).trigger(availableNow=True).start(out))
     q.awaitTermination()

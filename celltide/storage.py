@@ -55,6 +55,12 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(s.getPath().toString() for s in fs.globStatus(hpath) or [])
 
 
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    (a, fs), (b, to) = _file_system(spark, source), _file_system(spark, target)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, a, to, b, False, conf)
+
+
 def set_modified(spark: SparkSession, path: str, millis: int) -> None:
     hpath, fs = _file_system(spark, path)
     fs.setTimes(hpath, millis, -1)

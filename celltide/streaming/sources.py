@@ -11,8 +11,9 @@ import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from celltide.storage import glob_paths, list_names, set_modified
+from celltide.storage import copy_file, glob_paths, list_names, set_modified
 
 MESSAGE_SCHEMA = ("seq BIGINT, message_id STRING, topic STRING, payload BINARY, "
                   "publish_time TIMESTAMP, attributes MAP<STRING, STRING>")
@@ -89,21 +90,44 @@ def _in_order(spark: SparkSession, files: list[str], after: int = 0) -> None:
 
 
 def land_in_time_order(messages: DataFrame, landing_dir: str, days_per_slice: int = 8,
-                       ts_col: str = "publish_time") -> int:
+                       ts_col: str = "publish_time", key: str | None = None) -> int:
     """Land messages as time slices of ``days_per_slice`` days (see ``land_in_slices``),
-    so a stream sees event time move forward between micro-batches."""
-    return land_in_slices(messages, landing_dir, F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice))
+    so a stream sees event time move forward between micro-batches, and each ``key``'s within them."""
+    return land_in_slices(messages, landing_dir, F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice), key, ts_col)
 
 
-def land_in_slices(messages: DataFrame, landing_dir: str, slice_of: Column) -> int:
-    """Land messages in one pass, a file for each value of ``slice_of``, with modification times that
-    ascend with it: the file source reads in that order, so with ``maxFilesPerTrigger=1`` each
-    micro-batch is one slice.  Returns the number of slices."""
-    (messages.withColumn("slice", F.format_string("%020d", slice_of.cast("long")))
-     .repartition("slice").write.partitionBy("slice").parquet(landing_dir))
+def land_in_slices(messages: DataFrame, landing_dir: str, slice_of: Column, key: str | None = None, order: str | None = None) -> int:
+    """Land messages in one pass, in slices by the value of ``slice_of``, with modification times that ascend with it:
+    the file source reads in that order.  Returns the number of files of a slice; with it as ``maxFilesPerTrigger``
+    each micro-batch is one slice.
+
+    A slice has a file for about every ``FILE_ROWS`` messages of the largest one, so that none is written or read by one
+    task; a slice that fills fewer gets empty files for the rest.  Rows of a slice that agree in ``key``, if one is named,
+    share a file; files are sorted by ``order``.
+    """
     spark = messages.sparkSession
-    files = glob_paths(spark, f"{landing_dir}/slice=*/part-*")
-    start = int(time.time() * 1000) - 1000 * len(files)
-    for i, file in enumerate(files):
-        set_modified(spark, file, start + 1000 * i)
-    return len(files)
+    sliced = messages.withColumn("slice", F.format_string("%020d", slice_of.cast("long")))
+    sizes = sliced.groupBy("slice").count().agg(F.count(F.lit(1)).alias("slices"), F.max("count").alias("largest")).first()
+    parts = max(1, -(-(sizes["largest"] or 0) // FILE_ROWS))
+    if parts == 1:
+        dealt = sliced.repartition("slice")
+    else:
+        # from the values of a row, so that a repeated task deals it the same way; maps have no hash
+        telling = [key] if key else [f.name for f in messages.schema if not isinstance(f.dataType, MapType)]
+        part = F.pmod(F.xxhash64(*telling), F.lit(parts))
+        dealt = sliced.withColumn("part", part).repartition(sizes["slices"] * parts, "slice", "part").drop("part")
+    dealt.sortWithinPartitions("slice", *([order] if order else [])).write.partitionBy("slice").parquet(landing_dir)
+    slices: dict[str, list[str]] = {}
+    for file in glob_paths(spark, f"{landing_dir}/slice=*/part-*"):
+        slices.setdefault(file.rpartition("/")[0], []).append(file)
+    each = max(map(len, slices.values()), default=1)
+    if any(len(files) < each for files in slices.values()):
+        empty = f"{landing_dir.rstrip('/')}-empty"
+        spark.createDataFrame([], messages.schema).coalesce(1).write.mode("overwrite").parquet(empty)
+        source = glob_paths(spark, f"{empty}/part-*")[0]
+        for folder, files in slices.items():
+            for i in range(each - len(files)):
+                files.append(f"{folder}/part-empty-{i:05d}.parquet")
+                copy_file(spark, source, files[-1])
+    _in_order(spark, [file for folder in sorted(slices) for file in slices[folder]])
+    return each

@@ -1,0 +1,36 @@
+"""Slices of many files: each still one micro-batch, none of them read or written by one task."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from celltide.plans.registry import ORACLES, QUERIES
+from celltide.sources import fixtures as X
+from celltide.storage import list_names, list_subdirs
+from celltide.streaming import sources as SS
+from tools.oracle_check import rows_of
+
+from locations import SF_SMALL
+
+
+def test_slices_have_as_many_files_each_and_ascend(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(SS, "FILE_ROWS", 20)
+    ev = X.load_events(spark, SF_SMALL)
+    alone = ev.limit(1).withColumn("ts", F.timestamp_seconds(F.lit(1_800_000_000)))  # a slice of one message
+    each = SS.land_in_time_order(X.messages(ev.unionByName(alone)), path := f"{tmp_dir}/landing", days_per_slice=8)
+    assert each > 5
+    files = [(t, s, n) for s in list_subdirs(spark, path) for n, t in list_names(spark, f"{path}/{s}").items() if n.startswith("part-")]
+    slices = [s for _, s, _ in sorted(files)]
+    assert slices == sorted(slices) and {slices.count(s) for s in slices} == {each} and len({t for t, *_ in files}) == len(files)
+    rows = spark.read.schema(SS.MESSAGE_SCHEMA).parquet(f"{path}/*").groupBy(F.input_file_name()).count().toPandas()["count"]
+    assert rows.sum() == ev.count() + 1 and rows.max() < ev.count() / 5
+
+
+@pytest.mark.parametrize("name", ["stream_device_sessions", "stream_unpublished"])
+def test_streams_of_slices_of_many_files(spark, monkeypatch, name):
+    monkeypatch.setattr(SS, "FILE_ROWS", 20)
+    con, seen, land = duckdb.connect(), [], SS.land_in_slices
+    monkeypatch.setattr(SS, "land_in_slices", lambda *a, **k: seen.append(n := land(*a, **k)) or n)
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF_SMALL}/events.parquet')")
+    assert rows_of(QUERIES[name](spark, SF_SMALL).toPandas()) == rows_of(con.execute(ORACLES[name]).df())
+    assert len(seen) == 1 and seen[0] > 2
