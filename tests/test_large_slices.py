@@ -26,7 +26,7 @@ def test_slices_have_as_many_files_each_and_ascend(spark, tmp_dir, monkeypatch):
     assert rows.sum() == ev.count() + 1 and rows.max() < ev.count() / 5
 
 
-@pytest.mark.parametrize("name", ["stream_device_sessions", "stream_unpublished"])
+@pytest.mark.parametrize("name", ["stream_device_sessions", "stream_tumbling", "stream_unpublished", "stream_dedup", "stream_late", "stream_tumbling_append"])
 def test_streams_of_slices_of_many_files(spark, monkeypatch, name):
     monkeypatch.setattr(SS, "FILE_ROWS", 20)
     con, seen, land = duckdb.connect(), [], SS.land_in_slices
