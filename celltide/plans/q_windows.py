@@ -90,7 +90,7 @@ FROM events GROUP BY 1, 2""")
 def q_stream_tumbling(spark, sf_dir):
     """T2-T4 under Structured Streaming: 3-second windows on publish time with a
     watermark (no allowed lateness), update mode.  Messages arrive in time
-    order (8-day slices, one per micro-batch), so no row is
+    order (8-day slices, or wider ones over a long time, one per micro-batch), so no row is
     behind the watermark of an earlier micro-batch and every window is complete."""
     from celltide.storage import new_location
     from celltide.streaming import sources as SS

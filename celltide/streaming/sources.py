@@ -20,6 +20,8 @@ MESSAGE_SCHEMA = ("seq BIGINT, message_id STRING, topic STRING, payload BINARY,
 
 #: Most messages of a landed file, and most files of a micro-batch.
 FILE_ROWS, BATCH_FILES = 100_000, 64
+#: Time slices that are kept apart, however small they are.
+LEAST_SLICES = 8
 
 
 def landed_messages(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -91,9 +93,22 @@ def _in_order(spark: SparkSession, files: list[str], after: int = 0) -> None:
 
 def land_in_time_order(messages: DataFrame, landing_dir: str, days_per_slice: int = 8,
                        ts_col: str = "publish_time", key: str | None = None) -> int:
-    """Land messages as time slices of ``days_per_slice`` days (see ``land_in_slices``),
-    so a stream sees event time move forward between micro-batches, and each ``key``'s within them."""
-    return land_in_slices(messages, landing_dir, F.floor(F.unix_date(F.to_date(ts_col)) / days_per_slice), key, ts_col)
+    """Land messages as time slices (see ``land_in_slices``), so a stream sees event time move
+    forward between micro-batches, and each ``key``'s within them.
+
+    A slice has ``days_per_slice`` days, or a multiple where the messages span many such slices
+    (see ``slices_together``), so that the micro-batches follow the messages and not the years.
+    """
+    day = F.unix_date(F.to_date(ts_col))
+    sizes = messages.groupBy(F.floor(day / days_per_slice).alias("slice")).count().agg(F.count(F.lit(1)).alias("slices"), F.max("count").alias("largest")).first()
+    width = days_per_slice * slices_together(sizes["slices"], sizes["largest"] or 0)
+    return land_in_slices(messages, landing_dir, F.floor(day / width), key, ts_col)
+
+
+def slices_together(slices: int, largest: int) -> int:
+    """How many of ``slices``, the largest of ``largest`` messages, to land as one: no more than leave ``LEAST_SLICES``
+    of them, nor than hold the messages of ``BATCH_FILES`` full files."""
+    return max(1, min(slices // LEAST_SLICES, BATCH_FILES * FILE_ROWS // max(1, largest)))
 
 
 def land_in_slices(messages: DataFrame, landing_dir: str, slice_of: Column, key: str | None = None, order: str | None = None) -> int:

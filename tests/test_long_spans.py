@@ -1,0 +1,48 @@
+"""Messages over a long time: the micro-batches of the time slices follow the messages, not the days."""
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from celltide.plans.registry import ORACLES, QUERIES
+from celltide.sources import fixtures as X
+from celltide.storage import list_subdirs
+from celltide.streaming import sources as SS
+from tools.oracle_check import rows_of
+
+from locations import SF_SMALL
+
+COPIES = 12
+
+
+@pytest.fixture(scope="module")
+def long_span(spark, tmp_path_factory):
+    """A folder with the events table, repeated each 30 days under ids of its own."""
+    path = str(tmp_path_factory.mktemp("long"))
+    duckdb.sql(f"""COPY (SELECT event_id + r.range * (SELECT max(event_id) + 1 FROM '{SF_SMALL}/events.parquet') AS event_id,
+                                ts + to_days(CAST(30 * r.range AS INTEGER)) AS ts, user_id, event_type, value, props
+                         FROM range({COPIES}) r, '{SF_SMALL}/events.parquet') TO '{path}/events.parquet' (FORMAT parquet)""")
+    return path
+
+
+@pytest.mark.parametrize("name", ["stream_tumbling", "stream_device_sessions", "stream_unpublished", "stream_dedup"])
+def test_streams_over_a_long_time_have_few_batches(spark, monkeypatch, long_span, name):
+    con, seen, land = duckdb.connect(), [], SS.land_in_slices
+    monkeypatch.setattr(SS, "land_in_slices", lambda m, path, *a, **k: seen.append(path) or land(m, path, *a, **k))
+    con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{long_span}/events.parquet')")
+    assert rows_of(QUERIES[name](spark, long_span).toPandas()) == rows_of(con.execute(ORACLES[name]).df())
+    slices = [s for path in seen for s in list_subdirs(spark, path) if s.startswith("slice=")]
+    assert len(seen) == 1 and SS.LEAST_SLICES <= len(slices) <= 2 * SS.LEAST_SLICES
+
+
+def test_slices_are_joined_by_their_messages(spark, tmp_dir, monkeypatch, long_span):
+    assert (SS.slices_together(5, 10), SS.slices_together(225, 27_000), SS.slices_together(0, 0)) == (1, 28, 1)
+    full = SS.BATCH_FILES * SS.FILE_ROWS
+    assert (SS.slices_together(10_000, full // 3), SS.slices_together(10_000, 2 * full)) == (3, 1)
+    msgs = X.messages(X.load_events(spark, long_span))
+    monkeypatch.setattr(SS, "FILE_ROWS", 10)  # a full micro-batch has 640 messages
+    each = SS.land_in_time_order(msgs, f"{tmp_dir}/landing", days_per_slice=8)
+    landed = spark.read.schema(f"{SS.MESSAGE_SCHEMA}, slice STRING").parquet(f"{tmp_dir}/landing")
+    spans = landed.groupBy("slice").agg(F.count(F.lit(1)).alias("n"), F.min("publish_time").alias("first"), F.max("publish_time").alias("last")).orderBy("slice").collect()
+    assert sum(r["n"] for r in spans) == msgs.count() and max(r["n"] for r in spans) <= 640 and each > 1
+    assert all(a["last"] < b["first"] for a, b in zip(spans, spans[1:]))
