@@ -32,6 +32,13 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
     return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
+def _for_outputs(decoded: DataFrame) -> DataFrame:
+    """What the two outputs read of decoded messages: the source's columns, payload and all, of bad ones alone (else NULL),
+    so that a task which takes a message from the cache does not read its bytes beside the object made of them."""
+    both = ("seq", INGEST_TIME, "obj", "row_key", "relation", "reason")
+    return decoded.select(*both, *(F.when(F.col("reason").isNotNull(), F.col(c)).alias(c) for c in decoded.columns if c not in both))
+
+
 def ingest_batch(batch: DataFrame, write: str, catalog: Catalog, cells_path: str,
                  quarantine_path: str, include_key: bool = True, meta_family: bool = True) -> None:
     """Decode one micro-batch once, then write good cells and quarantined messages.
@@ -39,7 +46,7 @@ def ingest_batch(batch: DataFrame, write: str, catalog: Catalog, cells_path: str
     ``batch`` has the messages and their ``ingest_time``; ``write`` names this
     write: a repeated one replaces the earlier attempt in both outputs.
     """
-    decoded = D.decode(batch, catalog).persist()
+    decoded = _for_outputs(D.decode(batch, catalog)).persist()
     try:
         # ingest time: one value per micro-batch, ties broken by seq
         cells = C.to_cells(D.good(decoded), cell_ts=F.col(INGEST_TIME),

@@ -13,6 +13,7 @@ from celltide.plans import q_reports as QR
 from celltide.sources import catalog as K
 from celltide.sources import fixtures as X
 from celltide.storage import list_names
+from celltide.streaming import ingest as IG
 from celltide.streaming import sources as SS
 
 from locations import SF_SMALL
@@ -69,3 +70,19 @@ def test_stream_cells_and_shadow_read_files_of_bounded_size(spark, monkeypatch):
     shadows = QR.q_stream_shadow(spark, SF_SMALL)
     assert shadows.agg(F.sum("n_messages")).first()[0] == X.load_events(spark, SF_SMALL).count()
     assert len(seen) == 2 and all(n >= 10 and max(rows_by_file(spark, path)) <= 110 for path, n in seen)
+
+
+def test_a_cached_batch_holds_no_payload_beside_its_object(spark, tmp_dir, monkeypatch):
+    held = lambda: {r.id(): r.memSize() for r in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    msgs = X.bad_messages(X.load_events(spark, SF_SMALL)).withColumn(IG.INGEST_TIME, F.current_timestamp())
+    before, sizes, write = held(), [], TB.write_cells
+    whole = D.decode(msgs, K.default_catalog()).persist()
+    bad = sorted(map(repr, D.quarantined(whole).collect()))
+    full = sum(n for i, n in held().items() if i not in before)
+    whole.unpersist(blocking=True)
+    before = held()
+    monkeypatch.setattr(TB, "write_cells", lambda *a, **k: (write(*a, **k), sizes.append(sum(n for i, n in held().items() if i not in before))))
+    IG.ingest_batch(msgs, "job-0", K.default_catalog(), f"{tmp_dir}/cells", f"{tmp_dir}/bad")
+    assert 0 < sizes[0] < 0.8 * full
+    quarantine = IG.read_quarantine(spark, f"{tmp_dir}/bad").drop("write", "ingest_date")
+    assert sorted(map(repr, quarantine.collect())) == bad and bad
